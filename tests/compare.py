@@ -1,0 +1,49 @@
+"""Order-insensitive comparison of a Spark result with a DuckDB result: names, kinds and values."""
+
+import datetime as dt
+import decimal
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def oracle_rows(folder, sql):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    result = connection.execute(sql)
+    names = [column[0] for column in result.description]
+    return names, result.fetchall(), [str(column[1]) for column in result.description]
+
+
+def kind(value):
+    """int, float, str ... so that 1 and 1.0 or '1' are told apart."""
+    if isinstance(value, bool) or value is None:
+        return value
+    if isinstance(value, float):
+        return ("float", "nan" if math.isnan(value) else float(f"{value:.12g}"))
+    if isinstance(value, (int, str, decimal.Decimal, dt.date, dt.datetime)):
+        return (type(value).__name__, value)
+    raise TypeError(f"compare no {type(value)}")
+
+
+def normalized(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(kind(row[i]) for i in order) for row in rows)
+
+
+def assert_same(frame, folder, sql):
+    spark_names = frame.columns
+    spark_rows = [tuple(row) for row in frame.collect()]
+    names, rows, _ = oracle_rows(folder, sql)
+    assert sorted(spark_names) == sorted(names)
+    assert len(spark_rows) == len(rows)
+    mine, theirs = normalized(spark_names, spark_rows), normalized(names, rows)
+    assert mine == theirs, f"only Spark: {list((mine - theirs).items())[:3]}; only SQL: {list((theirs - mine).items())[:3]}"
+    return len(rows)
