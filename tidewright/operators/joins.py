@@ -2,6 +2,22 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
+
+
+def group_apart(df: DataFrame, *keys: str) -> GroupedData:
+    """Group by keys for a join on the same keys, leaving the result spread in another way.
+
+    AQE can split a hot key of one join side only if both sides come straight from an exchange. A side
+    grouped by the join key alone is spread by it already and would join without one. The added column is
+    a function of the keys, so the groups are the same.
+    """
+    return df.groupBy(F.xxhash64(*keys).alias("_apart"), *keys)
+
+
+def distinct_apart(df: DataFrame, key: str) -> DataFrame:
+    """Distinct values of one column, spread as by group_apart."""
+    return df.select(F.xxhash64(key).alias("_apart"), key).distinct().select(key)
 
 
 def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:
@@ -15,7 +31,8 @@ def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
     keys = F.array_distinct(F.array(*[F.col(k).cast(left.schema[left_key].dataType) for k in right_keys]))
     keyed = right.withColumn("_key", F.explode(keys)).filter(F.col("_key").isNotNull())
     matched = left.join(keyed, F.col(left_key) == F.col("_key"), "inner").drop("_key")
-    unmatched = left.join(keyed.select("_key").distinct(), F.col(left_key) == F.col("_key"), "left_anti")
+    known = distinct_apart(keyed, "_key")
+    unmatched = left.join(known, F.col(left_key) == F.col("_key"), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -42,6 +59,6 @@ def null_safe_not_in(left: DataFrame, column: str, values: DataFrame) -> DataFra
     values = values.toDF("_value")
     nulls = values.agg(F.count_if(F.col("_value").isNull())).scalar()
     listed = values.agg(F.count("*")).scalar()
-    known = values.filter(F.col("_value").isNotNull()).distinct()
+    known = distinct_apart(values.filter(F.col("_value").isNotNull()), "_value")
     kept = left.join(known, F.col(column) == F.col("_value"), "left_anti")
     return kept.filter((nulls == 0) & (F.col(column).isNotNull() | (listed == 0)))

@@ -5,6 +5,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.operators.joins import group_apart
+
 
 def pivot_sum(df: DataFrame, row: str, column: str, values: list, value: str, prefix="") -> DataFrame:
     """One row per `row`, one column per listed value with the sum; values outside the list are dropped.
@@ -82,35 +84,25 @@ def nest_by(
     # Position in the scan, used to cut up the children of a hot parent: a block of consecutive
     # positions holds at most max_children rows.
     children = children.select(child_key, *child_columns, F.monotonically_increasing_id().alias("_at"))
-    hot = (
-        children.groupBy(child_key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_children)
-    ).select(F.col(child_key).alias("_hot_key"))
-    marked = children.join(hot, F.col(child_key) == F.col("_hot_key"), "left")
-    block = F.when(F.col("_hot_key").isNotNull(), F.floor(F.col("_at") / max_children)).otherwise(F.lit(0))
+    hot = group_apart(children, child_key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_children)
+    marked = children.join(hot.select(F.col(child_key).alias("_hot")), F.col(child_key) == F.col("_hot"), "left")
+    block = F.when(F.col("_hot").isNotNull(), F.floor(F.col("_at") / max_children)).otherwise(F.lit(0))
+    # Grouped by a struct: by the parent and the block, Spark would keep a parent where the join put it.
     gathered = (
-        marked.groupBy(F.col(child_key).alias("_parent"), block.alias("_block"))
+        marked.groupBy(F.struct(F.col(child_key).alias("parent"), block.alias("block")).alias("_piece"))
         .agg(F.sort_array(F.collect_list(F.struct(*child_columns))).alias(child_array))
     )
-    elements = parents.join(gathered, F.col(parent_key) == F.col("_parent")).select(
+    elements = parents.join(gathered, F.col(parent_key) == F.col("_piece.parent")).select(
         F.col(group),
-        F.struct(
-            F.col(parent_key).alias("k"),
-            F.col("_block").alias("b"),
-            F.to_json(F.struct(*parent_columns, child_array)).alias("t"),
-        ).alias("_element"),
+        F.struct("_piece", F.to_json(F.struct(*parent_columns, child_array)).alias("text")).alias("_element"),
         F.size(child_array).alias("_children"),
     )
-    sizes = elements.groupBy(group).agg(F.ceil(F.sum("_children") / max_children).cast("int").alias("parts"))
-    spread = F.pmod(F.xxhash64("_element.k", "_element.b"), F.col("parts")).cast("int").alias("part")
+    parts = F.ceil(F.sum("_children") / max_children).cast("int").alias("parts")
+    sizes = group_apart(elements, group).agg(parts).drop("_apart")
+    part = F.pmod(F.xxhash64("_element._piece"), F.col("parts")).cast("int").alias("part")
     return (
         elements.join(sizes, group)
-        .select(group, "parts", spread, "_element")
-        .groupBy(group, "part", "parts")
+        .groupBy(F.struct(group, part, "parts").alias("_document"))
         .agg(F.sort_array(F.collect_list("_element")).alias("_elements"))
-        .select(
-            group,
-            "part",
-            "parts",
-            F.concat(F.lit("["), F.array_join("_elements.t", ","), F.lit("]")).alias("document"),
-        )
+        .select("_document.*", F.concat(F.lit("["), F.array_join("_elements.text", ","), F.lit("]")).alias("document"))
     )

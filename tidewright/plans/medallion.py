@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
-from tidewright.operators import first_per_key, split
+from tidewright.operators import first_per_key, group_apart, split
 from tidewright.sources import VersionedTable
 from tidewright.sources.readers import read_raw
 
@@ -35,7 +35,8 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, root: str, movie_partition: str | None = "p_CreatedDate"):
         self.spark = spark
-        self.bronze = VersionedTable(spark, f"{root}/bronze", schemas.BRONZE, "p_ingestdate")
+        # A load has one ingest date and a rewrite reads files of few dates, so bronze needs no gathering.
+        self.bronze = VersionedTable(spark, f"{root}/bronze", schemas.BRONZE, "p_ingestdate", gather=False)
         self.movie = VersionedTable(spark, f"{root}/silver/movie", schemas.SILVER_MOVIE, movie_partition)
         # A folder per genre or language would hold a handful of rows each, so these have no partitions.
         self.genres = VersionedTable(spark, f"{root}/silver/genres", schemas.SILVER_GENRES)
@@ -136,29 +137,41 @@ def classify(movies: DataFrame, null_to_quarantine=False) -> tuple[DataFrame, Da
 def merge_status(bronze: DataFrame, updates: DataFrame, on="value") -> DataFrame:
     """Set the status of every bronze row whose `on` equals that of an update; keep all other rows.
 
-    `updates` has `on` and `status`. Structs compare field by field, with NULL fields equal.
+    `updates` has `on` and `status`; where updates contradict each other, the later state of the life
+    cycle wins. Structs compare field by field, with NULL fields equal.
     """
-    found = updates.groupBy(F.col(on).alias("_on")).agg(F.max("status").alias("_status"))
+    # Reduced as a number: Spark can then aggregate by hash, without sorting whole documents.
+    states = F.array(*[F.lit(state) for state in (NEW, QUARANTINED, LOADED)])
+    state = F.array_position(states, F.col("status"))
+    updates = updates.select(F.col(on).alias("_on"), state.alias("_state"))
+    found = group_apart(updates, "_on").agg(F.max("_state").cast("int").alias("_state")).drop("_apart")
     merged = bronze.join(found, F.col(on) == F.col("_on"), "left")
-    status = F.coalesce("_status", "status").alias("status")
+    status = F.coalesce(F.try_element_at(states, F.col("_state")), F.col("status")).alias("status")
     return merged.select(*[status if name == "status" else F.col(name) for name in bronze.columns])
 
 
-def settle(bronze: DataFrame, batch: str, outcome: Column) -> DataFrame:
+def settle(bronze: DataFrame, batch: str, outcome: Column, key="value.Id") -> DataFrame:
     """Merge the outcome of one batch back onto bronze, without joining the whole table to itself.
 
     `batch` is the status of the rows just processed, `outcome` their new status as an expression over
-    `value` (NULL: unchanged). A merge by value also reaches equal documents outside the batch. As the
-    outcome depends on the document alone, batch rows get theirs in place, and only those other rows that
-    would change status have to look for a twin in the batch.
+    `value` (NULL: unchanged). As it depends on the document alone, batch rows get theirs in place. A
+    merge by value also reaches equal documents outside the batch; only rows that would change status can
+    matter there, and first their keys alone are compared with those of the batch. Mostly none is found,
+    and the rewrite is a scan and a write.
     """
     in_batch = F.col("status") == batch
-    would_move = ~in_batch & outcome.isNotNull() & (F.col("status") != outcome)
-    would_move = F.coalesce(would_move, F.lit(False))
+    would_move = F.coalesce(~in_batch & outcome.isNotNull() & (F.col("status") != outcome), F.lit(False))
     settled = F.when(in_batch, F.coalesce(outcome, F.col("status"))).otherwise(F.col("status")).alias("status")
-    steady = bronze.filter(~would_move).select(*[settled if c == "status" else F.col(c) for c in bronze.columns])
-    processed = bronze.filter(in_batch & outcome.isNotNull()).select("value", outcome.alias("status"))
-    return steady.unionByName(merge_status(bronze.filter(would_move), processed))
+
+    def in_place(df):
+        return df.select(*[settled if name == "status" else F.col(name) for name in df.columns])
+
+    outside, processed = bronze.filter(would_move), bronze.filter(in_batch & outcome.isNotNull())
+    keys = processed.select(F.col(key).alias("_key")).distinct()
+    if outside.select(F.col(key).alias("_own")).join(keys, F.col("_own").eqNullSafe(F.col("_key")), "left_semi").isEmpty():
+        return in_place(bronze)
+    updates = processed.select("value", outcome.alias("status"))
+    return in_place(bronze.filter(~would_move)).unionByName(merge_status(outside, updates))
 
 
 def bronze_outcome() -> Column:
@@ -243,8 +256,8 @@ def status_by_id(bronze: DataFrame) -> DataFrame:
     """
     new = bronze.filter(F.col("status") == NEW).select(F.col("value.Id").alias("Id"), "value")
     clean, rest = split(new, F.col("value.RunTime") >= 0)
-    loaded = first_per_key(clean, ["Id"]).select("Id", "value", F.lit(LOADED).alias("status"))
-    quarantined = first_per_key(rest, ["Id"]).select("Id", "value", F.lit(QUARANTINED).alias("status"))
+    loaded = first_per_key(clean, ["Id"], for_join=True).select("Id", "value", F.lit(LOADED).alias("status"))
+    quarantined = first_per_key(rest, ["Id"], for_join=True).select("Id", "value", F.lit(QUARANTINED).alias("status"))
     statuses = loaded.union(quarantined)
     arrived = bronze.select(F.col("value.Id").alias("Id"), "datasource", "ingesttime", "p_ingestdate")
     return statuses.join(arrived, "Id").select("value", "datasource", "ingesttime", "status", "p_ingestdate")

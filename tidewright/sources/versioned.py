@@ -13,11 +13,14 @@ from tidewright.sources.writers import batch_writer, check_schema, register_tabl
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, partition_by: str | None = None, gather=True
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = partition_by
+        self.gather = gather
 
     def versions(self) -> list[int]:
         """Numbers of the finished versions, oldest first."""
@@ -77,7 +80,7 @@ class VersionedTable:
 
     def _write(self, df: DataFrame, version: int, mode: str) -> None:
         df = check_schema(df.select(*self.schema.fieldNames()), self.schema)
-        batch_writer(df, self.partition_by, mode=mode).save(self.location(version))
+        batch_writer(df, self.partition_by, mode=mode, gather=self.gather).save(self.location(version))
 
     def _hadoop_path(self, path: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

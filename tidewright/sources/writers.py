@@ -5,17 +5,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def batch_writer(df: DataFrame, partition_column=None, exclude_columns=(), mode="append", files=None) -> DataFrameWriter:
+def batch_writer(
+    df: DataFrame, partition_column=None, exclude_columns=(), mode="append", files=None, gather=True
+) -> DataFrameWriter:
     """A writer that is not saved yet.
 
     Rows of one partition value are brought together first, or every task would write a file for every
     value. The rebalance hint does that and splits a value that holds much of the table over several
-    tasks. `files` instead asks for that many output files.
+    tasks. Where the tasks already hold few values each, gather=False saves that shuffle. `files` instead
+    asks for that many output files.
     """
     df = df.drop(*exclude_columns)
     if files:
         df = df.repartition(files)
-    elif partition_column:
+    elif partition_column and gather:
         df = df.hint("rebalance", F.col(partition_column))
     writer = df.write.format("parquet").option("compression", "snappy").mode(mode)
     return writer.partitionBy(partition_column) if partition_column else writer
