@@ -7,4 +7,7 @@ from pyspark.sql import functions as F
 def json_value(column, path: str) -> Column:
     """Scalar at a path such as $.Events[1].Comment; NULL for an object, an array or a missing path."""
     found = F.get_json_object(column, path)
-    return F.when(~found.rlike(r"^\s*[\{\[]"), found)
+    # A text may itself begin like an object; only then is its type looked up.
+    document = F.try_parse_json(F.col(column) if isinstance(column, str) else column)
+    kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+    return F.when(~F.substring(found, 1, 1).isin("{", "["), found).when(kind == "STRING", found)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators.joins import group_apart
+from tidewright.sources.scratch import materialize
 
 
 def pivot_sum(df: DataFrame, row: str, column: str, values: list, value: str, prefix="") -> DataFrame:
@@ -80,29 +81,34 @@ def nest_by(
     together are the whole array; and a parent with more children than that appears as several elements,
     each with a share of them. So neither a hot group nor a hot parent is ever gathered in one task.
     Parents without children are left out (inner join).
+
+    The few hot parents and the sizes of the groups are written first. As tables of known size they are
+    broadcast if they are small, and the children are shuffled once per level of nesting.
     """
-    # Position in the scan, used to cut up the children of a hot parent: a block of consecutive
-    # positions holds at most max_children rows.
-    children = children.select(child_key, *child_columns, F.monotonically_increasing_id().alias("_at"))
-    hot = group_apart(children, child_key).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_children)
-    marked = children.join(hot.select(F.col(child_key).alias("_hot")), F.col(child_key) == F.col("_hot"), "left")
-    block = F.when(F.col("_hot").isNotNull(), F.floor(F.col("_at") / max_children)).otherwise(F.lit(0))
-    # Grouped by a struct: by the parent and the block, Spark would keep a parent where the join put it.
-    gathered = (
-        marked.groupBy(F.struct(F.col(child_key).alias("parent"), block.alias("block")).alias("_piece"))
-        .agg(F.sort_array(F.collect_list(F.struct(*child_columns))).alias(child_array))
-    )
-    elements = parents.join(gathered, F.col(parent_key) == F.col("_piece.parent")).select(
-        F.col(group),
-        F.struct("_piece", F.to_json(F.struct(*parent_columns, child_array)).alias("text")).alias("_element"),
-        F.size(child_array).alias("_children"),
-    )
-    parts = F.ceil(F.sum("_children") / max_children).cast("int").alias("parts")
-    sizes = group_apart(elements, group).agg(parts).drop("_apart")
-    part = F.pmod(F.xxhash64("_element._piece"), F.col("parts")).cast("int").alias("part")
+    parents = parents.select(*dict.fromkeys([parent_key, group, *parent_columns]))
+    children = children.select(*dict.fromkeys([child_key, *child_columns]))
+    counts = children.groupBy(child_key).agg(F.count("*").alias("_n"))
+    counted = parents.join(counts, F.col(parent_key) == F.col(child_key)).drop(child_key)
+    hot = materialize(counted.filter(F.col("_n") > max_children).drop("_n"), "hot-parents")
+    parts = F.ceil(F.sum("_n") / max_children).cast("int").alias("parts")
+    sizes = materialize(group_apart(counted, group).agg(parts).drop("_apart"), "group-sizes")
+
+    child_list = F.sort_array(F.collect_list(F.struct(*child_columns))).alias(child_array)
+    keys = hot.select(F.col(parent_key).alias("_hot")).distinct()
+    usual = children.join(keys, F.col(child_key) == F.col("_hot"), "left_anti").groupBy(child_key).agg(child_list)
+    elements = parents.join(usual, F.col(parent_key) == F.col(child_key)).withColumn("_block", F.lit(0).cast("bigint"))
+    if not hot.isEmpty():
+        # A block of consecutive scan positions holds at most max_children rows.
+        block = F.floor(F.monotonically_increasing_id() / max_children).alias("_block")
+        placed = children.select("*", block).join(hot, F.col(child_key) == F.col(parent_key))
+        # Grouped by a struct: by the key and the block, rows would stay where a join by key put them.
+        pieces = placed.groupBy(F.struct(*hot.columns, "_block").alias("_piece")).agg(child_list)
+        elements = elements.drop(child_key).unionByName(pieces.select("_piece.*", child_array))
+    element = F.struct(parent_key, "_block", F.to_json(F.struct(*parent_columns, child_array)).alias("text"))
+    part = F.pmod(F.xxhash64(parent_key, "_block"), F.col("parts")).cast("int").alias("part")
     return (
         elements.join(sizes, group)
         .groupBy(F.struct(group, part, "parts").alias("_document"))
-        .agg(F.sort_array(F.collect_list("_element")).alias("_elements"))
+        .agg(F.sort_array(F.collect_list(element)).alias("_elements"))
         .select("_document.*", F.concat(F.lit("["), F.array_join("_elements.text", ","), F.lit("]")).alias("document"))
     )
