@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright.plans import files, incremental, ods
+from tidewright.sources import VersionedTable, conform
 
 ROW = T.StructType(
     [
@@ -165,6 +166,16 @@ def test_migrated_attributes(spark):
     assert {tuple(r) for r in got.collect()} == {(1, "China", "7 days", None), (2, None, None, None)}
 
 
+def test_migrated_items_go_into_a_typed_table(spark, folder):
+    items = spark.createDataFrame([(1, "Mug", "15.0", '{"Range":"Adult"}')], "id long, name string, tax string, custom string")
+    kinds = [("id", T.LongType()), ("name", T.StringType()), ("tax", T.DecimalType(18, 3)), ("range", T.StringType())]
+    schema = T.StructType([T.StructField(*kind) for kind in kinds])
+    table = VersionedTable(spark, folder, schema)
+    table.clear()
+    table.append(conform(ods.migrate_items(items, "custom", {"range": "Range"}), schema))
+    assert [tuple(map(str, row)) for row in table.read().collect()] == [("1", "Mug", "15.000", "Adult")]
+
+
 def test_customer_documents_repeat_per_order_of_the_customer(spark):
     orders, lines = orders_and_lines(spark)
     got = ods.customer_documents(orders, lines, 12, ["o_orderkey"], ["l_linenumber"]).orderBy("ID").collect()

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import assert_same
+from tidewright.plans import workload
+from tidewright.session import shuffle_partitions
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
@@ -20,6 +22,11 @@ def test_query_equals_sql(spark, name):
     assert assert_same(QUERIES[name](spark, FOLDER), FOLDER, ORACLE[name]) > 0
 
 
+def test_views(spark):
+    workload.create_sales_views(spark, FOLDER)
+    assert spark.table("v_stock_by_brand").count() == 25 and spark.table("v_stock_by_year").count() == 5
+
+
 def test_entry(spark, monkeypatch):
     monkeypatch.setenv("ENTRY_SF_DIR", FOLDER)
     assert entry.entry(spark).columns == ["p_brand", "y1995", "y1996", "y1997", "y1998", "y1999"]
@@ -76,3 +83,9 @@ def test_scans_read_only_the_columns_used(spark):
 def test_the_sql_function_becomes_a_join(spark):
     text = plan(QUERIES["q20_order_total"](spark, FOLDER))
     assert "LeftOuter" in text and "Subquery" not in text
+
+
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(10**12) == 3726
+    assert shuffle_partitions(100 * 10**12) == 50_000

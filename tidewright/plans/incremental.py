@@ -89,6 +89,8 @@ def load_table(warehouse: Warehouse, table: LoadedTable, extract: Callable, now:
     staging.publish(conform(extract(warehouse.spark, last, now), table.schema))
     target.publish(upsert(target.read(), staging.read(), table.keys, [table.changed_at]))
     warehouse.advance(table.name, now)
+    for table_versions in (staging, target, warehouse.cutoffs):
+        table_versions.expire()
 
 
 def incremental_load(

@@ -42,6 +42,11 @@ class Lakehouse:
         self.genres = VersionedTable(spark, f"{root}/silver/genres", schemas.SILVER_GENRES)
         self.language = VersionedTable(spark, f"{root}/silver/language", schemas.SILVER_LANGUAGE)
 
+    def expire(self, keep: int = 2) -> None:
+        """Drop versions that later steps have replaced; the one before the current stays for its readers."""
+        for table in (self.bronze, self.movie, self.genres, self.language):
+            table.expire(keep)
+
     def register(self, database="Movie") -> None:
         for name, table in (
             ("movie_bronze", self.bronze),
@@ -58,13 +63,13 @@ class Lakehouse:
 
 def to_bronze(raw: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """Keep each document whole in `value` and stamp where and when it came in."""
-    at = F.lit(now) if now else F.current_timestamp()
+    at = F.lit(str(now)) if now else F.current_timestamp()
     return raw.select(
         "value",
         F.lit(DATASOURCE).alias("datasource"),
         at.cast("timestamp").alias("ingesttime"),
         F.lit(NEW).alias("status"),
-        at.cast("date").alias("p_ingestdate"),
+        at.cast("timestamp").cast("date").alias("p_ingestdate"),
     )
 
 
@@ -234,6 +239,7 @@ def run_medallion(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", **
     raw_to_bronze(lake, raw_path, now, mode, **read_options)
     bronze_to_silver(lake, mode)
     silver_update(lake)
+    lake.expire()
 
 
 # --- the second dialect: one row per Id, status joined by Id -----------------------------------------

@@ -322,7 +322,7 @@ ORACLE = {
         FROM orders JOIN customer ON o_custkey = c_custkey
     """,
     "f02_chunk_split": """
-        SELECT doc_id, CAST(i // size AS INTEGER) AS chunk, length(text) AS characters FROM (
+        SELECT doc_id, CAST(i // size AS INTEGER) AS chunk, CAST(length(text) AS INTEGER) AS characters FROM (
             SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () // 8 AS size
             FROM documents) WHERE i < 8 * size
     """,

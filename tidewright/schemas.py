@@ -115,18 +115,18 @@ PURCHASE_ORDER_DOCUMENT = T.StructType(
     ]
 )
 
-# Control tables of the incremental load.
+# Control tables of the incremental load. Cutoffs are wall-clock times without a zone.
 LINEAGE = T.StructType(
     [
         T.StructField("lineage_key", T.LongType()),
         T.StructField("table_name", T.StringType()),
-        T.StructField("cutoff", T.TimestampType()),
-        T.StructField("started", T.TimestampType()),
+        T.StructField("cutoff", T.TimestampNTZType()),
+        T.StructField("started", T.TimestampNTZType()),
     ]
 )
 
 CUTOFFS = T.StructType(
-    [T.StructField("table_name", T.StringType()), T.StructField("cutoff", T.TimestampType())]
+    [T.StructField("table_name", T.StringType()), T.StructField("cutoff", T.TimestampNTZType())]
 )
 
 PEOPLE = T.StructType(

@@ -19,6 +19,20 @@ SETTINGS = {
 }
 
 
+# Shuffle partitions of about this size sort and aggregate in memory on usual executors.
+_PARTITION_BYTES = 256 * 1024 * 1024
+# Beyond this number, tracking map outputs costs the driver more than spilling costs the tasks.
+_MOST_PARTITIONS = 50_000
+
+
+def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
+    """Initial number of shuffle partitions; AQE merges the ones that turn out small.
+
+    The default of 200 would give partitions of half a terabyte when 100 TB are shuffled.
+    """
+    return min(max(at_least, -(-shuffled_bytes // _PARTITION_BYTES)), _MOST_PARTITIONS)
+
+
 def build_session(app="tidewright", master=None, **extra) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

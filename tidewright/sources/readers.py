@@ -68,7 +68,9 @@ def changed_between(df: DataFrame, ts: str, last, new) -> DataFrame:
     The extract procedures behind this step are not public; the half-open window is our rule.
     """
     kind = df.schema[ts].dataType
-    return df.filter((F.col(ts) > F.lit(last).cast(kind)) & (F.col(ts) <= F.lit(new).cast(kind)))
+    # From text, so that the zone of the Python process has no say.
+    last, new = (F.lit(str(bound)).cast("timestamp_ntz").cast(kind) for bound in (last, new))
+    return df.filter((F.col(ts) > last) & (F.col(ts) <= new))
 
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:
