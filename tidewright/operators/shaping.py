@@ -80,7 +80,8 @@ def nest_by(
     0 of 1. Otherwise its elements are spread over several parts of about that many children, which
     together are the whole array; and a parent with more children than that appears as several elements,
     each with a share of them. So neither a hot group nor a hot parent is ever gathered in one task.
-    Parents without children are left out (inner join).
+    Parents without children are left out (inner join). `children` should come straight from files: the
+    children of a hot parent are cut up by their position in the scan.
 
     The few hot parents and the sizes of the groups are written first. As tables of known size they are
     broadcast if they are small, and the children are shuffled once per level of nesting.

@@ -49,7 +49,7 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.min("l_shipdate").alias("shipped"), F.sort_array(F.collect_set(genre)).alias("genres"))
     )
     joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.to_date("o_orderdate").cast("string")
     known = {
         "Budget": F.col("o_totalprice"),
         "CreatedBy": F.col("o_orderstatus"),
@@ -155,6 +155,13 @@ def m07_status_merge(spark, folder) -> DataFrame:
     return lake.bronze.read().select("value.Id", "status")
 
 
+def m07_value_merge(spark, folder) -> DataFrame:
+    """The same status from a merge by whole document of the classified movies."""
+    rows = bronze(spark, folder)
+    updates = rows.select("value", medallion.bronze_outcome().alias("status")).dropna(subset=["status"])
+    return medallion.merge_status(rows, updates).select("value.Id", "status")
+
+
 def m08_repair(spark, folder) -> DataFrame:
     """The silver movie table after load and repair."""
     lake = _lake_with_bronze(spark, folder)
@@ -237,14 +244,15 @@ def i03_date_dimension(spark, folder) -> DataFrame:
 
 
 def o01_table_checks(spark, folder) -> DataFrame:
-    """Counts of missing, repeated and dangling values; the parts known to be small stand for a gap."""
+    """Counts of missing, repeated and dangling values of the lines, and of orders that no line refers to."""
     lineitem, orders, part = open_tables(spark, folder, "lineitem", "orders", "part")
-    return check(
+    lines = check(
         lineitem,
         not_null=["l_orderkey", "l_partkey", "l_quantity"],
         unique=[["l_orderkey", "l_linenumber"]],
-        references=[("l_orderkey", orders, "o_orderkey"), ("l_partkey", part.filter(F.col("p_size") > 10), "p_partkey")],
+        references=[("l_orderkey", orders, "o_orderkey"), ("l_partkey", part, "p_partkey")],
     )
+    return lines.unionByName(check(orders, references=[("o_orderkey", lineitem, "l_orderkey")]))
 
 
 def f01_people_dedupe(spark, folder) -> DataFrame:
@@ -279,6 +287,7 @@ QUERIES = {
         m05_genres,
         m06_language,
         m07_status_merge,
+        m07_value_merge,
         m08_repair,
         m08_repair_status,
         m09_dedupe_by_key,

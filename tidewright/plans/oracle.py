@@ -253,6 +253,11 @@ ORACLE = {
         SELECT "Id", CASE WHEN runtime >= 0 THEN 'loaded' WHEN runtime < 0 THEN 'quarantined' ELSE 'new' END AS status
         FROM movies
     """,
+    "m07_value_merge": _MOVIES
+    + """
+        SELECT "Id", CASE WHEN runtime >= 0 THEN 'loaded' WHEN runtime < 0 THEN 'quarantined' ELSE 'new' END AS status
+        FROM movies
+    """,
     "m08_repair": _MOVIES
     + f"""
         SELECT "Id", CASE WHEN runtime >= 0 THEN {_FLOORED} ELSE budget END AS "Budget", abs(runtime) AS "RunTime",
@@ -313,7 +318,9 @@ ORACLE = {
         UNION ALL SELECT 'reference', 'l_orderkey', count(*) FROM lineitem
             WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)
         UNION ALL SELECT 'reference', 'l_partkey', count(*) FROM lineitem
-            WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size > 10 AND p_partkey = l_partkey)
+            WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey)
+        UNION ALL SELECT 'reference', 'o_orderkey', count(*) FROM orders
+            WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE o_orderkey = l_orderkey)
     """,
     "f01_people_dedupe": """
         SELECT DISTINCT upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) AS first,
