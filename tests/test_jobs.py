@@ -243,3 +243,14 @@ def test_documents_split_into_equal_files(spark, folder):
     back = spark.read.schema("id long, text string, chunk int").json(f"{folder}/out")
     counts = {r["chunk"]: (r["count"], r["lo"]) for r in back.groupBy("chunk").agg(F.count("*").alias("count"), F.min("id").alias("lo")).collect()}
     assert counts == {i: (125, 125 * i) for i in range(8)}
+
+
+def test_an_array_file_splits_like_list_slices(spark, folder):
+    movies = [{"Id": 7 * i % 101, "Title": f"t{i}"} for i in range(43)]
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/movie.json", "w") as file:
+        json.dump({"movie": movies}, file)
+    files.split_array_file(spark, f"{folder}/in", f"{folder}/out")
+    for i in range(8):
+        back = spark.read.schema("Id long, Title string").json(f"{folder}/out/chunk={i}")
+        assert sorted(map(tuple, back.collect())) == sorted((m["Id"], m["Title"]) for m in movies[5 * i : 5 * i + 5])

@@ -198,3 +198,9 @@ def test_rank_and_status_by_id(spark):
     assert Counter(map(tuple, got)) == Counter(
         [(1, "loaded"), (1, "loaded"), (2, "quarantined"), (3, "quarantined"), (4, "loaded"), (5, "quarantined"), (6, "loaded")]
     )
+
+
+def test_documents_that_differ_in_the_sign_of_zero_are_equal(spark):
+    bronze = frame(spark, [movie(1, budget=0.0), movie(2, budget=float("nan"))])
+    updates = frame(spark, [movie(1, budget=-0.0), movie(2, budget=float("nan"))]).select("value", F.lit("loaded").alias("status"))
+    assert {r["status"] for r in m.merge_status(bronze, updates).collect()} == {"loaded"}

@@ -12,12 +12,12 @@ def group_apart(df: DataFrame, *keys: str) -> GroupedData:
     grouped by the join key alone is spread by it already and would join without one. The added column is
     a function of the keys, so the groups are the same.
     """
-    return df.groupBy(F.xxhash64(*keys).alias("_apart"), *keys)
+    return df.groupBy(F.hash(*keys).alias("_apart"), *keys)
 
 
 def distinct_apart(df: DataFrame, key: str) -> DataFrame:
     """Distinct values of one column, spread as by group_apart."""
-    return df.select(F.xxhash64(key).alias("_apart"), key).distinct().select(key)
+    return df.select(F.hash(key).alias("_apart"), key).distinct().select(key)
 
 
 def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:

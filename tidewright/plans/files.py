@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import dashed_phone, title_case
 from tidewright.operators import chunk
-from tidewright.sources import read_people, write_chunks, write_csv
+from tidewright.sources import materialize, read_people, write_chunks, write_csv
+from tidewright.sources.readers import read_raw
 
 
 def dedupe_people(people: DataFrame, per_file=False) -> DataFrame:
@@ -33,3 +34,15 @@ def clean_people_files(spark: SparkSession, source: str, target: str, per_file=T
 
 def split_documents(df: DataFrame, target: str, order_by: str, k: int = 8, keep_remainder=False) -> None:
     write_chunks(chunk(df, k, order_by, keep_remainder), target)
+
+
+def split_array_file(
+    spark: SparkSession, source: str, target: str, key="movie", k: int = 8, keep_remainder=False, **read_options
+) -> None:
+    """Split the array under one key into k runs of equal length, in the order of the file.
+
+    The position of an element in the read is stored with it once, and both passes of the split use it.
+    """
+    elements = read_raw(spark, source, key, **read_options).withColumn("position", F.monotonically_increasing_id())
+    chunked = chunk(materialize(elements, "array"), k, "position", keep_remainder)
+    write_chunks(chunked.select("value.*", "chunk"), target)

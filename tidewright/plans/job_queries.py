@@ -72,7 +72,7 @@ def bronze(spark, folder) -> DataFrame:
 def _raw_drop(spark, folder) -> str:
     """The movies as a folder of raw JSON, one document with one movie per line."""
     path = scratch_path(spark, "raw-movies")
-    movies(spark, folder).select(F.array("value").alias("movie")).write.json(path)
+    movies(spark, folder).select(F.array("value").alias("movie")).write.option("compression", "gzip").json(path)
     return path
 
 
@@ -267,7 +267,7 @@ def f01_people_dedupe(spark, folder) -> DataFrame:
         F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")).alias("address"),
     )
     path = scratch_path(spark, "people")
-    drop.write.options(sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False).csv(path)
+    drop.write.options(sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, compression="gzip").csv(path)
     return files.dedupe_people(read_people(spark, path))
 
 
