@@ -56,8 +56,8 @@ def test_contains_ignoring_case(spark):
 def test_json_value_is_scalar_only(spark):
     document = '{"a": {"b": 1}, "Events": [{"x": 1}, {"Comment": "again"}], "s": "t", "n": 5, "o": "{\\"x\\": 1}", "e": ""}'
     df = column(spark, [document])
-    paths = ["$.a", "$.Events", "$.Events[1].Comment", "$.s", "$.n", "$.none", "$.Events[5].Comment", "$.o", "$['s']", "$.e"]
-    assert [results(df, fn.json_value("c", p))[0] for p in paths] == [None, None, "again", "t", "5", None, None] + ['{"x": 1}', "t", ""]
+    paths = ["$.a", "$.Events", "$.Events[1].Comment", "$.s", "$.n", "$.none", "$.Events[5].Comment", "$.o", "$['s']", "$.e", '$."n"', '$.Events[1]."Comment"']
+    assert [results(df, fn.json_value("c", p))[0] for p in paths] == [None, None, "again", "t", "5", None, None] + ['{"x": 1}', "t", "", "5", "again"]
 
 
 def test_dashed_phone(spark):

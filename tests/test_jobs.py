@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 import json
 import os
@@ -237,6 +238,23 @@ def test_people_per_file_keep_the_duplicates_between_files(spark, folder, people
     )
 
 
+def test_csv_is_read_back_by_a_plain_csv_reader(spark, folder):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/people.txt", "w") as file:
+        file.write("First Name\tLast Name\tEmail\tPhone\tAddress\n")
+        file.write('ann\tlee\t  a@x \t\t1 "Main", St\nbob\tray\tb@x\t0123456789\tX\n')
+    files.clean_people_files(spark, f"{folder}/in", f"{folder}/out", per_file=False)
+    rows, headers = [], set()
+    for name in os.listdir(f"{folder}/out"):
+        if name.endswith(".csv"):
+            with open(f"{folder}/out/{name}", newline="") as file:
+                header, *body = csv.reader(file)
+                headers.add(tuple(header))
+                rows += map(tuple, body)
+    assert headers == {("First Name", "Last Name", "Email", "Phone", "Address")}
+    assert sorted(rows) == [("Ann", "Lee", "  a@x ", "", '1 "Main", St'), ("Bob", "Ray", "b@x", "012-345-6789", "X")]
+
+
 def test_documents_split_into_equal_files(spark, folder):
     df = spark.range(1003).selectExpr("id", "concat('text ', id) AS text")
     files.split_documents(df, f"{folder}/out", "id")

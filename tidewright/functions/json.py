@@ -1,11 +1,17 @@
 """JSON kept in text columns."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def json_value(column, path: str) -> Column:
-    """Scalar at a path such as $.Events[1].Comment; NULL for an object, an array or a missing path."""
+    """Scalar at a path such as $.Events[1].Comment; NULL for an object, an array or a missing path.
+
+    Keys may be quoted: $."Shelf Life".
+    """
+    path = re.sub(r'\."([^"]*)"', r"['\1']", path)
     found = F.get_json_object(column, path)
     # A text may itself begin like an object; only then is its type looked up.
     document = F.try_parse_json(F.col(column) if isinstance(column, str) else column)

@@ -3,10 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewright import schemas
 from tidewright.functions import dashed_phone, title_case
 from tidewright.operators import chunk
 from tidewright.sources import materialize, read_people, write_chunks, write_csv
-from tidewright.sources.readers import read_raw
+from tidewright.sources.readers import people_header, read_raw
 
 
 def dedupe_people(people: DataFrame, per_file=False) -> DataFrame:
@@ -22,14 +23,15 @@ def dedupe_people(people: DataFrame, per_file=False) -> DataFrame:
 
 
 def clean_people_files(spark: SparkSession, source: str, target: str, per_file=True) -> None:
+    """Cleaned people as CSV under the header of the source, in one folder or in one per source file."""
     people = dedupe_people(read_people(spark, source), per_file)
+    header = dict(zip(schemas.PEOPLE.fieldNames(), people_header(spark, source)))
+    columns = [F.col(name).alias(title) for name, title in header.items()]
     if per_file:
-        name = F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1).alias("file")
-        columns = [c for c in people.columns if c != "file"]
-        people = people.select(*columns, name)
-        people.hint("rebalance", F.col("file")).write.mode("overwrite").partitionBy("file").option("header", True).csv(target)
+        stem = F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1).alias("file")
+        write_csv(people.select(*columns, stem), target, partition_column="file")
     else:
-        write_csv(people, target)
+        write_csv(people.select(*columns), target)
 
 
 def split_documents(df: DataFrame, target: str, order_by: str, k: int = 8, keep_remainder=False) -> None:

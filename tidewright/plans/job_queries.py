@@ -258,9 +258,10 @@ def o01_table_checks(spark, folder) -> DataFrame:
 def f01_people_dedupe(spark, folder) -> DataFrame:
     """Distinct people of a tab-separated drop with untidy names and undashed phone numbers."""
     customer, orders = open_tables(spark, folder, "customer", "orders")
+    untidy = F.when(F.col("o_orderstatus") == "F", F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
     # One line per order: customers with several orders are the duplicates.
     drop = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.concat(F.lit(" "), F.when(F.col("o_orderstatus") == "F", F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))).alias("first"),
+        F.concat(F.lit(" "), untidy).alias("first"),
         F.lower("c_name").alias("last"),
         F.concat(F.col("c_custkey").cast("string"), F.lit("@example.org")).alias("email"),
         F.lpad(F.col("c_nationkey").cast("string"), 10, "0").alias("phone"),

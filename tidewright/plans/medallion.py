@@ -231,7 +231,11 @@ def repair(quarantined: DataFrame) -> DataFrame:
 
 
 def silver_update(lake: Lakehouse) -> None:
-    """Append the repaired movies to silver and mark their bronze rows loaded."""
+    """Append the repaired movies to silver and mark their bronze rows loaded.
+
+    The two steps are two commits. If the driver dies between them, run the medallion again in overwrite
+    mode; a second run of this step alone would append the same movies once more.
+    """
     bronze = lake.bronze.read()
     lake.movie.append(repair(bronze.filter(F.col("status") == QUARANTINED)).drop("value"))
     lake.bronze.publish(settle(bronze, QUARANTINED, repair_outcome()))

@@ -50,7 +50,7 @@ def reload_week(orders: DataFrame, lines: DataFrame, ods: VersionedTable, day: d
 
 def migrate_items(items: DataFrame, json_column: str, attributes: dict[str, str]) -> DataFrame:
     """All rows with attributes of a JSON column as columns of their own; a missing one is NULL."""
-    found = [json_value(json_column, f"$['{key}']").alias(name) for name, key in attributes.items()]
+    found = [json_value(json_column, f'$."{key}"').alias(name) for name, key in attributes.items()]
     return items.select("*", *found).drop(json_column)
 
 

@@ -73,10 +73,16 @@ def changed_between(df: DataFrame, ts: str, last, new) -> DataFrame:
     return df.filter((F.col(ts) > last) & (F.col(ts) <= new))
 
 
+# Tabs separate, nothing quotes, blanks count.
+_TABBED = {"sep": "\t", "header": True, "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_people(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated people with a header line, every field as text."""
-    return (
-        spark.read.schema(schemas.PEOPLE)
-        .options(sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(path)
-    )
+    """Tab-separated people with a header line, every field as text; an empty field is an empty text."""
+    people = spark.read.schema(schemas.PEOPLE).options(**_TABBED).csv(path)
+    return people.select(*[F.coalesce(name, F.lit("")).alias(name) for name in people.columns])
+
+
+def people_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names that the files themselves give; only a header line is read."""
+    return spark.read.options(**_TABBED).csv(path).columns

@@ -71,8 +71,13 @@ def register_table(spark: SparkSession, database: str, name: str, path: str, par
         spark.catalog.recoverPartitions(f"{database}.{name}")
 
 
-def write_csv(df: DataFrame, path: str, mode="overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode="overwrite", partition_column=None) -> None:
+    """CSV with a header; quotes are doubled, blanks and empty texts stay as they are."""
+    writer = df.hint("rebalance", F.col(partition_column)).write if partition_column else df.write
+    writer = writer.mode(mode).options(
+        header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    (writer.partitionBy(partition_column) if partition_column else writer).csv(path)
 
 
 def write_chunks(df: DataFrame, path: str, column="chunk", mode="overwrite") -> None:
