@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from tests.compare import assert_same
 from tidewright import schemas
-from tidewright.operators import any_key_left_join, nest_by, null_safe_not_in
+from tidewright.operators import any_key_left_join, nest_by, null_safe_not_in, without
 from tidewright.plans import medallion
 
 SMALL = "/root/testdata/sf0.001"
@@ -162,3 +162,17 @@ def test_a_hot_key_reaches_the_final_aggregate_as_partial_rows(spark, skewed):
     """Grouping by a hot key shuffles at most one partial row per task and key."""
     text = entry.queries()["m09_dedupe_by_key"](spark, skewed)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in text and "Window" not in text
+
+
+def test_grouped_keys_stay_grouped_below_the_exclusion(spark, hot):
+    """An anti join would be pushed below the grouping, and every row of a hot key would be shuffled."""
+    grouped = hot.groupBy("a").agg(F.count("*").alias("n"))
+    anti = grouped.join(spark.range(100).toDF("v"), F.col("a") == F.col("v"), "left_anti")
+    kept = without(grouped, "a", spark.range(100).toDF("v"))
+
+    def joins_before_grouping(df):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        return text.index("Aggregate [a") < text.index("Join")
+
+    assert joins_before_grouping(anti) and not joins_before_grouping(kept)
+    assert Counter(map(tuple, kept.collect())) == Counter(map(tuple, anti.collect()))

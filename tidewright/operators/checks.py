@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.operators.joins import without
+
 
 def check(df: DataFrame, not_null=(), unique=(), references=()) -> DataFrame:
     """Counts of violating rows, one line per rule: (rule, columns, violations).
@@ -24,8 +26,8 @@ def check(df: DataFrame, not_null=(), unique=(), references=()) -> DataFrame:
         parts.append(_line(counted, "unique", ",".join(keys), F.sum(F.col("_n") - 1)))
     for column, other, other_column in references:
         used = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
-        known = other.select(F.col(other_column).alias("_key")).distinct()
-        parts.append(_line(used.join(known, "_key", "left_anti"), "reference", column, F.sum("_n")))
+        dangling = without(used, "_key", other.select(other_column))
+        parts.append(_line(dangling, "reference", column, F.sum("_n")))
     return reduce(DataFrame.unionByName, parts)
 
 

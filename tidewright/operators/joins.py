@@ -20,6 +20,17 @@ def distinct_apart(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.hash(key).alias("_apart"), key).distinct().select(key)
 
 
+def without(left: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """Rows whose column is not among the values of the one column of `values`; NULL is never among them.
+
+    Written as outer join and filter: Catalyst would push an anti join below a grouping on the left side,
+    and all its rows would be shuffled instead of one row per key.
+    """
+    key = values.columns[0]
+    listed = distinct_apart(values.select(F.col(key).alias("_listed")).filter(F.col("_listed").isNotNull()), "_listed")
+    return left.join(listed, F.col(column) == F.col("_listed"), "left").filter(F.col("_listed").isNull()).drop("_listed")
+
+
 def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:
     """Left join on `left_key = k1 OR left_key = k2 ...`.
 
@@ -31,8 +42,7 @@ def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
     keys = F.array_distinct(F.array(*[F.col(k).cast(left.schema[left_key].dataType) for k in right_keys]))
     keyed = right.withColumn("_key", F.explode(keys)).filter(F.col("_key").isNotNull())
     matched = left.join(keyed, F.col(left_key) == F.col("_key"), "inner").drop("_key")
-    known = distinct_apart(keyed, "_key")
-    unmatched = left.join(known, F.col(left_key) == F.col("_key"), "left_anti")
+    unmatched = without(left, left_key, keyed.select("_key"))
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
@@ -53,12 +63,11 @@ def null_safe_not_in(left: DataFrame, column: str, values: DataFrame) -> DataFra
     """Rows whose column is NOT IN the single column of `values`, with SQL's treatment of NULL.
 
     A NULL in the list gives no rows; a NULL on the left gives no row, unless the list is empty. Spark's
-    own NOT IN sends the whole list to every executor; this is a shuffled anti join, and only two counts
+    own NOT IN sends the whole list to every executor; here the list is shuffled by value, and only two counts
     of the list are shared.
     """
     values = values.toDF("_value")
     nulls = values.agg(F.count_if(F.col("_value").isNull())).scalar()
     listed = values.agg(F.count("*")).scalar()
-    known = distinct_apart(values.filter(F.col("_value").isNotNull()), "_value")
-    kept = left.join(known, F.col(column) == F.col("_value"), "left_anti")
+    kept = without(left, column, values)
     return kept.filter((nulls == 0) & (F.col(column).isNotNull() | (listed == 0)))
