@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tidewright.llm import quality_rules
+from tidewright.llm import quality_rules, secret_scan
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text: pattern spans and entropy spans."""
+    return secret_scan.secret_scan(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, own verdict and the verdict with that of the host, for every document."""
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op9_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op9_quality_rules)}
