@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import quality_rules, secret_scan
+from tidewright.llm import pieces, quality_rules, secret_scan
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -13,9 +13,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(documents(spark, sf_dir))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every whole text, as digests."""
+    return pieces.piece_digest(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, own verdict and the verdict with that of the host, for every document."""
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_sentencepiece, op9_quality_rules)}
