@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256, most
     longer value is a slice of its own."""
     for batch in batches:
         sizes = batch.column(column)
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(sizes), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(sizes), 0), dtype=np.int64)
         start, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
             if i > start and (i - start >= rows or held + size > most_bytes):
