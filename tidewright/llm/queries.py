@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import pieces, quality_rules, secret_scan
+from tidewright.llm import pieces, quality_rules, secret_scan, simhash
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -18,9 +18,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(documents(spark, sf_dir))
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every whole text, and the smallest id that near fingerprints reach."""
+    return simhash.near_dedup(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, own verdict and the verdict with that of the host, for every document."""
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_sentencepiece, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
