@@ -62,6 +62,33 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256, most
             yield batch.slice(start)
 
 
+class Memo:
+    """What a worker has computed for distinct keys: up to about 2 * most of them, the recently used ones.
+
+    When the young half is full it becomes the old half; keys met again move back. So frequent keys stay, and a
+    key that was dropped is computed again.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def holding(self, keys: set, compute) -> dict:
+        """A dictionary that has all these keys; compute(list of keys) gives the missing values in order."""
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = []
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    new.append(key)
+        if new:
+            young.update(zip(new, compute(new), strict=True))
+        return young
+
+
 class Scratch:
     """Intermediate tables of one call, in the folder that all executors share.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import pieces, quality_rules, secret_scan, simhash
+from tidewright.llm import pieces, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -13,6 +13,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(documents(spark, sf_dir))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every whole text, read back."""
+    return token_files.token_files(documents(spark, sf_dir))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every whole text, as digests."""
     return pieces.piece_digest(documents(spark, sf_dir))
@@ -28,4 +33,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
