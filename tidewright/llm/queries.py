@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import language_id, pieces, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import language_id, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -18,6 +18,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality score of every whole text, learned from the labels of four of five folds."""
+    return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from two of three folds."""
     return language_id.language_id(documents(spark, sf_dir))
@@ -38,4 +43,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op5_language_id, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
