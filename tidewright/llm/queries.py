@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import language_id, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import decontaminate, language_id, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -33,6 +33,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(documents(spark, sf_dir))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with the place and similarity of the best window."""
+    return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every whole text, and the smallest id that near fingerprints reach."""
     return simhash.near_dedup(documents(spark, sf_dir))
@@ -43,4 +48,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op8_simhash_dedup, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op7_decontaminate, op8_simhash_dedup, op9_quality_rules)}
