@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.base import as_bytes, slices
+from tidewright.llm.base import Memo, as_bytes, slices
 
 SPACE = "▁"
 LONG = 512
-#: Distinct words kept with their ids in a worker, some 300 bytes each.
+#: Distinct words kept with their ids in a worker, twice at most, some 300 bytes each.
 CACHED = 150_000
 _NONE = np.int64(1) << 62
 _PLACES = np.int64((1 << 32) - 1)
@@ -81,7 +81,7 @@ class PieceModel:
         # A control character that is in no longer piece is a word of its own; this makes words repeat more.
         lone = "".join(c for c in "\n\r\t" if not any(c in p for p in ids if len(p) > 1))
         self.words = re.compile(f"[{lone}]|{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+" if lone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        self.known = Memo(CACHED)
 
         # For decoding: the bytes of each id.
         surfaces = [
@@ -174,8 +174,8 @@ class PieceModel:
                 push(left[i], i)
         return np.array([s for s in sym if s >= 0], dtype=np.int64)
 
-    def _learn(self, words: list[str], into: dict[str, tuple[bytes, str]]) -> None:
-        """Ids of distinct words, all rounds together."""
+    def _learn(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Ids of distinct words, as bytes and in decimal, all rounds together."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         heads = np.cumsum([0, *(len(w) for w in words)])
         # A word ends, or is cut, where the next character never follows this one inside of a piece.
@@ -208,8 +208,7 @@ class PieceModel:
             symbols[symbols >= self.size] = np.concatenate(spelled)
         bounds = np.searchsorted(run, np.searchsorted(starts, heads)).tolist()
         raw, said = symbols.astype(np.int32).tobytes(), list(map(str, symbols.tolist()))
-        for word, a, b in zip(words, bounds, bounds[1:], strict=False):
-            into[word] = (raw[4 * a : 4 * b], ",".join(said[a:b]))
+        return [(raw[4 * a : 4 * b], ",".join(said[a:b])) for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def split(self, text: str) -> list[str]:
         return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -217,18 +216,11 @@ class PieceModel:
     def encode(self, texts: Iterable[str]) -> list[tuple[np.ndarray, str]]:
         """For each text its ids and the same in decimal, joined by commas."""
         split = [self.split(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.cache}
-        known = self.cache
-        if len(known) + len(new) > CACHED:
-            known = {w: known[w] for words in split for w in words if w in known}
-            if len(known) + len(new) <= CACHED:
-                self.cache = known
-        if new:
-            self._learn(list(new), known)
+        known = self.known.holding({w for words in split for w in words}, self._learn)
         out = []
         for words in split:
             found = [known[w] for w in words]
-            out.append((np.frombuffer(b"".join(f[0] for f in found), dtype=np.int32), ",".join([f[1] for f in found])))
+            out.append((np.frombuffer(b"".join([f[0] for f in found]), dtype=np.int32), ",".join([f[1] for f in found])))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
