@@ -1,5 +1,6 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
+from tidewright.llm.license_scan import TEMPLATES
 from tidewright.llm.secret_scan import CLASSES, highest_sum
 
 _RULES = r"""
@@ -71,4 +72,23 @@ SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(
 FROM d LEFT JOIN out USING (r)
 """.replace("{hex}", str(highest_sum(CLASSES[0]))).replace("{base}", str(highest_sum(CLASSES[1])))
 
-ORACLE = {"op1_secret_scan": _SECRETS, "op9_quality_rules": _RULES}
+_NOTICES = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(TEMPLATES.items()))
+_LICENSES = rf"""
+WITH t(template, text) AS (VALUES {_NOTICES}),
+tw AS (SELECT template, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), x -> x <> '') AS w FROM t),
+tg AS (SELECT DISTINCT template, array_to_string(w[p:p+4], ' ') AS g
+       FROM (SELECT template, w, unnest(range(1, len(w) - 3)) AS p FROM tw WHERE len(w) >= 5)),
+tn AS (SELECT template, count(*) AS n FROM tg GROUP BY template),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), x -> x <> '') AS w FROM documents),
+g AS (SELECT doc_id, p - 1 AS p, array_to_string(w[p:p+4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
+hit AS (SELECT doc_id, template, n, p, g.g FROM g JOIN tg USING (g) JOIN tn USING (template)),
+win AS (SELECT doc_id, template, n, p // n AS k, g FROM hit UNION ALL SELECT doc_id, template, n, p // n - 1, g FROM hit WHERE p >= n),
+held AS (SELECT doc_id, template, k * n AS first_word, count(DISTINCT g) / n AS containment
+         FROM win GROUP BY doc_id, template, n, k HAVING count(DISTINCT g) / n >= 0.8)
+SELECT doc_id, template, max(containment) AS containment, arg_max(first_word, containment * 1e9 - first_word)::INTEGER AS first_word,
+       count(*) AS n_windows
+FROM held GROUP BY doc_id, template
+"""
+
+ORACLE = {"op1_secret_scan": _SECRETS, "op9_quality_rules": _RULES, "op10_license_scan": _LICENSES}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import decontaminate, language_id, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import decontaminate, language_id, license_scan, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -48,4 +48,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op7_decontaminate, op8_simhash_dedup, op9_quality_rules)}
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices held by documents."""
+    return license_scan.license_scan(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op7_decontaminate, op8_simhash_dedup, op9_quality_rules, op10_license_scan)}
