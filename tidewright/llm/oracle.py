@@ -75,11 +75,11 @@ FROM d LEFT JOIN out USING (r)
 _NOTICES = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(TEMPLATES.items()))
 _LICENSES = rf"""
 WITH t(template, text) AS (VALUES {_NOTICES}),
-tw AS (SELECT template, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), x -> x <> '') AS w FROM t),
+tw AS (SELECT template, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM t),
 tg AS (SELECT DISTINCT template, array_to_string(w[p:p+4], ' ') AS g
        FROM (SELECT template, w, unnest(range(1, len(w) - 3)) AS p FROM tw WHERE len(w) >= 5)),
 tn AS (SELECT template, count(*) AS n FROM tg GROUP BY template),
-d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), x -> x <> '') AS w FROM documents),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, p - 1 AS p, array_to_string(w[p:p+4], ' ') AS g
       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
 hit AS (SELECT doc_id, template, n, p, g.g FROM g JOIN tg USING (g) JOIN tn USING (template)),
