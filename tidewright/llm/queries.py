@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import decontaminate, language_id, license_scan, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import decontaminate, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -18,6 +18,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-unigram base score and subword lattice score of every whole text."""
+    return lm_score.lm_score(documents(spark, sf_dir))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality score of every whole text, learned from the labels of four of five folds."""
     return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -53,4 +58,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_files, op4_quality_classifier, op5_language_id, op6_sentencepiece, op7_decontaminate, op8_simhash_dedup, op9_quality_rules, op10_license_scan)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_token_files,
+        op3_lm_score,
+        op4_quality_classifier,
+        op5_language_id,
+        op6_sentencepiece,
+        op7_decontaminate,
+        op8_simhash_dedup,
+        op9_quality_rules,
+        op10_license_scan,
+    )
+}
