@@ -1,7 +1,8 @@
 """Token ids in flat binary files.
 
 Format, one set of files per shard, in ascending order of the ids' documents:
-  <shard>.bin  token ids, unsigned 32-bit, little endian, one document after the other
+  <shard>.bin  token ids, unsigned, little endian, one document after the other; 16 bits each if all ids of the
+               tokenizer fit, else 32
   <shard>.idx  offsets, unsigned 64-bit: of each document's first token in the whole corpus, and one end
   <shard>.doc  document ids, signed 64-bit;  <shard>.nul  one byte each, 1 where the id is null
 
@@ -54,7 +55,7 @@ _ODD = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0 ᠎ -‏ -  -
 
 
 class Encoder:
-    """Text to the ids of a byte-level BPE tokenizer file, as bytes of unsigned 32-bit integers."""
+    """Text to the ids of a byte-level BPE tokenizer file, as bytes of unsigned integers of `width` bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -69,10 +70,12 @@ class Encoder:
         plain = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: plain.pre_tokenize_str(chr(c))[0][0] for c in range(0x250)}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.dtype = f"<u{self.width}"
         self.known = Memo(CACHED)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _learn(self, runs: list[str]) -> list[bytes]:
         """Plain words go to the library's model, without another search for words; other runs through all of it."""
@@ -80,7 +83,7 @@ class Encoder:
         for run in runs:
             if _WORD.fullmatch(run):
                 tokens = self.model.tokenize(run.translate(self.letters))
-                out.append(np.array([t.id for t in tokens], dtype="<u4").tobytes())
+                out.append(np.array([t.id for t in tokens], dtype=self.dtype).tobytes())
             else:
                 out.append(self._whole(run))
         return out
@@ -148,32 +151,32 @@ def _map(folder: str, shard: int, kind: str, dtype: str) -> np.ndarray:
 
 
 def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str = "text", path: str | None = None, end: int = END) -> DataFrame:
-    """Write the files to a folder that all executors share; one row per shard: shard, n_docs, n_tokens, base."""
+    """Write the files to a folder that all executors share; one row per shard: shard, n_docs, n_tokens, width, base."""
     spark = docs.sparkSession
     path = path or default_path()
 
     def encode(batches: Iterator[pa.RecordBatch]):
         shard, encoder, files = TaskContext.get().partitionId(), load(path), None
         n_docs = n_tokens = 0
-        closing = np.array([end], dtype="<u4").tobytes()
+        closing = np.array([end], dtype=encoder.dtype).tobytes()
         for batch in slices(batches, "t"):
             files = files or _Files(folder, shard, "bin", "len", "doc", "nul")
             ids = [i + closing for i in encoder.encode([t.decode() for t in batch.column("t").to_pylist()])]
             keys = batch.column("i")
             files.write("bin", b"".join(ids))
-            files.write("len", np.array([len(i) // 4 for i in ids], dtype="<u8").tobytes())
+            files.write("len", np.array([len(i) // encoder.width for i in ids], dtype="<u8").tobytes())
             files.write("doc", np.asarray(keys.fill_null(0), dtype="<i8").tobytes())
             files.write("nul", np.asarray(keys.is_null().cast(pa.uint8())).tobytes())
-            n_docs, n_tokens = n_docs + len(ids), n_tokens + sum(map(len, ids)) // 4
+            n_docs, n_tokens = n_docs + len(ids), n_tokens + sum(map(len, ids)) // encoder.width
         if files:
             files.close()
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [n_docs], "n_tokens": [n_tokens]})
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [n_docs], "n_tokens": [n_tokens], "width": [encoder.width]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("i"), as_bytes(F.col(text)).alias("t"))
     # The hash orders equal ids; the scan position spreads rows that agree in both over several shards.
     rows = rows.withColumn("h", F.xxhash64("t")).withColumn("p", F.monotonically_increasing_id())
     rows = rows.repartitionByRange("i", "h", "p").sortWithinPartitions("i", "h", "p").select("i", "t")
-    shards = Scratch(spark, "shards").cut(rows.mapInArrow(encode, "shard long, n_docs long, n_tokens long"))
+    shards = Scratch(spark, "shards").cut(rows.mapInArrow(encode, "shard long, n_docs long, n_tokens long, width long"))
     # One row per shard, so a window over all of them is bounded by the number of tasks.
     before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
     bases = shards.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
@@ -201,13 +204,13 @@ def read_tokens(shards: DataFrame, folder: str, most: int = 4096) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for shard in batch.column("shard").to_pylist():
-                ids, at = _map(folder, shard, "bin", "<u4"), _map(folder, shard, "idx", "<u8")
+            for shard, width in zip(batch.column("shard").to_pylist(), batch.column("width").to_pylist(), strict=True):
+                ids, at = _map(folder, shard, "bin", f"<u{width}"), _map(folder, shard, "idx", "<u8")
                 keys, null = _map(folder, shard, "doc", "<i8"), _map(folder, shard, "nul", "u1")
                 local = (at - at[0]).astype(np.int64)
                 for a in range(0, len(keys), most):
                     b = min(a + most, len(keys))
-                    sums = [zlib.crc32(ids[local[k] : local[k + 1]]) for k in range(a, b)]
+                    sums = [zlib.crc32(ids[local[k] : local[k + 1]].astype("<u4")) for k in range(a, b)]
                     columns = [
                         pa.array(np.asarray(keys[a:b]), mask=np.asarray(null[a:b]) == 1, type=pa.int64()),
                         pa.array(np.asarray(at[a:b]).astype(np.int64)),
@@ -216,7 +219,7 @@ def read_tokens(shards: DataFrame, folder: str, most: int = 4096) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = shards.select("shard").repartition("shard")
+    spread = shards.select("shard", "width").repartition("shard")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
