@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright import schemas
 from tidewright.plans import files, incremental, ods
-from tidewright.sources import VersionedTable, conform
+from tidewright.sources import VersionedTable, conform, scratch
 
 ROW = T.StructType(
     [
@@ -50,13 +51,36 @@ def test_two_loads_meet_at_the_cutoff(spark, folder):
     assert warehouse.staging(table).read().count() == 0 and target(warehouse, table)[(3, "e")] == 1
 
 
+def test_the_first_load_takes_old_and_undated_rows(spark, folder):
+    warehouse = incremental.Warehouse(spark, folder)
+    table = changing(spark, [(1, dt.datetime(1850, 1, 1), "old"), (2, None, "undated"), (3, at(3), "later"), (2, at(4), "dated")])
+    control = spark.createDataFrame([("Things", "Thing key")], "Name string, Col string")
+    incremental.incremental_load(warehouse, [table], at(2), control)
+    assert target(warehouse, table) == Counter([(1, "old"), (2, "undated")])
+    assert warehouse.last_cutoff("Thing key") == at(2) and warehouse.last_cutoff("Things") is None
+    assert [r["table_name"] for r in warehouse.lineage.read().collect()] == ["Thing key"]
+    incremental.incremental_load(warehouse, [table], at(5), control)
+    assert target(warehouse, table) == Counter([(1, "old"), (2, "dated"), (3, "later")])
+
+
+def test_a_load_writes_only_the_parts_it_falls_into(spark, folder):
+    warehouse = incremental.Warehouse(spark, folder, buckets=8)
+    table = changing(spark, [(k, at(1), "a") for k in range(100)] + [(7, at(3), "b")])
+    incremental.incremental_load(warehouse, [table], at(2))
+    before = {p: sorted(os.listdir(f"{folder}/target/Things/{p}")) for p in warehouse.target(table).partitions()}
+    incremental.incremental_load(warehouse, [table], at(4))
+    after = {p: sorted(os.listdir(f"{folder}/target/Things/{p}")) for p in warehouse.target(table).partitions()}
+    assert len(before) == 8 and sum(before[p] != after[p] for p in before) == 1
+    assert target(warehouse, table)[(7, "b")] == 1 and warehouse.target(table).read().count() == 100
+
+
 def test_the_cutoff_stays_when_a_load_fails(spark, folder, monkeypatch):
     warehouse = incremental.Warehouse(spark, folder)
     table = changing(spark, [(1, at(1), "a")])
     monkeypatch.setattr(incremental, "upsert", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         incremental.incremental_load(warehouse, [table], at(2))
-    assert warehouse.last_cutoff("Things") == warehouse.BEGINNING
+    assert warehouse.last_cutoff("Things") is None
     monkeypatch.undo()
     incremental.incremental_load(warehouse, [table], at(2))
     assert target(warehouse, table) == Counter([(1, "a")])
@@ -119,29 +143,27 @@ def test_reload_replaces_the_past_and_the_window(spark, folder):
     for _ in range(2):
         ods.reload_week(orders, lines, table, dt.date(2024, 1, 2))
         assert stored(table) == expected
+    assert table.partitions() == {f"OrderDate=2024-01-{day}" for day in ("02", "08", "09", "10")}
+
+
+def test_reload_leaves_later_days_alone_unless_an_order_moved(spark, folder):
+    orders, lines = orders_and_lines(spark)
+    table = ods.ods_orders(spark, folder)
+    row = "OrderId long, OrderTotal long, CustomerId long, OrderDate date"
+    table.replace(spark.createDataFrame([(5, 1, 12, dt.date(2024, 2, 1)), (9, 1, 1, dt.date(2024, 2, 2)), (8, 1, 1, dt.date(2024, 1, 5))], row))
+    before = os.listdir(f"{folder}/OrderDate=2024-02-02")
+    ods.reload_week(orders, lines, table, dt.date(2024, 1, 2))
+    # Order 5 moved into the window; order 8 is gone at the source, but its day is later than the given one.
+    assert stored(table) == {3: (2, 4, 11), 4: (8, 1, 12), 5: (9, 9, 12), 8: (5, 1, 1), 9: (2, 1, 1)}
+    assert "OrderDate=2024-02-01" not in table.partitions()
+    assert os.listdir(f"{folder}/OrderDate=2024-02-02") == before
 
 
-# Missed purchase orders: the second element has a malformed date.
-ELEMENT = {
-    "StockItemName": "Chess Set",
-    "Supplier": "7",
-    "UnitPackageId": "1",
-    "OuterPackageId": "7",
-    "Brand": "Rook",
-    "LeadTimeDays": "5",
-    "QuantityPerOuter": "1",
-    "TaxRate": "6",
-    "UnitPrice": "59.99",
-    "RecommendedRetailPrice": "69.99",
-    "TypicalWeightPerUnit": "0.5",
-    "CountryOfManufacture": "Canada",
-    "Range": "Adult",
-    "OrderDate": "2018-01-01",
-    "DeliveryMethod": "Post",
-    "ExpectedDeliveryDate": "2018-02-02",
-    "SupplierReference": "REF-1",
-}
-SECOND = {**ELEMENT, "Supplier": "5", "OrderDate": "2018-01-025", "SupplierReference": "REF-2"}
+# Missed purchase orders, one value per declared field; the second element has a date of another form.
+VALUES = ["Garden lantern", 12, 3, 9, "Lumen", 21, 4, 19.5, 18.4, 27.1, 1.25, "Portugal", "Outdoor", "2021-09-30", "Courier"]
+VALUES += ["2021-10-14", "PT-0042"]
+ELEMENT = {key: str(value) for (_, key, _), value in zip(schemas.PURCHASE_ORDER_FIELDS, VALUES, strict=True)}
+SECOND = {**ELEMENT, "Supplier": "31", "OrderDate": "30.09.2021", "SupplierReference": "PT-0043"}
 
 
 def test_backfill_reads_the_first_order_of_each_document(spark, folder):
@@ -151,39 +173,48 @@ def test_backfill_reads_the_first_order_of_each_document(spark, folder):
     items, purchase_orders = ods.backfill(shredded, ["id"], 227)
     got = {r["StockItemID"]: r for r in items.collect()}
     assert sorted(got) == [228, 229]
-    assert (got[228]["SupplierID"], str(got[228]["TaxRate"]), str(got[228]["UnitPrice"])) == (7, "6.000", "59.99")
-    assert got[228]["CustomFields"] == '{"CountryOfManufacture":"Canada"}'
+    assert (got[228]["SupplierID"], str(got[228]["TaxRate"]), str(got[228]["UnitPrice"])) == (12, "19.500", "18.40")
+    assert got[228]["CustomFields"] == '{"CountryOfManufacture":"Portugal"}'
     found = {r["SupplierReference"]: r for r in purchase_orders.collect()}
-    assert found["REF-1"]["OrderDate"] == dt.date(2018, 1, 1) and found["REF-2"]["OrderDate"] is None
-    assert (found["REF-1"]["DeliveryMethodID"], found["REF-1"]["IsOrderFinalized"]) == (0, 1)
+    assert found["PT-0042"]["OrderDate"] == dt.date(2021, 9, 30) and found["PT-0043"]["OrderDate"] is None
+    assert (found["PT-0042"]["DeliveryMethodID"], found["PT-0042"]["IsOrderFinalized"]) == (0, 1)
 
 
 def test_migrated_attributes(spark):
     items = spark.createDataFrame(
-        [(1, '{"CountryOfManufacture":"China","Range":"Adult","Shelf Life":"7 days","Tags":["a"]}'), (2, None)],
+        [(1, '{"CountryOfManufacture":"Norway","Range":"Outdoor","Shelf Life":"40 weeks","Tags":["a"]}'), (2, None)],
         "id int, custom string",
     )
     got = ods.migrate_items(items, "custom", {"country": "CountryOfManufacture", "life": "Shelf Life", "tags": "Tags"})
-    assert {tuple(r) for r in got.collect()} == {(1, "China", "7 days", None), (2, None, None, None)}
+    assert {tuple(r) for r in got.collect()} == {(1, "Norway", "40 weeks", None), (2, None, None, None)}
 
 
 def test_migrated_items_go_into_a_typed_table(spark, folder):
-    items = spark.createDataFrame([(1, "Mug", "15.0", '{"Range":"Adult"}')], "id long, name string, tax string, custom string")
+    items = spark.createDataFrame([(1, "Mug", "15.0", '{"Range":"Outdoor"}')], "id long, name string, tax string, custom string")
     kinds = [("id", T.LongType()), ("name", T.StringType()), ("tax", T.DecimalType(18, 3)), ("range", T.StringType())]
     schema = T.StructType([T.StructField(*kind) for kind in kinds])
     table = VersionedTable(spark, folder, schema)
     table.clear()
     table.append(conform(ods.migrate_items(items, "custom", {"range": "Range"}), schema))
-    assert [tuple(map(str, row)) for row in table.read().collect()] == [("1", "Mug", "15.000", "Adult")]
+    assert [tuple(map(str, row)) for row in table.read().collect()] == [("1", "Mug", "15.000", "Outdoor")]
+
+
+def joined(pieces, *keys, value="text"):
+    """The texts of each key, put together in order."""
+    out = {}
+    for row in pieces.orderBy(*keys, "seq").collect():
+        key = tuple(row[k] for k in keys)
+        out[key] = out.get(key, "") + row[value]
+    return out
 
 
 def test_customer_documents_repeat_per_order_of_the_customer(spark):
     orders, lines = orders_and_lines(spark)
-    got = ods.customer_documents(orders, lines, 12, ["o_orderkey"], ["l_linenumber"]).orderBy("ID").collect()
-    assert [(r["ID"], r["InvoiceDate"].day) for r in got] == [(1, 8), (2, 9)]
+    got = joined(ods.customer_documents(orders, lines, 12, ["o_orderkey"], ["l_linenumber"]), "ID", "InvoiceDate", value="InvoiceValue")
+    assert [(i, day.day) for i, day in sorted(got)] == [(1, 8), (2, 9)]
     # Two orders of one customer on one day: the day's document twice.
-    got = ods.customer_documents(orders, lines, 10, ["o_orderkey"], ["l_linenumber"]).orderBy("ID").collect()
-    assert [(r["ID"], json.loads(r["InvoiceValue"])) for r in got] == [
+    got = joined(ods.customer_documents(orders, lines, 10, ["o_orderkey"], ["l_linenumber"]), "ID", value="InvoiceValue")
+    assert sorted((i, json.loads(text)) for (i,), text in got.items()) == [
         (i, [{"o_orderkey": 1, "lines": [{"l_linenumber": 1}, {"l_linenumber": 2}]}]) for i in (1, 2)
     ]
 
@@ -194,10 +225,10 @@ def test_customer_documents_equal_the_loop(spark):
         looped = Counter()
         for row in orders.filter(F.col("o_custkey") == customer).collect():
             day = orders.filter(F.to_date("o_orderdate") == F.lit(row["o_orderdate"].date()))
-            for document in ods.invoice_documents(day, lines, ["o_orderkey"], ["l_linenumber"]).collect():
-                looped[(document["OrderDate"], document["document"])] += 1
-        got = ods.customer_documents(orders, lines, customer, ["o_orderkey"], ["l_linenumber"]).collect()
-        assert Counter((r["InvoiceDate"], r["InvoiceValue"]) for r in got) == looped
+            for (date,), text in joined(ods.invoice_documents(day, lines, ["o_orderkey"], ["l_linenumber"]), "OrderDate").items():
+                looped[(date, text)] += 1
+        got = joined(ods.customer_documents(orders, lines, customer, ["o_orderkey"], ["l_linenumber"]), "ID", "InvoiceDate", value="InvoiceValue")
+        assert Counter((date, text) for (_, date), text in got.items()) == looped
 
 
 def test_repeating_a_row_many_times(spark):
@@ -231,11 +262,24 @@ def test_people_are_deduplicated_over_all_files(spark, folder, people):
 
 
 def test_people_per_file_keep_the_duplicates_between_files(spark, folder, people):
+    with open(f"{people}/people_2.txt", "w") as file:
+        file.write("Given\tFamily\tMail\tPhone\tStreet\n" + PEOPLE_2)
+    with open(f"{people}/people_2.csv", "w") as file:
+        file.write(HEADER + "eve\tlo\te@x\t1\tY\n")
     files.clean_people_files(spark, people, f"{folder}/out")
-    back = spark.read.option("header", True).csv(f"{folder}/out")
-    assert Counter((r["file"], r["first"]) for r in back.collect()) == Counter(
-        [("people_1", "Anna"), ("people_1", "Bob"), ("people_2", "Bob")]
-    )
+    found = {name: spark.read.option("header", True).csv(f"{folder}/out/{name}") for name in os.listdir(f"{folder}/out")}
+    assert {name: sorted(r[0] for r in df.collect()) for name, df in found.items()} == {
+        "people_1": ["Anna", "Bob"],
+        "people_2.txt": ["Bob"],
+        "people_2.csv": ["Eve"],
+    }
+    # Every file keeps its own header.
+    assert found["people_2.txt"].columns == ["Given", "Family", "Mail", "Phone", "Street"]
+    assert found["people_1"].columns == HEADER.strip().split("\t")
+    with open(f"{people}/people_3.txt", "w") as file:
+        file.write("first\tlast\nx\ty\n")
+    with pytest.raises(ValueError, match="2 columns"):
+        files.clean_people_files(spark, people, f"{folder}/other")
 
 
 def test_csv_is_read_back_by_a_plain_csv_reader(spark, folder):
@@ -257,7 +301,7 @@ def test_csv_is_read_back_by_a_plain_csv_reader(spark, folder):
 
 def test_documents_split_into_equal_files(spark, folder):
     df = spark.range(1003).selectExpr("id", "concat('text ', id) AS text")
-    files.split_documents(df, f"{folder}/out", "id")
+    files.split_documents(df, f"{folder}/out", "id", keep_remainder=False)
     back = spark.read.schema("id long, text string, chunk int").json(f"{folder}/out")
     counts = {r["chunk"]: (r["count"], r["lo"]) for r in back.groupBy("chunk").agg(F.count("*").alias("count"), F.min("id").alias("lo")).collect()}
     assert counts == {i: (125, 125 * i) for i in range(8)}
@@ -268,7 +312,20 @@ def test_an_array_file_splits_like_list_slices(spark, folder):
     os.makedirs(f"{folder}/in")
     with open(f"{folder}/in/movie.json", "w") as file:
         json.dump({"movie": movies}, file)
-    files.split_array_file(spark, f"{folder}/in", f"{folder}/out")
+    files.split_array_file(spark, f"{folder}/in", f"{folder}/out", keep_remainder=False, multi_line=True)
     for i in range(8):
         back = spark.read.schema("Id long, Title string").json(f"{folder}/out/chunk={i}")
         assert sorted(map(tuple, back.collect())) == sorted((m["Id"], m["Title"]) for m in movies[5 * i : 5 * i + 5])
+
+
+def test_jobs_leave_nothing_in_the_shared_folder(spark, folder, people, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: f"{folder}/shared")
+    orders, lines = orders_and_lines(spark)
+    table = ods.ods_orders(spark, f"{folder}/ods")
+    ods.load_day(orders, lines, table, dt.date(2024, 1, 1))
+    ods.reload_week(orders, lines, table, dt.date(2024, 1, 2))
+    warehouse = incremental.Warehouse(spark, f"{folder}/warehouse")
+    incremental.incremental_load(warehouse, [changing(spark, [(1, at(1), "a")])], at(2))
+    files.split_documents(spark.range(20).selectExpr("id", "'x' AS text"), f"{folder}/out", "id", 3, keep_remainder=True)
+    files.clean_people_files(spark, people, f"{folder}/people-out")
+    assert os.listdir(f"{folder}/shared/tidewright") == []

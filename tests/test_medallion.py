@@ -52,14 +52,14 @@ def statuses(lake):
 
 def test_bronze_keeps_documents_whole_and_stamps_them(spark, folder):
     lake = m.Lakehouse(spark, folder)
-    m.raw_to_bronze(lake, drop(folder), NOW)
+    m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
     bronze = lake.bronze.read()
-    assert bronze.schema.simpleString() == schemas.BRONZE.simpleString()
+    assert bronze.drop("p_load").schema.simpleString() == schemas.BRONZE.simpleString()
     assert bronze.count() == 7
     row = bronze.filter("value.Id = 4").first()
     assert (row["datasource"], row["status"], row["p_ingestdate"]) == ("movie.json", "new", dt.date(2022, 3, 4))
     assert row["ingesttime"] == NOW
-    assert os.listdir(lake.bronze.location(1)).count("p_ingestdate=2022-03-04") == 1
+    assert lake.bronze.partitions() == {"p_ingestdate=2022-03-04/p_load=20220304050607000"}
 
 
 def test_ingest_time_defaults_to_the_clock(spark):
@@ -135,7 +135,7 @@ def test_settle_equals_the_merge_of_the_whole_table(spark, batch, outcome):
 
 def test_medallion_from_files(spark, folder):
     lake = m.Lakehouse(spark, f"{folder}/lake")
-    m.run_medallion(lake, drop(folder), NOW)
+    m.run_medallion(lake, drop(folder), NOW, multi_line=True)
     # Everything with a run time is loaded in the end.
     assert statuses(lake) == Counter(
         [(1, "loaded"), (1, "loaded"), (2, "loaded"), (3, "new"), (4, "loaded"), (5, "loaded"), (6, "loaded")]
@@ -151,13 +151,13 @@ def test_medallion_from_files(spark, folder):
     assert spark.table("movie_test.movie_silver").filter("p_CreatedDate = DATE'2021-04-03'").count() == 4
 
     before = lake.movie.read().collect(), statuses(lake)
-    m.run_medallion(lake, f"{folder}/raw", NOW)
+    m.run_medallion(lake, f"{folder}/raw", NOW, multi_line=True)
     assert (sorted(map(str, lake.movie.read().collect())), statuses(lake)) == (sorted(map(str, before[0])), before[1])
 
 
 def test_steps_between(spark, folder):
     lake = m.Lakehouse(spark, f"{folder}/lake")
-    m.raw_to_bronze(lake, drop(folder), NOW)
+    m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
     m.bronze_to_silver(lake)
     assert statuses(lake) == Counter(
         [(1, "loaded"), (1, "loaded"), (2, "quarantined"), (3, "new"), (4, "loaded"), (5, "quarantined"), (6, "loaded")]
@@ -167,10 +167,10 @@ def test_steps_between(spark, folder):
 
 def test_append_mode_adds_a_second_drop(spark, folder):
     lake = m.Lakehouse(spark, f"{folder}/lake")
-    m.run_medallion(lake, drop(folder), NOW)
+    m.run_medallion(lake, drop(folder), NOW, multi_line=True)
     os.rename(f"{folder}/raw", f"{folder}/first")
     second = [movie(10, run_time=-7), movie(2, run_time=-50, budget=5.0), movie(11)]
-    m.raw_to_bronze(lake, drop(folder, second), NOW, mode="append")
+    m.raw_to_bronze(lake, drop(folder, second), NOW + dt.timedelta(days=1), mode="append", multi_line=True)
     m.bronze_to_silver(lake, mode="append")
     # Document 2 came again, so its earlier copy goes back to quarantine with it, as a merge by value does.
     assert statuses(lake)[(2, "quarantined")] == 2 and statuses(lake)[(11, "loaded")] == 1
@@ -181,8 +181,8 @@ def test_append_mode_adds_a_second_drop(spark, folder):
 
 def test_a_job_that_dies_before_the_status_can_run_again(spark, folder, monkeypatch):
     lake = m.Lakehouse(spark, f"{folder}/lake")
-    m.raw_to_bronze(lake, drop(folder), NOW)
-    monkeypatch.setattr(lake.bronze, "publish", lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
+    m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
+    monkeypatch.setattr(lake.bronze, "replace", lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         m.bronze_to_silver(lake)
     monkeypatch.undo()
@@ -204,3 +204,35 @@ def test_documents_that_differ_in_the_sign_of_zero_are_equal(spark):
     bronze = frame(spark, [movie(1, budget=0.0), movie(2, budget=float("nan"))])
     updates = frame(spark, [movie(1, budget=-0.0), movie(2, budget=float("nan"))]).select("value", F.lit("loaded").alias("status"))
     assert {r["status"] for r in m.merge_status(bronze, updates).collect()} == {"loaded"}
+
+
+def files_of(folder):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, names in os.walk(folder) for n in names if n.endswith(".parquet")}
+
+
+def test_loads_without_changed_rows_are_not_written(spark, folder):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    m.run_medallion(lake, drop(folder), NOW, multi_line=True)
+    before = files_of(f"{folder}/lake/bronze")
+    os.rename(f"{folder}/raw", f"{folder}/first")
+    m.raw_to_bronze(lake, drop(folder, [movie(20), movie(21, run_time=-4)]), NOW + dt.timedelta(days=2), "append", multi_line=True)
+    # Document 3 of the first load has no run time and is still new, so that load is in the batch; take it out.
+    lake.bronze.replace(lake.bronze.read().withColumn("status", F.lit("loaded")).filter("p_ingestdate = DATE'2022-03-04'"))
+    before = files_of(f"{folder}/lake/bronze/p_ingestdate=2022-03-04")
+    m.bronze_to_silver(lake, mode="append")
+    m.silver_update(lake)
+    assert files_of(f"{folder}/lake/bronze/p_ingestdate=2022-03-04") == before
+    assert statuses(lake)[(21, "loaded")] == 1
+
+
+def test_a_repair_that_dies_before_the_status_adds_nothing_twice(spark, folder, monkeypatch):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
+    m.bronze_to_silver(lake)
+    with monkeypatch.context() as patch:
+        patch.setattr(lake.bronze, "replace", lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            m.silver_update(lake)
+    m.silver_update(lake)
+    m.silver_update(lake)
+    assert Counter(r["Id"] for r in lake.movie.read().collect()) == Counter([1, 4, 6, 2, 5])

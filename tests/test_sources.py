@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tidewright import schemas
 from tidewright.sources import (
+    PartitionedTable,
     VersionedTable,
     batch_writer,
     changed_between,
@@ -19,7 +20,7 @@ from tidewright.sources import (
     register_table,
     write_chunks,
 )
-from tidewright.sources.readers import read_parquet, read_raw
+from tidewright.sources.readers import read_parquet, read_raw, rejected_documents
 from tidewright.sources.scratch import scratch_path, shared_folder
 
 PAIR = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
@@ -35,7 +36,7 @@ def test_multi_line_envelope_is_exploded(spark, folder):
     movies = [{"Id": 1, "Title": "a", "genres": [{"id": 5, "name": "x"}]}, {"Id": 2, "RunTime": -3}]
     write_text(f"{folder}/raw/one.json", json.dumps({"movie": movies}, indent=2))
     write_text(f"{folder}/raw/array.json", json.dumps([{"movie": [{"Id": 3}]}, {"movie": []}, {"movie": None}], indent=2))
-    raw = read_raw(spark, f"{folder}/raw")
+    raw = read_raw(spark, f"{folder}/raw", multi_line=True)
     assert raw.schema["value"].dataType == schemas.MOVIE
     assert sorted(row[0] for row in raw.select("value.Id").collect()) == [1, 2, 3]
     assert raw.filter("value.Id = 1").select("value.genres").first()[0] == [(5, "x")]
@@ -48,6 +49,38 @@ def test_drift_keeps_extra_fields_only_if_allowed(spark, folder):
     assert drifted.columns == ["movie", "extra"] and drifted.first()["extra"] == 7
 
 
+def test_drift_inside_of_documents_is_kept(spark, folder):
+    movies = [{"Id": 1, "More": {"a": 1}, "genres": [{"id": 5, "name": "x", "weight": 2}]}]
+    write_text(f"{folder}/raw/one.json", json.dumps({"movie": movies}))
+    assert "More" not in read_raw(spark, f"{folder}/raw").schema["value"].dataType.fieldNames()
+    row = read_raw(spark, f"{folder}/raw", allow_drift=True).select("value.Id", "value.More.a", "value.genres").first()
+    assert (row["Id"], row["a"], row["genres"][0]["weight"]) == (1, 1, 2)
+
+
+def test_what_is_no_document_is_found(spark, folder):
+    write_text(f"{folder}/raw/one.json", '{"movie": [{"Id": 1}]}\n{"movie": oh no}\n{"movie": [{"Id": 2}]}\n')
+    assert read_raw(spark, f"{folder}/raw").count() == 2
+    found = rejected_documents(spark, f"{folder}/raw").collect()
+    assert [r["rejected"] for r in found] == ['{"movie": oh no}'] and found[0]["file"].endswith("one.json")
+
+
+def test_partitions_are_replaced_one_by_one(spark, folder):
+    table = PartitionedTable(spark, f"{folder}/t", PAIR, ["v"])
+    assert not table.exists() and table.read().count() == 0
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], PAIR))
+    before = os.listdir(f"{folder}/t/v=b")
+    # A job may read what it replaces.
+    table.replace(table.read().filter("v = 'a'").withColumn("k", F.col("k") + 10))
+    assert sorted(map(tuple, table.read().collect())) == [(2, "b"), (3, None), (11, "a")]
+    assert os.listdir(f"{folder}/t/v=b") == before
+    table.replace(table.read().filter("v = 'a' AND k < 0"), {"v=a"})
+    assert table.partitions() == {"v=b", "v=__HIVE_DEFAULT_PARTITION__"}
+    table.publish(spark.createDataFrame([(5, "c")], PAIR))
+    assert table.read().collect() == [(5, "c")]
+    with pytest.raises(ValueError, match="schema differs"):
+        table.replace(spark.createDataFrame([(1.5, "a")], "k double, v string"))
+
+
 def test_parquet_source_checks_and_drifts(spark, folder):
     spark.createDataFrame([(1, "a", 2.0)], "k long, v string, w double").write.parquet(f"{folder}/t")
     assert read_parquet(spark, f"{folder}/t", PAIR).columns == ["k", "v"]

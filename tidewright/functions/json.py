@@ -16,4 +16,6 @@ def json_value(column, path: str) -> Column:
     # A text may itself begin like an object; only then is its type looked up.
     document = F.try_parse_json(F.col(column) if isinstance(column, str) else column)
     kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    return F.when(~F.substring(found, 1, 1).isin("{", "["), found).when(kind == "STRING", found)
+    # In this order a missing path, which is NULL, is never parsed again.
+    nothing = F.lit(None).cast("string")
+    return F.when(found.isNull(), nothing).when(~F.substring(found, 1, 1).isin("{", "["), found).when(kind == "STRING", found)

@@ -13,19 +13,28 @@ def check(df: DataFrame, not_null=(), unique=(), references=()) -> DataFrame:
 
     not_null: column names. unique: lists of columns; every row beyond the first of its key counts.
     references: (column, other frame, other column); rows whose non-NULL value the other frame lacks.
-    Keys are counted before any join, so a hot key is one row with a count when it meets the other side.
+    Keys are counted before any join, so a hot key is one row with a count when it meets the other side. The
+    groups of the first unique key also give the NULL counts, and the values of a reference that is part of it,
+    so that the rows are read and shuffled once for all of these.
     """
     parts = []
+    missing = [F.count_if(F.col(name).isNull()).alias(f"_null_{name}") for name in not_null]
+    base = df.groupBy(*unique[0]).agg(F.count("*").alias("_n"), *missing) if unique else None
     if not_null:
-        nulls = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in not_null])
+        if base is None:
+            nulls = df.agg(*missing)
+        else:
+            nulls = base.agg(*[F.coalesce(F.sum(f"_null_{name}"), F.lit(0)).alias(f"_null_{name}") for name in not_null])
+        nulls = nulls.toDF(*not_null)
         pairs = F.array(*[F.struct(F.lit(name).alias("columns"), F.col(name).alias("violations")) for name in not_null])
         exploded = nulls.select(F.explode(pairs).alias("r"))
         parts.append(exploded.select(F.lit("not_null").alias("rule"), "r.columns", "r.violations"))
-    for keys in unique:
-        counted = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    for i, keys in enumerate(unique):
+        counted = df.groupBy(*keys).agg(F.count("*").alias("_n")) if i else base
         parts.append(_line(counted, "unique", ",".join(keys), F.sum(F.col("_n") - 1)))
     for column, other, other_column in references:
-        used = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("_n"))
+        rows, times = (base, F.sum("_n")) if unique and column in unique[0] else (df, F.count("*"))
+        used = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(times.alias("_n"))
         dangling = without(used, "_key", other.select(other_column))
         parts.append(_line(dangling, "reference", column, F.sum("_n")))
     return reduce(DataFrame.unionByName, parts)

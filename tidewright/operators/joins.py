@@ -31,19 +31,24 @@ def without(left: DataFrame, column: str, values: DataFrame) -> DataFrame:
     return left.join(listed, F.col(column) == F.col("_listed"), "left").filter(F.col("_listed").isNull()).drop("_listed")
 
 
-def any_key_left_join(left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str]) -> DataFrame:
+def any_key_left_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_keys: list[str], known: DataFrame | None = None
+) -> DataFrame:
     """Left join on `left_key = k1 OR left_key = k2 ...`.
 
     An OR condition can only run as a nested loop. Here each right row appears once under each of its
-    distinct keys, which makes it an equi join with the same result. Matches and non-matches are two
-    branches: an inner join lets Spark split a hot key on either side, where an outer join could only
-    split the left one.
+    distinct keys, which makes it an equi join with the same result. Keys of the left side that no right
+    row has are added to the right side with NULL columns, so that an inner join keeps every left row:
+    Spark can split a hot key of either side of it, where an outer join could only split the left one.
+    `known` is a frame of one column with (at least) all left keys; in a chain of such joins it keeps the
+    left side, with the joins before it, from being computed twice.
     """
     keys = F.array_distinct(F.array(*[F.col(k).cast(left.schema[left_key].dataType) for k in right_keys]))
     keyed = right.withColumn("_key", F.explode(keys)).filter(F.col("_key").isNotNull())
-    matched = left.join(keyed, F.col(left_key) == F.col("_key"), "inner").drop("_key")
-    unmatched = without(left, left_key, keyed.select("_key"))
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    wanted = (left.select(left_key) if known is None else known).toDF("_key")
+    missing = without(distinct_apart(wanted, "_key"), "_key", keyed.select("_key"))
+    padded = keyed.unionByName(missing, allowMissingColumns=True)
+    return left.join(padded, F.col(left_key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def fanout_sum(multiplier: DataFrame, valued: DataFrame, key: str, value, out: str) -> DataFrame:

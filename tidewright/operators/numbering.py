@@ -4,18 +4,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.sources.scratch import materialize
+from tidewright.sources.scratch import Scratch
 
 # monotonically_increasing_id() holds the partition above this many bits and the position below them.
 _POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, order_by: list[str], name: str, start: int = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by: list[str], name: str, start: int = 1, scratch: Scratch | None = None
+) -> DataFrame:
     """Number all rows start, start+1, ... in the order of `order_by`.
 
     Rows are range-partitioned and sorted, written once with their place, and numbered by adding the
     sizes of the partitions before theirs. A scan position breaks ties, so equal keys spread over
-    several partitions; `df` should come straight from files when its keys repeat.
+    several partitions; `df` should come straight from files when its keys repeat. A caller that uses up
+    the result itself passes its `scratch`, and closes it.
     """
     ranged = (
         df.withColumn("_tie", F.monotonically_increasing_id())
@@ -24,7 +27,8 @@ def number_rows(df: DataFrame, order_by: list[str], name: str, start: int = 1) -
         .withColumn("_place", F.monotonically_increasing_id())
         .drop("_tie")
     )
-    placed = materialize(ranged, "numbered").withColumn("_part", F.shiftright("_place", _POSITION_BITS))
+    scratch = scratch or Scratch(df.sparkSession, "numbered")
+    placed = scratch.cut(ranged).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
     # One row per partition, which is why a window over all of them and a broadcast are both safe.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -37,22 +41,23 @@ def number_rows(df: DataFrame, order_by: list[str], name: str, start: int = 1) -
     return placed.join(F.broadcast(offsets), "_part").select(*df.columns, number)
 
 
-def chunk(df: DataFrame, k: int, order_by: str, keep_remainder=False, name="chunk") -> DataFrame:
+def chunk(df: DataFrame, k: int, order_by: str, keep_remainder: bool, name="chunk") -> DataFrame:
     """Split into k runs of floor(n / k) rows each, in the order of a unique, non-NULL key.
 
-    The n - k * floor(n / k) rows after the last run are left out, or join the last run with
-    keep_remainder. Only the key column is sorted: the first key of each run is looked up, and the rows
+    The n - k * floor(n / k) rows after the last run join the last run with keep_remainder, and are left
+    out without it; the caller has to say which. Only the key column is sorted: the first key of each run is looked up, and the rows
     themselves, however long, are compared with those k keys where they lie.
     """
-    numbered = number_rows(df.select(order_by), [order_by], "_index", start=0)
-    total = numbered.count()
-    size = total // k
-    if size == 0:
-        starts = {}
-    else:
-        # At most k + 1 rows.
-        at = numbered.filter((F.col("_index") % size == 0) & (F.col("_index") <= k * size)).collect()
-        starts = {row["_index"] // size: row[order_by] for row in at}
+    with Scratch(df.sparkSession, "numbered") as scratch:
+        numbered = number_rows(df.select(order_by), [order_by], "_index", 0, scratch)
+        total = numbered.count()
+        size = total // k
+        if size == 0:
+            starts = {}
+        else:
+            # At most k + 1 rows.
+            at = numbered.filter((F.col("_index") % size == 0) & (F.col("_index") <= k * size)).collect()
+            starts = {row["_index"] // size: row[order_by] for row in at}
     if starts:
         _require_unique(df, order_by, list(starts.values()), total)
     column = F.lit(None).cast("int") if size else F.lit(k - 1 if keep_remainder else None).cast("int")

@@ -1,12 +1,13 @@
 """Pivots and nested JSON / XML output."""
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.operators.joins import group_apart
-from tidewright.sources.scratch import materialize
+from tidewright.operators.numbering import number_rows
 
 
 def pivot_sum(df: DataFrame, row: str, column: str, values: list, value: str, prefix="") -> DataFrame:
@@ -28,33 +29,33 @@ def json_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
 
 
-def as_json_array(df: DataFrame, order_by: str, max_rows=10_000) -> DataFrame:
-    """A whole report as one JSON array, in one row.
+def as_json_array(df: DataFrame, order_by: str) -> DataFrame:
+    """A report as one JSON array, in pieces: (seq, json), one piece per row and one for each bracket.
 
-    A single text has to fit in one task, so a result above `max_rows` raises an error that names
-    json_lines; it is never cut.
+    Joined in the order of `seq`, the pieces are the array, of any number of rows. `order_by` should be unique.
     """
-    texts = _ordered_texts(df, order_by, F.to_json(F.struct(*df.columns)), max_rows, "json_lines")
-    return texts.select(F.concat(F.lit("["), F.array_join("_texts", ","), F.lit("]")).alias("json"))
+    rows = df.select(F.col(f"`{order_by}`").alias("_order"), F.to_json(F.struct(*[f"`{c}`" for c in df.columns])).alias("_text"))
+    numbered = number_rows(rows, ["_order"], "seq")
+    pieces = numbered.select("seq", F.concat(F.when(F.col("seq") > 1, ",").otherwise(""), "_text").alias("json"))
+    ends = F.array(
+        F.struct(F.lit(0).cast("bigint").alias("seq"), F.lit("[").alias("json")),
+        F.struct((F.col("_n") + 1).alias("seq"), F.lit("]").alias("json")),
+    )
+    brackets = numbered.agg(F.count("*").alias("_n")).select(F.inline(ends))
+    return pieces.unionByName(brackets)
+
 
+def as_xml(df: DataFrame, order_by: str) -> DataFrame:
+    """A report as XML elements without a row wrapper, in pieces: (seq, xml), one per row; NULL columns are left out.
 
-def as_xml(df: DataFrame, order_by: str, max_rows=10_000) -> DataFrame:
-    """A whole report as XML elements without a row wrapper, in one row; NULL columns are left out."""
+    Joined in the order of `seq`, the pieces are the text.
+    """
     elements = [
         F.concat(F.lit(f"<{identifier(name)}>"), _escaped(F.col(f"`{name}`")), F.lit(f"</{identifier(name)}>"))
         for name in df.columns
     ]
-    texts = _ordered_texts(df, order_by, F.concat_ws("", *elements), max_rows, "one element list per row")
-    return texts.select(F.array_join("_texts", "").alias("xml"))
-
-
-def _ordered_texts(df: DataFrame, order_by: str, text, max_rows: int, instead: str) -> DataFrame:
-    """The row texts as one sorted array, gathered from at most max_rows + 1 rows."""
-    rows = df.limit(max_rows + 1).select(F.struct(F.col(order_by).alias("k"), text.alias("t")).alias("r"))
-    gathered = rows.agg(F.count("*").alias("_n"), F.sort_array(F.collect_list("r")).alias("_rows"))
-    message = F.lit(f"the result has more than {max_rows} rows; write it as {instead}")
-    fits = F.when(F.col("_n") > max_rows, F.raise_error(message).cast("array<string>"))
-    return gathered.select(fits.otherwise(F.col("_rows.t")).alias("_texts"))
+    rows = df.select(F.col(f"`{order_by}`").alias("_order"), F.concat_ws("", *elements).alias("xml"))
+    return number_rows(rows, ["_order"], "seq").select("seq", "xml")
 
 
 def _escaped(column):
@@ -72,44 +73,49 @@ def nest_by(
     parent_columns: list[str],
     child_columns: list[str],
     child_array: str,
-    max_children=10_000,
 ) -> DataFrame:
-    """Per group one JSON array of parent objects, each with the array of its children.
-
-    Returns (group, part, parts, document). A group of at most `max_children` children is one text, part
-    0 of 1. Otherwise its elements are spread over several parts of about that many children, which
-    together are the whole array; and a parent with more children than that appears as several elements,
-    each with a share of them. So neither a hot group nor a hot parent is ever gathered in one task.
-    Parents without children are left out (inner join). `children` should come straight from files: the
-    children of a hot parent are cut up by their position in the scan.
-
-    The few hot parents and the sizes of the groups are written first. As tables of known size they are
-    broadcast if they are small, and the children are shuffled once per level of nesting.
+    """Per group one JSON array of parent objects, each with the array of its children, in pieces.
+
+    Returns (group, seq, text): a piece for each bracket of a group, for the begin and the end of each parent
+    and for each child. Joined in the order of `seq`, the pieces of a group are its array. The shape is the same
+    at every size and nothing is gathered: pieces are range-partitioned and numbered, so a group or a parent with
+    a third of all rows is spread like any other rows. Parents are ordered by their key and children by their
+    columns. Parents without children, and those without a group, are left out. Both frames should come straight
+    from files: equal rows are told apart by their position in the scan.
     """
-    parents = parents.select(*dict.fromkeys([parent_key, group, *parent_columns]))
-    children = children.select(*dict.fromkeys([child_key, *child_columns]))
-    counts = children.groupBy(child_key).agg(F.count("*").alias("_n"))
-    counted = parents.join(counts, F.col(parent_key) == F.col(child_key)).drop(child_key)
-    hot = materialize(counted.filter(F.col("_n") > max_children).drop("_n"), "hot-parents")
-    parts = F.ceil(F.sum("_n") / max_children).cast("int").alias("parts")
-    sizes = materialize(group_apart(counted, group).agg(parts).drop("_apart"), "group-sizes")
-
-    child_list = F.sort_array(F.collect_list(F.struct(*child_columns))).alias(child_array)
-    keys = hot.select(F.col(parent_key).alias("_hot")).distinct()
-    usual = children.join(keys, F.col(child_key) == F.col("_hot"), "left_anti").groupBy(child_key).agg(child_list)
-    elements = parents.join(usual, F.col(parent_key) == F.col(child_key)).withColumn("_block", F.lit(0).cast("bigint"))
-    if not hot.isEmpty():
-        # A block of consecutive scan positions holds at most max_children rows.
-        block = F.floor(F.monotonically_increasing_id() / max_children).alias("_block")
-        placed = children.select("*", block).join(hot, F.col(child_key) == F.col(parent_key))
-        # Grouped by a struct: by the key and the block, rows would stay where a join by key put them.
-        pieces = placed.groupBy(F.struct(*hot.columns, "_block").alias("_piece")).agg(child_list)
-        elements = elements.drop(child_key).unionByName(pieces.select("_piece.*", child_array))
-    element = F.struct(parent_key, "_block", F.to_json(F.struct(*parent_columns, child_array)).alias("text"))
-    part = F.pmod(F.xxhash64(parent_key, "_block"), F.col("parts")).cast("int").alias("part")
-    return (
-        elements.join(sizes, group)
-        .groupBy(F.struct(group, part, "parts").alias("_document"))
-        .agg(F.sort_array(F.collect_list(element)).alias("_elements"))
-        .select("_document.*", F.concat(F.lit("["), F.array_join("_elements.text", ","), F.lit("]")).alias("document"))
+    parents = parents.filter(F.col(group).isNotNull()).select(*dict.fromkeys([parent_key, group, *parent_columns]))
+    parents = parents.withColumn("_parent", F.monotonically_increasing_id())
+    children = children.select(*dict.fromkeys([child_key, *child_columns])).withColumn("_child", F.monotonically_increasing_id())
+    order = F.struct(*child_columns, "_child")
+    # The first child of each parent and the first parent of each group have no comma before them.
+    first = group_apart(children, child_key).agg(F.min(order).alias("_first")).drop("_apart")
+    held = parents.join(first, F.col(parent_key) == F.col(child_key)).drop(child_key)
+    lead = group_apart(held.withColumnRenamed(group, "_group"), "_group").agg(
+        F.min(F.struct(parent_key, "_parent")).alias("_lead")
     )
+    held = held.join(lead.drop("_apart"), F.col(group) == F.col("_group")).drop("_group")
+
+    def pieces(df, section, kind, text, child=None):
+        own = F.lit(None).cast(children.select(order.alias("o")).schema["o"].dataType) if child is None else child
+        keys = (parent_key, "_parent") if section == 1 else ()
+        columns = [F.col(group), F.lit(section).alias("_section")]
+        columns += [F.col(k) for k in keys] or [F.lit(None).cast(parents.schema[k].dataType).alias(k) for k in (parent_key, "_parent")]
+        return df.select(*columns, F.lit(kind).alias("_kind"), own.alias("_order"), text.alias("text"))
+
+    alone = F.to_json(F.struct(*parent_columns))
+    begin = F.when(alone == "{}", "{").otherwise(F.concat(F.expr("substring(_json, 1, length(_json) - 1)"), F.lit(",")))
+    comma = F.when(F.struct(parent_key, "_parent") == F.col("_lead"), "").otherwise(",")
+    heads = held.withColumn("_json", alone)
+    members = children.join(held.select(parent_key, "_parent", group, "_first"), F.col(parent_key) == F.col(child_key))
+    member_comma = F.when(order == F.col("_first"), "").otherwise(",")
+    groups = lead.select(F.col("_group").alias(group))
+    everything = [
+        pieces(groups, 0, 0, F.lit("[")),
+        pieces(heads, 1, 0, F.concat(comma, begin, F.lit(f'"{child_array}":['))),
+        pieces(members, 1, 1, F.concat(member_comma, F.to_json(F.struct(*child_columns))), order),
+        pieces(held, 1, 2, F.lit("]}")),
+        pieces(groups, 2, 0, F.lit("]")),
+    ]
+    rows = reduce(DataFrame.unionByName, everything)
+    sorted_by = [group, "_section", parent_key, "_parent", "_kind", "_order"]
+    return number_rows(rows, sorted_by, "seq").select(group, "seq", "text")

@@ -4,13 +4,13 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
 from tidewright.operators import upsert
-from tidewright.sources import VersionedTable, changed_between, conform
+from tidewright.sources import PartitionedTable, VersionedTable, changed_between, conform
 
 
 @dataclass
@@ -41,34 +41,45 @@ def extracts(tables: list[LoadedTable]) -> dict[str, Callable]:
     return {extract_name(table.name): extract(table) for table in tables}
 
 
+#: The column that places a row of a target in one of its parts.
+BUCKET = "p_bucket"
+
+
 class Warehouse:
-    """Targets, staging tables and the control tables of the load, below one folder."""
+    """Targets, staging tables and the control tables of the load, below one folder.
 
-    # Everything is newer than this: the cutoff of a table that was never loaded.
-    BEGINNING = dt.datetime(1900, 1, 1)
+    Targets are cut into `buckets` parts by a hash of their keys; a load writes the parts that its rows fall into.
+    The number belongs to the stored table: some tens of GB per part suit large ones.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root
+        self.buckets = buckets
         self.lineage = VersionedTable(spark, f"{root}/control/lineage", schemas.LINEAGE)
         self.cutoffs = VersionedTable(spark, f"{root}/control/cutoffs", schemas.CUTOFFS)
 
-    def target(self, table: LoadedTable) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/target/{table.name}", table.schema)
+    def target(self, table: LoadedTable) -> PartitionedTable:
+        schema = T.StructType([*table.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        return PartitionedTable(self.spark, f"{self.root}/target/{table.name}", schema, [BUCKET])
+
+    def bucket(self, table: LoadedTable) -> Column:
+        return F.pmod(F.xxhash64(*table.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
     def staging(self, table: LoadedTable) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/staging/{staging_name(table.name)}", table.schema)
 
-    def last_cutoff(self, name: str) -> dt.datetime:
+    def last_cutoff(self, name: str) -> dt.datetime | None:
+        """None for a table that was never loaded: its first load has no lower bound."""
         row = self.cutoffs.read().filter(F.col("table_name") == name).first()
-        return row["cutoff"] if row else self.BEGINNING
+        return row["cutoff"] if row else None
 
     def record_lineage(self, name: str, cutoff: dt.datetime) -> int:
         """Note the start of a load and return its key, one above the highest so far."""
-        highest = self.lineage.read().agg(F.max("lineage_key")).first()[0]
-        key = (highest or 0) + 1
+        known = self.lineage.read()
+        key = (known.agg(F.max("lineage_key")).first()[0] or 0) + 1
         row = self.spark.createDataFrame([(key, name, cutoff, cutoff)], schemas.LINEAGE)
-        self.lineage.append(row)
+        self.lineage.publish(known.unionByName(row))
         return key
 
     def advance(self, name: str, cutoff: dt.datetime) -> None:
@@ -77,19 +88,33 @@ class Warehouse:
         self.cutoffs.publish(others.unionByName(row))
 
 
-def load_table(warehouse: Warehouse, table: LoadedTable, extract: Callable, now: dt.datetime) -> None:
+def merge(warehouse: Warehouse, table: LoadedTable, staged: DataFrame) -> None:
+    """Upsert staged rows into the parts of the target that they fall into; the other parts are not read."""
+    target = warehouse.target(table)
+    bucket = warehouse.bucket(table)
+    touched = [row[0] for row in staged.select(bucket).distinct().collect()]  # at most the number of parts
+    if touched:
+        old = target.read().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        target.replace(upsert(old, staged, table.keys, [table.changed_at]).select("*", bucket))
+
+
+def load_table(
+    warehouse: Warehouse, table: LoadedTable, extract: Callable, now: dt.datetime, key: str | None = None
+) -> None:
     """Lineage, clear staging, extract the window, stage, merge; the cutoff moves only after the merge.
 
-    A load that dies on the way leaves target and cutoff as they were and takes the same window again.
+    Lineage and cutoffs are kept under `key`, the control table's second column. A load that dies on the way
+    takes the same window again: its rows replace the same rows of the target once more.
     """
-    warehouse.record_lineage(table.name, now)
-    last = warehouse.last_cutoff(table.name)
-    staging, target = warehouse.staging(table), warehouse.target(table)
+    key = key or table.name
+    warehouse.record_lineage(key, now)
+    last = warehouse.last_cutoff(key)
+    staging = warehouse.staging(table)
     # A new version replaces what was staged before.
     staging.publish(conform(extract(warehouse.spark, last, now), table.schema))
-    target.publish(upsert(target.read(), staging.read(), table.keys, [table.changed_at]))
-    warehouse.advance(table.name, now)
-    for table_versions in (staging, target, warehouse.cutoffs):
+    merge(warehouse, table, staging.read())
+    warehouse.advance(key, now)
+    for table_versions in (staging, warehouse.cutoffs, warehouse.lineage):
         table_versions.expire()
 
 
@@ -98,17 +123,20 @@ def incremental_load(
 ) -> None:
     """Load every table listed in the control table (all of them without one), in its order.
 
-    The cutoff is fixed before the first table. The control table has one line per table, so its names
-    are read to the driver; the loop over them is the schedule, and each load is a set of Spark jobs.
+    The cutoff is fixed before the first table. The control table has one line per table, with its name and the
+    name under which lineage and cutoffs are kept (Name, Col), so it is read to the driver; the loop over it is
+    the schedule, and each load is a set of Spark jobs.
     """
     by_name = {table.name: table for table in tables}
     procedures = extracts(tables)
-    names = [row["Name"] for row in control.select("Name").collect()] if control is not None else list(by_name)
-    unknown = [name for name in names if name not in by_name]
+    lines = [(row["Name"], row["Col"]) for row in control.select("Name", "Col").collect()] if control is not None else [
+        (name, name) for name in by_name
+    ]
+    unknown = [name for name, _ in lines if name not in by_name]
     if unknown:
         raise ValueError(f"the control table lists unknown tables {unknown}")
-    for name in names:
-        load_table(warehouse, by_name[name], procedures[extract_name(name)], now)
+    for name, key in lines:
+        load_table(warehouse, by_name[name], procedures[extract_name(name)], now, key)
 
 
 def date_dimension(years: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -4,15 +4,17 @@ Jobs that write run for real, in a new folder below the shared one, and the resu
 """
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
-from tidewright.operators import check, chunk, first_per_key, split
+from tidewright.operators import check, first_per_key, split
 from tidewright.plans import files, incremental, medallion
-from tidewright.sources import open_tables, read_people, scratch_path
+from tidewright.sources import batch_writer, open_tables, read_table, scratch_path
+from tidewright.sources.readers import read_parquet, read_raw
 
 INGESTED = dt.datetime(2022, 1, 1)
 FIRST_CUTOFF = dt.datetime(2024, 1, 10)
@@ -33,10 +35,11 @@ EVENT_ROW = T.StructType(
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:
-    """One movie document per order, in `value`.
+    """Movie documents of the orders, in `value`.
 
     Run time is the shortest lead time of its lines, genres are the distinct (size, type) of its parts;
-    the name of size 1 is blank. Orders without lines have neither.
+    the name of size 1 is blank. Orders without lines have neither. Every tenth order gives an exact copy
+    too, and every seventh another document under its Id, with the opposite sign of the run time.
     """
     lineitem, orders, part = open_tables(spark, folder, "lineitem", "orders", "part")
     genre = F.struct(
@@ -48,7 +51,12 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.min("l_shipdate").alias("shipped"), F.sort_array(F.collect_set(genre)).alias("genres"))
     )
-    joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    key = F.col("o_orderkey")
+    kinds = F.array(F.lit("first"), F.when(key % 10 == 0, "copy"), F.when(key % 7 == 0, "other"))
+    joined = orders.join(per_order, key == F.col("l_orderkey"), "left").withColumn(
+        "days", F.date_diff("shipped", "o_orderdate")
+    )
+    joined = joined.withColumn("kind", F.explode(F.array_compact(kinds)))
     day = F.to_date("o_orderdate").cast("string")
     known = {
         "Budget": F.col("o_totalprice"),
@@ -57,8 +65,8 @@ def movies(spark: SparkSession, folder: str) -> DataFrame:
         "Id": F.col("o_orderkey"),
         "OriginalLanguage": F.col("o_orderpriority"),
         "ReleaseDate": day,
-        "RunTime": F.date_diff("shipped", "o_orderdate"),
-        "Title": F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")),
+        "RunTime": F.when(F.col("kind") == "other", -1 - F.col("days")).otherwise(F.col("days")),
+        "Title": F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.when(F.col("kind") == "other", " again").otherwise("")),
         "genres": F.col("genres"),
     }
     fields = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.MOVIE]
@@ -70,12 +78,49 @@ def bronze(spark, folder) -> DataFrame:
 
 
 def _raw_drop(spark, folder) -> str:
-    """The movies as a folder of raw JSON, one document with one movie per line."""
-    path = scratch_path(spark, "raw-movies")
-    movies(spark, folder).select(F.array("value").alias("movie")).write.option("compression", "gzip").json(path)
+    """The movies as a folder of raw JSON, one document with one movie per line, in files that split."""
+    return _write_drop(movies(spark, folder))
+
+
+def _write_drop(documents: DataFrame) -> str:
+    path = scratch_path(documents.sparkSession, "raw-movies")
+    documents.select(F.array("value").alias("movie")).write.json(path)
     return path
 
 
+def s01_multi_line_documents(spark, folder) -> DataFrame:
+    """Movies read from multi-line arrays of documents, with a field that the schema does not declare."""
+    path = scratch_path(spark, "raw-arrays")
+    extra = F.concat(F.lit("about "), F.col("value.Title")).alias("Extra")
+    grouped = movies(spark, folder).select(F.struct("value.*", extra).alias("value"))
+    # Files of bounded size: some hundreds of movies each.
+    grouped = grouped.groupBy(F.floor(F.col("value.Id") / 500).alias("file")).agg(F.collect_list("value").alias("movie"))
+    text = F.concat(F.lit("[\n"), F.to_json(F.struct("movie")), F.lit(',\n{"movie": []},\n{}\n]'))
+    grouped.select("file", text.alias("text")).write.partitionBy("file").text(path)
+    return read_raw(spark, path, multi_line=True, allow_drift=True).select("value.Id", "value.RunTime", "value.Extra")
+
+
+def s02_catalog_flow(spark, folder) -> DataFrame:
+    """New bronze rows and silver rows by table name, after a medallion that registers its tables."""
+    lake, database = _new_lake(spark), f"lake_{uuid.uuid4().hex}"
+    medallion.raw_to_bronze(lake, _raw_drop(spark, folder), INGESTED, database=database)
+    medallion.bronze_to_silver(lake)
+    medallion.silver_update(lake)
+    lake.register(database)
+    new = read_table(spark, database, "movie_bronze", "status = 'new'").select("value.Id")
+    silver = read_table(spark, database, "movie_silver", F.col("RunTime") >= 0).select("Id")
+    return new.withColumn("found", F.lit("bronze")).unionByName(silver.withColumn("found", F.lit("silver")))
+
+
+def s03_parquet_drift(spark, folder) -> DataFrame:
+    """Parts written to two files and read under a shorter declared schema that must hold, extra columns kept."""
+    part = open_tables(spark, folder, "part")
+    path = scratch_path(spark, "parts")
+    batch_writer(part, mode="overwrite", files=2).save(path)
+    declared = T.StructType([T.StructField("p_size", T.IntegerType()), T.StructField("p_partkey", T.LongType())])
+    return read_parquet(spark, path, declared, allow_drift=True, validate=True)
+
+
 def _genre_text(column: str):
     return F.array_join(F.transform(column, lambda g: F.concat_ws(":", g["id"].cast("string"), g["name"])), ",")
 
@@ -83,7 +128,7 @@ def _genre_text(column: str):
 def m01_raw_to_bronze(spark, folder) -> DataFrame:
     """Bronze after a raw folder was loaded."""
     lake = _new_lake(spark)
-    medallion.raw_to_bronze(lake, _raw_drop(spark, folder), INGESTED, multi_line=False)
+    medallion.raw_to_bronze(lake, _raw_drop(spark, folder), INGESTED)
     return lake.bronze.read().select(
         "value.Id",
         "value.Budget",
@@ -173,10 +218,21 @@ def m08_repair(spark, folder) -> DataFrame:
 def m08_repair_status(spark, folder) -> DataFrame:
     """Bronze rows by status after the whole medallion ran from the raw folder."""
     lake = _new_lake(spark)
-    medallion.run_medallion(lake, _raw_drop(spark, folder), INGESTED, multi_line=False)
+    medallion.run_medallion(lake, _raw_drop(spark, folder), INGESTED)
     return lake.bronze.read().groupBy("status").agg(F.count("*").alias("n"))
 
 
+def m13_second_drop(spark, folder) -> DataFrame:
+    """Status of all bronze rows after a second drop brought some of the documents again and went into silver."""
+    lake = _lake_with_bronze(spark, folder)
+    medallion.bronze_to_silver(lake)
+    medallion.silver_update(lake)
+    again = movies(spark, folder).filter(F.col("value.Id") % 5 == 0)
+    medallion.raw_to_bronze(lake, _write_drop(again), INGESTED + dt.timedelta(days=1), mode="append")
+    medallion.bronze_to_silver(lake, mode="append")
+    return lake.bronze.read().select("value.Id", "value.RunTime", "status", "p_ingestdate")
+
+
 def m09_dedupe_by_key(spark, folder) -> DataFrame:
     """The first line of each (order, line number), all other columns breaking ties."""
     lineitem = open_tables(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
@@ -221,19 +277,43 @@ def _events_table(folder: str) -> incremental.LoadedTable:
     )
 
 
-def i02_staged_upsert(spark, folder) -> DataFrame:
-    """The latest event per user after two loads, the second on top of the first."""
+def _untyped_events(folder: str) -> incremental.LoadedTable:
+    """Events with values as text, some without a time and some of long ago."""
+
+    def source(spark):
+        events = open_tables(spark, folder, "events")
+        old = F.expr("TIMESTAMP_NTZ'1850-06-01'")
+        ts = F.when(F.col("event_id") % 97 == 0, None).when(F.col("event_id") % 89 == 0, old).otherwise(F.col("ts"))
+        return events.withColumn("ts", ts).withColumn("value", F.col("value").cast("string"))
+
+    return incremental.LoadedTable("Events", source, "ts", ["user_id"], EVENT_ROW)
+
+
+def _loaded_warehouse(spark, folder):
     warehouse = incremental.Warehouse(spark, scratch_path(spark, "warehouse"))
-    table = _events_table(folder)
-    control = spark.createDataFrame([("Events", "user_id")], "Name string, Col string")
+    table = _untyped_events(folder)
+    control = spark.createDataFrame([("Events", "Event key")], "Name string, Col string")
     for cutoff in (FIRST_CUTOFF, SECOND_CUTOFF):
         incremental.incremental_load(warehouse, [table], cutoff, control)
+    return warehouse, table
+
+
+def i02_staged_upsert(spark, folder) -> DataFrame:
+    """The latest event per user after two loads, the second on top of the first."""
+    warehouse, table = _loaded_warehouse(spark, folder)
     return warehouse.target(table).read().select("user_id", "event_id", "event_type", "value")
 
 
+def i04_lineage(spark, folder) -> DataFrame:
+    """What the two loads noted, next to the number of rows that the last one staged."""
+    warehouse, table = _loaded_warehouse(spark, folder)
+    staged = warehouse.staging(table).read().agg(F.count("*").alias("n")).first()["n"]
+    notes = warehouse.lineage.read().join(warehouse.cutoffs.read().withColumnRenamed("cutoff", "last"), "table_name")
+    return notes.select("lineage_key", "table_name", "cutoff", "last", F.when(F.col("cutoff") == F.col("last"), staged).alias("staged"))
+
+
 def i03_date_dimension(spark, folder) -> DataFrame:
-    """All days of the years in which orders were placed, and whether a day saw any, without the days of
-    1998, which count as loaded before."""
+    """All days of the years in which orders were placed, without the days of 1998, which count as loaded before."""
     orders = open_tables(spark, folder, "orders")
     years = orders.select(F.year("o_orderdate").alias("year")).distinct()
     loaded = incremental.date_dimension(years.filter(F.col("year") == 1998))
@@ -268,14 +348,27 @@ def f01_people_dedupe(spark, folder) -> DataFrame:
         F.concat(F.lit("Nation "), F.col("c_nationkey").cast("string")).alias("address"),
     )
     path = scratch_path(spark, "people")
-    drop.write.options(sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False, compression="gzip").csv(path)
-    return files.dedupe_people(read_people(spark, path))
+    drop.write.options(sep="\t", header=True, quote="", ignoreLeadingWhiteSpace=False).csv(path)
+    files.clean_people_files(spark, path, f"{path}-clean", per_file=False)
+    return spark.read.options(header=True, escape='"').csv(f"{path}-clean")
+
+
+def _chunk_files(spark, folder, keep_remainder: bool) -> DataFrame:
+    documents = open_tables(spark, folder, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "chunks")
+    files.split_documents(documents, path, "doc_id", 7, keep_remainder=keep_remainder)
+    back = spark.read.schema("doc_id long, text string, chunk int").json(path)
+    return back.select("doc_id", "chunk", F.length("text").alias("characters"))
 
 
 def f02_chunk_split(spark, folder) -> DataFrame:
-    """Documents in eight equal runs by id."""
-    documents = open_tables(spark, folder, "documents")
-    return chunk(documents, 8, "doc_id").select("doc_id", "chunk", F.length("text").alias("characters"))
+    """Documents in seven files of equal length by id, the remainder left out."""
+    return _chunk_files(spark, folder, keep_remainder=False)
+
+
+def f03_chunk_keep(spark, folder) -> DataFrame:
+    """The same with the remainder in the last file."""
+    return _chunk_files(spark, folder, keep_remainder=True)
 
 
 QUERIES = {
@@ -296,11 +389,17 @@ QUERIES = {
         m11_rank_key,
         m11_rank_rows,
         m12_status_join,
+        m13_second_drop,
+        s01_multi_line_documents,
+        s02_catalog_flow,
+        s03_parquet_drift,
         i01_cutoff_extract,
         i02_staged_upsert,
         i03_date_dimension,
+        i04_lineage,
         o01_table_checks,
         f01_people_dedupe,
         f02_chunk_split,
+        f03_chunk_keep,
     )
 }

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidewright import schemas
 from tidewright.operators import first_per_key, group_apart, split
-from tidewright.sources import VersionedTable
+from tidewright.sources import PartitionedTable
 from tidewright.sources.readers import read_raw
 
 # The budget floor, the data source name and the row states.
@@ -17,6 +17,9 @@ BUDGET_FLOOR = 100000.0
 DATASOURCE = "movie.json"
 NEW, LOADED, QUARANTINED = "new", "loaded", "quarantined"
 
+#: Every table has a partition for each load, so that a load that runs again replaces its own rows.
+LOAD = "p_load"
+
 # Silver columns that are not simply the document field of the same name.
 _DERIVED = {
     "Budget": lambda: floored_budget(F.col("value.Budget")),
@@ -34,18 +37,17 @@ class Lakehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, movie_partition: str | None = "p_CreatedDate"):
+        def table(name: str, schema: T.StructType, *by: str, gather=True) -> PartitionedTable:
+            schema = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+            return PartitionedTable(spark, f"{root}/{name}", schema, list(by), gather)
+
         self.spark = spark
-        # A load has one ingest date and a rewrite reads files of few dates, so bronze needs no gathering.
-        self.bronze = VersionedTable(spark, f"{root}/bronze", schemas.BRONZE, "p_ingestdate", gather=False)
-        self.movie = VersionedTable(spark, f"{root}/silver/movie", schemas.SILVER_MOVIE, movie_partition)
-        # A folder per genre or language would hold a handful of rows each, so these have no partitions.
-        self.genres = VersionedTable(spark, f"{root}/silver/genres", schemas.SILVER_GENRES)
-        self.language = VersionedTable(spark, f"{root}/silver/language", schemas.SILVER_LANGUAGE)
-
-    def expire(self, keep: int = 2) -> None:
-        """Drop versions that later steps have replaced; the one before the current stays for its readers."""
-        for table in (self.bronze, self.movie, self.genres, self.language):
-            table.expire(keep)
+        # A load has one ingest date and a status change reads files of few loads, so bronze needs no gathering.
+        self.bronze = table("bronze", schemas.BRONZE, "p_ingestdate", LOAD, gather=False)
+        self.movie = table("silver/movie", schemas.SILVER_MOVIE, LOAD, *([movie_partition] if movie_partition else []))
+        # A folder per genre or language would hold a handful of rows each.
+        self.genres = table("silver/genres", schemas.SILVER_GENRES, LOAD)
+        self.language = table("silver/language", schemas.SILVER_LANGUAGE, LOAD)
 
     def register(self, database="Movie") -> None:
         for name, table in (
@@ -63,20 +65,29 @@ class Lakehouse:
 
 def to_bronze(raw: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """Keep each document whole in `value` and stamp where and when it came in."""
-    at = F.lit(str(now)) if now else F.current_timestamp()
+    at = (F.lit(str(now)) if now else F.current_timestamp()).cast("timestamp")
     return raw.select(
         "value",
         F.lit(DATASOURCE).alias("datasource"),
-        at.cast("timestamp").alias("ingesttime"),
+        at.alias("ingesttime"),
         F.lit(NEW).alias("status"),
-        at.cast("timestamp").cast("date").alias("p_ingestdate"),
+        at.cast("date").alias("p_ingestdate"),
+        F.date_format(at, "yyyyMMddHHmmssSSS").alias(LOAD),
     )
 
 
-def raw_to_bronze(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", **read_options) -> int:
-    """Load a folder of raw documents. Overwrite can be rerun freely; append adds to what is there."""
+def raw_to_bronze(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", database=None, **read_options) -> None:
+    """Load a folder of raw documents, and register the table in a database.
+
+    Overwrite replaces everything. Append adds a load, or replaces the load with the same `now`.
+    """
     bronze = to_bronze(read_raw(lake.spark, raw_path, **read_options), now)
-    return lake.bronze.append(bronze) if mode == "append" else lake.bronze.publish(bronze)
+    if mode == "append":
+        lake.bronze.replace(bronze)
+    else:
+        lake.bronze.publish(bronze)
+    if database:
+        lake.register(database)
 
 
 # --- silver projections ----------------------------------------------------------------------------
@@ -182,6 +193,20 @@ def settle(bronze: DataFrame, batch: str, outcome: Column, key="value.Id") -> Da
     return in_place(bronze.filter(~would_move)).unionByName(merge_status(outside, updates))
 
 
+def settle_loads(bronze: PartitionedTable, batch: str, outcome: Column, key="value.Id") -> None:
+    """settle() on the stored table, writing only loads that hold rows of the batch, or other rows with a key of
+    such a row that may change with it. Loads are few, so their names are read to the driver."""
+    rows = bronze.read()
+    in_batch = F.col("status") == batch
+    would_move = F.coalesce(~in_batch & outcome.isNotNull() & (F.col("status") != outcome), F.lit(False))
+    keys = rows.filter(in_batch & outcome.isNotNull()).select(F.col(key).alias("_key")).distinct()
+    others = rows.filter(would_move).select(F.col(key).alias("_own"), LOAD)
+    twins = others.join(keys, F.col("_own").eqNullSafe(F.col("_key")), "left_semi").select(LOAD)
+    loads = [r[LOAD] for r in rows.filter(in_batch).select(LOAD).distinct().union(twins.distinct()).distinct().collect()]
+    if loads:
+        bronze.replace(settle(rows.filter(F.col(LOAD).isin(loads)), batch, outcome, key))
+
+
 def bronze_outcome() -> Column:
     run_time = F.col("value.RunTime")
     return F.when(run_time >= 0, LOADED).when(run_time < 0, QUARANTINED)
@@ -197,12 +222,13 @@ def repair_outcome() -> Column:
 def bronze_to_silver(lake: Lakehouse, mode="overwrite", null_to_quarantine=False) -> None:
     """Load new bronze rows into the silver tables, then mark them loaded or quarantined.
 
-    Every read goes to the bronze version that was current at the start, so the status change cannot
-    disturb the frames of this job. Sinks run in order and the status comes last: a job that dies before
-    it can simply be run again in overwrite mode. Each sink reads only the columns it needs.
+    Sinks run in order and the status comes last: a job that dies before it can simply be run again, as it
+    finds the same new rows and writes the same load. Each sink reads only the columns it needs.
     """
-    bronze = lake.bronze.read()
-    new = bronze.filter(F.col("status") == NEW)
+    new = lake.bronze.read().filter(F.col("status") == NEW)
+    load = new.agg(F.max(LOAD)).first()[0]
+    if load is None and mode == "append":
+        return
     # Distinct documents first: their flat columns are functions of the document.
     clean = silver_movie(new.select("value").filter(F.col("value.RunTime") >= 0).distinct()).drop("value")
     for table, frame in (
@@ -210,14 +236,15 @@ def bronze_to_silver(lake: Lakehouse, mode="overwrite", null_to_quarantine=False
         (lake.language, silver_language(new)),
         (lake.movie, clean),
     ):
+        loaded = frame.withColumn(LOAD, F.lit(load))
         if mode == "append":
-            table.append(frame)
+            table.replace(loaded)
         else:
-            table.publish(frame)
+            table.publish(loaded)
     outcome = bronze_outcome()
     if null_to_quarantine:
         outcome = F.coalesce(outcome, F.lit(QUARANTINED))
-    lake.bronze.publish(settle(bronze, NEW, outcome))
+    settle_loads(lake.bronze, NEW, outcome)
 
 
 def repair(quarantined: DataFrame) -> DataFrame:
@@ -231,14 +258,16 @@ def repair(quarantined: DataFrame) -> DataFrame:
 
 
 def silver_update(lake: Lakehouse) -> None:
-    """Append the repaired movies to silver and mark their bronze rows loaded.
+    """Add the repaired movies to silver as a load of their own, and mark their bronze rows loaded.
 
-    The two steps are two commits. If the driver dies between them, run the medallion again in overwrite
-    mode; a second run of this step alone would append the same movies once more.
+    If the driver dies between the two steps, a second run finds the same rows and replaces the same load.
     """
-    bronze = lake.bronze.read()
-    lake.movie.append(repair(bronze.filter(F.col("status") == QUARANTINED)).drop("value"))
-    lake.bronze.publish(settle(bronze, QUARANTINED, repair_outcome()))
+    quarantined = lake.bronze.read().filter(F.col("status") == QUARANTINED)
+    load = quarantined.agg(F.max(LOAD)).first()[0]
+    if load is None:
+        return
+    lake.movie.replace(repair(quarantined).drop("value").withColumn(LOAD, F.lit(f"{load}-repaired")))
+    settle_loads(lake.bronze, QUARANTINED, repair_outcome())
 
 
 def run_medallion(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", **read_options) -> None:
@@ -246,7 +275,6 @@ def run_medallion(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", **
     raw_to_bronze(lake, raw_path, now, mode, **read_options)
     bronze_to_silver(lake, mode)
     silver_update(lake)
-    lake.expire()
 
 
 # --- the second dialect: one row per Id, status joined by Id -----------------------------------------
@@ -264,13 +292,11 @@ def rank_key(languages: DataFrame, column: str) -> DataFrame:
 def status_by_id(bronze: DataFrame) -> DataFrame:
     """Bronze rows of new documents with the status of the one document kept per Id.
 
-    Loaded and quarantined documents (NULL run times are quarantined here) are put under each other and
-    joined to bronze on the nested Id; bronze rows without a partner are not in the result.
+    Loaded and quarantined documents (NULL run times are quarantined here), the first of each Id of either
+    kind, are joined to bronze on the nested Id; bronze rows without a partner are not in the result.
     """
-    new = bronze.filter(F.col("status") == NEW).select(F.col("value.Id").alias("Id"), "value")
-    clean, rest = split(new, F.col("value.RunTime") >= 0)
-    loaded = first_per_key(clean, ["Id"], for_join=True).select("Id", "value", F.lit(LOADED).alias("status"))
-    quarantined = first_per_key(rest, ["Id"], for_join=True).select("Id", "value", F.lit(QUARANTINED).alias("status"))
-    statuses = loaded.union(quarantined)
+    kind = F.when(F.col("value.RunTime") >= 0, LOADED).otherwise(QUARANTINED).alias("status")
+    new = bronze.filter(F.col("status") == NEW).select(F.col("value.Id").alias("Id"), kind, "value")
+    statuses = first_per_key(new, ["Id", "status"], for_join=True)
     arrived = bronze.select(F.col("value.Id").alias("Id"), "datasource", "ingesttime", "p_ingestdate")
     return statuses.join(arrived, "Id").select("value", "datasource", "ingesttime", "status", "p_ingestdate")

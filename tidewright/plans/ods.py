@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewright import schemas
 from tidewright.functions import json_value, on_days
 from tidewright.operators import nest_by, number_rows
-from tidewright.sources import VersionedTable
+from tidewright.sources import PartitionedTable, Scratch
 
 
 def order_totals(orders: DataFrame, lines: DataFrame, first: dt.date, last: dt.date | None = None) -> DataFrame:
@@ -26,26 +26,36 @@ def order_totals(orders: DataFrame, lines: DataFrame, first: dt.date, last: dt.d
     )
 
 
-def ods_orders(spark, path: str) -> VersionedTable:
-    return VersionedTable(spark, path, schemas.ODS_ORDERS, "OrderDate")
+def ods_orders(spark, path: str) -> PartitionedTable:
+    return PartitionedTable(spark, path, schemas.ODS_ORDERS, ["OrderDate"])
 
 
-def load_day(orders: DataFrame, lines: DataFrame, ods: VersionedTable, day: dt.date) -> None:
+def load_day(orders: DataFrame, lines: DataFrame, ods: PartitionedTable, day: dt.date) -> None:
     """Add the order totals of one day; raise before writing anything if the day is there already."""
     if not ods.read().filter(F.col("OrderDate") == F.lit(day)).isEmpty():
         raise ValueError(f"orders of {day} are already loaded")
-    ods.append(order_totals(orders, lines, day))
+    ods.replace(order_totals(orders, lines, day))
 
 
-def reload_week(orders: DataFrame, lines: DataFrame, ods: VersionedTable, day: dt.date, days: int = 7) -> None:
+def reload_week(orders: DataFrame, lines: DataFrame, ods: PartitionedTable, day: dt.date, days: int = 7) -> None:
     """Remove everything up to `day`, then load `day` and the `days` days after it.
 
-    Later rows stay. An order of the window that is already there is replaced, so a rerun is harmless.
+    Later rows stay. An order of the window that is already there is replaced, so a rerun is harmless. Only the
+    days of the window are written, and later days on which an order of the window stood before.
     """
-    window = order_totals(orders, lines, day, day + dt.timedelta(days=days))
-    later = ods.read().filter(F.col("OrderDate") > F.lit(day))
-    kept = later.join(window.select("OrderId"), "OrderId", "left_anti")
-    ods.publish(kept.unionByName(window))
+    last = day + dt.timedelta(days=days)
+    with Scratch(ods.spark, "week") as scratch:
+        window = scratch.cut(order_totals(orders, lines, day, last))
+        stored = ods.read()
+        own = window.select("OrderId")
+        moved = stored.filter(F.col("OrderDate") > F.lit(last)).join(own, "OrderId", "left_semi").select("OrderDate")
+        dates = [row["OrderDate"] for row in moved.distinct().collect()]  # the calendar bounds them
+        touched = F.col("OrderDate").between(F.lit(day + dt.timedelta(days=1)), F.lit(last))
+        if dates:
+            touched = touched | F.col("OrderDate").isin(dates)
+        kept = stored.filter(touched).join(own, "OrderId", "left_anti")
+        emptied = {name for name in ods.partitions() if name <= f"OrderDate={day}"} | {f"OrderDate={date}" for date in dates}
+        ods.replace(kept.unionByName(window), emptied)
 
 
 def migrate_items(items: DataFrame, json_column: str, attributes: dict[str, str]) -> DataFrame:
@@ -100,12 +110,12 @@ def backfill(missed: DataFrame, order_by: list[str], highest_item: int) -> tuple
 
 
 def invoice_documents(
-    orders: DataFrame, lines: DataFrame, order_columns: list[str], line_columns: list[str], max_children=10_000
+    orders: DataFrame, lines: DataFrame, order_columns: list[str], line_columns: list[str]
 ) -> DataFrame:
-    """Per order date the JSON array of its orders with their lines: (OrderDate, part, parts, document)."""
+    """Per order date the JSON array of its orders with their lines, in pieces: (OrderDate, seq, text)."""
     dated = orders.withColumn("_date", F.to_date("o_orderdate"))
     return nest_by(
-        dated, lines, "o_orderkey", "l_orderkey", "_date", order_columns, line_columns, "lines", max_children
+        dated, lines, "o_orderkey", "l_orderkey", "_date", order_columns, line_columns, "lines"
     ).withColumnRenamed("_date", "OrderDate")
 
 
@@ -115,7 +125,7 @@ def customer_documents(
     """The document of each date on which one customer ordered, once per order of that customer.
 
     Set-based form of a loop over the customer's orders: each order adds the document of its date again,
-    under the next id. Ids count up by date. They come from a running total over the distinct dates,
+    under the next id; documents come in pieces, ordered by `seq`. Ids count up by date. They come from a running total over the distinct dates,
     which the calendar bounds.
     """
     dates = (
@@ -131,9 +141,8 @@ def customer_documents(
     return _repeat(placed, "times", "_copy").select(
         (F.col("_before") + F.col("_copy")).alias("ID"),
         "InvoiceDate",
-        "part",
-        "parts",
-        F.col("document").alias("InvoiceValue"),
+        "seq",
+        F.col("text").alias("InvoiceValue"),
     )
 
 

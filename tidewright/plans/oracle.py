@@ -22,7 +22,7 @@ _BY_YEAR = (
 _JSON_CELLS = " || ".join(f"coalesce(',\"{name}\":' || {name}, '')" for name in _BRAND_CELLS)
 _XML_CELLS = " || ".join(f"coalesce('<{name}>' || {name} || '</{name}>', '')" for name in _BRAND_CELLS)
 
-# One movie per order, as the Spark side builds it.
+# Movies of the orders, copies and several of one Id among them, as the Spark side builds them.
 _MOVIES = """
     WITH per_order AS (
         SELECT l_orderkey, min(l_shipdate) AS shipped
@@ -37,15 +37,21 @@ _MOVIES = """
                string_agg(CAST(id AS VARCHAR), ',' ORDER BY id, name) AS ids,
                min(id) AS first_id
         FROM genre_rows GROUP BY l_orderkey
-    ), movies AS (
+    ), once AS (
         SELECT o_orderkey AS "Id", o_totalprice AS budget,
                CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(shipped AS DATE)) AS INTEGER) AS runtime,
                o_orderpriority AS lang, CAST(o_orderdate AS DATE) AS created, o_orderstatus AS created_by,
                'Order ' || o_orderkey AS title, genres, ids, first_id
         FROM orders LEFT JOIN per_order p ON o_orderkey = p.l_orderkey
         LEFT JOIN genre_lists g ON o_orderkey = g.l_orderkey
+    ), movies AS (
+        SELECT * FROM once UNION ALL SELECT * FROM once WHERE "Id" % 10 = 0
+        UNION ALL SELECT * REPLACE (-1 - runtime AS runtime, title || ' again' AS title) FROM once WHERE "Id" % 7 = 0
     )
 """
+_UNTYPED = """
+    SELECT *, CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN TIMESTAMP '1850-06-01' ELSE ts END AS changed FROM events
+"""
 _FLOORED = "CASE WHEN budget < 100000 THEN 100000 ELSE budget END"
 _DAY_TOTALS = """
     SELECT o_orderkey AS "OrderId", CAST(o_orderdate AS DATE) AS "OrderDate",
@@ -67,6 +73,43 @@ def _average_gap(unit: str, name: str) -> str:
     """
 
 
+_DECIMALS = {"o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+_DAYS = {"o_orderdate", "l_shipdate"}
+_TEXTS = {"o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus"}
+
+
+def _typed(column: str) -> str:
+    kind = "DECIMAL(18,2)" if column in _DECIMALS else "DATE" if column in _DAYS else None
+    return f"CAST({column} AS {kind}) AS {column}" if kind else column
+
+
+def _object(columns: list[str]) -> str:
+    """A JSON object without its last bracket."""
+    quote = {c: "\"" if c in _TEXTS | _DAYS else "" for c in columns}
+    return "'{' || " + " || ',' || ".join(f"'\"{c}\":{quote[c]}' || {c} || '{quote[c]}'" for c in columns)
+
+
+def _nested(parent: list[str], child: list[str], condition: str = "o_orderdate IS NOT NULL") -> str:
+    """pieces(d, seq, text): the brackets, orders and lines of the JSON array of each date, numbered in order."""
+    kids = [c for c in child if c != "l_orderkey"]
+    order = ", ".join(child)
+    return f"""
+        WITH o AS (SELECT {", ".join(map(_typed, dict.fromkeys(["o_orderkey", *parent])))}, CAST(o_orderdate AS DATE) AS d
+                   FROM orders WHERE {condition}),
+        l AS (SELECT {", ".join(map(_typed, ["l_orderkey", *kids]))} FROM lineitem),
+        p AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY o_orderkey) AS i FROM o
+              WHERE o_orderkey IN (SELECT l_orderkey FROM l)),
+        c AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) AS j FROM l JOIN p ON l_orderkey = o_orderkey),
+        every AS (
+            SELECT DISTINCT d, 0 AS s, NULL AS k, 0 AS kind, NULL AS j, '[' AS text FROM p
+            UNION ALL SELECT d, 1, o_orderkey, 0, NULL, CASE WHEN i > 1 THEN ',' ELSE '' END || {_object(parent)} || ',"lines":[' FROM p
+            UNION ALL SELECT d, 1, o_orderkey, 1, j, CASE WHEN j > 1 THEN ',' ELSE '' END || {_object(child)} || '}}' FROM c
+            UNION ALL SELECT d, 1, o_orderkey, 2, NULL, ']}}' FROM p
+            UNION ALL SELECT DISTINCT d, 2, NULL, 0, NULL, ']' FROM p),
+        pieces AS (SELECT d, row_number() OVER (ORDER BY d, s, k, kind, j) AS seq, text FROM every)
+    """
+
+
 ORACLE = {
     "q01_contact_lookup": """
         SELECT c_name AS full_name, c_mktsegment AS segment, coalesce(s_name, n_name) AS company,
@@ -120,8 +163,8 @@ ORACLE = {
     """,
     "q11_updated_since": "SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 2000",
     "q12_order_detail": """
-        SELECT p_name, c_name, c_mktsegment, n_name, r_name, l_quantity
-        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+        SELECT p_name, s_name, c_name, c_mktsegment, n_name, r_name, l_quantity
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey
         WHERE CAST(l_shipdate AS DATE) = '1998-07-01'
@@ -153,14 +196,20 @@ ORACLE = {
         SELECT user_id FROM events GROUP BY user_id
         HAVING count(CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 95 THEN 1 END) >= 1
     """,
+    "q15_second_attempt": """
+        SELECT event_id, CASE WHEN value < 1 THEN '{left open}' ELSE 'no answer to ' || event_type END AS comment
+        FROM events WHERE value < 20
+    """,
     "q16_made_in": "SELECT event_id FROM events WHERE json_extract_string(props, '$.k') = '69'",
     "q17_qty_by_country": """
         SELECT json_extract_string(props, '$.k') AS k, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-        FROM events GROUP BY 1
+        FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-08' AND '2024-01-21' GROUP BY 1
     """,
     "q17_qty_by_country_fanout": """
         SELECT json_extract_string(a.props, '$.k') AS k, CAST(SUM(CAST(b.value AS DECIMAL(18,2))) AS DOUBLE) AS total
-        FROM events a JOIN events b ON a.user_id = b.user_id GROUP BY 1
+        FROM (SELECT * FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-08' AND '2024-01-21') a
+        JOIN (SELECT * FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-08' AND '2024-01-21') b ON a.user_id = b.user_id
+        GROUP BY 1
     """,
     "q18_pivot_year": f"SELECT p_brand, {_YEAR_COLUMNS} FROM ({_SALES}) GROUP BY p_brand",
     "q19_pivot_group": f"SELECT CAST(\"year\" AS INTEGER) AS \"year\", * EXCLUDE (\"year\") FROM ({_BY_YEAR})",
@@ -171,11 +220,17 @@ ORACLE = {
     """,
     "q21_load_day": _DAY_TOTALS.format(days="'1996-01-05' AND '1996-01-06'"),
     "q22_item_migration": """
-        SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date,
-               CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value, json_extract_string(props, '$.k') AS k,
-               json_extract_string(props, '$.Range') AS item_range,
-               json_extract_string(props, '$.ShelfLife') AS shelf_life
-        FROM events
+        SELECT CAST(p_partkey AS INTEGER) AS "StockItemID", p_name AS "StockItemName", p_size AS "SupplierID",
+               CAST(NULL AS INTEGER) AS "ColorID", p_size % 7 AS "UnitPackageID", p_size % 5 AS "OuterPackageID",
+               p_brand AS "Brand", p_type AS "Size", p_size AS "LeadTimeDays", 1 AS "QuantityPerOuter",
+               0 AS "IsChillerStock", CAST(NULL AS VARCHAR) AS "Barcode", CAST(p_size AS DOUBLE) AS "TaxRate",
+               CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS "UnitPrice",
+               CAST(NULL AS DOUBLE) AS "RecommendedRetailPrice", p_size / 8 AS "TypicalWeightPerUnit",
+               CAST(NULL AS VARCHAR) AS "MarketingComments", CAST(NULL AS VARCHAR) AS "InternalComments",
+               CASE WHEN p_size > 3 THEN p_type END AS "CountryOfManufacture",
+               CASE WHEN p_size % 2 = 0 THEN p_brand END AS "Range",
+               CASE WHEN p_size % 3 = 0 THEN p_size || ' days' END AS "ShelfLife"
+        FROM part
     """,
     "q23_reload_week": _DAY_TOTALS.format(days="'1996-01-05' AND '1996-01-12'"),
     "q24_backfill": """
@@ -186,30 +241,37 @@ ORACLE = {
                CAST(NULL AS DATE) AS order_date
         FROM part
         UNION ALL
-        SELECT 'purchase order', NULL, 'REF' || p_partkey, p_size, NULL, NULL,
-               CASE WHEN p_size % 5 <> 0 THEN CAST('2018-01-01' AS DATE) + p_size END
+        SELECT 'purchase order', NULL, 'order ' || p_partkey, p_size, NULL, NULL,
+               CASE WHEN p_size % 5 <> 0 THEN CAST('2020-03-01' AS DATE) + p_size END
         FROM part
     """,
     "q25_json_export": f"""
-        SELECT '[' || string_agg('{{"year":' || "year" || {_JSON_CELLS} || '}}', ',' ORDER BY "year") || ']' AS json
-        FROM ({_BY_YEAR})
+        WITH y AS ({_BY_YEAR}), n AS (SELECT *, row_number() OVER (ORDER BY "year") AS seq FROM y)
+        SELECT seq, CASE WHEN seq > 1 THEN ',' ELSE '' END || '{{"year":' || "year" || {_JSON_CELLS} || '}}' AS json FROM n
+        UNION ALL SELECT 0, '['
+        UNION ALL SELECT count(*) + 1, ']' FROM n
     """,
     "q26_xml_export": f"""
-        SELECT string_agg('<year>' || "year" || '</year>' || {_XML_CELLS}, '' ORDER BY "year") AS xml
+        SELECT row_number() OVER (ORDER BY "year") AS seq, '<year>' || "year" || '</year>' || {_XML_CELLS} AS xml
         FROM ({_BY_YEAR})
     """,
-    "q27_json_per_date": """
-        WITH invoices AS (
-            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
-                   '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"'
-                   || o_orderstatus || '","lines":['
-                   || string_agg('{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey
-                        || ',"l_suppkey":' || l_suppkey || ',"quantity":' || CAST(l_quantity AS BIGINT) || '}', ','
-                        ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) || ']}' AS t
-            FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-            GROUP BY o_orderkey, o_orderdate, o_custkey, o_orderstatus)
-        SELECT d AS "OrderDate", 0 AS part, 1 AS parts, '[' || string_agg(t, ',' ORDER BY o_orderkey) || ']' AS document
-        FROM invoices GROUP BY d
+    "q27_json_per_date": _nested(
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+        [
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        ],
+    )
+    + ' SELECT d AS "OrderDate", seq, text FROM pieces',
+    "q28_customer_documents": _nested(
+        ["o_orderkey", "o_custkey"],
+        ["l_linenumber", "l_quantity"],
+        "CAST(o_orderdate AS DATE) IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_custkey = 7)",
+    )
+    + """
+        , own AS (SELECT CAST(o_orderdate AS DATE) AS day, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id
+                  FROM orders WHERE o_custkey = 7 AND o_orderdate IS NOT NULL)
+        SELECT id AS "ID", day AS "InvoiceDate", seq, text AS "InvoiceValue" FROM own JOIN pieces ON d = day
     """,
     "j01_fanout_sum": """
         SELECT a.l_partkey, SUM(b.l_quantity) AS total_quantity
@@ -236,12 +298,12 @@ ORACLE = {
     "m03_clean": _MOVIES
     + f"""
         SELECT "Id", {_FLOORED} AS "Budget", runtime AS "RunTime", created AS "p_CreatedDate"
-        FROM movies WHERE runtime >= 0
+        FROM (SELECT DISTINCT * FROM movies) WHERE runtime >= 0
     """,
     "m04_quarantine": _MOVIES
     + f"""
         SELECT "Id", {_FLOORED} AS "Budget", runtime AS "RunTime", created AS "p_CreatedDate"
-        FROM movies WHERE runtime < 0
+        FROM (SELECT DISTINCT * FROM movies) WHERE runtime < 0
     """,
     "m05_genres": """
         SELECT DISTINCT CAST(p_size AS BIGINT) AS "Id", p_type AS name
@@ -262,7 +324,7 @@ ORACLE = {
     + f"""
         SELECT "Id", CASE WHEN runtime >= 0 THEN {_FLOORED} ELSE budget END AS "Budget", abs(runtime) AS "RunTime",
                created AS "p_CreatedDate", 1 AS "Language_Id"
-        FROM movies WHERE runtime IS NOT NULL
+        FROM (SELECT DISTINCT * FROM movies) WHERE runtime IS NOT NULL
     """,
     "m08_repair_status": _MOVIES
     + """
@@ -288,18 +350,43 @@ ORACLE = {
     """,
     "m12_status_join": _MOVIES
     + """
-        SELECT a."Id", a.runtime AS "RunTime", CASE WHEN a.runtime >= 0 THEN 'loaded' ELSE 'quarantined' END AS status,
-               'movie.json' AS datasource
-        FROM movies a JOIN movies b ON a."Id" = b."Id"
+        SELECT a."Id", a.runtime AS "RunTime", a.status, 'movie.json' AS datasource
+        FROM (SELECT "Id", CASE WHEN runtime >= 0 THEN 'loaded' ELSE 'quarantined' END AS status, min(runtime) AS runtime
+              FROM movies GROUP BY 1, 2) a
+        JOIN movies b ON a."Id" = b."Id"
     """,
+    "m13_second_drop": _MOVIES
+    + """
+        SELECT "Id", runtime AS "RunTime",
+               CASE WHEN runtime IS NULL THEN 'new' WHEN "Id" % 5 = 0 AND runtime < 0 THEN 'quarantined' ELSE 'loaded' END AS status,
+               CAST('2022-01-01' AS DATE) AS p_ingestdate
+        FROM movies
+        UNION ALL
+        SELECT "Id", runtime, CASE WHEN runtime IS NULL THEN 'new' WHEN runtime < 0 THEN 'quarantined' ELSE 'loaded' END,
+               CAST('2022-01-02' AS DATE)
+        FROM movies WHERE "Id" % 5 = 0
+    """,
+    "s01_multi_line_documents": _MOVIES + """SELECT "Id", runtime AS "RunTime", 'about ' || title AS "Extra" FROM movies""",
+    "s02_catalog_flow": _MOVIES
+    + """
+        SELECT "Id", 'bronze' AS found FROM movies WHERE runtime IS NULL
+        UNION ALL SELECT "Id", 'silver' FROM (SELECT DISTINCT * FROM movies) WHERE runtime IS NOT NULL
+    """,
+    "s03_parquet_drift": "SELECT * FROM part",
     "i01_cutoff_extract": """
         SELECT event_id, user_id, event_type, value FROM events
         WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'
     """,
-    "i02_staged_upsert": """
+    "i02_staged_upsert": f"""
         SELECT user_id, event_id, event_type, value FROM (
-            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-            FROM events WHERE ts <= TIMESTAMP '2024-01-20') WHERE rn = 1
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY changed DESC NULLS LAST, event_id DESC) AS rn
+            FROM ({_UNTYPED}) WHERE changed <= TIMESTAMP '2024-01-20' OR changed IS NULL) WHERE rn = 1
+    """,
+    "i04_lineage": f"""
+        SELECT key AS lineage_key, 'Event key' AS table_name, cutoff, TIMESTAMP '2024-01-20' AS last,
+               CASE WHEN key = 2 THEN (SELECT CAST(count(*) AS INTEGER) FROM ({_UNTYPED})
+                    WHERE changed > TIMESTAMP '2024-01-10' AND changed <= TIMESTAMP '2024-01-20') END AS staged
+        FROM (VALUES (1::BIGINT, TIMESTAMP '2024-01-10'), (2::BIGINT, TIMESTAMP '2024-01-20')) t(key, cutoff)
     """,
     "i03_date_dimension": """
         SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
@@ -330,7 +417,12 @@ ORACLE = {
     """,
     "f02_chunk_split": """
         SELECT doc_id, CAST(i // size AS INTEGER) AS chunk, CAST(length(text) AS INTEGER) AS characters FROM (
-            SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () // 8 AS size
-            FROM documents) WHERE i < 8 * size
+            SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () // 7 AS size
+            FROM documents) WHERE i < 7 * size
+    """,
+    "f03_chunk_keep": """
+        SELECT doc_id, CAST(least(i // size, 6) AS INTEGER) AS chunk, CAST(length(text) AS INTEGER) AS characters FROM (
+            SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS i, count(*) OVER () // 7 AS size
+            FROM documents)
     """,
 }

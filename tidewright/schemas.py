@@ -83,7 +83,34 @@ ODS_ORDERS = T.StructType(
     ]
 )
 
-# One element of a missed-purchase-orders document: every field arrives as text.
+# Stock items with the attributes of their JSON column as columns (fixed names and types).
+STOCK_ITEM = T.StructType(
+    [
+        T.StructField("StockItemID", T.IntegerType()),
+        T.StructField("StockItemName", T.StringType()),
+        T.StructField("SupplierID", T.IntegerType()),
+        T.StructField("ColorID", T.IntegerType()),
+        T.StructField("UnitPackageID", T.IntegerType()),
+        T.StructField("OuterPackageID", T.IntegerType()),
+        T.StructField("Brand", T.StringType()),
+        T.StructField("Size", T.StringType()),
+        T.StructField("LeadTimeDays", T.IntegerType()),
+        T.StructField("QuantityPerOuter", T.IntegerType()),
+        T.StructField("IsChillerStock", T.IntegerType()),
+        T.StructField("Barcode", T.StringType()),
+        T.StructField("TaxRate", T.DecimalType(18, 3)),
+        T.StructField("UnitPrice", T.DecimalType(18, 2)),
+        T.StructField("RecommendedRetailPrice", T.DecimalType(18, 2)),
+        T.StructField("TypicalWeightPerUnit", T.DecimalType(18, 3)),
+        T.StructField("MarketingComments", T.StringType()),
+        T.StructField("InternalComments", T.StringType()),
+        T.StructField("CountryOfManufacture", T.StringType()),
+        T.StructField("Range", T.StringType()),
+        T.StructField("ShelfLife", T.StringType()),
+    ]
+)
+
+# One element of a missed-purchase-orders document (fixed names): every field arrives as text.
 PURCHASE_ORDER_FIELDS = [
     ("StockItemName", "StockItemName", T.StringType()),
     ("SupplierID", "Supplier", T.IntegerType()),

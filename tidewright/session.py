@@ -22,8 +22,6 @@ SETTINGS = {
 
 # Shuffle partitions of about this size sort and aggregate in memory on usual executors.
 _PARTITION_BYTES = 256 * 1024 * 1024
-# Beyond this number, tracking map outputs costs the driver more than spilling costs the tasks.
-_MOST_PARTITIONS = 50_000
 
 
 def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
@@ -31,11 +29,14 @@ def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
 
     The default of 200 would give partitions of half a terabyte when 100 TB are shuffled.
     """
-    return min(max(at_least, -(-shuffled_bytes // _PARTITION_BYTES)), _MOST_PARTITIONS)
+    return max(at_least, -(-shuffled_bytes // _PARTITION_BYTES))
 
 
-def build_session(app="tidewright", master=None, **extra) -> SparkSession:
+def build_session(app="tidewright", master=None, input_bytes: int | None = None, **extra) -> SparkSession:
+    """A session for inputs of about `input_bytes`, which sets the number of shuffle partitions."""
     builder = SparkSession.builder.appName(app)
+    if input_bytes is not None:
+        extra = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **extra}
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

@@ -14,23 +14,48 @@ def open_tables(spark: SparkSession, folder: str, *names: str):
 
 
 def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType = schemas.MOVIE_DOCUMENT, multi_line=True, allow_drift=False
+    spark: SparkSession, path: str, schema: T.StructType = schemas.MOVIE_DOCUMENT, multi_line=False, allow_drift=False
 ) -> DataFrame:
     """JSON documents of a folder, one row per document.
 
-    A multi-line file is one document (or one array of documents) and cannot be split: its size bounds
-    a task. Large drops should come as one document per line (multi_line=False), which splits freely.
-    With allow_drift, top-level fields outside the schema are kept after the declared ones; finding them
-    costs a pass over the files.
+    The default is one document per line, which splits freely. A multi-line file is one document (or one
+    array of documents) and cannot be split: its size bounds a task.
+    With allow_drift, fields outside the schema, at any depth, are kept after the declared ones; finding
+    them costs a pass over the files. What is no document of this schema is a row of NULLs here and has its
+    text in `rejected_documents`.
     """
     reader = spark.read.option("multiLine", multi_line)
     if allow_drift:
-        found = reader.json(path).schema
-        known = set(schema.fieldNames())
-        schema = T.StructType([*schema.fields, *[field for field in found if field.name not in known]])
+        schema = widened(schema, reader.json(path).schema)
     return reader.schema(schema).json(path)
 
 
+def widened(declared: T.DataType, found: T.DataType) -> T.DataType:
+    """The declared type with the fields that only the found one has, inside of arrays and structs too."""
+    if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
+        own = {field.name: field.dataType for field in found}
+        fields = [
+            T.StructField(f.name, widened(f.dataType, own[f.name]) if f.name in own else f.dataType, f.nullable)
+            for f in declared
+        ]
+        known = set(declared.fieldNames())
+        return T.StructType([*fields, *[f for f in found if f.name not in known]])
+    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(widened(declared.elementType, found.elementType), declared.containsNull)
+    return declared
+
+
+def rejected_documents(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.MOVIE_DOCUMENT, multi_line=False
+) -> DataFrame:
+    """The texts that are no documents of the schema, with their file: (rejected, file)."""
+    corrupt = "_corrupt_record"
+    declared = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    texts = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", declared, {"columnNameOfCorruptRecord": corrupt})
+    return texts.filter(parsed[corrupt].isNotNull()).select(F.col("value").alias("rejected"), F.input_file_name().alias("file"))
+
+
 def read_raw(spark: SparkSession, path: str, key="movie", **options) -> DataFrame:
     """The elements of the array under one key, one row each; empty and missing arrays give no row."""
     documents = read_documents(spark, path, **options)
@@ -65,12 +90,16 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType, allow_dri
 def changed_between(df: DataFrame, ts: str, last, new) -> DataFrame:
     """Rows changed after `last` and up to `new`: the bounds of successive windows meet without overlap.
 
+    The first window (last=None) has no lower bound, and takes the rows without a change time too.
+
     The extract procedures behind this step are not public; the half-open window is our rule.
     """
     kind = df.schema[ts].dataType
     # From text, so that the zone of the Python process has no say.
-    last, new = (F.lit(str(bound)).cast("timestamp_ntz").cast(kind) for bound in (last, new))
-    return df.filter((F.col(ts) > last) & (F.col(ts) <= new))
+    bound = lambda at: F.lit(str(at)).cast("timestamp_ntz").cast(kind)
+    if last is None:
+        return df.filter((F.col(ts) <= bound(new)) | F.col(ts).isNull())
+    return df.filter((F.col(ts) > bound(last)) & (F.col(ts) <= bound(new)))
 
 
 # Tabs separate, nothing quotes, blanks count.
