@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.sources.scratch import scratch_path
+from tidewright.sources.scratch import Scratch, scratch_path
 
 #: Characters that separate words, and the same as a Java or RE2 pattern. bytes.split() cuts at the same six.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -78,40 +77,14 @@ class Memo:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         new = []
-        for key in keys:
-            if key not in young:
-                if key in old:
-                    young[key] = old[key]
-                else:
-                    new.append(key)
+        for key in keys.difference(young):
+            if key in old:
+                young[key] = old[key]
+            else:
+                new.append(key)
         if new:
             young.update(zip(new, compute(new), strict=True))
         return young
 
 
-class Scratch:
-    """Intermediate tables of one call, in the folder that all executors share.
-
-    cut() writes a frame and reads it back, which ends its lineage; drop() removes a table that nothing reads
-    any more. Tables that a returned, lazy frame still reads stay.
-    """
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.paths = spark, label, {}
-
-    def cut(self, df: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, self.label)
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = (path, out)
-        return out
-
-    def drop(self, *frames: DataFrame) -> None:
-        for frame in frames:
-            path, _ = self.paths.pop(id(frame))
-            hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def unique_folder(spark: SparkSession, label: str) -> str:
-    return scratch_path(spark, f"{label}-{uuid.uuid4().hex[:8]}")
+__all__ = ["BLANK", "BLANKS", "NON_BLANK", "Memo", "Scratch", "as_bytes", "documents", "fold", "free_names", "scratch_path", "slices"]

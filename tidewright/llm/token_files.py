@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.base import Memo, Scratch, as_bytes, slices, unique_folder
+from tidewright.llm.base import Memo, Scratch, as_bytes, scratch_path, slices
 
 END = 0
 #: Distinct runs kept with their ids in a worker, twice at most, some 250 bytes each.
@@ -49,7 +50,7 @@ _RUNS = re.compile(
     rf" ?[{_LETTERS}]+(?=[ \n\t\r{_MARKS}]|$)| ?[{_MARKS}]+(?=[ \n\t\r{_LETTERS}]|$)"
     r"| ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]"
 )
-_WORD = re.compile(rf" ?[{_LETTERS}]+| ?[{_MARKS}]+")
+_LATIN_END = "ɐ"
 #: Characters that engines may see as blanks or not; texts with them are encoded whole.
 _ODD = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
 
@@ -66,9 +67,9 @@ class Encoder:
         before = self.tokenizer.pre_tokenizer
         if self.tokenizer.normalizer or not isinstance(before, ByteLevel) or before.add_prefix_space or not before.use_regex:
             raise ValueError("only byte-level tokenizers that keep texts as they are can be used here")
-        # The letters that stand for the bytes of a character of _WORD, as the library itself writes them.
+        # The letters that stand for the bytes of a Latin letter, as the library itself writes them.
         plain = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: plain.pre_tokenize_str(chr(c))[0][0] for c in range(0x250)}
+        self.letters = {c: plain.pre_tokenize_str(chr(c))[0][0] for c in range(ord(_LATIN_END))}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = f"<u{self.width}"
@@ -78,12 +79,14 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _learn(self, runs: list[str]) -> list[bytes]:
-        """Plain words go to the library's model, without another search for words; other runs through all of it."""
+        """Words of Latin letters go to the library's model, without another search for words; other runs through
+        all of it."""
         out = []
+        tokenize, letters, kind = self.model.tokenize, self.letters, "H" if self.width == 2 else "I"
         for run in runs:
-            if _WORD.fullmatch(run):
-                tokens = self.model.tokenize(run.translate(self.letters))
-                out.append(np.array([t.id for t in tokens], dtype=self.dtype).tobytes())
+            word = run[1:] if run[0] == " " else run
+            if word.isalpha() and max(word) < _LATIN_END:
+                out.append(array(kind, [t.id for t in tokenize(run.translate(letters))]).tobytes())
             else:
                 out.append(self._whole(run))
         return out
@@ -225,6 +228,6 @@ def read_tokens(shards: DataFrame, folder: str, most: int = 4096) -> DataFrame:
 
 def token_files(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Write the token files of a table to the shared folder and read them back."""
-    folder = unique_folder(docs.sparkSession, "tokens")
+    folder = scratch_path(docs.sparkSession, "tokens")
     shards = write_tokens(docs, folder, id_col, text, path)
     return read_tokens(shards, folder).withColumnRenamed("doc_id", id_col)
