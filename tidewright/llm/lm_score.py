@@ -7,9 +7,10 @@ log space over its characters; a character can also be written as its bytes. The
 of the text independently, so a text's log probability is the sum over its words, and the end.
 
 Beside it stands the word-unigram base score, for which every word of every document needs its count in all
-training documents. Counting is a grouped aggregate with partial sums per task. The HEAD most frequent words at
-most are broadcast, with their counts, and are scored where the documents lie; all other words of a document are
-joined with the counts by a shuffle. Both ways give the same number, so the bound only decides what is moved. The
+training documents. Counting is a grouped aggregate with partial sums per task. Each distinct word is scored on
+the lattice once. The HEAD most frequent words at most are broadcast, with their counts and scores, and are looked
+up where the documents lie; all other words of a document are joined with the counts and scores by a shuffle. Both
+ways give the same number, so the bound only decides what is moved. The
 join has one row per word on one side, and AQE splits a word that is frequent on the other; documents with many
 such words are summed by document with partial sums.
 
@@ -21,7 +22,6 @@ scored as often as they occur; extra columns are ignored.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,13 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.base import BLANK, Memo, Scratch, as_bytes, fold, slices
+from tidewright.llm.base import BLANK, Scratch, as_bytes, fold, slices
 
 FOLDS, HELD_OUT = 7, 2
-#: Words broadcast with their counts: some 100 bytes each in a worker.
-HEAD = 200_000
-#: Distinct words kept with their lattice score in a worker, twice at most.
-CACHED = 200_000
+#: Words broadcast with their counts, and the characters of such a word: 60 MB in a worker at most.
+HEAD, HEAD_LENGTH = 200_000, 64
 SPACE = "▁"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LOG10 = math.log(10)
@@ -184,8 +182,9 @@ def lattice_of(path: str, counts: np.ndarray, ends: int) -> Lattice:
 
 
 def _head(words: DataFrame) -> DataFrame:
-    """The most frequent words, HEAD at most: all with more occurrences than the least number that keeps to it."""
-    least = 1
+    """The most frequent words, HEAD at most: all with more occurrences than the least number that keeps to it.
+    Words of over HEAD_LENGTH characters are not among them."""
+    words, least = words.filter(F.length("word") <= HEAD_LENGTH), 1
     # A row per number of occurrences below 1000, and one for the rest: a fixed number of rows.
     steps = words.filter("c > 0").groupBy(F.least("c", F.lit(1000)).alias("c")).count().collect()
     held = 0
@@ -199,15 +198,20 @@ def _head(words: DataFrame) -> DataFrame:
     return words.filter("c > 1000").orderBy(F.desc("c"), "word").limit(HEAD)
 
 
-_memos: dict[str, Memo] = {}
+def score_words(words: DataFrame, shared) -> DataFrame:
+    """word, c, score: with the base-10 logarithm of each distinct word's marginal probability."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = shared.value.words(batch.column("word").to_pylist())
+            score = pa.array(np.array(found) / _LOG10)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), score], ["word", "c", "score"])
+
+    return words.select("word", "c").mapInArrow(run, "word string, c long, score double")
 
 
-def _memo(model: str) -> Memo:
-    """Of the model in use, one per worker process."""
-    if model not in _memos:
-        _memos.clear()
-        _memos[model] = Memo(CACHED)
-    return _memos[model]
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(of, weights=values, minlength=n)
 
 
 def lm_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -217,41 +221,45 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path:
     scratch = Scratch(spark, "lm")
     own = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     held = fold(F.col("i"), FOLDS) == HELD_OUT
-    words = scratch.cut(count_words(own.withColumn("train", ~held), "train", "t"))
+    counted = scratch.cut(count_words(own.withColumn("train", ~held), "train", "t"))
     ends = own.filter(~held).count()
-    known, tokens = words.agg(F.sum((F.col("c") > 0).cast("long")), F.sum("c")).first()
+    known, tokens = counted.agg(F.sum((F.col("c") > 0).cast("long")), F.sum("c")).first()
     distinct, total = (known or 0) + (ends > 0), (tokens or 0) + ends
     floor = math.log10(total + 1 * (distinct + 1))
-    counts = piece_counts(words, path)
-    head = {r["word"].encode(): r["c"] for r in _head(words).toLocalIterator()}
-    shared = spark.sparkContext.broadcast((lattice_of(path, counts, ends), head))
-    model = uuid.uuid4().hex
+    lattice = lattice_of(path, piece_counts(counted, path), ends)
+    words = scratch.cut(score_words(counted, spark.sparkContext.broadcast(lattice)))
+    scratch.drop(counted)
+    # HEAD rows at most: the words, how often they occur, and their score.
+    head = _head(words).select("word", "c", "score").toArrow()
+    places = {w.encode(): i for i, w in enumerate(head.column("word").to_pylist())}
+    gains = np.log10(head.column("c").to_numpy().astype(np.float64) + 1)
+    shared = spark.sparkContext.broadcast((places, gains, head.column("score").to_numpy().astype(np.float64)))
+    end_gain, end_score = math.log10(ends + 1), lattice.end / _LOG10
 
     def split(batches: Iterator[pa.RecordBatch]):
-        lattice, head = shared.value
-        memo = _memo(model)
-        compute = lambda new: lattice.words([w.decode() for w in new])
+        places, gains, scores = shared.value
+        place = places.get
         for batch in slices(batches, "t", rows=1024, most_bytes=2 << 20):
-            bags = [Counter(words_of(t)) for t in batch.column("t").to_pylist()]
-            scored = memo.holding(set().union(*bags), compute)
-            n_tokens, n_known, base, score, rest, times = [], [], [], [], [], []
-            for bag in bags:
-                n_tokens.append(sum(bag.values()) + 1)
-                score.append((sum(scored[w] * n for w, n in bag.items()) + lattice.end) / _LOG10)
-                inside = [(head[w], n) for w, n in bag.items() if w in head]
-                n_known.append(sum(n for _, n in inside) + (ends > 0))
-                base.append(math.fsum([math.log10(c + 1) * n for c, n in inside]) + math.log10(ends + 1))
-                outside = [(w, n) for w, n in bag.items() if w not in head]
-                rest.append([w for w, _ in outside])
-                times.append([n for _, n in outside])
+            n = batch.num_rows
+            texts = [words_of(t) for t in batch.column("t").to_pylist()]
+            lengths = np.array([len(t) for t in texts])
+            at = np.array([place(w, -1) for t in texts for w in t], dtype=np.int64)
+            of = np.repeat(np.arange(n), lengths)
+            inside = at >= 0
+            found, of_found = at[inside], of[inside]
+            bounds = np.cumsum(lengths) - lengths
+            bags: list[Counter] = [Counter() for _ in range(n)]
+            for k in np.flatnonzero(~inside).tolist():
+                t = of[k]
+                bags[t][texts[t][k - bounds[t]]] += 1
             columns = [
                 batch.column("i"),
-                pa.array(n_tokens, type=pa.int64()),
-                pa.array(n_known, type=pa.int64()),
-                pa.array(base, type=pa.float64()),
-                pa.array(score, type=pa.float64()),
-                pa.array(rest, type=pa.list_(pa.binary())),
-                pa.array(times, type=pa.list_(pa.int64())),
+                pa.array(lengths + 1, type=pa.int64()),
+                pa.array(_sums(of_found, np.ones(len(found)), n).astype(np.int64) + (ends > 0), type=pa.int64()),
+                pa.array(_sums(of_found, gains[found], n) + end_gain),
+                pa.array(_sums(of_found, scores[found], n) + end_score),
+                pa.array([list(b.keys()) for b in bags], type=pa.list_(pa.binary())),
+                pa.array([list(b.values()) for b in bags], type=pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["i", "n_tokens", "n_known", "base", "score", "rest", "times"])
 
@@ -261,9 +269,10 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path:
     parts = scratch.cut(parts.withColumn("row", F.monotonically_increasing_id()))
     rare = parts.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x"))
     rare = rare.select("row", F.col("x.rest").cast("string").alias("word"), F.col("x.times").alias("n"))
-    met = rare.join(words.filter("c > 0"), "word")
-    met = met.groupBy("row").agg(
-        F.sum("n").alias("more"), F.sum(F.log10(F.col("c") + 1) * F.col("n")).alias("gain")
+    met = rare.join(words, "word").groupBy("row").agg(
+        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
+        F.sum(F.log10(F.col("c") + 1) * F.col("n")).alias("gain"),
+        F.sum(F.col("score") * F.col("n")).alias("also"),
     )
     out = parts.drop("rest", "times").join(met, "row", "left")
     return out.select(
@@ -273,5 +282,5 @@ def lm_score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path:
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("gain", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("also", F.lit(0.0))).alias("score"),
     )
