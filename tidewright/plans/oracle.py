@@ -251,6 +251,7 @@ ORACLE = {
         UNION ALL SELECT 0, '['
         UNION ALL SELECT count(*) + 1, ']' FROM n
     """,
+    "q25_json_lines": f"""SELECT '{{"year":' || "year" || {_JSON_CELLS} || '}}' AS json FROM ({_BY_YEAR})""",
     "q26_xml_export": f"""
         SELECT row_number() OVER (ORDER BY "year") AS seq, '<year>' || "year" || '</year>' || {_XML_CELLS} AS xml
         FROM ({_BY_YEAR})
@@ -281,6 +282,12 @@ ORACLE = {
         SELECT p_brand, CAST(SUM(l_quantity) AS BIGINT) AS quantity
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY p_brand
     """,
+    "j03_line_delays": """
+        SELECT l_orderkey, l_linenumber,
+               CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS days,
+               CAST(date_diff('month', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS months
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    """,
     "m01_raw_to_bronze": _MOVIES
     + """
         SELECT "Id", budget AS "Budget", runtime AS "RunTime", lang AS "OriginalLanguage",

@@ -1,6 +1,8 @@
 """Intermediate tables in the shared folder of the cluster."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,16 +31,33 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+_opened: list[list["Scratch"]] = []
+
+
+@contextmanager
+def used_up() -> Iterator[None]:
+    """Closes, at the end, every Scratch that was opened inside: for steps whose result is written there."""
+    _opened.append([])
+    try:
+        yield
+    finally:
+        for scratch in _opened.pop():
+            scratch.close()
+
+
 class Scratch:
     """Intermediate tables of one call.
 
     cut() writes a frame and reads it back: later steps see the same rows in the same files, also after a lost
     executor. drop() removes a table that nothing reads any more, close() all of them; as a context manager it
-    closes itself. Tables that a returned, lazy frame still reads must stay.
+    closes itself. Tables that a returned, lazy frame still reads must stay; who uses that frame up can
+    do so inside of used_up().
     """
 
     def __init__(self, spark: SparkSession, label: str = "cut"):
         self.spark, self.label, self.paths = spark, label, {}
+        if _opened:
+            _opened[-1].append(self)
 
     def cut(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, self.label)
