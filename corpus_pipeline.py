@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import decontaminate, pieces, quality_rules, secret_scan, simhash
 from tidewright.llm.base import Scratch, documents
+from tidewright.sources.scratch import used_up
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES:
         scratch = Scratch(spark, f"pipeline-{name}")
-        out = scratch.cut(stage(spark, docs, sf_dir))
+        with used_up():
+            out = scratch.cut(stage(spark, docs, sf_dir))
         if last:
             last.drop(docs)
         docs, last = out, scratch

@@ -1,6 +1,7 @@
 """The pipeline against a brute-force version of each stage, on the rows that the stage before it kept."""
 
 import hashlib
+import os
 
 import public_tokenizers
 import sentencepiece
@@ -9,6 +10,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tests.llm import brute
 from tests.llm.conftest import SF
+from tidewright.sources import scratch
 
 
 def test_registered(spark):
@@ -43,6 +45,12 @@ def test_pipeline_equals_brute_force(spark, documents):
     assert 0 < len(want) < documents.count()
 
 
+def test_only_the_result_stays_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda _: str(tmp_path))
+    corpus_pipeline.run(spark, SF)
+    assert [name.split("-")[1] for name in os.listdir(tmp_path / "tidewright")] == ["sentencepiece"]
+
+
 def test_stages_keep_the_columns_and_handle_awkward_rows(spark, messy):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, messy, SF)

@@ -43,25 +43,21 @@ _FRONT = 1 << 17
 
 def fingerprints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """The fingerprint of each UTF-8 text as an unsigned 64-bit integer."""
-    hashes, counts = [], []
+    out = np.zeros(len(texts), dtype=np.uint64)
     digest = xxhash.xxh64_intdigest
-    for text in texts:
+    for i, text in enumerate(texts):
         words = text.lower().split()  # bytes: A-Z only, and the six blanks
         if len(words) > shingle:
-            grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
+            grams = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False))
         else:
             grams = [b" ".join(words)] if words else []
-        own = np.fromiter(map(digest, grams, itertools.repeat(SEED)), dtype=np.uint64)
-        hashes.append(own)
-        counts.append(len(own))
-    out = np.zeros(len(texts), dtype=np.uint64)
-    for i, own in enumerate(hashes):
-        if counts[i]:
-            ones = np.zeros(64, dtype=np.int64)
-            for a in range(0, counts[i], 1 << 15):
-                part = own[a : a + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)
-                ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-            out[i] = np.packbits(2 * ones > counts[i]).view(">u8")[0]
+        own = np.fromiter(map(digest, grams, itertools.repeat(SEED)), dtype=">u8")
+        ones = np.zeros(64, dtype=np.int64)
+        for a in range(0, len(own), 1 << 15):
+            part = own[a : a + (1 << 15)].view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        if len(own):
+            out[i] = np.packbits(2 * ones > len(own)).view(">u8")[0]
     return out
 
 
