@@ -95,9 +95,9 @@ class Encoder:
         runs = [
             None if _ODD.search(t) or any(s in t for s in self.special) else _RUNS.findall(t) for t in texts
         ]
-        known = self.known.holding({r for words in runs if words is not None for r in words}, self._learn)
+        known = self.known.holding(set().union(*filter(None, runs)), self._learn).__getitem__
         return [
-            self._whole(t) if words is None else b"".join([known[r] for r in words])
+            self._whole(t) if words is None else b"".join(map(known, words))
             for t, words in zip(texts, runs, strict=True)
         ]
 
@@ -162,7 +162,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
         shard, encoder, files = TaskContext.get().partitionId(), load(path), None
         n_docs = n_tokens = 0
         closing = np.array([end], dtype=encoder.dtype).tobytes()
-        for batch in slices(batches, "t"):
+        for batch in slices(batches, "t", rows=1024, most_bytes=8 << 20):
             files = files or _Files(folder, shard, "bin", "len", "doc", "nul")
             ids = [i + closing for i in encoder.encode([t.decode() for t in batch.column("t").to_pylist()])]
             keys = batch.column("i")
