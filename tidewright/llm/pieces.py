@@ -31,7 +31,7 @@ from tidewright.llm.base import Memo, as_bytes, slices
 SPACE = "▁"
 LONG = 512
 #: Distinct words kept with their ids in a worker, twice at most, some 300 bytes each.
-CACHED = 150_000
+CACHED = 100_000
 _NONE = np.int64(1) << 62
 _PLACES = np.int64((1 << 32) - 1)
 
@@ -216,7 +216,7 @@ class PieceModel:
     def encode(self, texts: Iterable[str]) -> list[tuple[np.ndarray, str]]:
         """For each text its ids and the same in decimal, joined by commas."""
         split = [self.split(t) for t in texts]
-        known = self.known.holding({w for words in split for w in words}, self._learn)
+        known = self.known.holding(set().union(*split), self._learn)
         out = []
         for words in split:
             found = [known[w] for w in words]
