@@ -145,6 +145,8 @@ def leaks(text, items):
             continue
         size = min(len(own), len(words))
         target = Counter(zip(*(own[i:] for i in range(k)), strict=False))
+        if not target.keys() & set(zip(*(words[i:] for i in range(k)), strict=False)):
+            continue  # nothing in common
         for s in range(len(words) - size + 1):
             window = Counter(zip(*(words[s + i : s + size] for i in range(k)), strict=False))
             both = sum((window & target).values())
