@@ -19,6 +19,7 @@ each; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,6 +41,8 @@ MOST_LABELLED = 20_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 THRESHOLD = 0.3
 _RARITY = 1e-3
+#: Tokens of a text that are pooled together.
+_PIECE = 1 << 14
 #: Words, and runs of digits or marks.
 _TOKENS = re.compile(rb"[A-Za-z\x80-\xff]+|[^A-Za-z\x80-\xff\s]+")
 
@@ -48,7 +51,7 @@ def _buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the tokens of all texts, and the text that each is of."""
     found = [_TOKENS.findall(t) for t in texts]
     counts = [len(f) for f in found]
-    hashed = np.fromiter((zlib.crc32(t) for f in found for t in f), dtype=np.uint32, count=sum(counts))
+    hashed = np.fromiter(map(zlib.crc32, itertools.chain.from_iterable(found)), dtype=np.uint32, count=sum(counts))
     return (hashed >> np.uint32(5)).astype(np.int64) % BUCKETS, np.repeat(np.arange(len(texts)), counts)
 
 
@@ -106,19 +109,19 @@ def pool(docs: DataFrame, words: tuple[np.ndarray, np.ndarray], id_col: str = "d
         vectors, weights = shared.value
         for batch in slices(batches, "t", rows=1024):
             tokens, text_of = _buckets(batch.column("t").to_pylist())
-            sums = np.zeros((batch.num_rows, POOLS * SIZE), dtype=np.float64)
-            totals = np.zeros((batch.num_rows, POOLS))
-            followed = np.append(text_of[1:] == text_of[:-1], False)
-            following = np.append(tokens[1:], 0)
-            for a in range(0, len(tokens), 1 << 16):
-                piece = slice(a, a + (1 << 16))
-                part, of, pair = tokens[piece], text_of[piece], followed[piece][:, None].astype(np.float32)
-                first = np.flatnonzero(np.diff(of, prepend=-1))
-                own, weight = vectors[part], weights[part][:, None]
-                for k, (each, one) in enumerate(((own, np.ones_like(weight)), (own * weight, weight), (own * vectors[following[piece]] * pair, pair))):
-                    sums[of[first], k * SIZE : (k + 1) * SIZE] += np.add.reduceat(each, first, axis=0)
-                    totals[of[first], k] += np.add.reduceat(one[:, 0], first)
-            pooled = sums / np.repeat(np.maximum(totals, 1e-9), SIZE, axis=1)
+            bounds = np.searchsorted(text_of, np.arange(batch.num_rows + 1)).tolist()
+            pooled = np.zeros((batch.num_rows, POOLS, SIZE))
+            for i, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                weight = weights[tokens[first:last]]
+                for a in range(first, last, _PIECE):
+                    part = tokens[a : min(a + _PIECE, last)]
+                    own = vectors[part]
+                    pooled[i, 0] += own.sum(axis=0)
+                    pooled[i, 1] += weight[a - first : a - first + _PIECE] @ own
+                    following = vectors[tokens[a + 1 : min(a + 1 + _PIECE, last)]]
+                    pooled[i, 2] += np.einsum("ij,ij->j", own[: len(following)], following)
+                totals = np.array([last - first, weight.sum(dtype=np.float64), last - first - 1])
+                pooled[i] /= np.maximum(totals, 1e-9)[:, None]
             flat = pa.FixedSizeListArray.from_arrays(pa.array(pooled.astype(np.float32).ravel()), POOLS * SIZE)
             yield pa.RecordBatch.from_arrays([batch.column("i"), flat.cast(pa.list_(pa.float32()))], ["i", "features"])
 
