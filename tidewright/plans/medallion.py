@@ -83,7 +83,7 @@ def raw_to_bronze(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", da
     """
     bronze = to_bronze(read_raw(lake.spark, raw_path, **read_options), now)
     if mode == "append":
-        lake.bronze.replace(bronze)
+        lake.bronze.replace(bronze, reads_itself=False)
     else:
         lake.bronze.publish(bronze)
     if database:
@@ -238,7 +238,7 @@ def bronze_to_silver(lake: Lakehouse, mode="overwrite", null_to_quarantine=False
     ):
         loaded = frame.withColumn(LOAD, F.lit(load))
         if mode == "append":
-            table.replace(loaded)
+            table.replace(loaded, reads_itself=False)
         else:
             table.publish(loaded)
     outcome = bronze_outcome()
@@ -266,7 +266,8 @@ def silver_update(lake: Lakehouse) -> None:
     load = quarantined.agg(F.max(LOAD)).first()[0]
     if load is None:
         return
-    lake.movie.replace(repair(quarantined).drop("value").withColumn(LOAD, F.lit(f"{load}-repaired")))
+    repaired = repair(quarantined).drop("value").withColumn(LOAD, F.lit(f"{load}-repaired"))
+    lake.movie.replace(repaired, reads_itself=False)
     settle_loads(lake.bronze, QUARANTINED, repair_outcome())
 
 

@@ -34,7 +34,7 @@ def load_day(orders: DataFrame, lines: DataFrame, ods: PartitionedTable, day: dt
     """Add the order totals of one day; raise before writing anything if the day is there already."""
     if not ods.read().filter(F.col("OrderDate") == F.lit(day)).isEmpty():
         raise ValueError(f"orders of {day} are already loaded")
-    ods.replace(order_totals(orders, lines, day))
+    ods.replace(order_totals(orders, lines, day), reads_itself=False)
 
 
 def reload_week(orders: DataFrame, lines: DataFrame, ods: PartitionedTable, day: dt.date, days: int = 7) -> None:

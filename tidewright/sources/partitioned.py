@@ -1,7 +1,7 @@
 """Parquet tables of which only the partitions that change are written.
 
-New rows of a partition are staged in the shared folder first, so a job may read the partitions it replaces, and
-then take the place of the old ones by Spark's dynamic partition overwrite. A job that dies on the way runs again
+Rows take the place of the partitions they fall into by Spark's dynamic partition overwrite. A job that reads the
+partitions it replaces stages its rows in the shared folder first. A job that dies on the way runs again
 and replaces the same partitions. There is no version, log or lock: one job writes a table at a time.
 """
 
@@ -51,21 +51,22 @@ class PartitionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def replace(self, df: DataFrame, emptied: set[str] = frozenset()) -> None:
+    def replace(self, df: DataFrame, emptied: set[str] = frozenset(), reads_itself=True) -> None:
         """Put these rows in place of the partitions they fall into. Of the partitions named in `emptied`, those
-        without a new row are removed."""
+        without a new row are removed. Rows that do not come from this table need no staging (reads_itself=False)."""
         df = check_schema(df.select(*self.schema.fieldNames()), self.schema)
         with Scratch(self.spark, "staged") as scratch:
-            staged = scratch.cut(df)
-            if self.gather:
-                staged_rows = staged.hint("rebalance", *[F.col(c) for c in self.partition_by])
-            else:
-                staged_rows = staged
-            writer = batch_writer(staged_rows, mode="overwrite").partitionBy(*self.partition_by)
-            writer.option("partitionOverwriteMode", "dynamic").save(self.path)
+            if reads_itself or emptied:
+                df = scratch.cut(df)
+            self._write(df, "dynamic")
             if emptied:
-                kept = staged.select(*self.partition_by).distinct()
-                self.remove(emptied - self.named(kept))
+                self.remove(emptied - self.named(df.select(*self.partition_by).distinct()))
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        if self.gather:
+            df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        writer = batch_writer(df, mode="overwrite").partitionBy(*self.partition_by)
+        writer.option("partitionOverwriteMode", mode).save(self.path)
 
     def named(self, values: DataFrame) -> set[str]:
         """The partition folders of some values, which are few: a row each of the partition columns."""
@@ -73,8 +74,8 @@ class PartitionedTable:
         return {"/".join(f"{c}={row[c]}" for c in self.partition_by) for row in values.select(*text).distinct().collect()}
 
     def publish(self, df: DataFrame) -> None:
-        """Put these rows in place of all others."""
-        self.replace(df, self.partitions())
+        """Put these rows, which do not come from this table, in place of all others."""
+        self._write(check_schema(df.select(*self.schema.fieldNames()), self.schema), "static")
 
     def remove(self, partitions: set[str]) -> None:
         for name in sorted(partitions):
