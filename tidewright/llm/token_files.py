@@ -41,7 +41,7 @@ END = 0
 #: Distinct runs kept with their ids in a worker, twice at most, some 250 bytes each.
 CACHED = 200_000
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r".,;:!?|*#$%&()\""
 #: Runs that no token crosses, by the rules of the byte-level pattern: letters, marks, other text up to the next
 #: blank, blanks but for the last before a text, and that one. A run of the first two kinds, which a lookahead
@@ -50,9 +50,9 @@ _RUNS = re.compile(
     rf" ?[{_LETTERS}]+(?=[ \n\t\r{_MARKS}]|$)| ?[{_MARKS}]+(?=[ \n\t\r{_LETTERS}]|$)"
     r"| ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]"
 )
-_LATIN_END = "ɐ"
+_LATIN_END = "\u0250"
 #: Characters that engines may see as blanks or not; texts with them are encoded whole.
-_ODD = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
+_ODD = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 
 
 class Encoder:
