@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -234,6 +235,22 @@ def test_templates_in_parts_and_own_templates(spark):
     assert {(r[0], r[1], round(r[2], 3)) for r in found.collect()} == {(1, "own", 1.0), (2, "own", round(22 / 26, 3))}
 
 
+@pytest.mark.parametrize("more", [2, 5, 10, 20])
+def test_edited_notices_are_found_at_every_place(spark, more):
+    template = re.findall(r"\w+", license_scan.TEMPLATES["MIT-permission"].lower())
+    n = len(template) - 4
+    at = template.index("files") + 1
+    notice = template[:at] + [f"added{i}" for i in range(more)] + template[at:]
+    filler = [f"other{i}" for i in range(90)]
+    rows = [(skip, " ".join(filler[: 30 + skip] + notice + filler[60:])) for skip in range(n)]
+    found = license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r[0], r[1], round(r[2], 9)) for r in found.collect()} == {(skip, "MIT-permission", round(19 / 23, 9)) for skip in range(n)}
+    # A window without the last or first words of the notice holds less, so the place is that of one that has them all.
+    for r in found.collect():
+        assert r[3] <= 30 + r[0] and r[3] + 2 * n >= 30 + r[0] + len(notice) - 4
+        assert r[4] >= (r[3] % n == 0)
+
+
 # Token files
 
 

@@ -1,20 +1,23 @@
 """License scan: MinHash bands over overlapping windows retrieve templates, exact shingle containment verifies.
 
 Only DataFrame functions. A template is a license notice; its shingles are runs of five words. For each number s
-of shingles that a template has, a document is cut into windows of 2 * s shingles that begin every s shingles,
-so each run of s shingles lies whole in one of them. A window that holds at least 0.8 of a template has a Jaccard
-similarity to it of 0.8 / 2.2 = 0.36 at least, and BANDS = 32 bands of one MinHash each collide at least once
-with a probability of 1 - 0.64 ** 32, all but one in a million. What collides is verified: the part of the
-template's shingles, as words, that the window holds.
-
-Windows without any template shingle hold no part of a template. One look at the shingles of each document, by
-hash, finds the places of template shingles, and only windows around them are built, in the row that holds the
+of shingles that a template has, a document holds the template if any 2 * s shingles in a row hold at least 0.8 of
+it. The document is cut into stretches of 3 * s shingles that begin every s shingles, so each window of 2 * s lies
+whole in one of them. A stretch that holds at least 0.8 of a template has a Jaccard similarity to it of 0.8 / 3.2 =
+0.25 at least, and BANDS = 48 bands of one MinHash each collide at least once with a probability of 1 - 0.75 ** 48,
+all but one in a million. What collides is verified: the part of the template's shingles, as words, that the
+windows at each place of the stretch hold.
+
+Stretches without any template shingle hold no part of a template. One look at the shingles of each document, by
+hash, finds the places of template shingles, and only stretches around them are built, in the row that holds the
 document; so most texts make none, and what is exploded and joined is small. The templates' bands are
 broadcast: they are TEMPLATES, or a table of at most MOST_TEMPLATES notices.
 
 Words are runs of letters and digits in lower case. Defined results: null and empty texts, and templates with
 fewer than five words, match nothing; rows that repeat an id count as one document; of several windows that hold
-a template the greatest containment counts, and the first place of that; extra columns are ignored.
+a template the greatest containment counts, and of windows with that the first one at a multiple of s, or else the
+first one; n_windows counts the windows at multiples of s and is 0 where none of them holds the template; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from tidewright.llm.base import Scratch
 
 SHINGLE = 5
 CONTAINMENT = 0.8
-BANDS = 32
+BANDS = 48
 MOST_TEMPLATES = 2_000
 
 #: Notices as they stand in texts and file headers (fixed values).
@@ -117,7 +120,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
         sizes.setdefault(row["n"], set()).update(row["hashes"])
 
     def near(found: Column, hashes: Column) -> Column:
-        """The windows (first shingle, shingles) around the places of template shingles, for each size."""
+        """The stretches (first shingle, shingles) around the places of template shingles, for each size."""
         windows = []
         for n, own in sorted(sizes.items()):
             windows.append(_around(found, hashes, n, F.array(*[F.lit(h) for h in sorted(own)])))
@@ -140,8 +143,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
                 lambda x: F.struct(
                     x["first"].alias("first"),
                     x["n"].alias("n"),
-                    F.slice("h", x["first"] + 1, 2 * x["n"]).alias("h"),
-                    F.slice("w", x["first"] + 1, 2 * x["n"] + (SHINGLE - 1)).alias("w"),
+                    F.slice("h", x["first"] + 1, 3 * x["n"]).alias("h"),
+                    F.slice("w", x["first"] + 1, 3 * x["n"] + (SHINGLE - 1)).alias("w"),
                 ),
             )
         ).alias("win"),
@@ -149,12 +152,19 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
     windows = windows.select("_id", "win.*").withColumn("band", F.explode(_bands(F.col("h"))))
     bands = table.select("template", F.col("n").alias("size"), "shingles", F.explode(_bands(F.col("hashes"))).alias("band"))
     hit = windows.join(F.broadcast(bands), (windows["band"] == bands["band"]) & (F.col("n") == F.col("size")))
-    places = F.sequence(F.lit(1), F.size("w") - (SHINGLE - 1))
-    inside = F.array_intersect("shingles", F.transform(places, lambda i: F.array_join(F.slice("w", i, SHINGLE), " ")))
-    hit = hit.select("_id", "template", "first", (F.size(inside) / F.col("n")).alias("containment"))
+    hit = hit.select("_id", "template", "n", "first", _inside(F.col("shingles"), F.col("w")).alias("inside"))
+    hit = hit.filter(_held(F.col("inside")) / F.col("n") >= CONTAINMENT)
+    hit = hit.select("_id", "template", "n", "first", F.explode(_windows(F.col("inside"), F.col("n"))).alias("x"))
+    hit = hit.select(
+        "_id",
+        "template",
+        (F.col("first") + F.col("x.skip")).alias("first"),
+        (F.col("x.held") / F.col("n")).alias("containment"),
+        (F.col("x.skip") == 0).alias("even"),
+    )
     hit = hit.filter(F.col("containment") >= CONTAINMENT).distinct()
-    best = F.max(F.struct("containment", (-F.col("first")).alias("first"))).alias("best")
-    found = hit.groupBy("_id", "template").agg(best, F.count("*").alias("n_windows"))
+    best = F.max(F.struct("containment", "even", (-F.col("first")).alias("first"))).alias("best")
+    found = hit.groupBy("_id", "template").agg(best, F.count_if("even").alias("n_windows"))
     return found.select(
         F.col("_id").alias(id_col),
         "template",
@@ -165,13 +175,39 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", te
 
 
 def _around(shared: Column, hashes: Column, n: int, own: Column) -> Column:
-    """Distinct windows of 2 * n shingles, begun every n, that hold a shingle of a template of this size."""
+    """Distinct stretches of 3 * n shingles, begun every n, that hold a shingle of a template of this size."""
     none = F.array().cast("array<struct<first:int,n:int>>")
 
     def places(mine: Column) -> Column:
         at = F.filter(F.transform(hashes, lambda h, i: F.when(F.array_contains(mine, h), i)), lambda i: i.isNotNull())
-        begins = F.transform(at, lambda i: F.array((F.floor(i / n) * n).cast("int"), (F.floor(i / n) * n - n).cast("int")))
+        begins = F.transform(at, lambda i: F.array(*[((F.floor(i / n) - back) * n).cast("int") for back in range(3)]))
         begins = F.filter(F.array_distinct(F.flatten(begins)), lambda b: b >= 0)
         return F.transform(begins, lambda b: F.struct(b.alias("first"), F.lit(n).alias("n")))
 
     return _let(F.array_intersect(shared, own), lambda mine: F.when(F.size(mine) > 0, places(mine)).otherwise(none))
+
+
+def _inside(shingles: Column, words: Column) -> Column:
+    """For each shingle of the words its place among the template's, 0 if it is none of them."""
+    places = F.sequence(F.lit(1), F.size(words) - (SHINGLE - 1))
+    return F.transform(places, lambda i: F.array_position(shingles, F.array_join(F.slice(words, i, SHINGLE), " ")))
+
+
+def _held(inside: Column) -> Column:
+    return F.size(F.array_remove(F.array_distinct(inside), 0))
+
+
+def _windows(inside: Column, n: Column) -> Column:
+    """The window of 2 * n at the start of a stretch, and the best of those at the next n - 1 places, as
+    (held, skip). Windows that do not begin with a shingle of the template hold no more than a later one that does."""
+    window = lambda skip: F.struct(_held(F.slice(inside, skip + 1, 2 * n)).alias("held"), skip.alias("skip"))
+
+    def with_later(start: Column) -> Column:
+        skips = F.filter(F.sequence(F.lit(1), F.least(n, F.size(inside)) - 1), lambda i: F.get(inside, i) > 0)
+        found = F.transform(skips, window)
+        most = F.array_max(F.transform(found, lambda x: x["held"]))
+        more = F.filter(found, lambda x: (x["held"] == most) & (x["held"] > start["held"]))
+        several = F.least(n, F.size(inside)) > 1
+        return F.when((start["held"] < n) & several, F.concat(F.array(start), F.slice(more, 1, 1))).otherwise(F.array(start))
+
+    return _let(window(F.lit(0)), with_later)
