@@ -75,6 +75,26 @@ def test_allowed_strings_are_suppressed(spark):
     assert got[1] == "" and got[2] == "" and got[3].startswith("entropy_base64")
 
 
+def test_keys_of_one_case_are_found_and_masked(spark):
+    keys = {
+        "entropy_hex": "3F2A9C4B7E1D8065F3A2B9C8",
+        "entropy_base64": "9aZ3v9QmXw2Lr8TbYc5HnJf7P",
+        "entropy_lower": "3ax6xnjp29jd6fds4gc373sgvjxteol0",
+        "entropy_upper": "JBSWY3DPEHPK3PXPKRSXG5BAMFZWI2LO",
+    }
+    rows = [(kind, f"see {key}, or so") for kind, key in keys.items()]
+    rows.append(("path", "srv/data/part-0001/warehouse/tables/2024-01-01/region_eu/file-17"))
+    rows.append(("word", "donaudampfschifffahrtsgesellschaftskapitaen"))
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r[0]: r[5] for r in secret_scan.secret_scan(frame).collect()}
+    assert got == {k: f"{k}:4:{4 + len(x)}" for k, x in keys.items()} | {"path": "", "word": ""}
+    clean = dict(secret_scan.redact(frame).select("doc_id", "text").collect())
+    assert all(clean[k] == f"see {secret_scan.MASK}, or so" for k in keys)
+    # As a part of a longer run.
+    run = spark.createDataFrame([(1, f"key-{keys['entropy_lower']}")], "doc_id long, text string")
+    assert secret_scan.redact(run).first()["text"] == f"key-{secret_scan.MASK}"
+
+
 def test_redaction_keeps_rows_and_columns(messy):
     out = secret_scan.redact(messy)
     assert out.columns == messy.columns

@@ -55,7 +55,10 @@ PATTERNS = (
 class EntropyClass:
     """A character class: its letters, the window, and the bits per character that make a window suspicious.
 
-    `mixed` must match the candidate too: words of one case and plain paths are no keys, however long.
+    `mixed` must match the candidate too, and tells the classes apart: a path or a word may have as many bits as a
+    key. Base64 needs both cases and a digit; strings of one case with digits have classes of their own, without
+    the separators of paths. Those need a letter that is not hexadecimal, as the others are found as hex. Long
+    strings of letters alone are in no class.
     """
 
     kind: str
@@ -69,6 +72,8 @@ _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 CLASSES = (
     EntropyClass("entropy_hex", _DIGITS + "abcdefABCDEF", 24, 3.0, r"(?=.*[0-9])(?=.*[A-Fa-f])"),
     EntropyClass("entropy_base64", _UPPER + _LOWER + _DIGITS + "+/_=-", 24, 3.75, r"(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])"),
+    EntropyClass("entropy_lower", _LOWER + _DIGITS, 24, 3.75, r"(?=.*[0-9])(?=.*[g-z])"),
+    EntropyClass("entropy_upper", _UPPER + _DIGITS, 24, 3.75, r"(?=.*[0-9])(?=.*[G-Z])"),
 )
 
 #: Strings of high entropy that are no secrets: UUIDs, runs of the alphabet, and words that mark an example.
