@@ -179,6 +179,28 @@ def test_append_mode_adds_a_second_drop(spark, folder):
     assert Counter(r["Id"] for r in lake.movie.read().collect()) == Counter([1, 4, 6, 2, 5, 10, 11, 2])
 
 
+def test_append_without_a_newer_drop_keeps_silver(spark, folder):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    tables = {"genres": lake.genres, "language": lake.language, "movie": lake.movie}
+    # Two loads go into silver at once; only the second has a document without a run time.
+    first = [movie(1), movie(2, language="de", genres=((5, "Crime"),))]
+    second = [movie(1), movie(3, language="fr", genres=((6, "War"),)), movie(4, run_time=None, genres=((7, "Noir"),))]
+    m.raw_to_bronze(lake, drop(folder, first), NOW, multi_line=True)
+    os.rename(f"{folder}/raw", f"{folder}/first")
+    m.raw_to_bronze(lake, drop(folder, second), NOW + dt.timedelta(days=1), mode="append", multi_line=True)
+    m.bronze_to_silver(lake)
+    rows = lambda name: Counter(tuple(r)[:2] for r in tables[name].read().drop("p_load").collect())
+    assert rows("genres") == Counter([(1, "Drama"), (5, "Crime"), (6, "War"), (7, "Noir")])
+    assert rows("language") == Counter([(1, "en"), (1, "de"), (1, "fr")])
+    assert sorted(r["Id"] for r in lake.movie.read().collect()) == [1, 2, 3]
+    before = {name: set(rows(name)) for name in tables}
+    for _ in range(2):
+        m.bronze_to_silver(lake, mode="append")
+        assert {name: set(rows(name)) for name in tables} == before
+    assert sorted(r["Id"] for r in lake.movie.read().collect()) == [1, 2, 3]
+    assert statuses(lake)[(4, "new")] == 1
+
+
 def test_a_job_that_dies_before_the_status_can_run_again(spark, folder, monkeypatch):
     lake = m.Lakehouse(spark, f"{folder}/lake")
     m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)

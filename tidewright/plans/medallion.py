@@ -98,8 +98,8 @@ def floored_budget(budget: Column) -> Column:
     return F.when(budget < BUDGET_FLOOR, F.lit(BUDGET_FLOOR)).otherwise(budget)
 
 
-def silver_movie(bronze: DataFrame, floor_budget=True) -> DataFrame:
-    """Flat movie columns next to the `value` they come from. Dirty dates become NULL."""
+def silver_movie(bronze: DataFrame, floor_budget=True, keep=()) -> DataFrame:
+    """Flat movie columns next to the `value` they come from, and the columns to `keep`. Dirty dates become NULL."""
     columns = []
     for field in schemas.SILVER_MOVIE:
         derived = field.name in _DERIVED and (floor_budget or field.name != "Budget")
@@ -107,11 +107,11 @@ def silver_movie(bronze: DataFrame, floor_budget=True) -> DataFrame:
         if isinstance(field.dataType, T.DateType):
             column = column.try_cast(field.dataType)
         columns.append(column.alias(field.name))
-    return bronze.select("value", *columns)
+    return bronze.select("value", *columns, *keep)
 
 
-def silver_genres(bronze: DataFrame, mode="all") -> DataFrame:
-    """Distinct genres with a name; documents without genres add none.
+def silver_genres(bronze: DataFrame, mode="all", keep=()) -> DataFrame:
+    """Distinct genres with a name, for each value of the columns to `keep`; documents without genres add none.
 
     mode="first" takes the first genre of each document only, one row per id, blank names kept.
     """
@@ -119,15 +119,16 @@ def silver_genres(bronze: DataFrame, mode="all") -> DataFrame:
         first = F.try_element_at(F.col("value.genres"), F.lit(1))
         named = bronze.select(first["id"].alias("Id"), first["name"].alias("name"))
         return first_per_key(named, ["Id"])
-    genres = bronze.select(F.explode("value.genres").alias("genre"))
-    return genres.select(F.col("genre.id").alias("Id"), F.col("genre.name").alias("name")).filter(
+    genres = bronze.select(F.explode("value.genres").alias("genre"), *keep)
+    return genres.select(F.col("genre.id").alias("Id"), F.col("genre.name").alias("name"), *keep).filter(
         F.col("name") != ""
     ).distinct()
 
 
-def silver_language(bronze: DataFrame) -> DataFrame:
-    """Distinct languages, all under Id 1."""
-    return bronze.select(F.lit(1).alias("Id"), F.col("value.OriginalLanguage").alias("OriginalLanguage")).distinct()
+def silver_language(bronze: DataFrame, keep=()) -> DataFrame:
+    """Distinct languages, all under Id 1, for each value of the columns to `keep`."""
+    language = F.col("value.OriginalLanguage").alias("OriginalLanguage")
+    return bronze.select(F.lit(1).alias("Id"), language, *keep).distinct()
 
 
 _SILVER = {"movie": silver_movie, "genres": silver_genres, "language": silver_language}
@@ -222,25 +223,36 @@ def repair_outcome() -> Column:
 def bronze_to_silver(lake: Lakehouse, mode="overwrite", null_to_quarantine=False) -> None:
     """Load new bronze rows into the silver tables, then mark them loaded or quarantined.
 
-    Sinks run in order and the status comes last: a job that dies before it can simply be run again, as it
-    finds the same new rows and writes the same load. Each sink reads only the columns it needs.
+    Silver rows lie under the load of their bronze row. Sinks run in order and the status comes last: a job that
+    dies before it can simply be run again, as it finds the same new rows and writes the same loads. Rows without
+    a run time stay new, so a load can come up again when its other rows are settled: append takes the genres and
+    languages of a load from all of its bronze rows. Each sink reads only the columns it needs.
     """
-    new = lake.bronze.read().filter(F.col("status") == NEW)
-    load = new.agg(F.max(LOAD)).first()[0]
-    if load is None and mode == "append":
+    bronze = lake.bronze.read()
+    new = bronze.filter(F.col("status") == NEW)
+    loads = sorted(r[LOAD] for r in new.select(LOAD).distinct().collect())
+    if not loads and mode == "append":
         return
+    names = F.array(*[F.lit(name) for name in loads]).cast("array<string>")
+
+    def once(rows):
+        """Distinct rows, each under its first load, which is found as a number as in merge_status."""
+        first = F.min(F.array_position(names, F.col(LOAD))).cast("int").alias("_load")
+        found = rows.groupBy(*[name for name in rows.columns if name != LOAD]).agg(first)
+        return found.withColumn(LOAD, F.try_element_at(names, F.col("_load"))).drop("_load")
+
     # Distinct documents first: their flat columns are functions of the document.
-    clean = silver_movie(new.select("value").filter(F.col("value.RunTime") >= 0).distinct()).drop("value")
+    clean = once(new.select("value", LOAD).filter(F.col("value.RunTime") >= 0))
+    rows = bronze.filter(F.col(LOAD).isin(loads)) if mode == "append" else new
     for table, frame in (
-        (lake.genres, silver_genres(new)),
-        (lake.language, silver_language(new)),
-        (lake.movie, clean),
+        (lake.genres, silver_genres(rows, keep=[LOAD])),
+        (lake.language, silver_language(rows, keep=[LOAD])),
+        (lake.movie, silver_movie(clean, keep=[LOAD]).drop("value")),
     ):
-        loaded = frame.withColumn(LOAD, F.lit(load))
         if mode == "append":
-            table.replace(loaded, reads_itself=False)
+            table.replace(frame, reads_itself=False)
         else:
-            table.publish(loaded)
+            table.publish(frame if table is lake.movie else once(frame))
     outcome = bronze_outcome()
     if null_to_quarantine:
         outcome = F.coalesce(outcome, F.lit(QUARANTINED))
