@@ -91,4 +91,32 @@ SELECT doc_id, template, max(containment) AS containment, arg_max(first_word, co
 FROM held GROUP BY doc_id, template
 """
 
-ORACLE = {"op1_secret_scan": _SECRETS, "op9_quality_rules": _RULES, "op10_license_scan": _LICENSES}
+_FINGERPRINTS = r"""
+WITH n AS (SELECT doc_id, coalesce(text, '') AS t, lead(coalesce(text, '')) OVER w AS u,
+                  first_value(coalesce(text, '')) OVER w AS first FROM documents WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, t, coalesce(u, first) AS u, length(t) // 3 AS k FROM n),
+x AS (SELECT doc_id, t, u, substr(t, 1, length(t) - k) || substr(u, 1, k) AS e FROM e),
+w AS (SELECT DISTINCT t, list_filter(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w
+      FROM (SELECT t FROM x UNION ALL SELECT e FROM x)),
+g AS (SELECT t, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p, w FROM w WHERE len(w) > 0),
+h AS (SELECT DISTINCT t, substr(md5(array_to_string(w[p:p+4], ' ')), 1, 16) AS h FROM g),
+s AS (SELECT t, coalesce(list(h ORDER BY h) FILTER (h < '2'), [min(h)]) AS s FROM h GROUP BY t),
+j AS (SELECT x.*, coalesce(a.s, []::VARCHAR[]) AS a, coalesce(c.s, []::VARCHAR[]) AS c, coalesce(z.s, []::VARCHAR[]) AS z
+      FROM x LEFT JOIN s a ON a.t = x.t LEFT JOIN s c ON c.t = x.e LEFT JOIN s z ON z.t = x.u),
+v AS (SELECT *, len(list_intersect(a, c)) AS ac, len(list_intersect(a, z)) AS az FROM j)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(e) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+       array_to_string(c, '') AS edited_fingerprint,
+       CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE ELSE ac / (len(a) + len(c) - ac) END AS near_edited,
+       CASE WHEN len(a) + len(z) = 0 THEN 1.0::DOUBLE ELSE az / (len(a) + len(z) - az) END AS near_next,
+       CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE ac / len(a) END AS held_by_edited,
+       CASE WHEN len(a) = 0 THEN 1.0::DOUBLE ELSE az / len(a) END AS held_by_next
+FROM v
+"""
+
+ORACLE = {
+    "op1_secret_scan": _SECRETS,
+    "op9_quality_rules": _RULES,
+    "op10_license_scan": _LICENSES,
+    "op12_document_fingerprints": _FINGERPRINTS,
+}
