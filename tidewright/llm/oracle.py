@@ -114,9 +114,31 @@ SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(e) AS edited_sha256, array_t
 FROM v
 """
 
+_PHRASES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM w),
+f AS (SELECT lang, n, array_to_string(w[p:p + n - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+      FROM places, (VALUES (1), (2), (3)) v(n) WHERE p + n - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+cuts AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, n)) AS k FROM f WHERE n > 1),
+scores AS (SELECT c.lang, c.n, c.phrase, a, k, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, array_to_string(w[k:k + 1], ' ') AS phrase, max(a) AS a FROM cuts WHERE n = 3 GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer o USING (lang, phrase) WHERE o.a IS NULL OR b.n = 3 OR 100 * o.a < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, totals.n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op1_secret_scan": _SECRETS,
     "op9_quality_rules": _RULES,
     "op10_license_scan": _LICENSES,
     "op12_document_fingerprints": _FINGERPRINTS,
+    "op13_collocations": _PHRASES,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import decontaminate, fingerprints, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import collocations, decontaminate, fingerprints, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -63,6 +63,11 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two or three words in each language."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,5 +82,6 @@ QUERIES = {
         op9_quality_rules,
         op10_license_scan,
         op12_document_fingerprints,
+        op13_collocations,
     )
 }
