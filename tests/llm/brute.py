@@ -235,3 +235,58 @@ def lm_rows(rows, tokenizer):
 
 def chain(n):
     return list(pairwise(range(n)))
+
+
+# Token alignment
+
+
+def aligned(texts):
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, n_overlaps) of each text."""
+    import hashlib
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in visible}
+    letters.update({chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in visible)})
+
+    def ends(parts):
+        out = [0]
+        for p in parts:
+            out.append(out[-1] + len(p))
+        return out
+
+    rows, counts = [], Counter()
+    for text in texts:
+        text = text or ""
+        a, b = (tokenizer.encode(" " + text, add_special_tokens=False).ids, model.encode(text)) if text else ([], [])
+        a_parts = [bytes(letters[c] for c in tokenizer.id_to_token(i)) for i in a]
+        b_parts = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode() for i in b]
+        raw = (" " + text).encode()
+        if not text or b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+            rows.append(([], [], [], 0))
+            continue
+        a_ends, b_ends = ends(a_parts), ends(b_parts)
+        common = sorted(set(a_ends) & set(b_ends))
+        groups = []
+        for x, y in pairwise(common):
+            groups.append(([i for i, e in zip(a, a_ends[1:], strict=True) if x < e <= y], [i for i, e in zip(b, b_ends[1:], strict=True) if x < e <= y]))
+        links = [(g[0][-1], g[1][-1]) for g in groups]
+        shared = sum(s < v and u < e for s, e in pairwise(a_ends) for u, v in pairwise(b_ends)) if len(raw) < 3000 else None
+        counts.update(links)
+        rows.append((a, b, groups, shared))
+    best = Counter()
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    out = []
+    for a, b, groups, shared in rows:
+        links = [(g[0][-1], g[1][-1]) for g in groups]
+        said = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        digest = hashlib.sha256(said.encode()).hexdigest() if groups else ""
+        n_best = sum(counts[k] == best[k[1]] for k in links)
+        out.append((len(a), len(b), len(groups), len(links), n_best, sum(counts[k] for k in links), digest, shared))
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -62,29 +63,58 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, rows: int = 256, most
 
 
 class Memo:
-    """What a worker has computed for distinct keys: up to about 2 * most of them, the recently used ones.
+    """What a worker has computed for distinct keys: up to about 2 * most bytes of it, the recently used ones.
 
     When the young half is full it becomes the old half; keys met again move back. So frequent keys stay, and a
-    key that was dropped is computed again.
+    key that was dropped is computed again. Keys of over `longest` characters are only passed through: they
+    are held until the next call.
     """
 
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+    def __init__(self, most: int, longest: int = 64):
+        self.most, self.longest = most, longest
+        self.young, self.old, self.held, self.passing = {}, {}, 0, []
+
+    def _cost(self, key, value) -> int:
+        """Bytes of a key, its value and its place in the dictionary."""
+        parts = value if isinstance(value, tuple) else (value,)
+        return 120 + getsizeof(key) + sum(map(getsizeof, parts))
 
     def holding(self, keys: set, compute) -> dict:
         """A dictionary that has all these keys; compute(list of keys) gives the missing values in order."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
+        for key in self.passing:
+            self.young.pop(key, None)
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
         young, old = self.young, self.old
         new = []
         for key in keys.difference(young):
             if key in old:
                 young[key] = old[key]
+                self.held += self._cost(key, old[key])
             else:
                 new.append(key)
-        if new:
-            young.update(zip(new, compute(new), strict=True))
+        self.passing = [key for key in new if len(key) > self.longest]
+        for key, value in zip(new, compute(new) if new else (), strict=True):
+            young[key] = value
+            if len(key) <= self.longest:
+                self.held += self._cost(key, value)
         return young
 
 
-__all__ = ["BLANK", "BLANKS", "NON_BLANK", "Memo", "Scratch", "as_bytes", "documents", "fold", "free_names", "scratch_path", "slices"]
+def count_step(count: Column) -> Column:
+    """Positive counts by sixteenths of a power of two, of which there is a bounded number."""
+    return F.floor(16 * F.log2(count)).cast("int")
+
+
+def least_step(sizes: dict[int, int], most: int) -> int:
+    """The lowest step from which on, upwards, there are no more than `most` rows; sizes: rows of each step."""
+    lowest, held = 1 << 30, 0
+    for step in sorted(sizes, reverse=True):
+        held += sizes[step]
+        if held > most:
+            break
+        lowest = step
+    return lowest
+
+
+__all__ = ["BLANK", "BLANKS", "NON_BLANK", "Memo", "Scratch", "as_bytes", "count_step", "documents", "fold", "free_names", "least_step", "scratch_path", "slices"]

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewright.llm import counting_filter
-from tidewright.llm.base import Scratch, as_bytes, slices
+from tidewright.llm.base import Scratch, as_bytes, count_step, least_step, slices
 
 LONGEST, LEAST, TOP = 3, 10, 2000
 #: A candidate goes if a longer one that holds it occurs at least this often, in percent of its own count.
@@ -95,22 +95,14 @@ def word_counts(rows: DataFrame, least: int) -> DataFrame:
 
 
 def _head(words: DataFrame, most: int) -> tuple[list[bytes], np.ndarray | None]:
-    """The most frequent words, `most` at most, and a bitmap of the hashes of the others, None without others.
-
-    Words are taken by sixteenths of a power of two of their count, of which there is a bounded number.
-    """
+    """The most frequent words, `most` at most, and a bitmap of the hashes of the others, None without others."""
     each = words.filter(F.col("word").isNotNull()).groupBy("word").agg(F.max("n").alias("n"))
-    step = F.floor(16 * F.log2("n")).cast("int")
-    fits = F.octet_length("word") <= HEAD_BYTES
-    steps = each.groupBy(F.when(fits, step).alias("step")).count().collect()
-    held, lowest, others = 0, None, 0
-    for at, n in sorted(((r[0], r[1]) for r in steps if r[0] is not None), reverse=True):
-        if held + n > most or others:
-            others += n
-        else:
-            held, lowest = held + n, at
-    others += sum(r[1] for r in steps if r[0] is None)
-    inside = fits & (step >= F.lit(lowest if lowest is not None else 1 << 20))
+    fits, step = F.octet_length("word") <= HEAD_BYTES, count_step(F.col("n"))
+    sizes = {r[0]: r[1] for r in each.groupBy(F.when(fits, step)).count().collect()}
+    others = sizes.pop(None, 0)
+    lowest = least_step(sizes, most)
+    others += sum(n for at, n in sizes.items() if at < lowest)
+    inside = fits & (step >= lowest)
     found = each.filter(inside).select("word").toArrow().column("word").to_pylist()
     if not others:
         return sorted(w.encode() for w in found), None

@@ -30,8 +30,8 @@ from tidewright.llm.base import Memo, as_bytes, slices
 
 SPACE = "▁"
 LONG = 512
-#: Distinct words kept with their ids in a worker, twice at most, some 300 bytes each.
-CACHED = 100_000
+#: Bytes of distinct words and their ids kept in a worker, twice at most.
+CACHED = 48 << 20
 _NONE = np.int64(1) << 62
 _PLACES = np.int64((1 << 32) - 1)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from tidewright.llm import collocations, decontaminate, fingerprints, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
+from tidewright.llm import alignment, collocations, decontaminate, fingerprints, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
 
@@ -58,6 +58,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every whole text, with corpus-wide counts of the links."""
+    return alignment.token_alignment(documents(spark, sf_dir))
+
+
 def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of every whole text and of its edited text, with their likeness, and that to the next document."""
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
@@ -81,6 +86,7 @@ QUERIES = {
         op8_simhash_dedup,
         op9_quality_rules,
         op10_license_scan,
+        op11_token_alignment,
         op12_document_fingerprints,
         op13_collocations,
     )

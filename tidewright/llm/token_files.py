@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from tidewright.llm.base import Memo, Scratch, as_bytes, scratch_path, slices
 
 END = 0
-#: Distinct runs kept with their ids in a worker, twice at most, some 250 bytes each.
-CACHED = 200_000
+#: Bytes of distinct runs and their ids kept in a worker, twice at most.
+CACHED = 64 << 20
 
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r".,;:!?|*#$%&()\""
