@@ -127,10 +127,23 @@ def test_settle_equals_the_merge_of_the_whole_table(spark, batch, outcome):
     updates = bronze.filter((F.col("status") == batch) & outcome().isNotNull()).select("value", outcome().alias("status"))
     count = lambda df: Counter((str(r["value"]), r["status"]) for r in df.collect())
     assert count(m.settle(bronze, batch, outcome())) == count(m.merge_status(bronze, updates))
-    # Without twins outside the batch the result is a plain scan.
-    alone = bronze.filter(F.col("status") == batch)
-    settled = m.settle(alone, batch, outcome())
-    assert "Join" not in settled._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("batch, outcome", [("new", m.bronze_outcome), ("quarantined", m.repair_outcome)])
+def test_settling_files_equals_the_merge_of_the_whole_table(spark, folder, batch, outcome):
+    # Every document under every status, each status in a load of its own, and a load that nothing concerns.
+    table = m.Lakehouse(spark, folder).bronze
+    for n, status in enumerate(("new", "loaded", "quarantined")):
+        part = frame(spark).unionByName(frame(spark, [movie(None, run_time=-9)]))
+        table.replace(part.withColumn("status", F.lit(status)).withColumn("p_load", F.lit(str(n))))
+    table.replace(frame(spark, [movie(8), movie(None, run_time=9), movie(2, run_time=-51)]).withColumn("status", F.lit("loaded")).withColumn("p_load", F.lit("3")))
+    before, bronze = files_of(folder), spark.createDataFrame(table.read().collect(), table.schema)
+    updates = bronze.filter((F.col("status") == batch) & outcome().isNotNull()).select("value", outcome().alias("status"))
+    count = lambda df: Counter((str(r["value"]), r["status"], r["p_load"]) for r in df.collect())
+    want = count(m.merge_status(bronze, updates))
+    m.settle_files(table, batch, outcome(), ["x,silver,1"])
+    assert count(table.read()) == want and table.done() == {"x,silver,1"}
+    assert {f for f in before if "p_load=3" in f} == {f for f in files_of(folder) if "p_load=3" in f}
 
 
 def test_medallion_from_files(spark, folder):
@@ -204,7 +217,7 @@ def test_append_without_a_newer_drop_keeps_silver(spark, folder):
 def test_a_job_that_dies_before_the_status_can_run_again(spark, folder, monkeypatch):
     lake = m.Lakehouse(spark, f"{folder}/lake")
     m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
-    monkeypatch.setattr(lake.bronze, "replace", lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(lake.bronze, "rewrite", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         m.bronze_to_silver(lake)
     monkeypatch.undo()
@@ -233,18 +246,74 @@ def files_of(folder):
 
 
 def test_loads_without_changed_rows_are_not_written(spark, folder):
+    """Three drops, all with a document without a run time, which stays new."""
     lake = m.Lakehouse(spark, f"{folder}/lake")
     m.run_medallion(lake, drop(folder), NOW, multi_line=True)
+    for n in (1, 2):
+        before = {name: files_of(f"{folder}/lake/{name}") for name in ("bronze", "silver")}
+        os.rename(f"{folder}/raw", f"{folder}/drop{n}")
+        again = [movie(20 + n), movie(30 + n, run_time=-4), movie(40 + n, run_time=None), movie(2, run_time=-51 - n)]
+        m.run_medallion(lake, drop(folder, again), NOW + dt.timedelta(days=n), "append", multi_line=True)
+        for name, files in before.items():
+            assert files and files.items() <= files_of(f"{folder}/lake/{name}").items()
+        assert statuses(lake)[(20 + n, "loaded")] == statuses(lake)[(30 + n, "loaded")] == statuses(lake)[(40 + n, "new")] == 1
+    ledger = Counter((r["step"], r["run"], r["state"]) for r in lake.ledger().collect())
+    assert ledger == Counter({("silver", 1, "done"): 3, ("repair", 1, "done"): 3})
+    # A true copy of an old document writes the file that holds it, and no other.
+    os.rename(f"{folder}/raw", f"{folder}/drop3")
+    m.raw_to_bronze(lake, drop(folder, [movie(31, run_time=-4)]), NOW + dt.timedelta(days=3), "append", multi_line=True)
+    assert Counter(r["state"] for r in lake.ledger().collect())["pending"] == 1
     before = files_of(f"{folder}/lake/bronze")
-    os.rename(f"{folder}/raw", f"{folder}/first")
-    m.raw_to_bronze(lake, drop(folder, [movie(20), movie(21, run_time=-4)]), NOW + dt.timedelta(days=2), "append", multi_line=True)
-    # Document 3 of the first load has no run time and is still new, so that load is in the batch; take it out.
-    lake.bronze.replace(lake.bronze.read().withColumn("status", F.lit("loaded")).filter("p_ingestdate = DATE'2022-03-04'"))
-    before = files_of(f"{folder}/lake/bronze/p_ingestdate=2022-03-04")
     m.bronze_to_silver(lake, mode="append")
+    gone = {f for f in before if f not in files_of(f"{folder}/lake/bronze")}
+    assert {f.split("p_ingestdate=")[1][:10] for f in gone} == {"2022-03-05", "2022-03-07"}
+    assert statuses(lake)[(31, "quarantined")] == 2
+
+
+def test_two_repairs_of_one_load_keep_all_rows(spark, folder):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    m.run_medallion(lake, drop(folder), NOW, multi_line=True)
+    assert sorted(r["Id"] for r in lake.movie.read().collect()) == [1, 2, 4, 5, 6]
+    m.bronze_to_silver(lake, mode="append", null_to_quarantine=True)
+    assert statuses(lake)[(3, "quarantined")] == 1
+    for _ in range(2):
+        m.silver_update(lake)
+        assert sorted(r["Id"] for r in lake.movie.read().collect()) == [1, 2, 3, 4, 5, 6]
+    assert {s for _, s in statuses(lake)} == {"loaded"}
+    loads = {r["p_load"] for r in lake.movie.read().select("p_load").collect()}
+    assert loads == {"20220304050607000", "20220304050607000-repaired-1", "20220304050607000-repaired-2"}
+
+
+def test_a_load_that_comes_again_replaces_its_silver_rows(spark, folder):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    m.run_medallion(lake, drop(folder), NOW, multi_line=True)
+    os.rename(f"{folder}/raw", f"{folder}/first")
+    m.run_medallion(lake, drop(folder, [movie(1), movie(9, created="2020-01-01")]), NOW, "append", multi_line=True)
+    assert sorted(r["Id"] for r in lake.movie.read().collect()) == [1, 9]
+    assert lake.runs("silver") == {"20220304050607000": 1} and lake.runs("repair") == {}
+
+
+def test_a_status_write_that_dies_is_carried_out_by_the_next_reader(spark, folder, monkeypatch):
+    lake = m.Lakehouse(spark, f"{folder}/lake")
+    m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
+    m.bronze_to_silver(lake)
+    move, moved = lake.bronze._move, []
+
+    def dying(source, target):
+        if not target.endswith("plan"):
+            moved.append(target)
+            raise RuntimeError("lost")
+        move(source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(lake.bronze, "_move", dying)
+        with pytest.raises(RuntimeError):
+            m.silver_update(lake)
+    assert moved
+    lake = m.Lakehouse(spark, f"{folder}/lake")
     m.silver_update(lake)
-    assert files_of(f"{folder}/lake/bronze/p_ingestdate=2022-03-04") == before
-    assert statuses(lake)[(21, "loaded")] == 1
+    assert statuses(lake)[(2, "loaded")] == 1 and statuses(lake)[(1, "loaded")] == 2
+    assert Counter(r["Id"] for r in lake.movie.read().collect()) == Counter([1, 4, 6, 2, 5])
 
 
 def test_a_repair_that_dies_before_the_status_adds_nothing_twice(spark, folder, monkeypatch):
@@ -252,7 +321,7 @@ def test_a_repair_that_dies_before_the_status_adds_nothing_twice(spark, folder,
     m.raw_to_bronze(lake, drop(folder), NOW, multi_line=True)
     m.bronze_to_silver(lake)
     with monkeypatch.context() as patch:
-        patch.setattr(lake.bronze, "replace", lambda df: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(lake.bronze, "rewrite", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             m.silver_update(lake)
     m.silver_update(lake)

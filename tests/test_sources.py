@@ -1,4 +1,5 @@
 import json
+import contextlib
 import os
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidewright import schemas
 from tidewright.sources import (
+    FILE,
     PartitionedTable,
     VersionedTable,
     batch_writer,
@@ -81,6 +83,58 @@ def test_partitions_are_replaced_one_by_one(spark, folder):
         table.replace(spark.createDataFrame([(1.5, "a")], "k double, v string"))
 
 
+@pytest.mark.parametrize("dies_at", range(7))
+def test_a_write_that_dies_loses_nothing(spark, folder, monkeypatch, dies_at):
+    """Whatever step of the write fails, the table has either its former rows or the new ones."""
+    table = PartitionedTable(spark, f"{folder}/t", PAIR, ["v"])
+    table.replace(spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], PAIR))
+    steps = []
+
+    def failing(method):
+        def step(*args, **kwargs):
+            steps.append(method)
+            if len(steps) > dies_at:
+                raise RuntimeError("lost")
+            return method(*args, **kwargs)
+
+        return step
+
+    monkeypatch.setattr(table, "_move", failing(table._move))
+    monkeypatch.setattr(table, "_listed", failing(table._listed))
+    with contextlib.suppress(RuntimeError):
+        table.replace(table.read().filter("v <> 'c'").withColumn("k", F.col("k") + 10), {"v=c"}, done=["step"])
+    monkeypatch.undo()
+    again = PartitionedTable(spark, f"{folder}/t", PAIR, ["v"])
+    rows = sorted(map(tuple, again.read().collect()))
+    planned = any(step.__name__ == "_move" for step in steps[:dies_at])
+    assert rows == ([(11, "a"), (12, "b")] if planned else [(1, "a"), (2, "b"), (3, "c")])
+    assert again.done() == ({"step"} if planned else set())
+    again.replace(spark.createDataFrame([(4, "d")], PAIR))
+    assert os.listdir(f"{folder}/t/_pending") == [] and again.read().count() == len(rows) + 1
+
+
+def test_a_merge_writes_only_the_files_it_hits(spark, folder):
+    table = PartitionedTable(spark, f"{folder}/t", PAIR, ["v"])
+    table.replace(spark.range(1000).selectExpr("id AS k", "cast(id % 100 AS string) AS v"))
+    before = table.read(files=True).select(FILE).distinct().count()
+    hit = [r[0] for r in table.read(files=True).filter("k = 707").select(FILE).collect()]
+    assert before == 100 and len(hit) == 1
+    table.rewrite(hit, table.read_files(hit).withColumn("k", F.when(F.col("k") == 707, -707).otherwise(F.col("k"))))
+    after = {r[0] for r in table.read(files=True).select(FILE).distinct().collect()}
+    assert len(after) == 100 and hit[0] not in after
+    assert table.read().agg(F.sum("k")).first()[0] == 999 * 500 - 2 * 707
+    assert table.read().filter("v = '7'").count() == 10
+
+
+def test_partition_values_with_odd_characters(spark, folder):
+    table = PartitionedTable(spark, f"{folder}/a b", PAIR, ["v"])
+    values = ["x y", "a/b", "50%", "k=v", "é*?[", None]
+    table.replace(spark.createDataFrame(list(enumerate(values)), PAIR))
+    files = [r[0] for r in table.read(files=True).filter("k > 0").select(FILE).collect()]
+    table.rewrite(files, table.read_files(files).withColumn("k", F.col("k") * 10))
+    assert sorted(map(tuple, table.read().collect())) == [(10 * i, v) for i, v in enumerate(values)]
+
+
 def test_parquet_source_checks_and_drifts(spark, folder):
     spark.createDataFrame([(1, "a", 2.0)], "k long, v string, w double").write.parquet(f"{folder}/t")
     assert read_parquet(spark, f"{folder}/t", PAIR).columns == ["k", "v"]

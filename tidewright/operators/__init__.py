@@ -3,6 +3,7 @@
 from tidewright.operators.checks import check
 from tidewright.operators.dedupe import first_per_key, upsert
 from tidewright.operators.joins import any_key_left_join, fanout_sum, group_apart, null_safe_not_in, without
+from tidewright.operators.keyfilter import key_bitmap, may_contain
 from tidewright.operators.numbering import chunk, number_rows
 from tidewright.operators.shaping import as_json_array, as_xml, json_lines, nest_by, pivot_sum
 from tidewright.operators.split import split
@@ -17,6 +18,8 @@ __all__ = [
     "first_per_key",
     "group_apart",
     "json_lines",
+    "key_bitmap",
+    "may_contain",
     "nest_by",
     "null_safe_not_in",
     "number_rows",

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidewright import schemas
 from tidewright.operators import check, first_per_key, split
 from tidewright.plans import files, incremental, medallion
-from tidewright.sources import batch_writer, open_tables, read_table, scratch_path
+from tidewright.sources import FILE, batch_writer, open_tables, read_table, scratch_path
 from tidewright.sources.readers import read_parquet, read_raw
 
 INGESTED = dt.datetime(2022, 1, 1)
@@ -233,6 +233,46 @@ def m13_second_drop(spark, folder) -> DataFrame:
     return lake.bronze.read().select("value.Id", "value.RunTime", "status", "p_ingestdate")
 
 
+def m14_file_merge(spark, folder) -> DataFrame:
+    """A merge by whole document into a bronze table with a load per month: status of every row, and whether the file
+    that it lay in was written again."""
+    lake = _new_lake(spark)
+    month = F.date_format(F.to_date("value.CreatedDate"), "yyyy-MM")
+    rows = bronze(spark, folder).withColumn(medallion.LOAD, month)
+    lake.bronze.publish(rows.repartition(medallion.LOAD))
+    before = [row[0] for row in lake.bronze.read(files=True).select(FILE).distinct().collect()]  # a file a month
+    march = rows.filter(month.isin("1996-03", "1997-03") & (F.col("value.Id") % 3 == 0))
+    updates = march.select("value", F.lit(medallion.QUARANTINED).alias("status"))
+    medallion.merge_status_files(lake.bronze, updates)
+    merged = lake.bronze.read(files=True)
+    return merged.select("value.Id", "value.RunTime", "status", (~F.col(FILE).isin(before)).alias("rewritten"))
+
+
+def m15_repair_twice(spark, folder) -> DataFrame:
+    """Silver movies after a load and its repair, and after the documents left over were quarantined and repaired too."""
+    lake = _lake_with_bronze(spark, folder)
+    medallion.bronze_to_silver(lake)
+    medallion.silver_update(lake)
+    medallion.bronze_to_silver(lake, mode="append", null_to_quarantine=True)
+    medallion.silver_update(lake)
+    movies_of = lake.movie.read()
+    run = F.coalesce(F.regexp_extract(medallion.LOAD, "-repaired-([0-9]+)$", 1).try_cast("int"), F.lit(0))
+    return movies_of.select("Id", "Budget", "RunTime", "p_CreatedDate", run.alias("run"))
+
+
+def m16_ledger(spark, folder) -> DataFrame:
+    """Steps by load after two drops, of which the second is not in silver yet, and the silver rows of each load."""
+    lake = _lake_with_bronze(spark, folder)
+    medallion.bronze_to_silver(lake)
+    medallion.silver_update(lake)
+    again = movies(spark, folder).filter(F.col("value.Id") % 5 == 0)
+    medallion.raw_to_bronze(lake, _write_drop(again), INGESTED + dt.timedelta(days=1), mode="append")
+    held = lake.movie.read().groupBy(F.col(medallion.LOAD).alias("held")).agg(F.count("*").alias("n"))
+    own = F.when(F.col("step") == medallion.REPAIR, F.concat(medallion.LOAD, F.lit("-repaired-"), F.col("run").cast("string")))
+    rows = lake.ledger().withColumn("own", F.coalesce(own, medallion.LOAD)).join(held, F.col("own") == F.col("held"), "left")
+    return rows.select(medallion.LOAD, "step", "run", "state", F.coalesce("n", F.lit(0)).alias("silver_rows"))
+
+
 def m09_dedupe_by_key(spark, folder) -> DataFrame:
     """The first line of each (order, line number), all other columns breaking ties."""
     lineitem = open_tables(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
@@ -390,6 +430,9 @@ QUERIES = {
         m11_rank_rows,
         m12_status_join,
         m13_second_drop,
+        m14_file_merge,
+        m15_repair_twice,
+        m16_ledger,
         s01_multi_line_documents,
         s02_catalog_flow,
         s03_parquet_drift,

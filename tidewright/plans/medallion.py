@@ -1,6 +1,7 @@
 """Raw movie documents to bronze, bronze to silver, and repair of quarantined rows."""
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
-from tidewright.operators import first_per_key, group_apart, split
-from tidewright.sources import PartitionedTable
+from tidewright.operators import first_per_key, group_apart, key_bitmap, may_contain, split
+from tidewright.sources import FILE, PartitionedTable
 from tidewright.sources.readers import read_raw
 
 # The budget floor, the data source name and the row states.
@@ -19,6 +20,18 @@ NEW, LOADED, QUARANTINED = "new", "loaded", "quarantined"
 
 #: Every table has a partition for each load, so that a load that runs again replaces its own rows.
 LOAD = "p_load"
+#: Steps that the ledger knows.
+SILVER, REPAIR = "silver", "repair"
+
+
+def note(load: str, step: str, run: int = 1) -> str:
+    """The name under which bronze notes that a step is done with a load."""
+    return f"{load},{step},{run}"
+
+
+def repaired(load: str, run: int) -> str:
+    """The silver load of the documents that a repair run took from a bronze load."""
+    return f"{load}-repaired-{run}"
 
 # Silver columns that are not simply the document field of the same name.
 _DERIVED = {
@@ -42,13 +55,34 @@ class Lakehouse:
             return PartitionedTable(spark, f"{root}/{name}", schema, list(by), gather)
 
         self.spark = spark
-        # A load has one ingest date and a status change reads files of few loads, so bronze needs no gathering.
+        # A load has one ingest date and a status change reads few files, so bronze needs no gathering.
         self.bronze = table("bronze", schemas.BRONZE, "p_ingestdate", LOAD, gather=False)
         self.movie = table("silver/movie", schemas.SILVER_MOVIE, LOAD, *([movie_partition] if movie_partition else []))
         # A folder per genre or language would hold a handful of rows each.
         self.genres = table("silver/genres", schemas.SILVER_GENRES, LOAD)
         self.language = table("silver/language", schemas.SILVER_LANGUAGE, LOAD)
 
+    def loads(self) -> set[str]:
+        """The loads that bronze holds."""
+        return {unquote(name.rpartition(f"{LOAD}=")[2]) for name in self.bronze.partitions()}
+
+    def ledger(self) -> DataFrame:
+        """(load, step, run, state): every load with its steps, the `done` ones as noted together with the statuses that
+        they set, and `pending` where silver has not taken the load yet."""
+        done = [tuple(name.split(",")) for name in self.bronze.done()]
+        rows = [(load, step, int(run), "done") for load, step, run in done]
+        taken = {load for load, step, *_ in rows if step == SILVER}
+        rows += [(load, SILVER, 1, "pending") for load in self.loads() - taken]
+        return self.spark.createDataFrame(sorted(rows), f"{LOAD} string, step string, run int, state string")
+
+    def runs(self, step: str) -> dict[str, int]:
+        """How often a step was done with each load; loads without one are left out."""
+        found: dict[str, int] = {}
+        for load, name, run in (note.split(",") for note in self.bronze.done()):
+            if name == step:
+                found[load] = max(found.get(load, 0), int(run))
+        return found
+
     def register(self, database="Movie") -> None:
         for name, table in (
             ("movie_bronze", self.bronze),
@@ -79,11 +113,16 @@ def to_bronze(raw: DataFrame, now: dt.datetime | None = None) -> DataFrame:
 def raw_to_bronze(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", database=None, **read_options) -> None:
     """Load a folder of raw documents, and register the table in a database.
 
-    Overwrite replaces everything. Append adds a load, or replaces the load with the same `now`.
+    Overwrite replaces everything. Append adds a load, or replaces the load with the same `now`, which is then
+    pending again.
     """
+    if now is None:
+        clock = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        now = dt.datetime.fromisoformat(lake.spark.range(1).select(clock).first()[0])
     bronze = to_bronze(read_raw(lake.spark, raw_path, **read_options), now)
     if mode == "append":
-        lake.bronze.replace(bronze, reads_itself=False)
+        load = f"{now:%Y%m%d%H%M%S}{now.microsecond // 1000:03d}"
+        lake.bronze.replace(bronze, undone=[name for name in lake.bronze.done() if name.startswith(f"{load},")])
     else:
         lake.bronze.publish(bronze)
     if database:
@@ -170,42 +209,73 @@ def merge_status(bronze: DataFrame, updates: DataFrame, on="value") -> DataFrame
     return merged.select(*[status if name == "status" else F.col(name) for name in bronze.columns])
 
 
-def settle(bronze: DataFrame, batch: str, outcome: Column, key="value.Id") -> DataFrame:
+def _settled(rows: DataFrame, batch: str, outcome: Column) -> DataFrame:
+    """Rows with the outcome of the batch in place; rows outside of it as they are."""
+    status = F.when(F.col("status") == batch, F.coalesce(outcome, F.col("status"))).otherwise(F.col("status")).alias("status")
+    return rows.select(*[status if name == "status" else F.col(name) for name in rows.columns])
+
+
+def _would_move(batch: str, outcome: Column) -> Column:
+    """Rows outside of the batch whose status an equal document of the batch would change."""
+    return F.coalesce((F.col("status") != batch) & outcome.isNotNull() & (F.col("status") != outcome), F.lit(False))
+
+
+def settle(bronze: DataFrame, batch: str, outcome: Column) -> DataFrame:
     """Merge the outcome of one batch back onto bronze, without joining the whole table to itself.
 
     `batch` is the status of the rows just processed, `outcome` their new status as an expression over
-    `value` (NULL: unchanged). As it depends on the document alone, batch rows get theirs in place. A
-    merge by value also reaches equal documents outside the batch; only rows that would change status can
-    matter there, and first their keys alone are compared with those of the batch. Mostly none is found,
-    and the rewrite is a scan and a write.
+    `value` (NULL: unchanged). As it depends on the document alone, batch rows get theirs in place. A merge by value
+    also reaches equal documents outside the batch; only rows that would change status are compared.
+    """
+    moves, processed = _would_move(batch, outcome), (F.col("status") == batch) & outcome.isNotNull()
+    updates = bronze.filter(processed).select("value", outcome.alias("status"))
+    return _settled(bronze.filter(~moves), batch, outcome).unionByName(merge_status(bronze.filter(moves), updates))
+
+
+def _names(files: DataFrame) -> list[str]:
+    """The files that a write has to replace; it names each of them in its plan."""
+    return [row[0] for row in files.select(FILE).distinct().collect()]
+
+
+def _files_with(rows: DataFrame, values: DataFrame, key: str) -> list[str]:
+    """Files of rows whose `value` equals one of `values`.
+
+    Rows are sought by `key` first: a bitmap of the keys leaves most of them out where they lie, the others are
+    compared by key. Whole documents are read only from the files that are left, mostly none.
     """
-    in_batch = F.col("status") == batch
-    would_move = F.coalesce(~in_batch & outcome.isNotNull() & (F.col("status") != outcome), F.lit(False))
-    settled = F.when(in_batch, F.coalesce(outcome, F.col("status"))).otherwise(F.col("status")).alias("status")
-
-    def in_place(df):
-        return df.select(*[settled if name == "status" else F.col(name) for name in df.columns])
-
-    outside, processed = bronze.filter(would_move), bronze.filter(in_batch & outcome.isNotNull())
-    keys = processed.select(F.col(key).alias("_key")).distinct()
-    if outside.select(F.col(key).alias("_own")).join(keys, F.col("_own").eqNullSafe(F.col("_key")), "left_semi").isEmpty():
-        return in_place(bronze)
-    updates = processed.select("value", outcome.alias("status"))
-    return in_place(bronze.filter(~would_move)).unionByName(merge_status(outside, updates))
-
-
-def settle_loads(bronze: PartitionedTable, batch: str, outcome: Column, key="value.Id") -> None:
-    """settle() on the stored table, writing only loads that hold rows of the batch, or other rows with a key of
-    such a row that may change with it. Loads are few, so their names are read to the driver."""
-    rows = bronze.read()
-    in_batch = F.col("status") == batch
-    would_move = F.coalesce(~in_batch & outcome.isNotNull() & (F.col("status") != outcome), F.lit(False))
-    keys = rows.filter(in_batch & outcome.isNotNull()).select(F.col(key).alias("_key")).distinct()
-    others = rows.filter(would_move).select(F.col(key).alias("_own"), LOAD)
-    twins = others.join(keys, F.col("_own").eqNullSafe(F.col("_key")), "left_semi").select(LOAD)
-    loads = [r[LOAD] for r in rows.filter(in_batch).select(LOAD).distinct().union(twins.distinct()).distinct().collect()]
-    if loads:
-        bronze.replace(settle(rows.filter(F.col(LOAD).isin(loads)), batch, outcome, key))
+    keys = values.select(F.col(key).alias("_key")).distinct()
+    likely = rows.select(F.col(key).alias("_own"), FILE).filter(may_contain(key_bitmap(keys, "_key"), F.col("_own")))
+    files = _names(likely.join(keys, F.col("_own").eqNullSafe(F.col("_key")), "left_semi"))
+    if not files:
+        return []
+    sought = values.select(F.col("value").alias("_on"), F.xxhash64("value").alias("_digest"))
+    same = (F.xxhash64("value") == F.col("_digest")) & (F.col("value") == F.col("_on"))
+    return _names(rows.filter(F.col(FILE).isin(files)).join(sought, same, "left_semi"))
+
+
+def settle_files(bronze: PartitionedTable, batch: str, outcome: Column, done=(), key="value.Id") -> list[str]:
+    """settle() on the stored table: only files with a row that changes are written again, and their names returned.
+
+    The steps in `done` are noted in the same write, also where no row changes.
+    """
+    rows = bronze.read(files=True)
+    processed = rows.filter((F.col("status") == batch) & outcome.isNotNull())
+    changed = _names(processed.filter(outcome != F.lit(batch)))
+    twins = _files_with(rows.filter(_would_move(batch, outcome)), processed, key)
+    files = sorted({*changed, *twins})
+    stored = bronze.read_files(files) if files else rows.drop(FILE)
+    # All rows of the batch that change are in these files.
+    bronze.rewrite(files, settle(stored, batch, outcome) if twins else _settled(stored, batch, outcome), done)
+    return files
+
+
+def merge_status_files(bronze: PartitionedTable, updates: DataFrame, key="value.Id") -> list[str]:
+    """merge_status() by whole document on the stored table: only files that hold a document of `updates` are written
+    again, and their names returned."""
+    files = _files_with(bronze.read(files=True), updates, key)
+    if files:
+        bronze.rewrite(files, merge_status(bronze.read_files(files), updates))
+    return files
 
 
 def bronze_outcome() -> Column:
@@ -220,67 +290,78 @@ def repair_outcome() -> Column:
 # --- jobs ------------------------------------------------------------------------------------------
 
 
+def _once(rows: DataFrame, loads: list[str]) -> DataFrame:
+    """Distinct rows, each under its first load, which is found as a number as in merge_status."""
+    names = F.array(*[F.lit(name) for name in loads]).cast("array<string>")
+    first = F.min(F.array_position(names, F.col(LOAD))).cast("int").alias("_load")
+    found = rows.groupBy(*[name for name in rows.columns if name != LOAD]).agg(first)
+    return found.withColumn(LOAD, F.try_element_at(names, F.col("_load"))).drop("_load")
+
+
+def _partitions_of(table: PartitionedTable, wanted) -> set[str]:
+    """The partitions of a silver table whose load is wanted."""
+    return {name for name in table.partitions() if wanted(unquote(name.split("/")[0].removeprefix(f"{LOAD}=")))}
+
+
 def bronze_to_silver(lake: Lakehouse, mode="overwrite", null_to_quarantine=False) -> None:
     """Load new bronze rows into the silver tables, then mark them loaded or quarantined.
 
-    Silver rows lie under the load of their bronze row. Sinks run in order and the status comes last: a job that
-    dies before it can simply be run again, as it finds the same new rows and writes the same loads. Rows without
-    a run time stay new, so a load can come up again when its other rows are settled: append takes the genres and
-    languages of a load from all of its bronze rows. Each sink reads only the columns it needs.
+    Append takes the loads that the ledger has as pending, overwrite all new rows. Silver rows lie under the load of their
+    bronze row, and a pending load's former silver rows, repaired ones among them, go. Sinks run in order; the
+    statuses come last, in one write with the ledger, so a job that dies before it finds the same loads and rows
+    again. Rows without a run time stay new: they are in genres and language with their load, and a later run has
+    nothing to do with them, unless null_to_quarantine marks them. Each sink reads only the columns it needs.
     """
     bronze = lake.bronze.read()
-    new = bronze.filter(F.col("status") == NEW)
-    loads = sorted(r[LOAD] for r in new.select(LOAD).distinct().collect())
-    if not loads and mode == "append":
-        return
-    names = F.array(*[F.lit(name) for name in loads]).cast("array<string>")
-
-    def once(rows):
-        """Distinct rows, each under its first load, which is found as a number as in merge_status."""
-        first = F.min(F.array_position(names, F.col(LOAD))).cast("int").alias("_load")
-        found = rows.groupBy(*[name for name in rows.columns if name != LOAD]).agg(first)
-        return found.withColumn(LOAD, F.try_element_at(names, F.col("_load"))).drop("_load")
-
-    # Distinct documents first: their flat columns are functions of the document.
-    clean = once(new.select("value", LOAD).filter(F.col("value.RunTime") >= 0))
-    rows = bronze.filter(F.col(LOAD).isin(loads)) if mode == "append" else new
-    for table, frame in (
-        (lake.genres, silver_genres(rows, keep=[LOAD])),
-        (lake.language, silver_language(rows, keep=[LOAD])),
-        (lake.movie, silver_movie(clean, keep=[LOAD]).drop("value")),
-    ):
-        if mode == "append":
-            table.replace(frame, reads_itself=False)
-        else:
-            table.publish(frame if table is lake.movie else once(frame))
+    pending = sorted(lake.loads() - lake.runs(SILVER).keys()) if mode == "append" else sorted(lake.loads())
+    if pending or mode != "append":
+        new = bronze.filter((F.col("status") == NEW) & F.col(LOAD).isin(pending))
+        # Distinct documents first: their flat columns are functions of the document.
+        clean = _once(new.select("value", LOAD).filter(F.col("value.RunTime") >= 0), pending)
+        for table, frame in (
+            (lake.genres, silver_genres(new, keep=[LOAD])),
+            (lake.language, silver_language(new, keep=[LOAD])),
+            (lake.movie, silver_movie(clean, keep=[LOAD]).drop("value")),
+        ):
+            if mode == "append":
+                table.replace(frame, _partitions_of(table, lambda load: load.split("-repaired-")[0] in pending))
+            else:
+                table.publish(frame if table is lake.movie else _once(frame, pending))
     outcome = bronze_outcome()
     if null_to_quarantine:
         outcome = F.coalesce(outcome, F.lit(QUARANTINED))
-    settle_loads(lake.bronze, NEW, outcome)
+    settle_files(lake.bronze, NEW, outcome, [note(load, SILVER) for load in pending])
 
 
-def repair(quarantined: DataFrame) -> DataFrame:
-    """Silver rows of quarantined documents with the sign of the run time dropped.
+def repair(quarantined: DataFrame, keep=()) -> DataFrame:
+    """Silver rows of quarantined documents with the sign of the run time dropped, and the columns to `keep`.
 
     The budget floor is not applied again.
     """
     fixed = F.abs(F.col("RunTime")).alias("RunTime")
-    movies = silver_movie(quarantined.select("value").distinct(), floor_budget=False)
+    movies = silver_movie(quarantined.select("value", *keep).distinct(), floor_budget=False, keep=keep)
     return movies.select(*[fixed if name == "RunTime" else F.col(name) for name in movies.columns])
 
 
 def silver_update(lake: Lakehouse) -> None:
-    """Add the repaired movies to silver as a load of their own, and mark their bronze rows loaded.
+    """Add the repaired movies to silver, and mark their bronze rows loaded.
 
-    If the driver dies between the two steps, a second run finds the same rows and replaces the same load.
+    What a run takes from a bronze load is a silver load of its own, named by that load and the number of the run,
+    so later repairs of the same load add to it. The statuses are written in one step with the note that the run is
+    done: a job that dies before that finds the same rows and replaces the same silver loads. NULL documents stay.
     """
-    quarantined = lake.bronze.read().filter(F.col("status") == QUARANTINED)
-    load = quarantined.agg(F.max(LOAD)).first()[0]
-    if load is None:
+    quarantined = lake.bronze.read().filter((F.col("status") == QUARANTINED) & F.col("value").isNotNull())
+    loads = sorted(row[0] for row in quarantined.select(LOAD).distinct().collect())
+    if not loads:
         return
-    repaired = repair(quarantined).drop("value").withColumn(LOAD, F.lit(f"{load}-repaired"))
-    lake.movie.replace(repaired, reads_itself=False)
-    settle_loads(lake.bronze, QUARANTINED, repair_outcome())
+    before = lake.runs(REPAIR)
+    run = {load: before.get(load, 0) + 1 for load in loads}
+    names = F.create_map(*[F.lit(x) for load in loads for x in (load, repaired(load, run[load]))])
+    fixed = repair(_once(quarantined.select("value", LOAD), loads), keep=[LOAD]).drop("value")
+    fixed = fixed.withColumn(LOAD, F.try_element_at(names, F.col(LOAD)))
+    unfinished = {repaired(load, run[load]) for load in loads}
+    lake.movie.replace(fixed, _partitions_of(lake.movie, unfinished.__contains__))
+    settle_files(lake.bronze, QUARANTINED, repair_outcome(), [note(load, REPAIR, run[load]) for load in loads])
 
 
 def run_medallion(lake: Lakehouse, raw_path: str, now=None, mode="overwrite", **read_options) -> None:

@@ -373,6 +373,25 @@ ORACLE = {
                CAST('2022-01-02' AS DATE)
         FROM movies WHERE "Id" % 5 = 0
     """,
+    "m14_file_merge": _MOVIES
+    + """
+        SELECT "Id", runtime AS "RunTime", CASE WHEN hit AND "Id" % 3 = 0 THEN 'quarantined' ELSE 'new' END AS status,
+               max(CASE WHEN hit AND "Id" % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY strftime(created, '%Y-%m')) = 1 AS rewritten
+        FROM (SELECT *, strftime(created, '%Y-%m') IN ('1996-03', '1997-03') AS hit FROM movies)
+    """,
+    "m15_repair_twice": _MOVIES
+    + f"""
+        SELECT "Id", CASE WHEN runtime >= 0 THEN {_FLOORED} ELSE budget END AS "Budget", abs(runtime) AS "RunTime",
+               created AS "p_CreatedDate", CASE WHEN runtime >= 0 THEN 0 WHEN runtime < 0 THEN 1 ELSE 2 END AS run
+        FROM (SELECT DISTINCT * FROM movies)
+    """,
+    "m16_ledger": _MOVIES
+    + """
+        , d AS (SELECT DISTINCT * FROM movies)
+        SELECT '20220101000000000' AS p_load, 'silver' AS step, 1 AS run, 'done' AS state, count(*) AS silver_rows FROM d WHERE runtime >= 0
+        UNION ALL SELECT '20220101000000000', 'repair', 1, 'done', count(*) FROM d WHERE runtime < 0
+        UNION ALL SELECT '20220102000000000', 'silver', 1, 'pending', 0
+    """,
     "s01_multi_line_documents": _MOVIES + """SELECT "Id", runtime AS "RunTime", 'about ' || title AS "Extra" FROM movies""",
     "s02_catalog_flow": _MOVIES
     + """
