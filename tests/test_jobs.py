@@ -86,6 +86,38 @@ def test_the_cutoff_stays_when_a_load_fails(spark, folder, monkeypatch):
     assert target(warehouse, table) == Counter([(1, "a")])
 
 
+def test_tables_load_side_by_side_and_fail_alone(spark, folder):
+    warehouse = incremental.Warehouse(spark, folder)
+    sources = {"Things": [(1, at(1), "a"), (None, at(1), "n")], "Others": [(1, at(1), "x"), (2, at(1), "y")], "Broken": [(3, at(1), "z")]}
+    broken = [True]
+
+    def table(name, keys):
+        def source(spark):
+            if name == "Broken" and broken[0]:
+                raise OSError("no such store")
+            return spark.createDataFrame(sources[name], ROW)
+
+        return incremental.LoadedTable(name, source, "at", keys, ROW)
+
+    tables = [table("Things", ["k"]), table("Broken", ["k"]), table("Others", ["k", "v"])]
+    with pytest.raises(incremental.LoadsFailed, match="Broken") as caught:
+        incremental.incremental_load(warehouse, tables, at(2), at_once=3)
+    assert list(caught.value.failures) == ["Broken"]
+    assert {t.name: warehouse.last_cutoff(t.name) for t in tables} == {"Things": at(2), "Broken": None, "Others": at(2)}
+    assert target(warehouse, tables[0]) == Counter([(1, "a"), (None, "n")])
+    broken[0] = False
+    incremental.incremental_load(warehouse, tables, at(3), at_once=2)
+    incremental.incremental_load(warehouse, tables, at(2), at_once=8)
+    assert target(warehouse, tables[1]) == Counter([(3, "z")]) and target(warehouse, tables[2]) == Counter([(1, "x"), (2, "y")])
+    # A NULL key is one row, however often it is loaded.
+    sources["Things"] = [(None, at(4), "later"), (None, at(4), "earlier")]
+    incremental.incremental_load(warehouse, tables, at(5), at_once=3)
+    incremental.load_table(warehouse, tables[0], lambda *_: spark.createDataFrame([(None, at(5), "last")], ROW), at(6))
+    assert target(warehouse, tables[0]) == Counter([(1, "a"), (None, "last")])
+    keys = [r["lineage_key"] for r in warehouse.lineage.read().collect()]
+    assert sorted(keys) == list(range(1, 14))
+
+
 def test_control_table_picks_the_tables(spark, folder):
     warehouse = incremental.Warehouse(spark, folder)
     control = spark.createDataFrame([("Others", "k")], "Name string, Col string")
@@ -189,6 +221,20 @@ def test_migrated_attributes(spark):
     assert {tuple(r) for r in got.collect()} == {(1, "Norway", "40 weeks", None), (2, None, None, None)}
 
 
+def test_a_json_column_is_parsed_once(spark):
+    texts = [
+        '{"a": "x", "b c": 1.5, "d": {"e": 1}, "f": [1], "g": null, "h": "{\\"q\\": 1}", "i": true}',
+        '{"a": "cut off"', '{"a": 1, "a": 2}', "[1]", "", "null", '"a"', None,
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "id int, custom string")
+    got = ods.migrate_items(items, "custom", {name: name for name in ("a", "b c", "d", "f", "g", "h", "i", "j")})
+    rows = {r[0]: tuple(r)[1:] for r in got.collect()}
+    assert rows.pop(0) == ("x", "1.5", None, None, None, '{"q": 1}', "true", None)
+    assert rows == {i: (None,) * 8 for i in range(1, 8)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and "get_json_object" not in plan
+
+
 def test_migrated_items_go_into_a_typed_table(spark, folder):
     items = spark.createDataFrame([(1, "Mug", "15.0", '{"Range":"Outdoor"}')], "id long, name string, tax string, custom string")
     kinds = [("id", T.LongType()), ("name", T.StringType()), ("tax", T.DecimalType(18, 3)), ("range", T.StringType())]

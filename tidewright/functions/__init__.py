@@ -1,7 +1,7 @@
 """Column functions whose meaning differs from Spark's built-ins of the same name."""
 
 from tidewright.functions.dates import days_crossed, in_years, months_crossed, on_days
-from tidewright.functions.json import json_value
+from tidewright.functions.json import json_value, scalar_at, with_scalars
 from tidewright.functions.text import contains_ignoring_case, dashed_phone, title_case, visible_length
 
 __all__ = [
@@ -12,6 +12,8 @@ __all__ = [
     "json_value",
     "months_crossed",
     "on_days",
+    "scalar_at",
     "title_case",
     "visible_length",
+    "with_scalars",
 ]

@@ -1,5 +1,8 @@
 """One row per key."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +36,13 @@ def _from_row(name: str, keys: list[str]) -> Column:
 
 
 def upsert(target: DataFrame, staged: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Staged rows replace target rows with the same key; of several staged rows the latest wins.
+    """Staged rows replace target rows with the same key, NULL being a key like others; of several staged rows the
+    latest wins.
 
     The merge procedures behind this step are not public; latest-row-wins is our rule.
     """
     newest = first_per_key(staged, keys, order_by, latest=True)
-    kept = target.join(newest.select(*keys), keys, "left_anti")
+    listed = newest.select(*[F.col(key).alias(f"_new_{i}") for i, key in enumerate(keys)])
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_new_{i}")) for i, key in enumerate(keys)])
+    kept = target.join(listed, same, "left_anti")
     return kept.unionByName(newest.select(*target.columns))

@@ -2,8 +2,12 @@
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import dataclass
+from queue import Empty, Queue
+from threading import Lock
 
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +62,8 @@ class Warehouse:
         self.buckets = buckets
         self.lineage = VersionedTable(spark, f"{root}/control/lineage", schemas.LINEAGE)
         self.cutoffs = VersionedTable(spark, f"{root}/control/cutoffs", schemas.CUTOFFS)
+        # Loads that run side by side write the control tables one after the other.
+        self.control = Lock()
 
     def target(self, table: LoadedTable) -> PartitionedTable:
         schema = T.StructType([*table.schema.fields, T.StructField(BUCKET, T.IntegerType())])
@@ -71,21 +77,26 @@ class Warehouse:
 
     def last_cutoff(self, name: str) -> dt.datetime | None:
         """None for a table that was never loaded: its first load has no lower bound."""
-        row = self.cutoffs.read().filter(F.col("table_name") == name).first()
+        with self.control:  # an older version may be dropped by a load beside this one
+            row = self.cutoffs.read().filter(F.col("table_name") == name).first()
         return row["cutoff"] if row else None
 
     def record_lineage(self, name: str, cutoff: dt.datetime) -> int:
         """Note the start of a load and return its key, one above the highest so far."""
-        known = self.lineage.read()
-        key = (known.agg(F.max("lineage_key")).first()[0] or 0) + 1
-        row = self.spark.createDataFrame([(key, name, cutoff, cutoff)], schemas.LINEAGE)
-        self.lineage.publish(known.unionByName(row))
+        with self.control:
+            known = self.lineage.read()
+            key = (known.agg(F.max("lineage_key")).first()[0] or 0) + 1
+            row = self.spark.createDataFrame([(key, name, cutoff, cutoff)], schemas.LINEAGE)
+            self.lineage.publish(known.unionByName(row))
+            self.lineage.expire()
         return key
 
     def advance(self, name: str, cutoff: dt.datetime) -> None:
-        row = self.spark.createDataFrame([(name, cutoff)], schemas.CUTOFFS)
-        others = self.cutoffs.read().filter(F.col("table_name") != name)
-        self.cutoffs.publish(others.unionByName(row))
+        with self.control:
+            row = self.spark.createDataFrame([(name, cutoff)], schemas.CUTOFFS)
+            others = self.cutoffs.read().filter(F.col("table_name") != name)
+            self.cutoffs.publish(others.unionByName(row))
+            self.cutoffs.expire()
 
 
 def merge(warehouse: Warehouse, table: LoadedTable, staged: DataFrame) -> None:
@@ -114,18 +125,27 @@ def load_table(
     staging.publish(conform(extract(warehouse.spark, last, now), table.schema))
     merge(warehouse, table, staging.read())
     warehouse.advance(key, now)
-    for table_versions in (staging, warehouse.cutoffs, warehouse.lineage):
-        table_versions.expire()
+    staging.expire()
+
+
+class LoadsFailed(RuntimeError):
+    """Some tables were not loaded; `failures` has the error of each."""
+
+    def __init__(self, failures: dict[str, Exception]):
+        super().__init__(f"not loaded: {', '.join(f'{name} ({error})' for name, error in failures.items())}")
+        self.failures = failures
 
 
 def incremental_load(
-    warehouse: Warehouse, tables: list[LoadedTable], now: dt.datetime, control: DataFrame | None = None
+    warehouse: Warehouse, tables: list[LoadedTable], now: dt.datetime, control: DataFrame | None = None, at_once: int = 1
 ) -> None:
-    """Load every table listed in the control table (all of them without one), in its order.
+    """Load every table listed in the control table (all of them without one), `at_once` of them side by side.
 
     The cutoff is fixed before the first table. The control table has one line per table, with its name and the
-    name under which lineage and cutoffs are kept (Name, Col), so it is read to the driver; the loop over it is
-    the schedule, and each load is a set of Spark jobs.
+    name under which lineage and cutoffs are kept (Name, Col), so it is read to the driver. The tables do not depend on each other:
+    each has its own lineage, cutoff and scheduler pool, so that a fair scheduler shares the executors among them. One that fails
+    keeps its cutoff and does not hold up the others; at the end all failures are raised, and a further call takes up
+    the same window of those tables. A table that is listed twice is loaded once for each line, in turn.
     """
     by_name = {table.name: table for table in tables}
     procedures = extracts(tables)
@@ -135,8 +155,29 @@ def incremental_load(
     unknown = [name for name, _ in lines if name not in by_name]
     if unknown:
         raise ValueError(f"the control table lists unknown tables {unknown}")
-    for name, key in lines:
-        load_table(warehouse, by_name[name], procedures[extract_name(name)], now, key)
+    failures: dict[str, Exception] = {}
+    waiting: Queue = Queue()
+    for name in dict.fromkeys(name for name, _ in lines):
+        waiting.put((name, [key for other, key in lines if other == name]))
+
+    def work(pool: int) -> None:
+        warehouse.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{pool}")
+        with suppress(Empty):
+            while True:
+                name, keys = waiting.get_nowait()
+                try:
+                    for key in keys:
+                        load_table(warehouse, by_name[name], procedures[extract_name(name)], now, key)
+                except Exception as error:
+                    failures[name] = error
+
+    workers = [InheritableThread(target=work, args=(i,)) for i in range(min(at_once, waiting.qsize()))]
+    for worker in workers:
+        worker.start()
+    for worker in workers:
+        worker.join()
+    if failures:
+        raise LoadsFailed(failures) from next(iter(failures.values()))
 
 
 def date_dimension(years: DataFrame, existing: DataFrame | None = None) -> DataFrame:

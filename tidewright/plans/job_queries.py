@@ -5,6 +5,7 @@ Jobs that write run for real, in a new folder below the shared one, and the resu
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -352,6 +353,43 @@ def i04_lineage(spark, folder) -> DataFrame:
     return notes.select("lineage_key", "table_name", "cutoff", "last", F.when(F.col("cutoff") == F.col("last"), staged).alias("staged"))
 
 
+def i05_side_by_side(spark, folder) -> DataFrame:
+    """Rows and key sums of tables that were loaded side by side in two windows, next to one that fails every time."""
+
+    def table(name: str, changed: str, keys: list[str], *columns: str) -> incremental.LoadedTable:
+        def source(spark):
+            return open_tables(spark, folder, name).select(*columns)
+
+        schema = source(spark).schema
+        return incremental.LoadedTable(name, source, changed, keys, schema)
+
+    def nothing(spark):
+        raise OSError("this source cannot be reached")
+
+    tables = [
+        table("orders", "o_orderdate", ["o_custkey"], "o_custkey", "o_orderkey", "o_orderdate"),
+        table("lineitem", "l_shipdate", ["l_partkey", "l_suppkey"], "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate"),
+        table("events", "ts", ["user_id"], "user_id", "event_id", "ts"),
+    ]
+    broken = incremental.LoadedTable("broken", nothing, "ts", ["user_id"], EVENT_ROW)
+    warehouse = incremental.Warehouse(spark, scratch_path(spark, "warehouse"))
+    windows, failed = (dt.datetime(1997, 1, 1), SECOND_CUTOFF), set()
+    for cutoff in windows:
+        try:
+            incremental.incremental_load(warehouse, [*tables[:1], broken, *tables[1:]], cutoff, at_once=3)
+        except incremental.LoadsFailed as error:
+            failed |= set(error.failures)
+    found = []
+    for loaded, value in zip(tables, ("o_orderkey", "l_orderkey", "event_id"), strict=True):
+        rows = warehouse.target(loaded).read()
+        figures = rows.agg(F.count("*").alias("rows"), F.sum(value).cast("bigint").alias("total"), F.max(loaded.changed_at).cast("date").alias("latest"))
+        found.append(figures.withColumn("name", F.lit(loaded.name)).withColumn("state", F.lit("loaded")))
+    lost = spark.createDataFrame([(name, "failed") for name in sorted(failed)], "name string, state string")
+    rows = reduce(DataFrame.unionByName, found).unionByName(lost, allowMissingColumns=True)
+    cutoffs = warehouse.cutoffs.read().select(F.col("table_name").alias("name"), F.year("cutoff").alias("cutoff_year"))
+    return rows.join(cutoffs, "name", "left").select("name", "state", "rows", "total", "latest", "cutoff_year")
+
+
 def i03_date_dimension(spark, folder) -> DataFrame:
     """All days of the years in which orders were placed, without the days of 1998, which count as loaded before."""
     orders = open_tables(spark, folder, "orders")
@@ -440,6 +478,7 @@ QUERIES = {
         i02_staged_upsert,
         i03_date_dimension,
         i04_lineage,
+        i05_side_by_side,
         o01_table_checks,
         f01_people_dedupe,
         f02_chunk_split,

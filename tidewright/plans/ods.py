@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewright import schemas
-from tidewright.functions import json_value, on_days
+from tidewright.functions import on_days, with_scalars
 from tidewright.operators import nest_by, number_rows
 from tidewright.sources import PartitionedTable, Scratch
 
@@ -59,9 +59,9 @@ def reload_week(orders: DataFrame, lines: DataFrame, ods: PartitionedTable, day:
 
 
 def migrate_items(items: DataFrame, json_column: str, attributes: dict[str, str]) -> DataFrame:
-    """All rows with attributes of a JSON column as columns of their own; a missing one is NULL."""
-    found = [json_value(json_column, f'$."{key}"').alias(name) for name, key in attributes.items()]
-    return items.select("*", *found).drop(json_column)
+    """All rows with attributes of a JSON column as columns of their own; a missing one is NULL. The column is parsed
+    once, whatever the number of attributes."""
+    return with_scalars(items, json_column, {name: f'$."{key}"' for name, key in attributes.items()}).drop(json_column)
 
 
 def shred_purchase_orders(documents: DataFrame, column: str, *keep: str) -> DataFrame:
@@ -128,14 +128,13 @@ def customer_documents(
     under the next id; documents come in pieces, ordered by `seq`. Ids count up by date. They come from a running total over the distinct dates,
     which the calendar bounds.
     """
-    dates = (
-        orders.filter(F.col("o_custkey") == customer)
-        .groupBy(F.to_date("o_orderdate").alias("InvoiceDate"))
-        .agg(F.count("*").alias("times"))
-    )
+    day = F.to_date("o_orderdate")
+    own = orders.filter((F.col("o_custkey") == customer) & day.isNotNull())
+    dates = own.groupBy(day.alias("InvoiceDate")).agg(F.count("*").alias("times"))
     before = W.orderBy("InvoiceDate").rowsBetween(W.unboundedPreceding, -1)
     dates = dates.withColumn("_before", F.coalesce(F.sum("times").over(before), F.lit(0)))
-    same_days = orders.join(dates.select("InvoiceDate"), F.to_date("o_orderdate") == F.col("InvoiceDate"), "left_semi")
+    # A filter, not a join: nesting tells equal rows apart by their place in the files.
+    same_days = orders.filter(day.isin([row["InvoiceDate"] for row in dates.select("InvoiceDate").collect()]))
     documents = invoice_documents(same_days, lines, order_columns, line_columns)
     placed = documents.join(dates, F.col("OrderDate") == F.col("InvoiceDate"))
     return _repeat(placed, "times", "_copy").select(

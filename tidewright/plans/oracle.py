@@ -78,6 +78,13 @@ _DAYS = {"o_orderdate", "l_shipdate"}
 _TEXTS = {"o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus"}
 
 
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
 def _typed(column: str) -> str:
     kind = "DECIMAL(18,2)" if column in _DECIMALS else "DATE" if column in _DAYS else None
     return f"CAST({column} AS {kind}) AS {column}" if kind else column
@@ -256,17 +263,11 @@ ORACLE = {
         SELECT row_number() OVER (ORDER BY "year") AS seq, '<year>' || "year" || '</year>' || {_XML_CELLS} AS xml
         FROM ({_BY_YEAR})
     """,
-    "q27_json_per_date": _nested(
-        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-        [
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-        ],
-    )
+    "q27_json_per_date": _nested(_ORDER_COLUMNS, _LINE_COLUMNS)
     + ' SELECT d AS "OrderDate", seq, text FROM pieces',
     "q28_customer_documents": _nested(
-        ["o_orderkey", "o_custkey"],
-        ["l_linenumber", "l_quantity"],
+        _ORDER_COLUMNS,
+        _LINE_COLUMNS,
         "CAST(o_orderdate AS DATE) IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_custkey = 7)",
     )
     + """
@@ -414,6 +415,22 @@ ORACLE = {
                     WHERE changed > TIMESTAMP '2024-01-10' AND changed <= TIMESTAMP '2024-01-20') END AS staged
         FROM (VALUES (1::BIGINT, TIMESTAMP '2024-01-10'), (2::BIGINT, TIMESTAMP '2024-01-20')) t(key, cutoff)
     """,
+    "i05_side_by_side": """
+        SELECT 'orders' AS name, 'loaded' AS state, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS total,
+               CAST(max(o_orderdate) AS DATE) AS latest, 2024 AS cutoff_year
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+              FROM orders WHERE o_orderdate <= TIMESTAMP '2024-01-20') WHERE rn = 1
+        UNION ALL
+        SELECT 'lineitem', 'loaded', count(*), CAST(sum(l_orderkey) AS BIGINT), CAST(max(l_shipdate) AS DATE), 2024
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey
+                  ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+              FROM lineitem WHERE l_shipdate <= TIMESTAMP '2024-01-20') WHERE rn = 1
+        UNION ALL
+        SELECT 'events', 'loaded', count(*), CAST(sum(event_id) AS BIGINT), CAST(max(ts) AS DATE), 2024
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+              FROM events WHERE ts <= TIMESTAMP '2024-01-20') WHERE rn = 1
+        UNION ALL SELECT 'broken', 'failed', NULL, NULL, NULL, NULL
+    """,
     "i03_date_dimension": """
         SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
                CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
