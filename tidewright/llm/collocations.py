@@ -171,17 +171,33 @@ class _Shard:
         return sum(len(k) for k, _ in self.filters.values()) + sum(map(len, self.texts.values()))
 
     def rows(self) -> Iterator[tuple]:
-        """(lang, n, block number, phrase, count, block): a phrase with its count, or a block."""
+        """(lang, n, block number, phrases, counts, block): a block of a filter, or the phrases as text of that number."""
         for (lang, n), (keys, counts) in self.filters.items():
             for number, block in counting_filter.blocks(keys, counts, n * ID_BITS, self.block_bits):
                 yield lang, n, number, None, None, block
         for (lang, n), phrases in self.texts.items():
-            for phrase, count in phrases.items():
-                number = xxhash.xxh64_intdigest(phrase) >> (64 - self.block_bits) if self.block_bits else 0
-                yield lang, n, number, phrase.decode(), count, None
+            dealt: dict[int, list[bytes]] = defaultdict(list)
+            for phrase in phrases:
+                dealt[xxhash.xxh64_intdigest(phrase) >> (64 - self.block_bits) if self.block_bits else 0].append(phrase)
+            for number, own in dealt.items():
+                yield lang, n, number, own, [phrases[p] for p in own], None
 
 
-_SHARD = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("block", pa.int32()), ("phrase", pa.string()), ("times", pa.int64()), ("filter", pa.binary())])
+_SHARD = pa.schema(
+    [
+        ("lang", pa.string()),
+        ("n", pa.int32()),
+        ("block", pa.int32()),
+        ("phrases", pa.list_(pa.binary())),
+        ("times", pa.list_(pa.int64())),
+        ("filter", pa.binary()),
+    ]
+)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _SHARD, strict=True)], schema=_SHARD)
 
 
 def phrase_counts(rows: DataFrame, words: DataFrame, longest: int, least: int, most_ids: int = 1 << ID_BITS) -> DataFrame:
@@ -197,12 +213,12 @@ def phrase_counts(rows: DataFrame, words: DataFrame, longest: int, least: int, m
         size = 0
         for row in shard.rows():
             held.append(row)
-            size += len(row[5] or row[3]) + 32
+            size += len(row[5]) if row[5] is not None else sum(map(len, row[3])) + 16 * len(row[3])
             if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*held, strict=True), _SHARD, strict=True)], schema=_SHARD)
+                yield _batch(held)
                 held, size = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*held, strict=True), _SHARD, strict=True)], schema=_SHARD)
+            yield _batch(held)
         shard.clear()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,13 +251,14 @@ def phrase_counts(rows: DataFrame, words: DataFrame, longest: int, least: int, m
 
         for (lang, n, number), group in groupby(rows_of(), key=lambda r: r[:3]):
             parts, texts = [], Counter()
-            for *_, phrase, times, block in group:
+            for *_, own, times, block in group:
                 if block is None:
-                    texts[phrase] += times
+                    for phrase, f in zip(own, times, strict=True):
+                        texts[phrase] += f
                 else:
                     parts.append(counting_filter.decode(block, n * ID_BITS - block_bits, number))
-            phrases = [p for p, f in texts.items() if f >= least]
-            counts = [texts[p] for p in phrases]
+            phrases = [p.decode() for p, f in texts.items() if f >= least]
+            counts = [f for f in texts.values() if f >= least]
             if parts:
                 keys, sums = counting_filter.merge(*map(np.concatenate, zip(*parts, strict=True)))
                 often = sums >= least
@@ -253,7 +270,7 @@ def phrase_counts(rows: DataFrame, words: DataFrame, longest: int, least: int, m
                 columns = [[lang] * len(phrases), pa.array([n] * len(phrases), type=pa.int32()), phrases, pa.array(counts, type=pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, list) else c for c in columns], ["lang", "n", "phrase", "f"])
 
-    counted = rows.mapInArrow(count, "lang string, n int, block int, phrase string, times long, filter binary")
+    counted = rows.mapInArrow(count, "lang string, n int, block int, phrases array<binary>, times array<long>, filter binary")
     dealt = counted.repartition("lang", "n", "block").sortWithinPartitions("lang", "n", "block")
     return dealt.mapInArrow(gather, "lang string, n int, phrase string, f long")
 
