@@ -1,5 +1,5 @@
-import json
 import contextlib
+import json
 import os
 
 import pytest
@@ -22,6 +22,7 @@ from tidewright.sources import (
     register_table,
     write_chunks,
 )
+from tidewright.sources.arrays import array_elements
 from tidewright.sources.readers import read_parquet, read_raw, rejected_documents
 from tidewright.sources.scratch import scratch_path, shared_folder
 
@@ -253,3 +254,55 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     if configured:
         assert shared_folder(spark) == configured.rstrip("/")
     assert materialize(spark.range(5)).count() == 5
+
+
+# --- one JSON array in many tasks ---------------------------------------------------------------------
+
+ODD = ['}', '{', ']}', '"', '\\', '\\"', '\\\\"}', 'a"}],[{"movie":[{', "é漢}\n{", "", '"movie": [', "x" * 300]
+
+
+def elements(n):
+    return [
+        {"id": i, "t": ODD[i % len(ODD)], "list": [{"a": ODD[(i + k) % len(ODD)]} for k in range(i % 4)], ODD[i % 5] + "k": {"o": {}}}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("split", ["1k", "9k"])
+def test_an_array_is_cut_by_many_tasks(spark, folder, split, indent):
+    items = elements(200)
+    other = [{"id": -1, "movie": [{"id": -2}]}]
+    shapes = {
+        "array": (None, items),
+        "document": ("movie", {"before": other, "movie": items, "info": {"movie": other, "x": {"y": {}}}, "after": other, "n": [1, [{}]]}),
+        "documents": ("movie", [{"movie": items[:70], "z": {"a": other}}, {}, {"movie": []}, {"q": other, "movie": items[70:]}, {"movie": None}]),
+    }
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for shape, (key, content) in shapes.items():
+            os.makedirs(f"{folder}/{shape}")
+            with open(f"{folder}/{shape}/a.json", "w") as file:
+                json.dump(content, file, indent=indent, ensure_ascii=False)
+            found = array_elements(spark, f"{folder}/{shape}", key)
+            got = [json.loads(row["value"]) for row in found.collect()]
+            assert sorted(got, key=lambda x: x["id"]) == items, shape
+            if split == "1k":
+                assert found.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_cut_array_equals_the_read_of_one_task(spark, folder):
+    movies = [{"Id": i, "Title": ODD[i % len(ODD)], "genres": [{"id": i, "name": "}"}] * (i % 3)} for i in range(50)]
+    for n in range(3):
+        os.makedirs(f"{folder}/raw", exist_ok=True)
+        with open(f"{folder}/raw/movie_{n}.json", "w") as file:
+            json.dump({"movie": [m for m in movies if m["Id"] % 3 == n]}, file, indent=2)
+    open(f"{folder}/raw/empty.json", "w").close()
+    plain, cut = (read_raw(spark, f"{folder}/raw", multi_line=True, cut=c) for c in (False, True))
+    assert plain.schema == cut.schema and cut.count() == 50
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+    with pytest.raises(ValueError, match="braces"):
+        array_elements(spark, f"{folder}/raw", "a}")

@@ -101,6 +101,20 @@ def s01_multi_line_documents(spark, folder) -> DataFrame:
     return read_raw(spark, path, multi_line=True, allow_drift=True).select("value.Id", "value.RunTime", "value.Extra")
 
 
+def s04_one_large_array(spark, folder) -> DataFrame:
+    """Movies of one file that is a single document, read by many tasks, with titles full of quotes and brackets."""
+    title = F.concat(F.lit('"}],[{ \\ '), F.col("value.Title"), F.lit(' {"movie": [{'))
+    lines = movies(spark, folder).select(F.to_json(F.col("value").withField("Title", title)).alias("line"))
+    lines = lines.select(F.concat("line", F.lit(",")).alias("value"), F.lit(1).alias("at"))
+    ends = [('{"count": {"of": [{}]},\n"movie": [', 0), ('{"Id": null}]}', 2)]
+    path = scratch_path(spark, "raw-array")
+    # One task writes the one file, as whatever made it did.
+    rows = lines.union(spark.createDataFrame(ends, "value string, at int")).coalesce(1)
+    rows.sortWithinPartitions("at").select("value").write.text(path)
+    read = read_raw(spark, path, cut=True).filter("value.Id IS NOT NULL")
+    return read.select("value.Id", "value.RunTime", "value.Title", F.size("value.genres").alias("genres"))
+
+
 def s02_catalog_flow(spark, folder) -> DataFrame:
     """New bronze rows and silver rows by table name, after a medallion that registers its tables."""
     lake, database = _new_lake(spark), f"lake_{uuid.uuid4().hex}"
@@ -474,6 +488,7 @@ QUERIES = {
         s01_multi_line_documents,
         s02_catalog_flow,
         s03_parquet_drift,
+        s04_one_large_array,
         i01_cutoff_extract,
         i02_staged_upsert,
         i03_date_dimension,

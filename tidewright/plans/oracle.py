@@ -394,6 +394,12 @@ ORACLE = {
         UNION ALL SELECT '20220102000000000', 'silver', 1, 'pending', 0
     """,
     "s01_multi_line_documents": _MOVIES + """SELECT "Id", runtime AS "RunTime", 'about ' || title AS "Extra" FROM movies""",
+    "s04_one_large_array": _MOVIES
+    + """
+        SELECT "Id", runtime AS "RunTime", '"}],[{ \\ ' || title || ' {"movie": [{' AS "Title",
+               CAST(CASE WHEN genres IS NOT NULL THEN len(string_split(ids, ',')) END AS INTEGER) AS genres
+        FROM movies
+    """,
     "s02_catalog_flow": _MOVIES
     + """
         SELECT "Id", 'bronze' AS found FROM movies WHERE runtime IS NULL

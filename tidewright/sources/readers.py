@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
+from tidewright.sources.arrays import read_array
 
 
 def open_tables(spark: SparkSession, folder: str, *names: str):
@@ -19,7 +20,7 @@ def read_documents(
     """JSON documents of a folder, one row per document.
 
     The default is one document per line, which splits freely. A multi-line file is one document (or one
-    array of documents) and cannot be split: its size bounds a task.
+    array of documents) and one task reads it; read_raw can cut it.
     With allow_drift, fields outside the schema, at any depth, are kept after the declared ones; finding
     them costs a pass over the files. What is no document of this schema is a row of NULLs here and has its
     text in `rejected_documents`.
@@ -56,8 +57,16 @@ def rejected_documents(
     return texts.filter(parsed[corrupt].isNotNull()).select(F.col("value").alias("rejected"), F.input_file_name().alias("file"))
 
 
-def read_raw(spark: SparkSession, path: str, key="movie", **options) -> DataFrame:
-    """The elements of the array under one key, one row each; empty and missing arrays give no row."""
+def read_raw(spark: SparkSession, path: str, key="movie", cut=False, **options) -> DataFrame:
+    """The elements of the array under one key, one row each; empty and missing arrays give no row.
+
+    With `cut`, many tasks share a multi-line file, however large it is; its fields are the declared ones.
+    """
+    if cut:
+        schema = options.get("schema", schemas.MOVIE_DOCUMENT)
+        if options.get("allow_drift"):
+            raise ValueError("a file is cut into elements of the declared type only")
+        return read_array(spark, path, schema[key].dataType.elementType, key)
     documents = read_documents(spark, path, **options)
     return documents.select(F.explode(F.col(key)).alias("value"))
 
