@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -74,30 +73,27 @@ class Memo:
         self.most, self.longest = most, longest
         self.young, self.old, self.held, self.passing = {}, {}, 0, []
 
-    def _cost(self, key, value) -> int:
-        """Bytes of a key, its value and its place in the dictionary."""
-        parts = value if isinstance(value, tuple) else (value,)
-        return 120 + getsizeof(key) + sum(map(getsizeof, parts))
+    @staticmethod
+    def _cost(keys: list, values: list) -> int:
+        """Bytes of some keys, their values and their places in the dictionary."""
+        columns = zip(*[v for v in values if v is not None], strict=True) if values and isinstance(values[0], tuple) else [values]
+        sized = [c for c in columns if isinstance(c[0], (str, bytes))] if values else []
+        return (200 + 50 * len(sized)) * len(keys) + 2 * sum(map(len, keys)) + sum(sum(map(len, c)) for c in sized)
 
     def holding(self, keys: set, compute) -> dict:
         """A dictionary that has all these keys; compute(list of keys) gives the missing values in order."""
         for key in self.passing:
-            self.young.pop(key, None)
+            self.held -= self._cost([key], [self.young.pop(key)])
         if self.held > self.most:
             self.old, self.young, self.held = self.young, {}, 0
         young, old = self.young, self.old
-        new = []
+        new, again = [], []
         for key in keys.difference(young):
-            if key in old:
-                young[key] = old[key]
-                self.held += self._cost(key, old[key])
-            else:
-                new.append(key)
+            (again if key in old else new).append(key)
         self.passing = [key for key in new if len(key) > self.longest]
-        for key, value in zip(new, compute(new) if new else (), strict=True):
-            young[key] = value
-            if len(key) <= self.longest:
-                self.held += self._cost(key, value)
+        for own, values in ((again, [old[key] for key in again]), (new, compute(new) if new else [])):
+            young.update(zip(own, values, strict=True))
+            self.held += self._cost(own, values)
         return young
 
 

@@ -1,14 +1,14 @@
 """SentencePiece BPE encoding in merge rounds on flat arrays, and decoding; no library call on the texts.
 
 A text becomes words that no piece can span. The symbols of many distinct words lie in one flat array, next to
-the rank of each pair. In a round, a segmented minimum over (rank, place) finds the best leftmost pair of every
-word; all of them merge at once, the arrays are compacted, and only the pairs beside a merge are ranked anew.
-Words without a pair that is a piece leave. Since a round does for each word exactly the next merge of the
-greedy order, the ids are those of the library.
+the rank of each pair. In a round, a segmented minimum finds the best rank of every word; all its places merge at
+once, of overlapping ones the leftmost, the arrays are compacted, and only the pairs beside a merge are ranked
+anew. Words without a pair that is a piece leave. A merge whose piece makes a better one with a neighbour is the last
+of its word in that round; others bring up no pair as good as their own. So a round does for each word the
+next merges of the greedy order, and the ids are those of the library.
 
-Words are cut further between two characters that stand side by side in no piece. What is still longer than
-LONG symbols (a run of one letter, say) is merged with a heap instead, as one merge per round would take
-quadratic time there.
+Words are cut further between two characters that stand side by side in no piece. A word takes a round for each
+distinct piece that is merged in it, however long it is.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; repeated rows give repeated
 results; texts of any length are encoded whole.
@@ -17,7 +17,6 @@ results; texts of any length are encoded whole.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterable
 
@@ -29,11 +28,9 @@ from pyspark.sql import functions as F
 from tidewright.llm.base import Memo, as_bytes, slices
 
 SPACE = "▁"
-LONG = 512
 #: Bytes of distinct words and their ids kept in a worker, twice at most.
 CACHED = 48 << 20
 _NONE = np.int64(1) << 62
-_PLACES = np.int64((1 << 32) - 1)
 
 
 class PieceModel:
@@ -73,6 +70,30 @@ class PieceModel:
         self.ranks = np.array([v[0] for v in values], dtype=np.int64)[order]
         self.made = np.array([v[1] for v in values], dtype=np.int64)[order]
         self.joined = np.array(sorted(joined), dtype=np.int64)
+        own = {i: ranks[-model.get_score(i)] for p, i in ids.items() if len(p) > 1}
+        # Runs of spaces rank alike and behind all else: what is left of spaces in the end is cut into the longest runs, from
+        # the left, and the ids of a shorter one.
+        alike: dict[int, list[str]] = {}
+        for piece, i in ids.items():
+            if i in own:
+                alike.setdefault(own[i], []).append(piece)
+        tied = [piece for group in alike.values() if len(group) > 1 for piece in group]
+        self.blanks = {k: model.encode(" " * (k - 1)) for k in range(1, max(map(len, tied), default=0) + 1)}
+        if tied:
+            self.blanks[1] = [ids[SPACE]]
+            longest = len(self.blanks)
+            others = [p for p in ids if SPACE * 2 in p and p not in tied]
+            runs = [self.blanks[longest] * (k // longest) + self.blanks.get(k % longest, []) for k in range(2, 4 * longest)]
+            if set("".join(tied)) != {SPACE} or others or own[ids[tied[0]]] < max(alike) or any(model.encode(" " * (k + 1)) != r for k, r in enumerate(runs)):
+                raise ValueError("only models in which no two pieces rank alike, but for runs of spaces, can be used here")
+            stay = ~np.isin(self.made, [ids[p] for p in tied])
+            self.keys, self.ranks, self.made = self.keys[stay], self.ranks[stay], self.made[stay]
+        # Pieces that make a better one with some neighbour: merging one may use up the next.
+        self.early = np.zeros(n, dtype=bool)
+        for key, (rank, _) in zip(keys, values, strict=True):
+            for part in divmod(key, int(self.width)):
+                if own.get(part, -1) >= rank:
+                    self.early[part] = True
         self.symbols = np.arange(n, n + 0x110000, dtype=np.int64)
         for piece, i in ids.items():
             if len(piece) == 1:
@@ -112,27 +133,31 @@ class PieceModel:
         rank, made = self._rank(symbols, following)
         rank = np.where(last, -1, rank)
         while len(words):
-            place = np.arange(len(symbols), dtype=np.int64)
-            best = np.minimum.reduceat(np.where(rank >= 0, (rank << 32) | place, _NONE), starts)
+            best = np.minimum.reduceat(np.where(rank >= 0, rank, _NONE), starts)
             done = best == _NONE
             if done.any():
                 stay = np.repeat(~done, lengths)
                 out.append((np.repeat(words[done], lengths[done]), symbols[~stay]))
                 symbols, rank, made, last = symbols[stay], rank[stay], made[stay], last[stay]
-                words, lengths = words[~done], lengths[~done]
+                words, lengths, best = words[~done], lengths[~done], best[~done]
                 if not len(words):
                     break
-                moved = np.cumsum(stay) - 1
-                best = (best[~done] & ~_PLACES) | moved[best[~done] & _PLACES]
                 starts = np.cumsum(lengths) - lengths
-            at = best & _PLACES
+            # All places of the best pair of their word; of places in a row every second one, from the left.
+            at = np.flatnonzero(rank == np.repeat(best, lengths))
+            place = np.arange(len(at))
+            head = np.append(True, at[1:] != at[:-1] + 1)
+            at = at[(place - np.maximum.accumulate(np.where(head, place, 0))) % 2 == 0]
+            if self.early[made[at]].any():
+                at = at[~self._waits(symbols, rank, made, last, starts, at)]
+            merges = np.diff(np.searchsorted(at, np.append(starts, len(symbols))))
             symbols[at] = made[at]
             last[at] = last[at + 1]
             stay = np.ones(len(symbols), dtype=bool)
             stay[at + 1] = False
             at = at - np.arange(len(at))
             symbols, rank, made, last = symbols[stay], rank[stay], made[stay], last[stay]
-            lengths = lengths - 1
+            lengths = lengths - merges
             starts = np.cumsum(lengths) - lengths
             # The pairs that begin with the new symbol, and those that end with it.
             near = np.concatenate([at, np.maximum(at - 1, 0)])
@@ -141,38 +166,23 @@ class PieceModel:
             made[near] = piece
         return out
 
-    def _heap(self, symbols: np.ndarray) -> np.ndarray:
-        """The same merges for one long word: best rank first, leftmost among equals."""
-        n = len(symbols)
-        sym = symbols.tolist()
-        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        ranks, made = self._rank(symbols[:-1], symbols[1:])
-        heap = [(r, i, sym[i], sym[i + 1], m) for i, (r, m) in enumerate(zip(ranks.tolist(), made.tolist(), strict=True)) if r >= 0]
-        heapq.heapify(heap)
-        pairs = {(a, b): (r, m) for r, _, a, b, m in heap}
-
-        def push(i: int, j: int) -> None:
-            pair = (sym[i], sym[j])
-            if pair not in pairs:
-                r, m = self._rank(np.array([pair[0]]), np.array([pair[1]]))
-                pairs[pair] = (int(r[0]), int(m[0]))
-            r, m = pairs[pair]
-            if r >= 0:
-                heapq.heappush(heap, (r, i, *pair, m))
-
-        while heap:
-            _, i, a, b, m = heapq.heappop(heap)
-            j = right[i] if sym[i] == a else n
-            if sym[i] != a or j >= n or sym[j] != b:
-                continue
-            sym[i], sym[j] = m, -1
-            right[i] = right[j]
-            if right[j] < n:
-                left[right[j]] = i
-                push(i, right[j])
-            if left[i] >= 0:
-                push(left[i], i)
-        return np.array([s for s in sym if s >= 0], dtype=np.int64)
+    def _waits(self, symbols, rank, made, last, starts, at) -> np.ndarray:
+        """Of the places to merge, those behind one of their word whose piece makes a better one with a neighbour."""
+        piece = made[at]
+        # The neighbour on the left may be the piece merged just before.
+        left = symbols[np.maximum(at - 1, 0)]
+        left[1:] = np.where(at[1:] == at[:-1] + 2, piece[:-1], left[1:])
+        right = symbols[np.minimum(at + 2, len(symbols) - 1)]
+        before, _ = self._rank(left, piece)
+        after, _ = self._rank(piece, right)
+        begins = np.zeros(len(symbols), dtype=bool)
+        begins[starts] = True
+        better = (before >= 0) & (before <= rank[at]) & ~begins[at]
+        better |= (after >= 0) & (after <= rank[at]) & ~last[at + 1]
+        word = np.searchsorted(starts, at, side="right")
+        so_far = np.cumsum(better)
+        first = np.searchsorted(word, word)
+        return so_far - better > (so_far - better)[first]
 
     def _learn(self, words: list[str]) -> list[tuple[bytes, str]]:
         """Ids of distinct words, as bytes and in decimal, all rounds together."""
@@ -185,19 +195,12 @@ class PieceModel:
         cut[1:] = self.joined[at] != pair
         cut[heads[:-1]] = True
         starts = np.flatnonzero(cut)
-        lengths = np.diff(starts, append=len(chars))
         symbols = self.symbols[chars]
-        short = lengths <= LONG
-        kept = symbols[np.repeat(short, lengths)]
-        parts = []
-        if len(kept):
-            parts += self._rounds(kept, np.cumsum(lengths[short]) - lengths[short], np.flatnonzero(short))
-        for run in np.flatnonzero(~short).tolist():
-            merged = self._heap(symbols[starts[run] : starts[run] + lengths[run]])
-            parts.append((np.full(len(merged), run), merged))
+        parts = self._rounds(symbols, starts, np.arange(len(starts)))
         run = np.concatenate([p[0] for p in parts])
         order = np.argsort(run, kind="stable")
         run, symbols = run[order], np.concatenate([p[1] for p in parts])[order]
+        run, symbols = self._gathered(run, symbols)
         # Characters that are no piece become the ids of their bytes.
         odd = np.flatnonzero(symbols >= self.size)
         if len(odd):
@@ -210,6 +213,21 @@ class PieceModel:
         raw, said = symbols.astype(np.int32).tobytes(), list(map(str, symbols.tolist()))
         return [(raw[4 * a : 4 * b], ",".join(said[a:b])) for a, b in zip(bounds, bounds[1:], strict=False)]
 
+    def _gathered(self, run: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Spaces in a row become the pieces of runs of them."""
+        single = symbols == self.symbols[ord(SPACE)]
+        joins = np.append(False, single[1:] & single[:-1] & (run[1:] == run[:-1]))
+        if not joins.any() or not self.blanks:
+            return run, symbols
+        place = np.arange(len(symbols))
+        inside = (place - np.maximum.accumulate(np.where(joins, 0, place))) % len(self.blanks)
+        heads = np.flatnonzero((inside == 0) | ~joins)
+        sizes = np.where(single[heads], np.diff(heads, append=len(symbols)), 0)
+        many = np.array([1, *(len(self.blanks[k]) for k in sorted(self.blanks))])[sizes]
+        out = np.repeat(symbols[heads], many)
+        out[np.repeat(sizes > 0, many)] = [i for size in sizes[sizes > 0].tolist() for i in self.blanks[size]]
+        return np.repeat(run[heads], many), out
+
     def split(self, text: str) -> list[str]:
         return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
