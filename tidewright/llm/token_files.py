@@ -198,31 +198,38 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
                 files.close()
             yield batch
 
-    spread = bases.repartition("shard")
+    # A task for each shard; merged by size, its one row would leave all of them to one task.
+    spread = bases.repartitionByRange(max(1, shards.count()), "shard")
     return Scratch(spark, "shards").cut(spread.mapInArrow(offsets, bases.schema))
 
 
-def read_tokens(shards: DataFrame, folder: str, most: int = 4096) -> DataFrame:
-    """One row per document, from the files alone: doc_id, start, n_tokens, ids_crc32."""
+def read_tokens(shards: DataFrame, folder: str, most: int = 4096, at_once: int = 1 << 16) -> DataFrame:
+    """One row per document, from the files alone: doc_id, start, n_tokens, ids_crc32. Each task reads a range of at most
+    `at_once` documents of a shard."""
 
     def read(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for shard, width in zip(batch.column("shard").to_pylist(), batch.column("width").to_pylist(), strict=True):
-                ids, at = _map(folder, shard, "bin", f"<u{width}"), _map(folder, shard, "idx", "<u8")
+            for row in batch.to_pylist():
+                shard, first, last = row["shard"], row["first"], min(row["first"] + at_once, row["n_docs"])
+                ids, at = _map(folder, shard, "bin", f"<u{row['width']}"), _map(folder, shard, "idx", "<u8")
                 keys, null = _map(folder, shard, "doc", "<i8"), _map(folder, shard, "nul", "u1")
-                local = (at - at[0]).astype(np.int64)
-                for a in range(0, len(keys), most):
-                    b = min(a + most, len(keys))
-                    sums = [zlib.crc32(ids[local[k] : local[k + 1]].astype("<u4")) for k in range(a, b)]
+                base = at[0]
+                for a in range(first, last, most):
+                    b = min(a + most, last)
+                    own = at[a : b + 1]
+                    local = (own - base).astype(np.int64).tolist()
+                    sums = [zlib.crc32(ids[x:y].astype("<u4")) for x, y in zip(local, local[1:], strict=False)]
                     columns = [
                         pa.array(np.asarray(keys[a:b]), mask=np.asarray(null[a:b]) == 1, type=pa.int64()),
-                        pa.array(np.asarray(at[a:b]).astype(np.int64)),
-                        pa.array(np.diff(local[a : b + 1])),
+                        pa.array(np.asarray(own[:-1]).astype(np.int64)),
+                        pa.array(np.diff(local), type=pa.int64()),
                         pa.array(sums, type=pa.int64()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = shards.select("shard", "width").repartition("shard")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(at_once).cast("long")))
+    ranges = shards.select("shard", "width", "n_docs", first.alias("first"))
+    spread = ranges.repartitionByRange(max(1, ranges.count()), "shard", "first")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
