@@ -42,11 +42,14 @@ def spans(text):
     found = base_spans(text)
     for k, c in enumerate(secret_scan.CLASSES):
         for m in re.finditer("[" + re.escape(c.letters) + "]+", text):
-            x = m[0]
-            windows = (x[i : i + c.window] for i in range(len(x) - c.window + 1))
-            if re.search(c.mixed, x) and not any(re.search(a, x) for a in secret_scan.ALLOWED):
-                if any(entropy(w) >= c.bits - 1e-9 for w in windows):
+            parts = re.split("[/=]", m[0]) if len(m[0]) >= c.window else []
+            kept = "/".join("~" if any(re.search(a, x) for a in secret_scan.ALLOWED) else x for x in parts)
+            for x in kept.split("~"):
+                bits = c.bits if all(re.search(p, x) for p in c.mixed) else c.plain
+                windows = [x[i : i + c.window] for i in range(len(x) - c.window + 1)]
+                if bits is not None and any(entropy(w) >= bits - 1e-9 for w in windows):
                     found.append((m.start(), 3 + k, m.end()))
+                    break
     return sorted(found)
 
 

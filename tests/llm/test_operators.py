@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -27,6 +28,7 @@ from tidewright.llm import (
     simhash,
     token_files,
 )
+from tidewright.llm.base import Memo, scratch_path
 from tidewright.llm.components import components
 from tidewright.llm.oracle import ORACLE
 from tidewright.llm.queries import QUERIES
@@ -75,6 +77,45 @@ def test_allowed_strings_are_suppressed(spark):
     assert got[1] == "" and got[2] == "" and got[3].startswith("entropy_base64")
 
 
+def test_keys_of_all_alphabets(spark):
+    """Without a digit, cut by separators, in a path beside an allowed word; and what is no key."""
+    key = "9aZ3v9QmXw2Lr8TbYc5HnJf7PqWd1"
+    rows = [
+        ("path", f"see /sample-bucket/key={key} there"),
+        ("letters", "qZvKwXjRtYbNmPlHgFdScAeUoIxWyVzTkB"),
+        ("cut", "3ax6xnjp-9jd6fds4-gc373sgv-xteol0kq-57bzwm2y"),
+        ("mixed", "a9f-Kq2_zR7/tW4+xB8=mN1-vC6_pL3"),
+        ("lower", "qwzjxkvbpfymghdtcnsrloiaeuqzxjwkvp"),
+    ]
+    clean = [
+        ("allowed", "/sample-bucket/example-9aZ3v9QmXw2Lr8TbYc5HnJf7P"),
+        ("uuid", "id=550e8400-e29b-41d4-a716-446655440000"),
+        ("number", "123456789012345678901234567890"),
+        ("path", "src/main/java/org/apache/catalyst/expressions/codegen"),
+        ("word", "Rindfleischetikettierungsueberwachungsaufgaben"),
+    ]
+    got = {r[0]: r[5] for r in secret_scan.secret_scan(spark.createDataFrame([(f"+{k}", t) for k, t in rows] + [(f"-{k}", t) for k, t in clean], "doc_id string, text string")).collect()}
+    assert all(("entropy" in spans) == (k[0] == "+") for k, spans in got.items()), got
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    """Places of thousands of matches in one text, around the bounds of blocks."""
+    def run(n):
+        text = "".join(f"{i:016x} " for i in range(n))
+        frame = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+        start = time.perf_counter()
+        found, clean = secret_scan.secret_scan(frame).first(), secret_scan.redact(frame).first()
+        took = time.perf_counter() - start
+        assert found["n_hex"] == n and found["spans"] == ",".join(f"hex:{17 * i}:{17 * i + 16}" for i in range(n))
+        assert clean["text"] == f"{secret_scan.MASK} " * n
+        return took
+
+    for n in (0, 1, 255, 256, 257, 513):
+        run(n)
+    run(4000)
+    assert run(32_000) < 12 * run(8000)
+
+
 def test_keys_of_one_case_are_found_and_masked(spark):
     keys = {
         "entropy_hex": "3F2A9C4B7E1D8065F3A2B9C8",
@@ -87,12 +128,14 @@ def test_keys_of_one_case_are_found_and_masked(spark):
     rows.append(("word", "donaudampfschifffahrtsgesellschaftskapitaen"))
     frame = spark.createDataFrame(rows, "doc_id string, text string")
     got = {r[0]: r[5] for r in secret_scan.secret_scan(frame).collect()}
-    assert got == {k: f"{k}:4:{4 + len(x)}" for k, x in keys.items()} | {"path": "", "word": ""}
+    assert got.pop("path") == got.pop("word") == ""
+    for kind, key in keys.items():
+        assert f"{kind}:4:{4 + len(key)}" in got[kind].split(",")
     clean = dict(secret_scan.redact(frame).select("doc_id", "text").collect())
     assert all(clean[k] == f"see {secret_scan.MASK}, or so" for k in keys)
     # As a part of a longer run.
     run = spark.createDataFrame([(1, f"key-{keys['entropy_lower']}")], "doc_id long, text string")
-    assert secret_scan.redact(run).first()["text"] == f"key-{secret_scan.MASK}"
+    assert keys["entropy_lower"] not in secret_scan.redact(run).first()["text"]
 
 
 def test_redaction_keeps_rows_and_columns(messy):
@@ -287,6 +330,16 @@ def test_token_files_equal_the_library(messy, documents):
     assert ids == sorted(ids, key=lambda i: (i is not None, i))
 
 
+def test_token_files_are_read_by_a_task_per_range(documents):
+    folder = scratch_path(documents.sparkSession, "tokens")
+    shards = token_files.write_tokens(documents, folder)
+    assert shards.rdd.getNumPartitions() > 1 or shards.count() == 1
+    ranges = shards.selectExpr("sum(cast(ceil(n_docs / 10) as long))").first()[0]
+    read = token_files.read_tokens(shards, folder, most=3, at_once=10)
+    assert read.rdd.getNumPartitions() == ranges > 10
+    assert bag(read) == bag(token_files.read_tokens(shards, folder))
+
+
 def test_token_runs_are_those_of_the_library():
     encoder = token_files.Encoder(token_files.default_path())
     random_ = random.Random(2)
@@ -328,6 +381,31 @@ def test_pieces_of_random_texts(processor):
     assert [model.decode(i) for i, _ in got] == [processor.decode(w) for w in want]
 
 
+def test_long_runs_equal_the_library(processor):
+    model = pieces.load(pieces.default_path())
+    random_ = random.Random(5)
+    texts = [" " * 40_000, "the" * 9000, "th" * 9000, "and" * 9000, "  x" * 5000, "thethand" * 2000, " " * 33 + "a" + " " * 47]
+    texts += ["".join(random_.choices(letters, k=20_000)) for letters in ("ab", "then", "the an", "aA0+/", "▁ t")]
+    for text in texts:
+        assert model.encode([text])[0][0].tolist() == processor.encode(text)
+
+
+def test_caches_are_bounded_by_bytes():
+    model = pieces.PieceModel(pieces.default_path())
+    for n in range(20):
+        texts = ["".join(chr(0x4E00 + (n * 977 + i * 31 + k * k) % 20000) for k in range(3000)) for i in range(20)]
+        model.encode(texts)
+    # Long runs without a blank are passed through.
+    assert len(model.known.young) <= 20 and model.known.held < 2 << 20
+    memo = Memo(10_000)
+    for n in range(2000):
+        keys = {f"{n}-{i}" for i in range(5)} | {"often"}
+        found = memo.holding(keys, lambda new: [key.encode() * 2 for key in new])
+        assert {key: found[key] for key in keys} == {key: key.encode() * 2 for key in keys}
+        assert memo.held < 13_000 and len(memo.young) < 60
+    assert memo._cost(["a"], [("xy", 3, b"zzz")]) == 200 + 100 + 2 + 5 and memo._cost(["a"], [None]) < 300
+
+
 def test_decoding_of_any_ids(processor):
     model = pieces.load(pieces.default_path())
     random_ = random.Random(3)

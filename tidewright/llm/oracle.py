@@ -1,7 +1,7 @@
 """DuckDB SQL of the corpus queries that SQL can express."""
 
 from tidewright.llm.license_scan import TEMPLATES
-from tidewright.llm.secret_scan import CLASSES, highest_sum
+from tidewright.llm.secret_scan import ALLOWED, CLASSES, KINDS, SEPARATORS, highest_sum
 
 _RULES = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, lower(source) AS host FROM documents),
@@ -36,30 +36,33 @@ _ASSIGN = (
     r"|[aA][pP][iI]_?[kK][eE][yY])[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
 )
 _TAIL = r"[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)$"
+_RUNS = {3 + k: "[" + c.letters.replace("-", "") + ("-" if "-" in c.letters else "") + f"]{{{c.window},}}" for k, c in enumerate(CLASSES)}
+_TAKEN = " UNION ALL ".join(
+    f"SELECT r, {k} AS k, regexp_extract_all(t, '{run}') AS m, string_split_regex(t, '{run}') AS g FROM d"
+    for k, run in {0: _ASSIGN, 1: "AKIA[A-Z0-9]+", 2: "[0-9a-f]+", **_RUNS}.items()
+)
+_ALLOWED = " OR ".join(f"regexp_matches(y, '{pattern}')" for pattern in ALLOWED)
+_MOST = " ".join(
+    f"WHEN {3 + k} THEN CASE WHEN {' AND '.join(f"regexp_matches(z, '{m}')" for m in c.mixed)} "
+    f"THEN {highest_sum(c)} ELSE {highest_sum(c, False)} END"
+    for k, c in enumerate(CLASSES)
+)
+_NAMES = ", ".join(f"({k}, '{name}')" for k, name in enumerate(KINDS))
 _SECRETS = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-p(k, name, re) AS (VALUES (0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'),
-    (3, 'entropy_hex', '[0-9a-fA-F]{{24,}}'), (4, 'entropy_base64', '[A-Za-z0-9+/_=-]{{24,}}')),
-taken AS (
-    SELECT r, 0 AS k, regexp_extract_all(t, '{_ASSIGN}') AS m, string_split_regex(t, '{_ASSIGN}') AS g FROM d
-    UNION ALL SELECT r, 1, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') FROM d
-    UNION ALL SELECT r, 2, regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') FROM d
-    UNION ALL SELECT r, 3, regexp_extract_all(t, '[0-9a-fA-F]{{24,}}'), string_split_regex(t, '[0-9a-fA-F]{{24,}}') FROM d
-    UNION ALL SELECT r, 4, regexp_extract_all(t, '[A-Za-z0-9+/_=-]{{24,}}'),
-                     string_split_regex(t, '[A-Za-z0-9+/_=-]{{24,}}') FROM d),
+p(k, name) AS (VALUES {_NAMES}),
+taken AS ({_TAKEN}),
 items AS (SELECT r, k, i, m[i] AS x, length(g[i]) AS gap FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM taken)),
 placed AS (SELECT r, k, x, (sum(gap + length(x)) OVER (PARTITION BY r, k ORDER BY i))::BIGINT AS e FROM items),
-cand AS (SELECT DISTINCT k, x FROM placed WHERE k >= 3
-    AND NOT regexp_matches(x, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')
-    AND NOT regexp_matches(lower(x), 'abcdefghijklmnop|0123456789abcdef')
-    AND NOT regexp_matches(lower(x), 'example|sample|dummy|placeholder|changeme|your_|xxxx')
-    AND regexp_matches(x, '[0-9]') AND CASE WHEN k = 3 THEN regexp_matches(x, '[A-Fa-f]')
-        ELSE regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[a-z]') END),
-wins AS (SELECT k, x, p, unnest(string_split(substr(x, p, 24), '')) AS ch
-         FROM (SELECT k, x, unnest(range(1, length(x) - 22)) AS p FROM cand)),
-sums AS (SELECT k, x, p, sum(round(1e6 * c * log2(c))::BIGINT) AS s
-         FROM (SELECT k, x, p, ch, count(*) AS c FROM wins GROUP BY ALL) GROUP BY ALL),
-dense AS (SELECT k, x FROM sums GROUP BY k, x HAVING min(s) <= CASE WHEN k = 3 THEN {{hex}} ELSE {{base}} END),
+cand AS (SELECT DISTINCT k, x FROM placed WHERE k >= 3),
+parts AS (SELECT k, x, unnest(string_split(array_to_string(list_transform(string_split_regex(x, '{SEPARATORS}'),
+              lambda y: CASE WHEN {_ALLOWED} THEN '~' ELSE y END), '/'), '~')) AS z FROM cand),
+long AS (SELECT DISTINCT k, x, z, CASE k {_MOST} END AS most FROM parts WHERE length(z) >= 24),
+wins AS (SELECT k, x, z, most, p, unnest(string_split(substr(z, p, 24), '')) AS ch
+         FROM (SELECT *, unnest(range(1, length(z) - 22)) AS p FROM long WHERE most >= 0)),
+sums AS (SELECT k, x, z, most, p, sum(round(1e6 * c * log2(c))::BIGINT) AS s
+         FROM (SELECT k, x, z, most, p, ch, count(*) AS c FROM wins GROUP BY ALL) GROUP BY ALL),
+dense AS (SELECT DISTINCT k, x FROM sums WHERE s <= most),
 good AS (SELECT r, k, e - length(x) AS s, e FROM placed
     WHERE CASE k WHEN 0 THEN length(regexp_extract(x, '{_TAIL}', 1)) >= 12 WHEN 1 THEN length(x) >= 18
                WHEN 2 THEN length(x) >= 16 ELSE (k, x) IN (SELECT (k, x) FROM dense) END),
@@ -70,7 +73,7 @@ out AS (SELECT r, count(*) FILTER (k = 0) AS a, count(*) FILTER (k = 1) AS b, co
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN out USING (r)
-""".replace("{hex}", str(highest_sum(CLASSES[0]))).replace("{base}", str(highest_sum(CLASSES[1])))
+"""
 
 _NOTICES = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(TEMPLATES.items()))
 _LICENSES = rf"""

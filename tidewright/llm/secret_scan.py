@@ -3,12 +3,14 @@
 Only DataFrame functions, and no shuffle: each text is scanned where it lies. Patterns give the base spans.
 For the entropy spans, candidates are the runs of a character class that are at least a window long. The
 window slides by one character; the counts of its characters and the sum of c * log2(c) change by the character
-that enters and the one that leaves. The sums are integers (millionths of a bit), so no rounding decides. A
-candidate becomes a span if some window has enough entropy and no allow-list pattern matches the candidate.
+that enters and the one that leaves. The sums are integers (millionths of a bit), so no rounding decides. The parts of
+a candidate between slashes and equals signs that an allow-list pattern matches are left out; the candidate
+becomes a span if some window of what is left has enough entropy.
 
 Spans are (start, kind, end) in code points, the end exclusive, ordered by start and then by kind. Defined
 results: a null or empty text has no spans; a text of any length is scanned whole; repeated rows give repeated
-results; spans of different kinds may overlap; extra columns are ignored (`find_secrets`) or kept (`redact`).
+results; spans of different kinds may overlap; extra columns are ignored (`find_secrets`) or kept (`redact`). The time for a
+text grows with its length and its number of matches: places are summed up by blocks of BLOCK matches.
 """
 
 from __future__ import annotations
@@ -55,39 +57,70 @@ PATTERNS = (
 class EntropyClass:
     """A character class: its letters, the window, and the bits per character that make a window suspicious.
 
-    `mixed` must match the candidate too, and tells the classes apart: a path or a word may have as many bits as a
-    key. Base64 needs both cases and a digit; strings of one case with digits have classes of their own, without
-    the separators of paths. Those need a letter that is not hexadecimal, as the others are found as hex. Long
-    strings of letters alone are in no class.
+    A string in which all of `mixed` are found needs `bits`; another one, which may be a path or a long word, needs the
+    higher `plain` bits (None: numbers are no keys).
     """
 
     kind: str
     letters: str
     window: int
     bits: float
-    mixed: str
+    mixed: tuple[str, ...]
+    plain: float | None
 
 
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 CLASSES = (
-    EntropyClass("entropy_hex", _DIGITS + "abcdefABCDEF", 24, 3.0, r"(?=.*[0-9])(?=.*[A-Fa-f])"),
-    EntropyClass("entropy_base64", _UPPER + _LOWER + _DIGITS + "+/_=-", 24, 3.75, r"(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])"),
-    EntropyClass("entropy_lower", _LOWER + _DIGITS, 24, 3.75, r"(?=.*[0-9])(?=.*[g-z])"),
-    EntropyClass("entropy_upper", _UPPER + _DIGITS, 24, 3.75, r"(?=.*[0-9])(?=.*[G-Z])"),
+    EntropyClass("entropy_hex", _DIGITS + "abcdefABCDEF", 24, 3.0, ("[0-9]", "[A-Fa-f]"), None),
+    EntropyClass("entropy_base64", _UPPER + _LOWER + _DIGITS + "+/_=-", 24, 3.75, ("[0-9]", "[A-Z]", "[a-z]"), 4.15),
+    EntropyClass("entropy_lower", _LOWER + _DIGITS, 24, 3.75, ("[0-9]", "[g-z]"), 3.85),
+    EntropyClass("entropy_upper", _UPPER + _DIGITS, 24, 3.75, ("[0-9]", "[G-Z]"), 3.85),
 )
 
-#: Strings of high entropy that are no secrets: UUIDs, runs of the alphabet, and words that mark an example.
+#: Strings of high entropy that are no secrets: UUIDs, runs of the alphabet, and words that mark an example. They are
+#: sought in each part of a candidate between these separators.
+SEPARATORS = "[/=]"
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)abcdefghijklmnop|0123456789abcdef",
     r"(?i)example|sample|dummy|placeholder|changeme|your_|xxxx",
 )
+#: Stands for a part that is left out.
+_OUT = "~"
+#: Matches whose places are summed up together.
+BLOCK = 256
 
 
 def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _before(values: Column, combine, start: int = 0) -> Column:
+    """For each of an array of ints what the values before it combine to, in blocks: within a block by copying what there
+    is so far, between blocks by their totals."""
+
+    def scan(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda x: F.aggregate(x, F.lit(start), combine))
+
+        def placed(t: Column) -> Column:
+            def inside(x: Column, b: Column) -> Column:
+                base = F.aggregate(F.slice(t, F.lit(1), b), F.lit(start), combine)
+                first = F.struct(base.alias("at"), F.array().cast("array<int>").alias("out"))
+                step = lambda a, v: F.struct(combine(a["at"], v).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+                return F.aggregate(x, first, step)["out"]
+
+            return F.flatten(F.transform(blocks, inside))
+
+        return _let(totals, placed)
+
+    def cut(v: Column) -> Column:
+        last = F.floor((F.size(v) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(v, b * BLOCK + 1, BLOCK))
+        return F.when(F.size(v) > 0, _let(blocks, scan)).otherwise(F.array().cast("array<int>"))
+
+    return _let(values, cut)
+
+
 def _matches(text: Column, regex: str, kind: int, holds) -> Column:
     """Array of (start, kind, end, text) of the matches for which holds(match, position in the list) is true.
 
@@ -97,17 +130,19 @@ def _matches(text: Column, regex: str, kind: int, holds) -> Column:
     gaps = F.split(text, regex, -1)
 
     def place(m: Column) -> Column:
-        lengths = F.zip_with(m, F.slice(gaps, F.lit(1), F.size(m)), lambda x, g: F.struct(F.length(g).alias("g"), x.alias("x")))
-        none = F.array().cast("array<struct<start:int,kind:int,end:int,x:string>>")
-        first = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+        lengths = F.zip_with(m, F.slice(gaps, F.lit(1), F.size(m)), lambda x, g: F.struct(F.length(g).alias("g"), F.length(x).alias("n"), x.alias("x")))
 
-        def step(a: Column, v: Column) -> Column:
-            start = a["at"] + v["g"]
-            end = start + F.length(v["x"])
-            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), v["x"].alias("x"))
-            return F.struct(end.alias("at"), F.concat(a["spans"], F.array(span)).alias("spans"))
+        def spans_of(v: Column) -> Column:
+            ends = _before(F.transform(v, lambda s: s["g"] + s["n"]), lambda a, n: a + n)
+            return F.zip_with(
+                v,
+                ends,
+                lambda s, at: F.struct(
+                    (at + s["g"]).alias("start"), F.lit(kind).alias("kind"), (at + s["g"] + s["n"]).alias("end"), s["x"].alias("x")
+                ),
+            )
 
-        return F.aggregate(lengths, first, step)["spans"]
+        return _let(lengths, spans_of)
 
     return F.filter(_let(found, place), holds)
 
@@ -149,23 +184,37 @@ def _low_sum(codes: Column, letters: int, window: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step)["low"]
 
 
-def highest_sum(c: EntropyClass) -> int:
+def highest_sum(c: EntropyClass, mixed: bool = True) -> int:
     """A window is suspicious if its sum is at most this."""
-    return math.floor(1e6 * c.window * (math.log2(c.window) - c.bits))
+    bits = c.bits if mixed else c.plain
+    return -1 if bits is None else math.floor(1e6 * c.window * (math.log2(c.window) - bits))
 
 
-def _entropy_spans(text: Column, c: EntropyClass, kind: int) -> Column:
-    run = "[" + c.letters.replace("-", "") + ("-" if "-" in c.letters else "") + f"]{{{c.window},}}"
+def left_over(run: Column) -> Column:
+    """The parts of a candidate around those that are allowed; separators become slashes."""
 
-    def suspicious(s: Column) -> Column:
+    def part(x: Column) -> Column:
         allowed = F.lit(False)
         for pattern in ALLOWED:
-            allowed = allowed | F.regexp_like(s["x"], F.lit(pattern))
-        codes = F.transform(F.split(s["x"], ""), lambda ch: F.instr(F.lit(c.letters), ch))
-        dense = _let(codes, lambda k: _low_sum(k, len(c.letters), c.window) <= highest_sum(c))
-        return F.when(~F.regexp_like(s["x"], F.lit(c.mixed)) | allowed, F.lit(False)).otherwise(dense)
+            allowed = allowed | F.regexp_like(x, F.lit(pattern))
+        return F.when(allowed, F.lit(_OUT)).otherwise(x)
 
-    return F.when(F.regexp_like(text, F.lit(run)), _matches(text, run, kind, suspicious))
+    return F.split(F.array_join(F.transform(F.split(run, SEPARATORS), part), "/"), _OUT)
+
+
+def _entropy_spans(text: Column, c: EntropyClass, kind: int) -> Column:
+    run = "[" + c.letters.replace("-", "") + ("-" if "-" in c.letters else "") + f"]{{{c.window},}}"
+
+    def dense(x: Column) -> Column:
+        mixed = F.lit(True)
+        for pattern in c.mixed:
+            mixed = mixed & F.regexp_like(x, F.lit(pattern))
+        most = F.when(mixed, F.lit(highest_sum(c))).otherwise(F.lit(highest_sum(c, False)))
+        codes = F.transform(F.split(x, ""), lambda ch: F.instr(F.lit(c.letters), ch))
+        low = lambda m: _let(codes, lambda k: F.when(m >= 0, _low_sum(k, len(c.letters), c.window) <= m).otherwise(F.lit(False)))
+        return F.when(F.length(x) >= c.window, _let(most, low)).otherwise(F.lit(False))
+
+    return F.when(F.regexp_like(text, F.lit(run)), _matches(text, run, kind, lambda s: F.exists(left_over(s["x"]), dense)))
 
 
 KINDS = [*(p.kind for p in PATTERNS), *(c.kind for c in CLASSES)]
@@ -219,25 +268,18 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     (out,) = free_names(docs, "found")
     t = F.col(text)
     found = docs.withColumn(out, spans(F.coalesce(t, F.lit(""))))
-    # A span is the first of its island if no earlier one reaches it; what is kept lies between islands.
-    reach = lambda a, s: F.struct(
-        F.greatest(a["end"], s["end"]).alias("end"),
-        F.when(s["start"] >= a["end"], F.concat(a["kept"], F.array(F.struct(a["end"].alias("f"), s["start"].alias("t")))))
-        .otherwise(a["kept"])
-        .alias("kept"),
-    )
-    none = F.array().cast("array<struct<f:int,t:int>>")
-    start = F.struct(F.lit(0).alias("end"), none.alias("kept"))
-
+    # What is kept lies between the end that earlier spans reach and the start of a span behind it.
     def rebuilt(chars: Column) -> Column:
         piece = lambda a, b: F.array_join(F.slice(chars, a + 1, b - a), "")
-        return _let(
-            F.aggregate(F.col(out), start, reach),
-            lambda a: F.concat(
-                F.array_join(F.transform(a["kept"], lambda k: F.concat(piece(k["f"], k["t"]), F.lit(MASK))), ""),
-                piece(a["end"], F.size(chars)),
-            ),
-        )
+
+        def joined(reached: Column) -> Column:
+            gaps = F.zip_with(out, reached, lambda s, at: F.struct(at.alias("f"), s["start"].alias("t")))
+            kept = F.filter(gaps, lambda g: g["t"] >= g["f"])
+            end = F.greatest(F.array_max(reached), F.element_at(out, -1)["end"])
+            masked = F.transform(kept, lambda k: F.concat(piece(k["f"], k["t"]), F.lit(MASK)))
+            return F.concat(F.array_join(masked, ""), piece(end, F.size(chars)))
+
+        return _let(_before(F.transform(out, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), joined)
 
     clean = F.when(F.size(out) > 0, _let(F.split(t, ""), rebuilt)).otherwise(t)
     found = found.withColumn(text, clean)
