@@ -83,18 +83,22 @@ def rules(rows):
     """rows: (text, source). (statistics, base_failed, kept) of each."""
     found = [statistics(t or "") for t, _ in rows]
     failed = [s[0] < 10 or 100 * s[4] > 20 * s[0] for s in found]
-    hosts = {}
-    for (_, source), f in zip(rows, failed, strict=True):
-        if source is not None:
-            n = hosts.setdefault(source.lower(), [0, 0])
-            n[0] += 1
-            n[1] += f
     bad = set()
-    if hosts:
-        mean = sum(f for _, f in hosts.values()) / sum(n for n, _ in hosts.values())
-        variance = sum((f / n - mean) ** 2 for n, f in hosts.values()) / len(hosts)
-        weight = min(1e6, max(2.0, mean * (1 - mean) / variance - 1)) if variance > 1e-12 else 1e6
-        bad = {h for h, (n, f) in hosts.items() if (f + mean * weight) / (n + weight) > 0.5}
+    for rule in ([s[0] < 10 for s in found], [100 * s[4] > 20 * s[0] for s in found], failed):
+        hosts = {}
+        for (_, source), f in zip(rows, rule, strict=True):
+            if source is not None:
+                n = hosts.setdefault(source.lower(), [0, 0])
+                n[0] += 1
+                n[1] += f
+        if not hosts:
+            continue
+        docs = sum(n for n, _ in hosts.values())
+        mean, chance = sum(f for _, f in hosts.values()) / docs, len(hosts) / docs
+        spread = sum(n * (f / n - mean) ** 2 for n, f in hosts.values()) / docs
+        between = (spread - mean * (1 - mean) * chance) / (1 - chance) if chance < 1 else 0
+        weight = min(1e6, max(2.0, mean * (1 - mean) / between - 1)) if between > 1e-12 else 1e6
+        bad |= {h for h, (n, f) in hosts.items() if (f + mean * weight) / (n + weight) > 0.5}
     hosted = [s is not None and s.lower() in bad for _, s in rows]
     return [(s, f, not f and not h) for s, f, h in zip(found, failed, hosted, strict=True)]
 

@@ -168,6 +168,19 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert {r[0] for r in quality_rules.keep_good(frame).collect()} == {i for i, k in want.items() if k}
 
 
+def test_chance_does_not_condemn_small_hosts(spark):
+    """Thousands of hosts of two or three documents with one failure rate: what differs between them is chance."""
+    good = "all of these words are quite different from one another you see"
+    random_ = random.Random(2)
+    rows = [(i, good if random_.random() > 0.3 else "bad", f"small{i // (2 + i % 2)}") for i in range(4000)]
+    rows += [(10_000 + i, good if i % 10 == 0 else "bad", "worse") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["host"], r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(frame).collect()}
+    assert {host for host, failed, kept in got.values() if not kept and not failed} == {"worse"}
+    want = [kept for _, _, kept in brute.rules([(t, s) for _, t, s in rows])]
+    assert [got[i][2] for i, _, _ in rows] == want
+
+
 # Near copies
 
 

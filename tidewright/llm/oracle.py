@@ -20,11 +20,14 @@ s AS (SELECT d.doc_id, d.host, len(w.w)::BIGINT AS n_words,
              coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
       FROM d JOIN w USING (r) LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
-h AS (SELECT host, count(*) AS n, sum(base_failed::BIGINT)::DOUBLE AS f FROM b WHERE host IS NOT NULL GROUP BY host),
-m AS (SELECT sum(f) / sum(n) AS mean FROM h),
-v AS (SELECT any_value(mean) AS mean, avg((f / n - mean) * (f / n - mean)) AS v FROM h, m),
-k AS (SELECT mean, greatest(2.0, least(1e6, CASE WHEN v > 1e-12 THEN mean * (1 - mean) / v - 1 ELSE 1e6 END)) AS k FROM v),
-bad AS (SELECT host FROM h, k WHERE (f + mean * k) / (n + k) > 0.5)
+h AS (SELECT host, rule, count(*) AS n, sum(failed::BIGINT)::DOUBLE AS f
+      FROM (SELECT host, unnest([1, 2, 3]) AS rule,
+                   unnest([n_words < 10, 100 * n_repeat_words > 20 * n_words, base_failed]) AS failed FROM b WHERE host IS NOT NULL)
+      GROUP BY host, rule),
+m AS (SELECT rule, sum(f) / sum(n) AS mean, sum(n) AS n, count(*)::DOUBLE / sum(n) AS chance, sum(f * f / n) / sum(n) AS s FROM h GROUP BY rule),
+v AS (SELECT rule, mean, chance, (s - mean * mean - mean * (1 - mean) * chance) / nullif(1 - chance, 0) AS v FROM m),
+k AS (SELECT rule, mean, CASE WHEN v > 1e-12 THEN greatest(2.0, least(1e6, mean * (1 - mean) / v - 1)) ELSE 1e6 END AS k FROM v),
+bad AS (SELECT DISTINCT host FROM h JOIN k USING (rule) WHERE (f + mean * k) / (n + k) > 0.5)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(b.host IN (SELECT host FROM bad), false) AS kept, b.host,
        coalesce(b.host IN (SELECT host FROM bad), false) AS host_failed
@@ -138,9 +141,13 @@ SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BI
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+#: The same for documents under hosts by their length.
+_RULES_BY_LENGTH = _RULES.replace("lower(source) AS host", "'len-' || CAST(least(n_chars // 40, 50) AS VARCHAR) AS host")
+
 ORACLE = {
     "op1_secret_scan": _SECRETS,
     "op9_quality_rules": _RULES,
+    "op9_quality_rules_by_length": _RULES_BY_LENGTH,
     "op10_license_scan": _LICENSES,
     "op12_document_fingerprints": _FINGERPRINTS,
     "op13_collocations": _PHRASES,

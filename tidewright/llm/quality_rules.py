@@ -104,27 +104,41 @@ def host_of(source: Column) -> Column:
     return F.lower(F.when(host != "", host).otherwise(source))
 
 
-def host_rates(rows: DataFrame, host: str = "host", failed: str = "base_failed") -> DataFrame:
-    """host, n_docs, n_failed, rate: the failure rate shrunk by a beta prior fitted to the rates of all hosts.
+def _prior_weight(mean: float, spread: float, docs: int, hosts: int) -> float:
+    """Documents that the prior counts for.
 
-    The prior has the corpus rate as its mean, and the weight at which its variance is the one between hosts:
-    mean * (1 - mean) / variance - 1 documents.
+    `spread` is the mean squared distance of the hosts' rates from the corpus rate, each as often as the host has documents.
+    A host of n documents is off by chance by mean * (1 - mean) / n, on that average mean * (1 - mean) * hosts / docs; the
+    rest is the variance between hosts, which a beta prior has at mean * (1 - mean) / variance - 1 documents.
     """
-    hosts = (
-        rows.filter(F.col(host).isNotNull())
-        .groupBy(F.col(host).alias("host"))
-        .agg(F.count("*").alias("n_docs"), F.sum(F.col(failed).cast("long")).alias("n_failed"))
-    )
+    chance = hosts / docs
+    if chance >= 1:
+        return MOST_PRIOR
+    between = (spread - mean * (1 - mean) * chance) / (1 - chance)
+    return max(LEAST_PRIOR, min(MOST_PRIOR, mean * (1 - mean) / between - 1)) if between > 1e-12 else MOST_PRIOR
+
+
+def host_rates(rows: DataFrame, host: str = "host", rules: tuple[str, ...] = ("base_failed",)) -> DataFrame:
+    """host, n_docs, and for each rule (a boolean column) its failures n_<rule> and rate_<rule>: shrunk by a beta prior that is
+    fitted to the rates of all hosts, with the corpus rate as its mean."""
+    failures = [F.sum(F.col(rule).cast("long")).alias(f"n_{rule}") for rule in rules]
+    hosts = rows.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n_docs"), *failures)
     hosts = Scratch(rows.sparkSession, "hosts").cut(hosts)
-    own = F.col("n_failed") / F.col("n_docs")
-    # E[(x - m)^2] about the pooled mean m, from the sums of x and x^2; three numbers, whatever the input.
-    mean, squares, average = hosts.agg(F.sum("n_failed") / F.sum("n_docs"), F.avg(own * own), F.avg(own)).first()
-    if mean is None:
-        return hosts.select("*", F.lit(0.0).alias("rate"))
-    variance = squares - 2 * mean * average + mean * mean
-    fitted = mean * (1 - mean) / variance - 1 if variance > 1e-12 else MOST_PRIOR
-    weight = max(LEAST_PRIOR, min(MOST_PRIOR, fitted))
-    return hosts.select("*", ((F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight)).alias("rate"))
+    # A few numbers, whatever the input.
+    squares = [F.sum(F.col(f"n_{rule}") * F.col(f"n_{rule}") / F.col("n_docs")).alias(f"s_{rule}") for rule in rules]
+    sums = [F.sum(f"n_{rule}").alias(f"n_{rule}") for rule in rules]
+    total = hosts.agg(F.sum("n_docs").alias("docs"), F.count("*").alias("hosts"), *sums, *squares).first()
+    rates = []
+    for rule in rules:
+        if not total["hosts"]:
+            rates.append(F.lit(0.0).alias(f"rate_{rule}"))
+            continue
+        mean = total[f"n_{rule}"] / total["docs"]
+        # The sum of n * (x - mean)^2 over hosts of n documents and rate x.
+        spread = total[f"s_{rule}"] / total["docs"] - mean * mean
+        weight = _prior_weight(mean, spread, total["docs"], total["hosts"])
+        rates.append(((F.col(f"n_{rule}") + mean * weight) / (F.col("n_docs") + weight)).alias(f"rate_{rule}"))
+    return hosts.select("*", *rates)
 
 
 def judge(docs: DataFrame, keep: list[str], text: str = "text", source: str = "source") -> tuple[DataFrame, str]:
@@ -148,8 +162,9 @@ def judge(docs: DataFrame, keep: list[str], text: str = "text", source: str = "s
         ),
     )
     ruled = scratch.cut(ruled.withColumn(out, r.withField("base_failed", base_failed(r["n_words"], r["n_repeat_words"]))))
-    rates = host_rates(ruled.select(r["host"].alias("host"), r["base_failed"].alias("base_failed")))
-    bad = rates.filter(F.col("rate") > MOST_HOST_RATE).select(F.col("host").alias(f"{out}_host"), F.lit(True).alias(f"{out}_bad"))
+    failed = {"short": r["n_words"] < LEAST_WORDS, "repeats": 100 * r["n_repeat_words"] > MOST_REPEATED_PERCENT * r["n_words"], "any": r["base_failed"]}
+    rates = host_rates(ruled.select(r["host"].alias("host"), *[rule.alias(name) for name, rule in failed.items()]), rules=tuple(failed))
+    bad = rates.filter(F.greatest(*[F.col(f"rate_{name}") for name in failed]) > MOST_HOST_RATE).select(F.col("host").alias(f"{out}_host"), F.lit(True).alias(f"{out}_bad"))
     if bad.limit(MOST_BROADCAST_HOSTS + 1).count() <= MOST_BROADCAST_HOSTS:
         bad = F.broadcast(bad)
     joined = ruled.join(bad, r["host"] == F.col(f"{out}_host"), "left")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from tidewright.llm import alignment, collocations, decontaminate, fingerprints, language_id, license_scan, lm_score, pieces, quality_model, quality_rules, secret_scan, simhash, token_files
 from tidewright.llm.base import documents
 from tidewright.llm.oracle import ORACLE
@@ -53,6 +55,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op9_quality_rules_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules with the length of a document, in steps, as its host: those of the shortest ones fail."""
+    length = F.concat(F.lit("len-"), F.least(F.floor(F.col("n_chars") / 40), F.lit(50)).cast("string"))
+    return quality_rules.quality_rules(documents(spark, sf_dir).withColumn("source", length))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices held by documents."""
     return license_scan.license_scan(documents(spark, sf_dir))
@@ -85,6 +93,7 @@ QUERIES = {
         op7_decontaminate,
         op8_simhash_dedup,
         op9_quality_rules,
+        op9_quality_rules_by_length,
         op10_license_scan,
         op11_token_alignment,
         op12_document_fingerprints,
