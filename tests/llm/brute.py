@@ -140,7 +140,7 @@ def near_classes(prints, bits=3):
 
 
 def leak_words(text):
-    return re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode())
+    return re.findall(r"[^\W_]+", text.lower())
 
 
 def leaks(text, items):

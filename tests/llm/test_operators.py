@@ -259,6 +259,46 @@ def edited(random_, words):
     return words
 
 
+def near_copies(rng, words, changes):
+    """The words with so many of them replaced."""
+    out = list(words)
+    for at in rng.sample(range(len(out)), changes):
+        out[at] = f"new{rng.randint(0, 999)}"
+    return out
+
+
+@pytest.mark.parametrize("size, items", [(60, 40), (150, 400)])
+def test_blocks_find_what_is_similar_enough(size, items):
+    """Recall of the fingerprints on windows of at least 0.8 similarity, and the candidates among unrelated items."""
+    rng = random.Random(size)
+    own = [[f"w{rng.randint(0, 3000)}" for _ in range(size)] for _ in range(items)]
+    index = decontaminate.Index([(i, " ".join(words).encode()) for i, words in enumerate(own)])
+    found = similar = pairs = rows = 0
+    for changes in range(1, size // 25 + 2):
+        for i, words in enumerate(own):
+            copy = near_copies(rng, words, changes)
+            if decontaminate.similarity(decontaminate._occurrences(copy, 5), index.counts[i]) < 0.8:
+                continue
+            chain = decontaminate._chain(decontaminate._hashes(copy), 5)
+            _, item, candidates = index.postings[size].within(decontaminate._prints(chain, np.array([0]), len(chain)))
+            similar, found, pairs, rows = similar + 1, found + (i in item), pairs + candidates, rows + 1
+    assert similar > items and found >= 0.98 * similar
+    assert pairs / rows < 0.25 * items
+    print(f"\n{size} words, {items} items: recall {found / similar:.4f}, {pairs / rows:.1f} candidates a window")
+
+
+def test_typographic_marks_do_not_hide_a_leak(spark):
+    rng = random.Random(3)
+    words = [rng.choice(["zebra", "überaus", "naïve", "слово", "漢字", "plain", "Übung"]) + str(i) for i in range(60)]
+    item = " ".join(words[:20]) + ' "' + " ".join(words[20:25]) + '" - ' + " ".join(words[25:])
+    copy = " ".join(words[:20]) + " \u201c" + "\u00a0".join(words[20:25]) + "\u201d\u2014" + "\u2002".join(words[25:])
+    rows = [(1, "before \u00ab" + copy.upper() + "\u00bb after"), (2, " ".join(reversed(words)))]
+    frame, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontaminate.find_leaks(frame, table).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in found] == [(1, 7)] and found[0]["similarity"] > 0.99
+    assert [r["doc_id"] for r in decontaminate.drop_leaks(frame, table).collect()] == [2]
+
+
 @pytest.mark.parametrize("block", [4_000_000, 4_000])
 def test_leaks_equal_brute_force(spark, documents, monkeypatch, block):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)

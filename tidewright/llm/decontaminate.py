@@ -1,12 +1,12 @@
 """Benchmark decontamination: windows of documents that are near copies of benchmark items.
 
 For each size of an item, the windows of so many words slide over a document. A window's SimHash is the sign of
-the sum of its shingles' hash bits, each as often as it occurs, taken from running sums. The fingerprints of
-items of that size are indexed by 8 blocks of 8 bits: fingerprints within RADIUS bits differ in at most
-RADIUS // 8 bits of some block, so looking up every block value within that many bits finds all of them. What is
-found within RADIUS is verified: the similarity is the sum of the least over the sum of the greatest numbers of
-occurrences of each shingle, on the words themselves. RADIUS is nearly five standard deviations above the bits
-that texts of the least similarity differ in.
+the sum of its shingles' hash bits, each as often as it occurs, taken from running sums; it has 128 bits. Texts of the least
+similarity of 0.8 differ in some 19 of them, with a standard deviation of 4; RADIUS is 2.4 of those above. The
+fingerprints of items of that size are indexed by 10 blocks of 12 or 13 bits: fingerprints within RADIUS bits differ in
+at most RADIUS // 10 bits of some block, so postings under every block value within that many bits find all of them.
+What is found within RADIUS is verified: the similarity is the sum of the least over the sum of the greatest numbers of
+occurrences of each shingle, on the words themselves.
 
 Windows that cannot reach the similarity are not hashed: with at least 0.8 of a window's shingles in common with
 an item, at least that many of its places must begin a shingle of some item, which one look at each word shows.
@@ -14,7 +14,7 @@ an item, at least that many of its places must begin a shingle of some item, whi
 The benchmark is the query set: it is read in blocks of bounded size, each broadcast for one pass over the
 documents. Documents are neither shuffled nor grouped.
 
-Words are runs of letters and digits in lower case; shingles have five words, and an item with fewer is one
+Words are runs of letters and digits in lower case, of any script, so quotation marks and dashes of any kind part them; shingles have five words, and an item with fewer is one
 shingle. A document shorter than an item is one window. Defined results: null and empty texts, and items without
 a word, match nothing; repeated items and rows of the same id and text match each; of equally similar windows
 the first is given; extra columns are ignored (`find_leaks`) or kept (`drop_leaks`).
@@ -38,17 +38,18 @@ from tidewright.llm.base import as_bytes, slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 23
-BLOCKS = 8
-#: Characters of benchmark text in a block; as words and fingerprints they take some ten times as much memory.
-BLOCK_CHARS = 4_000_000
+BITS = 128
+RADIUS = 29
+BLOCKS = 10
+#: Characters of benchmark text, and items, in a block; as words and postings they take a few hundred MB at most.
+BLOCK_CHARS, BLOCK_ITEMS = 4_000_000, 20_000
 
-_WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORDS = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return _WORDS.findall(text.decode().lower().encode())
+def words_of(text: bytes) -> list[str]:
+    return _WORDS.findall(text.decode().lower())
 
 
 def _chain(values: np.ndarray, k: int) -> np.ndarray:
@@ -61,18 +62,64 @@ def _chain(values: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
+def _bits(shingles: np.ndarray) -> np.ndarray:
+    """128 bits of each shingle: its hash, and a mix of it."""
+    second = (shingles ^ (shingles >> np.uint64(31))) * _MIX
+    second ^= second >> np.uint64(29)
+    both = np.stack([shingles, second], axis=1).astype(">u8")
+    return np.unpackbits(both.view(np.uint8).reshape(-1, BITS // 8), axis=1)
+
+
 def _prints(shingles: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """SimHash of the windows of `length` shingles at these starts."""
+    """SimHash bits of the windows of `length` shingles at these starts."""
     low, high = int(starts.min()), int(starts.max()) + length
-    bits = np.unpackbits(shingles[low:high].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    sums = np.zeros((high - low + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, out=sums[1:], dtype=np.int32)
+    sums = np.zeros((high - low + 1, BITS), dtype=np.int32)
+    np.cumsum(_bits(shingles[low:high]), axis=0, out=sums[1:], dtype=np.int32)
     ones = sums[starts - low + length] - sums[starts - low]
-    return np.packbits(2 * ones > length, axis=1).view(">u8").ravel().astype(np.uint64)
+    return (2 * ones > length).astype(np.uint8)
+
+
+def _packed(prints: np.ndarray) -> np.ndarray:
+    return np.packbits(prints, axis=1).view(np.uint64)
+
+
+_EDGES = [round(b * BITS / BLOCKS) for b in range(BLOCKS + 1)]
+
+
+def _values(prints: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The width of each block, and its value in each fingerprint."""
+    for a, b in zip(_EDGES, _EDGES[1:], strict=False):
+        yield b - a, prints[:, a:b].astype(np.int64) @ (1 << np.arange(b - a, dtype=np.int64))
+
+
+class Postings:
+    """The items of one size by block values, each under all values within the guaranteed distance."""
+
+    def __init__(self, prints: np.ndarray):
+        self.packed = _packed(prints)
+        self.blocks = []
+        for width, values in _values(prints):
+            masks = np.flatnonzero(np.bitwise_count(np.arange(1 << width)) <= RADIUS // BLOCKS)
+            near = (values[:, None] ^ masks).ravel()
+            order = np.argsort(near, kind="stable")
+            self.blocks.append((near[order], np.repeat(np.arange(len(values)), len(masks))[order]))
+
+    def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """(row, item) of all pairs within RADIUS, and the number of distinct pairs that the blocks gave."""
+        pairs = []
+        for (near, who), (_, values) in zip(self.blocks, _values(prints), strict=True):
+            low, high = np.searchsorted(near, values), np.searchsorted(near, values, side="right")
+            n = high - low
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            pairs.append(np.repeat(np.arange(len(values)), n) * len(self.packed) + who[at])
+        row, item = np.divmod(np.unique(np.concatenate(pairs)), len(self.packed))
+        packed = _packed(prints)
+        near = np.bitwise_count(packed[row] ^ self.packed[item]).sum(axis=1) <= RADIUS
+        return row[near], item[near], len(row)
 
 
 class Index:
@@ -82,7 +129,7 @@ class Index:
         self.similarity = similarity
         self.ids = [i for i, _ in items]
         self.words = [words_of(t) for _, t in items]
-        self.vocabulary: dict[bytes, int] = {}
+        self.vocabulary: dict[str, int] = {}
         for words in self.words:
             for w in words:
                 self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
@@ -93,8 +140,7 @@ class Index:
         self.sizes = sorted(sizes)
         self.of_size = {n: np.array(v) for n, v in sizes.items()}
         begun: dict[int, list[np.ndarray]] = {}
-        self.prints, self.near, self.counts = {}, {}, {}
-        close = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)) <= RADIUS // BLOCKS
+        self.postings, self.counts = {}, {}
         for n in self.sizes:
             k = min(SHINGLE, n)
             prints = []
@@ -104,16 +150,13 @@ class Index:
                 own = _chain(_hashes(self.words[i]), k)
                 prints.append(_prints(own, np.array([0]), len(own))[0])
                 self.counts[i] = _occurrences(self.words[i], k)
-            self.prints[n] = np.array(prints, dtype=np.uint64)
-            blocks = self.prints[n].astype(">u8").view(np.uint8).reshape(-1, BLOCKS)
-            # For each block and value of it, the items whose own value is near enough.
-            self.near[n] = close[:, blocks.T].transpose(1, 0, 2)
+            self.postings[n] = Postings(np.array(prints, dtype=np.uint8))
         self.begun = {k: np.unique(np.concatenate(v)) for k, v in begun.items()}
 
-    def places(self, texts: list[list[bytes]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    def places(self, texts: list[list[str]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         """For each shingle length, running counts of the places that begin an item's shingle, and each text's place."""
         get = self.vocabulary.get
-        ids = np.array([get(w, 0) for words in texts for w in [*words, b""]], dtype=np.uint64)
+        ids = np.array([get(w, 0) for words in texts for w in [*words, ""]], dtype=np.uint64)
         lengths = np.array([len(w) + 1 for w in texts])
         heads = np.cumsum(lengths) - lengths
         zero = np.concatenate([[0], np.cumsum(ids == 0)])
@@ -143,7 +186,7 @@ class Index:
         for t in sorted(touched):
             yield from ((t, *found) for found in self._windows(split[t], {k: sums[heads[t] :] for k, (sums, heads) in places.items()}))
 
-    def _windows(self, words: list[bytes], sums: dict[int, np.ndarray]) -> Iterator[tuple]:
+    def _windows(self, words: list[str], sums: dict[int, np.ndarray]) -> Iterator[tuple]:
         hashed = _hashes(words)
         chains: dict[int, np.ndarray] = {}
         for n in self.sizes:
@@ -162,21 +205,15 @@ class Index:
             best: dict[int, tuple] = {}
             for a in range(0, len(starts), 4096):
                 part = starts[a : a + 4096]
-                prints = _prints(chains[k], part, length)
-                blocks = prints.astype(">u8").view(np.uint8).reshape(-1, BLOCKS)
-                found = np.zeros((len(part), len(self.of_size[n])), dtype=bool)
-                for b in range(BLOCKS):
-                    found |= self.near[n][b, blocks[:, b]]
-                row, item = np.nonzero(found)
-                near = np.bitwise_count(prints[row] ^ self.prints[n][item]) <= RADIUS
-                for s, i in zip(part[row[near]].tolist(), self.of_size[n][item[near]].tolist(), strict=True):
+                row, item, _ = self.postings[n].within(_prints(chains[k], part, length))
+                for s, i in zip(part[row].tolist(), self.of_size[n][item].tolist(), strict=True):
                     alike = similarity(_occurrences(words[s : s + size], k), self.counts[i])
                     if alike >= self.similarity - 1e-12 and (i not in best or alike > best[i][1]):
                         best[i] = (i, alike, s, size)
             yield from best.values()
 
 
-def _occurrences(words: list[bytes], k: int) -> Counter:
+def _occurrences(words: list[str], k: int) -> Counter:
     return Counter(zip(*(words[i:] for i in range(k)), strict=False))
 
 
@@ -189,8 +226,8 @@ def similarity(a: Counter, b: Counter) -> float:
 def _blocks(benchmark: DataFrame, item_col: str, text: str) -> Iterator[list[tuple]]:
     """The items in blocks that are small enough to broadcast; a block is the rows with one hash of the text."""
     items = benchmark.filter(F.col(text).isNotNull()).select(F.col(item_col).alias("i"), F.col(text).alias("t")).distinct()
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    count = max(1, math.ceil(chars / BLOCK_CHARS))
+    chars, number = items.agg(F.sum(F.length("t")), F.count("*")).first()
+    count = max(1, math.ceil((chars or 0) / BLOCK_CHARS), math.ceil(number / BLOCK_ITEMS))
     for b in range(count):
         part = items.filter(F.pmod(F.xxhash64("t"), F.lit(count)) == b).orderBy("i", "t")
         rows = [(r["i"], r["t"].encode()) for r in part.toLocalIterator()]
