@@ -174,10 +174,13 @@ def licenses(text):
         own = [w for w in re.split(r"[\W_]+", template.lower()) if w]
         own = {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
         n = len(own)
-        for a in range(0, max(len(grams), 1), n):
+        best = None
+        for a in range(len(grams)):
             held = len(own & set(grams[a : a + 2 * n])) / n
-            if held >= 0.8 and held > out.get(name, (0, 0))[0]:
-                out[name] = held, a
+            if held >= 0.8:
+                best = max(best or (0,), (held, a % n == 0, -a))
+        if best:
+            out[name] = best[0], -best[2]
     return out
 
 
@@ -297,3 +300,81 @@ def aligned(texts):
         n_best = sum(counts[k] == best[k[1]] for k in links)
         out.append((len(a), len(b), len(groups), len(links), n_best, sum(counts[k] for k in links), digest, shared))
     return out
+
+
+# Language and quality
+
+
+def language_buckets(text):
+    """Hashed 1- to 3-grams of the letters of a text, runs of anything else being one blank."""
+    letters = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f" {text.lower()} "))
+    out = []
+    for order in (1, 2, 3):
+        for i in range(len(letters) - order + 1):
+            gram = letters[i : i + order]
+            if gram == " ":
+                continue
+            code = order * 0x27D4EB2F
+            for c, factor in zip(gram, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D), strict=False):
+                code += ord(c) * factor
+            code &= 0xFFFFFFFF
+            code ^= code >> 15
+            out.append((code * 0x2C1B3C6D & 0xFFFFFFFF) >> 16)
+    return out
+
+
+def languages(rows):
+    """rows: (id, text, lang). (prediction, score) of each."""
+    counts, docs = {}, Counter()
+    for i, text, lang in rows:
+        if lang is not None and remainder(i, 3) != 1:
+            counts.setdefault(lang, Counter()).update(language_buckets(text or ""))
+            docs[lang] += 1
+    out = []
+    for _, text, _ in rows:
+        if not counts or not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        logs = {}
+        for lang, own in counts.items():
+            total = own.total() + 0.1 * 65536
+            prior = math.log((docs[lang] + 1) / (docs.total() + len(docs)))
+            logs[lang] = prior + math.fsum(math.log((own[b] + 0.1) / total) for b in language_buckets(text))
+        top = max(logs.values())
+        mass = math.fsum(math.exp(x - top) for x in logs.values())
+        best = min(lang for lang, x in logs.items() if x == top)
+        out.append((best, 1 / mass))
+    return out
+
+
+def quality_features(texts):
+    """The three pools of each text, word by word."""
+    import numpy as np
+
+    from tidewright.llm import quality_model as q
+
+    split = [[(zlib.crc32(w) >> 5) % q.BUCKETS for w in re.findall(rb"[A-Za-z\x80-\xff]+|[^A-Za-z\x80-\xff\s]+", (t or "").encode())] for t in texts]
+    places, signs = q.index_vectors()
+    sums, seen = {}, Counter()
+    for words in split:
+        seen.update(words)
+        for i, word in enumerate(words):
+            own = sums.setdefault(word, [0.0] * q.SIZE)
+            for j in (i - 2, i - 1, i + 1, i + 2):
+                if 0 <= j < len(words):
+                    for at, sign in zip(places[words[j]], signs[words[j]], strict=True):
+                        own[at] += sign
+    vectors = {w: np.array(v) / max(1.0, math.sqrt(sum(x * x for x in v))) for w, v in sums.items()}
+    weight = {w: 1e-3 / (1e-3 + n / seen.total()) for w, n in seen.items()}
+    out = []
+    for words in split:
+        pools = np.zeros((3, q.SIZE))
+        for i, w in enumerate(words):
+            pools[0] += vectors[w] / len(words)
+            pools[1] += vectors[w] * weight[w]
+            if i:
+                pools[2] += vectors[w] * vectors[words[i - 1]] / (len(words) - 1)
+        if words:
+            pools[1] /= sum(weight[w] for w in words)
+        out.append(pools.ravel())
+    return out

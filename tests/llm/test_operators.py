@@ -523,6 +523,37 @@ def test_language_of_held_out_documents(spark):
     assert (rows.lang == rows.lang_pred).mean() > 0.98 and rows.score.between(0, 1).all()
 
 
+def test_languages_equal_brute_force(documents, messy):
+    for frame in (documents.limit(60), messy):
+        rows = [(r["doc_id"], r["text"], r["lang"]) for r in frame.collect()]
+        frame = frame.sparkSession.createDataFrame(rows, "doc_id long, text string, lang string")
+        want = sorted((str(i), lang, score) for (i, _, _), (lang, score) in zip(rows, brute.languages(rows), strict=True))
+        got = sorted((str(r[0]), r[2], r[3]) for r in language_id.language_id(frame).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2] for g in got], [w[2] for w in want], atol=1e-3)
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    """The ones with most documents are learned, in partial counts too."""
+    monkeypatch.setattr(language_id, "MOST_LANGS", 5)
+    rows = [(i, "the quick brown fox jumps", f"l{i % 40:02}") for i in range(400)] + [(1000 + i, "le chat noir", "fr") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, _, chances = language_id.learn(frame)
+    assert langs == ["fr", "l00", "l01", "l02", "l03"] and chances.shape == (1 << 16, 5)
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(frame).collect()}
+    assert found[1001] == "fr" and found[0] in langs and len(found) == 460
+    assert sum(r["n"] for r in language_id.count_ngrams(frame).filter("bucket = -1").collect()) == 460
+
+
+def test_quality_pools_equal_brute_force(documents, messy):
+    for frame in (documents.limit(40), messy):
+        rows = [(k, r["text"]) for k, r in enumerate(frame.collect())]
+        frame = frame.sparkSession.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: r["features"] for r in quality_model.pool(frame, quality_model.word_vectors(frame)).collect()}
+        for (i, _), want in zip(rows, brute.quality_features([t for _, t in rows]), strict=True):
+            assert np.allclose(got[i], want, atol=2e-4), i
+
+
 def test_language_of_awkward_rows(messy):
     got = language_id.language_id(messy).collect()
     by_text = Counter((r[0], r[2] == "und") for r in got)

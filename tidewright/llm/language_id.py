@@ -9,7 +9,9 @@ Letters are lower-cased, everything else is a blank, and runs of blanks are one;
 
 Defined results: a text that is null or has no letter is `und` with score 0, and so is every text if there is
 nothing to learn from; of equally likely languages the first in alphabetical order is given; texts with a null
-language are not learned from; repeated rows count as often as they occur; extra columns are ignored.
+language are not learned from; of more than MOST_LANGS values of the language, which dirty tables have, those with
+most documents are learned, of equal ones the first in alphabetical order; repeated rows count as often as they
+occur; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from tidewright.llm.base import as_bytes, fold, slices
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
 SMOOTHING = 0.1
-#: More values of lang than this are no languages; it bounds the broadcast table to 256 MB.
-MOST_LANGS = 1024
+#: Languages that are learned, those with most documents: it bounds the broadcast table to 64 MB.
+MOST_LANGS = 256
+#: Distinct (language, bucket) pairs that a task holds while it counts, and n-grams that it has not added to them yet.
+MOST_HELD, MOST_FRESH = 1 << 20, 1 << 22
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 
@@ -92,25 +96,40 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, bucket, n over all rows with a language; bucket -1 holds the number of documents."""
 
+    width = (1 << BUCKET_BITS) + 1
+
     def run(batches: Iterator[pa.RecordBatch]):
         langs: dict[str, int] = {}
-        counts = np.zeros((0, (1 << BUCKET_BITS) + 1), dtype=np.int64)
+        keys, sums, fresh, size = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), [], 0
+
+        def send() -> pa.RecordBatch:
+            names, bucket = np.array([*langs, ""], dtype=object)[keys // width], keys % width
+            bucket = np.where(bucket == 1 << BUCKET_BITS, -1, bucket)
+            return pa.RecordBatch.from_arrays([pa.array(names, type=pa.string()), pa.array(bucket, type=pa.int32()), pa.array(sums)], ["lang", "bucket", "n"])
+
+        def settle() -> None:
+            nonlocal keys, sums, fresh, size
+            new, times = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *fresh]), return_counts=True)
+            merged, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            sums = np.bincount(back, weights=np.concatenate([sums, times]), minlength=len(merged)).astype(np.int64)
+            keys, fresh, size = merged, [], 0
+
         for batch in slices(batches, "t"):
             own = np.array([langs.setdefault(x, len(langs)) for x in batch.column("l").to_pylist()])
-            if len(langs) > len(counts):
-                counts = np.concatenate([counts, np.zeros((len(langs) - len(counts), counts.shape[1]), dtype=np.int64)])
             points, heads = characters(_texts(batch))
-            np.add.at(counts[:, -1], own, 1)
+            fresh.append(own * width + (1 << BUCKET_BITS))
             for a in range(0, len(points), _PIECE):
                 for order in ORDERS:
                     at, bucket = ngrams(points, a, min(a + _PIECE, len(points)), order)
-                    row = own[np.searchsorted(heads, at, side="right") - 1]
-                    counts += np.bincount(row * counts.shape[1] + bucket, minlength=counts.size).reshape(counts.shape)
-        for name, i in langs.items():
-            bucket = np.flatnonzero(counts[i])
-            n = counts[i][bucket]
-            bucket = np.where(bucket == 1 << BUCKET_BITS, -1, bucket)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(n)), "bucket": pa.array(bucket, type=pa.int32()), "n": n})
+                    fresh.append(own[np.searchsorted(heads, at, side="right") - 1] * width + bucket)
+                    size += len(at)
+                if size > MOST_FRESH:
+                    settle()
+            if len(keys) > MOST_HELD:
+                yield send()
+                keys, sums = keys[:0], sums[:0]
+        settle()
+        yield send()
 
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("l"), as_bytes(F.col(text)).alias("t"))
     return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -118,9 +137,9 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang") -> Dat
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages in alphabetical order, log priors, log probabilities by bucket and language."""
-    langs = sorted(r[0] for r in docs.filter(F.col(lang).isNotNull()).select(lang).distinct().limit(MOST_LANGS + 1).collect())
-    if len(langs) > MOST_LANGS:
-        raise ValueError(f"{lang} has more than {MOST_LANGS} values")
+    sizes = docs.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).count()
+    langs = sorted(r[0] for r in sizes.orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect())
+    docs = docs.filter(F.col(lang).isin(langs))
     place = {x: i for i, x in enumerate(langs)}
     # Languages by buckets, which are both bounded.
     table = count_ngrams(docs, text, lang).toArrow()

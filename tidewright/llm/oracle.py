@@ -89,12 +89,15 @@ d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, ''))
 g AS (SELECT doc_id, p - 1 AS p, array_to_string(w[p:p+4], ' ') AS g
       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) >= 5)),
 hit AS (SELECT doc_id, template, n, p, g.g FROM g JOIN tg USING (g) JOIN tn USING (template)),
-win AS (SELECT doc_id, template, n, p // n AS k, g FROM hit UNION ALL SELECT doc_id, template, n, p // n - 1, g FROM hit WHERE p >= n),
-held AS (SELECT doc_id, template, k * n AS first_word, count(DISTINCT g) / n AS containment
-         FROM win GROUP BY doc_id, template, n, k HAVING count(DISTINCT g) / n >= 0.8)
-SELECT doc_id, template, max(containment) AS containment, arg_max(first_word, containment * 1e9 - first_word)::INTEGER AS first_word,
-       count(*) AS n_windows
-FROM held GROUP BY doc_id, template
+begun AS (SELECT doc_id, template, n, p AS a FROM hit UNION SELECT doc_id, template, n, p // n * n FROM hit
+          UNION SELECT doc_id, template, n, (p // n - 1) * n FROM hit WHERE p >= n),
+win AS (SELECT b.doc_id, b.template, a, a % b.n = 0 AS even, count(DISTINCT g) / any_value(b.n) AS containment
+        FROM begun b JOIN hit h ON b.doc_id = h.doc_id AND b.template = h.template AND h.p BETWEEN a AND a + 2 * b.n - 1
+        GROUP BY ALL),
+held AS (SELECT *, row_number() OVER (PARTITION BY doc_id, template ORDER BY containment DESC, even DESC, a) AS i,
+                count(*) FILTER (even) OVER (PARTITION BY doc_id, template) AS n_windows
+         FROM win WHERE containment >= 0.8)
+SELECT doc_id, template, containment, a::INTEGER AS first_word, n_windows FROM held WHERE i = 1
 """
 
 _FINGERPRINTS = r"""
