@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tidewright.functions import any_case
 from tidewright.operators import (
     any_key_left_join,
     as_json_array,
@@ -14,12 +15,15 @@ from tidewright.operators import (
     chunk,
     fanout_sum,
     first_per_key,
+    heavy_keys,
     json_lines,
     nest_by,
     null_safe_not_in,
     number_rows,
     pivot_sum,
+    salted_join,
     split,
+    tag,
     upsert,
 )
 
@@ -270,3 +274,51 @@ def test_checks_count_violations(spark):
     assert rows(check(df.filter("a > 5"), not_null=["a"], unique=[["a"]])) == Counter(
         [("not_null", "a", 0), ("unique", "a", 0)]
     )
+
+
+# --- tagged rows, hot keys, names in any case ---------------------------------------------------------
+
+
+def test_tagged_rows_are_as_many_as_counted(spark, folder):
+    rows = [(1, "a", 5), (1, "a", 5), (1, "a", 4), (2, None, 1), (None, None, 2), (None, None, 2), (3, "z", None), (3, "b", 7)]
+    spark.createDataFrame(rows, "k int, v string, n int").repartition(3).write.parquet(f"{folder}/t")
+    table, other = spark.read.parquet(f"{folder}/t"), spark.createDataFrame([("a",), ("b",), (None,)], "w string")
+    rules = {"not_null": ["k", "n"], "unique": [["k", "v"], ["n"]], "references": [("v", other, "w")]}
+    tagged = tag(table, **rules)
+    assert tagged.columns == ["k", "v", "n", "broken"] and tagged.count() == len(rows)
+    counted = {f"{r['rule']}:{r['columns']}": r["violations"] for r in check(table, **rules).collect()}
+    found = Counter(x for r in tagged.collect() for x in r["broken"])
+    assert {rule: n for rule, n in counted.items() if n} == found
+    assert Counter((r["n"], "unique:k,v" in r["broken"]) for r in tagged.filter("k = 1").collect()) == Counter([(4, False), (5, True), (5, True)])
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_hot_key_is_spread_over_tasks(spark, how):
+    left = spark.range(30_000).selectExpr("if(id % 3 = 0, 7L, if(id % 50 = 1, null, id % 997)) AS k", "id")
+    right = spark.range(0, 990, 2).selectExpr("id AS k", "id * 10 AS w").unionByName(spark.createDataFrame([(7, 1), (7, 2), (None, 3)], "k long, w long"))
+    assert heavy_keys(left, "k") == [7]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    try:
+        for key, value in zip(before, ("false", "-1", "16"), strict=True):
+            spark.conf.set(key, value)
+        joined = salted_join(left, right, "k", how)
+        assert Counter(map(tuple, joined.select(sorted(joined.columns)).collect())) == Counter(
+            map(tuple, left.join(right, "k", how).select(sorted(joined.columns)).collect())
+        )
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        plain = [r["n"] for r in left.join(right, "k", how).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        if how in ("inner", "left"):
+            assert max(sizes) < 3 * sum(sizes) / 16 and max(plain) > 0.4 * sum(plain)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    with pytest.raises(ValueError, match="full"):
+        salted_join(left, right, "k", "full")
+
+
+def test_names_in_any_case(spark):
+    names = spark.createDataFrame([("Ann", 1), ("ANN", 2), ("ÄGIR", 3), ("ägir", 4), (None, 5)], "n string, i int").withColumn("n", any_case("n"))
+    assert names.select("n").distinct().count() == 3 and names.filter("n = 'ann'").count() == 2
+    assert Counter(r["count"] for r in names.groupBy("n").count().collect()) == Counter([2, 2, 1])
+    other = spark.createDataFrame([("aNn",), ("Ägir",)], "n string").withColumn("n", any_case("n"))
+    assert names.join(other, "n").count() == 4

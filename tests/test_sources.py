@@ -23,6 +23,7 @@ from tidewright.sources import (
     write_chunks,
 )
 from tidewright.sources.arrays import array_elements
+from tidewright.sources.drift import differences, holds
 from tidewright.sources.readers import read_parquet, read_raw, rejected_documents
 from tidewright.sources.scratch import scratch_path, shared_folder
 
@@ -306,3 +307,37 @@ def test_a_cut_array_equals_the_read_of_one_task(spark, folder):
     assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
     with pytest.raises(ValueError, match="braces"):
         array_elements(spark, f"{folder}/raw", "a}")
+
+
+# --- drift ------------------------------------------------------------------------------------------------
+
+
+def test_drift_is_found_at_any_depth():
+    declared = T._parse_datatype_string("id long, at struct<x: double, day: timestamp_ntz, m: map<string, struct<n: long>>>, l array<struct<a: int, b: string>>, d decimal(10,2)")
+    found = T._parse_datatype_string("ID int, at struct<x: float, m: map<string, struct<n: string, o: int>>>, l array<struct<a: long, c: int>>, d decimal(12,2), z int")
+    got = {(d.place, d.kind) for d in differences(declared, found)}
+    assert got == {
+        ("id", "case"), ("id", "widened"), ("at.x", "widened"), ("at.day", "missing"), ("at.m[value].n", "clash"), ("at.m[value].o", "extra"),
+        ("l[].a", "clash"), ("l[].b", "missing"), ("l[].c", "extra"), ("d", "clash"), ("z", "extra"),
+    }
+    assert not list(differences(declared, declared))
+    assert holds(T.DecimalType(12, 3), T.DecimalType(10, 2)) and not holds(T.DecimalType(12, 3), T.DecimalType(12, 2))
+
+
+def test_nested_loss_and_clashes_raise_and_narrow_types_widen(spark, folder):
+    declared = T._parse_datatype_string("id long, at struct<x: double, n: long>")
+    spark.createDataFrame([(1, (1.5, 2))], "id int, at struct<X: float, n: int>").coalesce(1).write.parquet(f"{folder}/ok")
+    for allow in (False, True):
+        assert [r.asDict(True) for r in read_parquet(spark, f"{folder}/ok", declared, allow, True).collect()] == [{"id": 1, "at": {"x": 1.5, "n": 2}}]
+    spark.createDataFrame([(1, (1.5,))], "id long, at struct<x: double>").coalesce(1).write.parquet(f"{folder}/lost")
+    with pytest.raises(ValueError, match="at.n missing"):
+        read_parquet(spark, f"{folder}/lost", declared, validate=True)
+    assert read_parquet(spark, f"{folder}/lost", declared).first()["at"]["n"] is None
+    spark.createDataFrame([("a", (1.5, 2))], "id string, at struct<x: double, n: long>").coalesce(1).write.parquet(f"{folder}/clash")
+    with pytest.raises(ValueError, match="id clash, declared bigint, found string"):
+        read_parquet(spark, [f"{folder}/ok", f"{folder}/clash"], declared, validate=True, sample=None)
+    for name, kind in (("e1", "int"), ("e2", "string")):
+        spark.createDataFrame([(1, (1.5, 2, None))], f"id long, at struct<x: double, n: long, e: {kind}>").coalesce(1).write.parquet(f"{folder}/{name}")
+    assert read_parquet(spark, f"{folder}/e1", declared, allow_drift=True).schema["at"].dataType.fieldNames() == ["x", "n", "e"]
+    with pytest.raises(ValueError, match="at.e clash"):
+        read_parquet(spark, [f"{folder}/e1", f"{folder}/e2"], declared, allow_drift=True)

@@ -2,9 +2,10 @@
 
 from tidewright.functions.dates import days_crossed, in_years, months_crossed, on_days
 from tidewright.functions.json import json_value, scalar_at, with_scalars
-from tidewright.functions.text import contains_ignoring_case, dashed_phone, title_case, visible_length
+from tidewright.functions.text import any_case, contains_ignoring_case, dashed_phone, title_case, visible_length
 
 __all__ = [
+    "any_case",
     "contains_ignoring_case",
     "dashed_phone",
     "days_crossed",

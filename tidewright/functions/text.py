@@ -33,3 +33,11 @@ def dashed_phone(column) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     dashed = F.concat_ws("-", F.substring(column, 1, 3), F.substring(column, 4, 3), F.substring(column, 7, 4))
     return F.when(F.length(column) == 10, dashed).otherwise(column)
+
+
+def any_case(column) -> Column:
+    """The text under a collation that ignores case, so that filters, joins, groups and distinct values all do.
+
+    Compare it with columns of the same kind; F.collate(column, "UTF8_BINARY") gives the plain text back.
+    """
+    return F.collate(column, "UTF8_LCASE")

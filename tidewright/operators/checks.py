@@ -1,11 +1,12 @@
 """Expectations on a table that plain files do not enforce."""
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.joins import without
+from tidewright.operators.joins import distinct_apart, group_apart, without
 
 
 def check(df: DataFrame, not_null=(), unique=(), references=()) -> DataFrame:
@@ -43,3 +44,28 @@ def check(df: DataFrame, not_null=(), unique=(), references=()) -> DataFrame:
 def _line(df: DataFrame, rule: str, columns: str, violations) -> DataFrame:
     total = df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"))
     return total.select(F.lit(rule).alias("rule"), F.lit(columns).alias("columns"), "violations")
+
+
+def tag(df: DataFrame, not_null=(), unique=(), references=(), name: str = "broken") -> DataFrame:
+    """All rows, each with an array of the rules it breaks, as `rule:columns`, in the order of the arguments; empty for most.
+
+    The rules are those of check(), and so are the numbers of rows that break them. Of the rows of one unique key the first
+    stays, in the order of the remaining columns. Only offending keys are joined back to the rows, and they are grouped
+    apart, so that Spark can split a hot one. The frame should come straight from files: equal rows are
+    told apart by their position in the scan.
+    """
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    marks = [F.when(F.col(column).isNull(), F.lit(f"not_null:{column}")) for column in not_null]
+    for i, keys in enumerate(unique):
+        rest = [c for c in df.columns if c not in keys]
+        grouped = group_apart(rows, *keys).agg(F.min(F.struct(*rest, "_row")).alias("_first"), F.count("*").alias("_n"))
+        repeated = grouped.filter(F.col("_n") > 1).select(*[F.col(k).alias(f"_k{i}_{j}") for j, k in enumerate(keys)], F.col("_first._row").alias(f"_first{i}"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}_{j}")) for j, k in enumerate(keys)])
+        rows = rows.join(repeated, same, "left")
+        marks.append(F.when(F.col(f"_first{i}") != F.col("_row"), F.lit(f"unique:{','.join(keys)}")))
+    for i, (column, other, other_column) in enumerate(references):
+        used = distinct_apart(df.filter(F.col(column).isNotNull()), column).toDF(f"_lost{i}")
+        lost = without(used, f"_lost{i}", other.select(other_column))
+        rows = rows.join(lost, F.col(column) == F.col(f"_lost{i}"), "left")
+        marks.append(F.when(F.col(f"_lost{i}").isNotNull(), F.lit(f"reference:{column}")))
+    return rows.select(*[F.col(c) for c in df.columns], F.array_compact(F.array(*marks)).alias(name))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewright import schemas
-from tidewright.operators import check, first_per_key, split
+from tidewright.operators import check, first_per_key, split, tag
 from tidewright.plans import files, incremental, medallion
 from tidewright.sources import FILE, batch_writer, open_tables, read_table, scratch_path
 from tidewright.sources.readers import read_parquet, read_raw
@@ -136,6 +136,24 @@ def s03_parquet_drift(spark, folder) -> DataFrame:
     return read_parquet(spark, path, declared, allow_drift=True, validate=True)
 
 
+def s05_nested_drift(spark, folder) -> DataFrame:
+    """Movies in files of several types: one lacks nothing, one has narrower numbers and names in other letters, one
+    has further fields inside of its documents."""
+    path = scratch_path(spark, "drifted")
+    rows = movies(spark, folder).filter("value.RunTime >= 0").select("value.*")
+    key = F.col("Id") % 3
+    plain = rows.select("Id", "RunTime", "Budget", "genres")
+    narrow = F.transform("genres", lambda g: F.struct(g["id"].cast("int").alias("ID"), g["name"].alias("name")))
+    more = F.transform("genres", lambda g: F.struct(g["id"], g["name"], F.struct(F.upper(g["name"]).alias("loud")).alias("said")))
+    plain.filter(key == 0).write.parquet(f"{path}/a")
+    plain.filter(key == 1).select(F.col("Id").cast("int").alias("id"), "RunTime", F.col("Budget").cast("float"), narrow.alias("Genres")).write.parquet(f"{path}/b")
+    plain.filter(key == 2).select("Id", "RunTime", "Budget", more.alias("genres"), F.lit("new").alias("note")).write.parquet(f"{path}/c")
+    declared = plain.schema
+    read = read_parquet(spark, [f"{path}/{x}" for x in "abc"], declared, allow_drift=True, validate=True, sample=None)
+    loud = F.array_join(F.transform("genres", lambda g: g["said"]["loud"]), ",")
+    return read.select("Id", "RunTime", F.round("Budget", -2).alias("budget"), _genre_text("genres").alias("genres"), loud.alias("loud"), "note")
+
+
 def _genre_text(column: str):
     return F.array_join(F.transform(column, lambda g: F.concat_ws(":", g["id"].cast("string"), g["name"])), ",")
 
@@ -427,6 +445,30 @@ def o01_table_checks(spark, folder) -> DataFrame:
     return lines.unionByName(check(orders, references=[("o_orderkey", lineitem, "l_orderkey")]))
 
 
+def o02_tagged_rows(spark, folder) -> DataFrame:
+    """Lines and repeated lines with the rules that each breaks: keys that are missing, come twice or refer to nothing."""
+    lineitem, orders, part = open_tables(spark, folder, "lineitem", "orders", "part")
+    # Some lines come again with another quantity, some have no part, some a part or an order that does not exist.
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    again = F.explode(F.when(key % 11 == 0, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0))))
+    lines = lineitem.select(
+        F.when(key % 29 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("l_orderkey"),
+        "l_linenumber",
+        F.when(key % 13 == 0, None).when(key % 17 == 0, F.col("l_partkey") + 10**9).otherwise(F.col("l_partkey")).alias("l_partkey"),
+        "l_quantity",
+        again.alias("more"),
+    )
+    path = scratch_path(spark, "lines")
+    lines.withColumn("l_quantity", F.col("l_quantity") + F.col("more")).drop("more").write.parquet(path)
+    tagged = tag(
+        spark.read.parquet(path),
+        not_null=["l_partkey"],
+        unique=[["l_orderkey", "l_linenumber"]],
+        references=[("l_orderkey", orders, "o_orderkey"), ("l_partkey", part, "p_partkey")],
+    )
+    return tagged.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.array_join("broken", " ").alias("broken"))
+
+
 def f01_people_dedupe(spark, folder) -> DataFrame:
     """Distinct people of a tab-separated drop with untidy names and undashed phone numbers."""
     customer, orders = open_tables(spark, folder, "customer", "orders")
@@ -489,12 +531,14 @@ QUERIES = {
         s02_catalog_flow,
         s03_parquet_drift,
         s04_one_large_array,
+        s05_nested_drift,
         i01_cutoff_extract,
         i02_staged_upsert,
         i03_date_dimension,
         i04_lineage,
         i05_side_by_side,
         o01_table_checks,
+        o02_tagged_rows,
         f01_people_dedupe,
         f02_chunk_split,
         f03_chunk_keep,

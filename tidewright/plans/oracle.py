@@ -406,6 +406,14 @@ ORACLE = {
         UNION ALL SELECT "Id", 'silver' FROM (SELECT DISTINCT * FROM movies) WHERE runtime IS NOT NULL
     """,
     "s03_parquet_drift": "SELECT * FROM part",
+    "s05_nested_drift": _MOVIES
+    + """
+        SELECT "Id", runtime AS "RunTime", round(CASE WHEN "Id" % 3 = 1 THEN CAST(budget AS FLOAT) ELSE budget END, -2) AS budget, genres,
+               CASE WHEN genres IS NULL THEN NULL WHEN "Id" % 3 = 2 THEN
+                   array_to_string(list_transform(string_split(genres, ','), lambda g: upper(string_split(g, ':')[2])), ',') ELSE '' END AS loud,
+               CASE WHEN "Id" % 3 = 2 THEN 'new' END AS note
+        FROM movies WHERE runtime >= 0
+    """,
     "i01_cutoff_extract": """
         SELECT event_id, user_id, event_type, value FROM events
         WHERE ts > TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'
@@ -458,6 +466,30 @@ ORACLE = {
         UNION ALL SELECT 'reference', 'o_orderkey', count(*) FROM orders
             WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE o_orderkey = l_orderkey)
     """,
+    "o02_tagged_rows": """
+        WITH l AS (SELECT CASE WHEN k % 29 = 0 THEN -l_orderkey ELSE l_orderkey END AS l_orderkey, l_linenumber,
+                          CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS l_partkey,
+                          l_quantity + unnest(CASE WHEN k % 11 = 0 THEN [0, 5] ELSE [0] END) AS l_quantity
+                   FROM (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem))
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, concat_ws(' ',
+            CASE WHEN l_partkey IS NULL THEN 'not_null:l_partkey' END,
+            CASE WHEN row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey NULLS FIRST, l_quantity) > 1
+                 THEN 'unique:l_orderkey,l_linenumber' END,
+            CASE WHEN l_orderkey NOT IN (SELECT o_orderkey FROM orders) THEN 'reference:l_orderkey' END,
+            CASE WHEN l_partkey NOT IN (SELECT p_partkey FROM part) THEN 'reference:l_partkey' END) AS broken
+        FROM l
+    """,
+    "j04_hot_part": """
+        SELECT l_orderkey, l_linenumber, part, p_name, p_brand
+        FROM (SELECT *, CAST(CASE WHEN l_linenumber % 3 = 1 THEN 1 WHEN l_linenumber = 7 THEN NULL ELSE l_partkey END AS BIGINT) AS part
+              FROM lineitem)
+        LEFT JOIN (SELECT * FROM part WHERE p_partkey % 10 <> 3) ON part = p_partkey
+    """,
+    "q29_names_in_any_case": """
+        SELECT upper(c_mktsegment) AS segment, count(*) AS n_orders, count(DISTINCT lower(a.c_name)) AS customers, max(b.c_nationkey) AS nation
+        FROM customer a JOIN (SELECT lower(c_name) AS name, c_nationkey FROM customer WHERE c_custkey % 3 <> 0) b ON lower(a.c_name) = b.name
+        JOIN orders ON o_custkey = a.c_custkey WHERE lower(c_mktsegment) <> 'machinery' GROUP BY 1
+    """,
     "f01_people_dedupe": """
         SELECT DISTINCT upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) AS first,
                upper(left(c_name, 1)) || lower(substr(c_name, 2)) AS last, c_custkey || '@example.org' AS email,

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tidewright import schemas
 from tidewright.sources.arrays import read_array
+from tidewright.sources.drift import read_declared as read_parquet
 
 
 def open_tables(spark: SparkSession, folder: str, *names: str):
@@ -80,22 +81,6 @@ def read_table(spark: SparkSession, schema: str, name: str, predicate=None, jdbc
     return frame if predicate is None else frame.filter(predicate)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType, allow_drift=False, validate=False) -> DataFrame:
-    """Parquet under a declared schema. With allow_drift, columns beyond the declared ones are kept."""
-    if not (allow_drift or validate):
-        return spark.read.schema(schema).parquet(path)
-    found = spark.read.option("mergeSchema", True).parquet(path)
-    if validate:
-        missing = [f.name for f in schema if f.name not in found.columns]
-        if missing:
-            raise ValueError(f"{path} lacks columns {missing}")
-    if not allow_drift:
-        return spark.read.schema(schema).parquet(path)
-    declared = set(schema.fieldNames())
-    extra = [field for field in found.schema if field.name not in declared]
-    return spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(path)
-
-
 def changed_between(df: DataFrame, ts: str, last, new) -> DataFrame:
     """Rows changed after `last` and up to `new`: the bounds of successive windows meet without overlap.
 
