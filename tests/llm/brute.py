@@ -1,5 +1,6 @@
 """Plain Python versions of the corpus operators: slow, obvious, no Spark."""
 
+import hashlib
 import math
 import re
 import struct
@@ -252,8 +253,6 @@ def chain(n):
 
 def aligned(texts):
     """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, n_overlaps) of each text."""
-    import hashlib
-
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -378,3 +377,66 @@ def quality_features(texts):
             pools[1] /= sum(weight[w] for w in words)
         out.append(pools.ravel())
     return out
+
+
+# Fingerprints
+
+
+def sketch(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    grams = {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    hashes = sorted(hashlib.md5(g.encode()).hexdigest()[:16] for g in grams)
+    return [h for h in hashes if h < "2"] or hashes[:1]
+
+
+def fingerprints(rows):
+    """rows: (id, text). (id, n_chars, edited hash, fingerprint, edited fingerprint, likenesses, shares) of each."""
+
+    def alike(a, b):
+        return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+    def inside(a, b):
+        return len(set(a) & set(b)) / len(a) if a else 1.0
+
+    def place(row):
+        h = xxhash.xxh64((row[1] or "").encode(), seed=42).intdigest()
+        return row[0] is None, -(row[0] or 0), h - (1 << 64 if h >> 63 else 0)
+
+    rows = sorted(rows, key=place)
+    out = []
+    for (i, t), (_, u) in zip(rows, rows[1:] + rows[:1], strict=True):
+        t, u = t or "", u or ""
+        third = len(t) // 3
+        e = t[: len(t) - third] + u[:third]
+        a, c, z = sketch(t), sketch(e), sketch(u)
+        near = (alike(a, c), alike(a, z), inside(a, c), inside(a, z))
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), "".join(a), "".join(c), *(round(x, 9) for x in near)))
+    return out
+
+
+# Collocations
+
+
+def collocations(rows, least, top):
+    """rows: (lang, text). (lang, rank, phrase, a, l, r, n, score)."""
+    counts, totals = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            own = counts.setdefault(lang, Counter())
+            for n in (1, 2, 3):
+                own.update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        found = []
+        for p, a in candidates.items():
+            if any(len(q) > len(p) and p in (q[:2], q[1:]) and 100 * b >= 50 * a for q, b in candidates.items()):
+                continue
+            score, _, left, right = min((1_000_000 * a * a // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return out
