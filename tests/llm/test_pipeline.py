@@ -23,7 +23,7 @@ def test_registered(spark):
         "secret_scan",
         "sentencepiece",
     ]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_equals_brute_force(spark, documents):

@@ -150,7 +150,7 @@ _RULES_BY_LENGTH = _RULES.replace("lower(source) AS host", "'len-' || CAST(least
 ORACLE = {
     "op1_secret_scan": _SECRETS,
     "op9_quality_rules": _RULES,
-    "op9_quality_rules_by_length": _RULES_BY_LENGTH,
+    "rules_by_length": _RULES_BY_LENGTH,
     "op10_license_scan": _LICENSES,
     "op12_document_fingerprints": _FINGERPRINTS,
     "op13_collocations": _PHRASES,

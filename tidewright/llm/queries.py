@@ -55,7 +55,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-def op9_quality_rules_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rules_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rules with the length of a document, in steps, as its host: those of the shortest ones fail."""
     length = F.concat(F.lit("len-"), F.least(F.floor(F.col("n_chars") / 40), F.lit(50)).cast("string"))
     return quality_rules.quality_rules(documents(spark, sf_dir).withColumn("source", length))
@@ -93,7 +93,7 @@ QUERIES = {
         op7_decontaminate,
         op8_simhash_dedup,
         op9_quality_rules,
-        op9_quality_rules_by_length,
+        rules_by_length,
         op10_license_scan,
         op11_token_alignment,
         op12_document_fingerprints,
