@@ -263,7 +263,7 @@ def near_copies(rng, words, changes):
     """The words with so many of them replaced."""
     out = list(words)
     for at in rng.sample(range(len(out)), changes):
-        out[at] = f"new{rng.randint(0, 999)}"
+        out[at] = f"new{rng.randint(0, 999)}".encode()
     return out
 
 
@@ -271,8 +271,8 @@ def near_copies(rng, words, changes):
 def test_blocks_find_what_is_similar_enough(size, items):
     """Recall of the fingerprints on windows of at least 0.8 similarity, and the candidates among unrelated items."""
     rng = random.Random(size)
-    own = [[f"w{rng.randint(0, 3000)}" for _ in range(size)] for _ in range(items)]
-    index = decontaminate.Index([(i, " ".join(words).encode()) for i, words in enumerate(own)])
+    own = [[f"w{rng.randint(0, 3000)}".encode() for _ in range(size)] for _ in range(items)]
+    index = decontaminate.Index([(i, b" ".join(words)) for i, words in enumerate(own)])
     found = similar = pairs = rows = 0
     for changes in range(1, size // 25 + 2):
         for i, words in enumerate(own):

@@ -23,7 +23,6 @@ the first is given; extra columns are ignored (`find_leaks`) or kept (`drop_leak
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -44,12 +43,17 @@ BLOCKS = 10
 #: Characters of benchmark text, and items, in a block; as words and postings they take a few hundred MB at most.
 BLOCK_CHARS, BLOCK_ITEMS = 4_000_000, 20_000
 
-_WORDS = re.compile(r"[^\W_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: ASCII characters that part words become blanks; the bytes of other characters stay.
+_PARTED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def words_of(text: bytes) -> list[str]:
-    return _WORDS.findall(text.decode().lower())
+def words_of(text: bytes) -> list[bytes]:
+    lower = text.decode().lower()
+    if not lower.isascii():
+        for mark in {c for c in set(lower) if c > "\x7f" and not c.isalnum()}:
+            lower = lower.replace(mark, " ")
+    return lower.encode().translate(_PARTED).split()
 
 
 def _chain(values: np.ndarray, k: int) -> np.ndarray:
@@ -62,7 +66,7 @@ def _chain(values: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _hashes(words: list[str]) -> np.ndarray:
+def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
@@ -129,7 +133,7 @@ class Index:
         self.similarity = similarity
         self.ids = [i for i, _ in items]
         self.words = [words_of(t) for _, t in items]
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary: dict[bytes, int] = {}
         for words in self.words:
             for w in words:
                 self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
@@ -153,10 +157,10 @@ class Index:
             self.postings[n] = Postings(np.array(prints, dtype=np.uint8))
         self.begun = {k: np.unique(np.concatenate(v)) for k, v in begun.items()}
 
-    def places(self, texts: list[list[str]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    def places(self, texts: list[list[bytes]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         """For each shingle length, running counts of the places that begin an item's shingle, and each text's place."""
         get = self.vocabulary.get
-        ids = np.array([get(w, 0) for words in texts for w in [*words, ""]], dtype=np.uint64)
+        ids = np.array([get(w, 0) for words in texts for w in [*words, b""]], dtype=np.uint64)
         lengths = np.array([len(w) + 1 for w in texts])
         heads = np.cumsum(lengths) - lengths
         zero = np.concatenate([[0], np.cumsum(ids == 0)])
@@ -186,7 +190,7 @@ class Index:
         for t in sorted(touched):
             yield from ((t, *found) for found in self._windows(split[t], {k: sums[heads[t] :] for k, (sums, heads) in places.items()}))
 
-    def _windows(self, words: list[str], sums: dict[int, np.ndarray]) -> Iterator[tuple]:
+    def _windows(self, words: list[bytes], sums: dict[int, np.ndarray]) -> Iterator[tuple]:
         hashed = _hashes(words)
         chains: dict[int, np.ndarray] = {}
         for n in self.sizes:
@@ -213,7 +217,7 @@ class Index:
             yield from best.values()
 
 
-def _occurrences(words: list[str], k: int) -> Counter:
+def _occurrences(words: list[bytes], k: int) -> Counter:
     return Counter(zip(*(words[i:] for i in range(k)), strict=False))
 
 
