@@ -1,6 +1,7 @@
 import contextlib
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,3 +342,15 @@ def test_nested_loss_and_clashes_raise_and_narrow_types_widen(spark, folder):
     assert read_parquet(spark, f"{folder}/e1", declared, allow_drift=True).schema["at"].dataType.fieldNames() == ["x", "n", "e"]
     with pytest.raises(ValueError, match="at.e clash"):
         read_parquet(spark, [f"{folder}/e1", f"{folder}/e2"], declared, allow_drift=True)
+
+
+def test_one_document_is_written_without_sorting(spark, folder):
+    from tidewright.plans.job_queries import _one_document
+
+    lines = spark.range(0, 5000, 1, 6).selectExpr("to_json(struct(id as Id)) as line")
+    document = _one_document(lines)
+    assert "Sort" not in document._jdf.queryExecution().executedPlan().toString()
+    document.write.text(f"{folder}/one")
+    (file,) = Path(f"{folder}/one").glob("part-*")
+    movies = json.loads(file.read_text())["movie"]
+    assert sorted(m["Id"] for m in movies if m["Id"] is not None) == list(range(5000)) and len(movies) == 5001

@@ -5,8 +5,11 @@ Jobs that write run for real, in a new folder below the shared one, and the resu
 
 import datetime as dt
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,16 +104,26 @@ def s01_multi_line_documents(spark, folder) -> DataFrame:
     return read_raw(spark, path, multi_line=True, allow_drift=True).select("value.Id", "value.RunTime", "value.Extra")
 
 
+def _one_document(lines: DataFrame) -> DataFrame:
+    """The lines of one file that is a single document with an array of them, as its one writer lays them down: they stream
+    through its task in any order, and nothing is sorted or held."""
+
+    def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": ['{"count": {"of": [{}]},\n"movie": [']})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(batch.column(0), "", ",")], ["value"])
+        yield pa.RecordBatch.from_pydict({"value": ['{"Id": null}]}']})
+
+    # Shuffled, so that the rows are made by many tasks.
+    return lines.repartition(1).mapInArrow(document, "value string")
+
+
 def s04_one_large_array(spark, folder) -> DataFrame:
     """Movies of one file that is a single document, read by many tasks, with titles full of quotes and brackets."""
     title = F.concat(F.lit('"}],[{ \\ '), F.col("value.Title"), F.lit(' {"movie": [{'))
     lines = movies(spark, folder).select(F.to_json(F.col("value").withField("Title", title)).alias("line"))
-    lines = lines.select(F.concat("line", F.lit(",")).alias("value"), F.lit(1).alias("at"))
-    ends = [('{"count": {"of": [{}]},\n"movie": [', 0), ('{"Id": null}]}', 2)]
     path = scratch_path(spark, "raw-array")
-    # One task writes the one file, as whatever made it did.
-    rows = lines.union(spark.createDataFrame(ends, "value string, at int")).coalesce(1)
-    rows.sortWithinPartitions("at").select("value").write.text(path)
+    _one_document(lines).write.text(path)
     read = read_raw(spark, path, cut=True).filter("value.Id IS NOT NULL")
     return read.select("value.Id", "value.RunTime", "value.Title", F.size("value.genres").alias("genres"))
 
