@@ -156,6 +156,14 @@ def test_numbers_of_nothing(spark, folder):
     assert number_rows(spark.read.parquet(f"{folder}/t"), ["k"], "n").count() == 0
 
 
+def test_numbers_with_the_flag_of_the_row_before(spark, folder):
+    rows = [(i, i % 3 == 0) for i in range(1000)]
+    spark.createDataFrame(rows, "k long, is_third boolean").repartition(7).write.parquet(f"{folder}/t")
+    numbered = number_rows(spark.read.parquet(f"{folder}/t"), ["k"], "n", flag="is_third")
+    found = {r["k"]: (r["n"], r["_before_is_third"]) for r in numbered.collect()}
+    assert found == {k: (k + 1, k > 0 and rows[k - 1][1]) for k, _ in rows}
+
+
 def test_a_hot_key_is_numbered_by_several_tasks(spark, folder):
     # A third of the rows share one key; ties are cut by scan position.
     spark.range(30_000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id").repartition(4).write.parquet(f"{folder}/t")

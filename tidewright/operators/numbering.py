@@ -1,8 +1,12 @@
 """Consecutive numbers over a whole table without sorting it in one task."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewright.sources.scratch import Scratch
 
@@ -10,15 +14,28 @@ from tidewright.sources.scratch import Scratch
 _POSITION_BITS = 33
 
 
+@F.arrow_udf(T.BooleanType())
+def _row_before(flags: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The flag of the row before in the partition; NULL for its first row."""
+    last = pa.nulls(1, pa.bool_())
+    for own in flags:
+        if len(own):
+            yield pa.concat_arrays([last, own[:-1]])
+            last = own[-1:]
+        else:
+            yield own
+
+
 def number_rows(
-    df: DataFrame, order_by: list[str], name: str, start: int = 1, scratch: Scratch | None = None
+    df: DataFrame, order_by: list[str], name: str, start: int = 1, scratch: Scratch | None = None, flag: str | None = None
 ) -> DataFrame:
     """Number all rows start, start+1, ... in the order of `order_by`.
 
     Rows are range-partitioned and sorted, written once with their place, and numbered by adding the
     sizes of the partitions before theirs. A scan position breaks ties, so equal keys spread over
     several partitions; `df` should come straight from files when its keys repeat. A caller that uses up
-    the result itself passes its `scratch`, and closes it.
+    the result itself passes its `scratch`, and closes it. With `flag`, a boolean column without NULLs, the result has
+    `_before_<flag>` too: the flag of the row before, and false for the first one.
     """
     ranged = (
         df.withColumn("_tie", F.monotonically_increasing_id())
@@ -27,18 +44,27 @@ def number_rows(
         .withColumn("_place", F.monotonically_increasing_id())
         .drop("_tie")
     )
+    if flag:
+        ranged = ranged.withColumn("_flag", _row_before(flag))
     scratch = scratch or Scratch(df.sparkSession, "numbered")
     placed = scratch.cut(ranged).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
     # One row per partition, which is why a window over all of them and a broadcast are both safe.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # The last flag of a partition is that before the first row of the next one.
+    last = F.max_by(flag, "_place") if flag else F.lit(False)
     offsets = (
         placed.groupBy("_part")
-        .agg(F.count("*").alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+        .agg(F.count("*").alias("_size"), last.alias("_last"))
+        .select(
+            "_part",
+            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+            F.lag("_last", 1, False).over(W.orderBy("_part")).alias("_end"),
+        )
     )
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     number = (F.col("_before") + position + F.lit(start)).alias(name)
-    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, number)
+    flags = [F.coalesce("_flag", "_end").alias(f"_before_{flag}")] if flag else []
+    return placed.join(F.broadcast(offsets), "_part").select(*df.columns, number, *flags)
 
 
 def chunk(df: DataFrame, k: int, order_by: str, keep_remainder: bool, name="chunk") -> DataFrame:

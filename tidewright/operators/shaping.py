@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators.joins import group_apart
+from tidewright.operators.joins import distinct_apart
 from tidewright.operators.numbering import number_rows
 
 
@@ -85,37 +85,48 @@ def nest_by(
     """
     parents = parents.filter(F.col(group).isNotNull()).select(*dict.fromkeys([parent_key, group, *parent_columns]))
     parents = parents.withColumn("_parent", F.monotonically_increasing_id())
+    keys = children.select(child_key)
     children = children.select(*dict.fromkeys([child_key, *child_columns])).withColumn("_child", F.monotonically_increasing_id())
-    order = F.struct(*child_columns, "_child")
-    # The first child of each parent and the first parent of each group have no comma before them.
-    first = group_apart(children, child_key).agg(F.min(order).alias("_first")).drop("_apart")
-    held = parents.join(first, F.col(parent_key) == F.col(child_key)).drop(child_key)
-    lead = group_apart(held.withColumnRenamed(group, "_group"), "_group").agg(
-        F.min(F.struct(parent_key, "_parent")).alias("_lead")
-    )
-    held = held.join(lead.drop("_apart"), F.col(group) == F.col("_group")).drop("_group")
-
-    def pieces(df, section, kind, text, child=None):
-        own = F.lit(None).cast(children.select(order.alias("o")).schema["o"].dataType) if child is None else child
-        keys = (parent_key, "_parent") if section == 1 else ()
-        columns = [F.col(group), F.lit(section).alias("_section")]
-        columns += [F.col(k) for k in keys] or [F.lit(None).cast(parents.schema[k].dataType).alias(k) for k in (parent_key, "_parent")]
-        return df.select(*columns, F.lit(kind).alias("_kind"), own.alias("_order"), text.alias("text"))
-
-    alone = F.to_json(F.struct(*parent_columns))
-    begin = F.when(alone == "{}", "{").otherwise(F.concat(F.expr("substring(_json, 1, length(_json) - 1)"), F.lit(",")))
-    comma = F.when(F.struct(parent_key, "_parent") == F.col("_lead"), "").otherwise(",")
-    heads = held.withColumn("_json", alone)
-    members = children.join(held.select(parent_key, "_parent", group, "_first"), F.col(parent_key) == F.col(child_key))
-    member_comma = F.when(order == F.col("_first"), "").otherwise(",")
-    groups = lead.select(F.col("_group").alias(group))
+    # Rows travel with their columns and become text last. Columns go by their place, as names may repeat or differ in case only.
+    order = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(child_columns)], "_child")
+    own = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(parent_columns)])
+    # All columns of the children are shuffled once to meet their parents, and once to be sorted.
+    held = parents.join(distinct_apart(keys, child_key), F.col(parent_key) == F.col(child_key), "left_semi")
+    members = children.join(parents.select(parent_key, "_parent", group), F.col(parent_key) == F.col(child_key))
+    groups = held.groupBy(group).agg(F.count("*")).select(group)
+    order_type, own_type = children.select(order.alias("o")).schema["o"].dataType, parents.select(own.alias("o")).schema["o"].dataType
+
+    def pieces(df, section, kind, child=None, parent=None):
+        of_parent = [F.col(k) if section == 1 else F.lit(None).cast(parents.schema[k].dataType).alias(k) for k in (parent_key, "_parent")]
+        child = F.lit(None).cast(order_type) if child is None else child
+        parent = F.lit(None).cast(own_type) if parent is None else parent
+        # What opens an array has no comma after it.
+        opens = F.lit(section == 0) if section != 1 else F.col("_kind") == 0
+        columns = [F.col(group), F.lit(section).alias("_section"), *of_parent, kind.alias("_kind")]
+        return df.select(*columns, child.alias("_order"), parent.alias("_own")).withColumn("_opens", opens)
+
+    both = held.withColumn("_which", F.explode(F.array(F.lit(0), F.lit(2))))
     everything = [
-        pieces(groups, 0, 0, F.lit("[")),
-        pieces(heads, 1, 0, F.concat(comma, begin, F.lit(f'"{child_array}":['))),
-        pieces(members, 1, 1, F.concat(member_comma, F.to_json(F.struct(*child_columns))), order),
-        pieces(held, 1, 2, F.lit("]}")),
-        pieces(groups, 2, 0, F.lit("]")),
+        pieces(groups, 0, F.lit(0)),
+        pieces(both, 1, F.col("_which"), parent=F.when(F.col("_which") == 0, own)),
+        pieces(members, 1, F.lit(1), child=order),
+        pieces(groups, 2, F.lit(0)),
     ]
     rows = reduce(DataFrame.unionByName, everything)
     sorted_by = [group, "_section", parent_key, "_parent", "_kind", "_order"]
-    return number_rows(rows, sorted_by, "seq").select(group, "seq", "text")
+    numbered = number_rows(rows, sorted_by, "seq", flag="_opens")
+
+    def as_json(column, names):
+        return F.to_json(F.struct(*[F.col(column)[f"c{i}"].alias(c) for i, c in enumerate(names)]))
+
+    alone = as_json("_own", parent_columns)
+    begin = F.when(alone == "{}", "{").otherwise(F.concat(F.substring(alone, F.lit(1), F.length(alone) - 1), F.lit(",")))
+    comma = F.when(F.col("_before__opens"), "").otherwise(",")
+    text = (
+        F.when(F.col("_section") == 0, "[")
+        .when(F.col("_section") == 2, "]")
+        .when(F.col("_kind") == 0, F.concat(comma, begin, F.lit(f'"{child_array}":[')))
+        .when(F.col("_kind") == 1, F.concat(comma, as_json("_order", child_columns)))
+        .otherwise("]}")
+    )
+    return numbered.select(group, "seq", text.alias("text"))
