@@ -1,6 +1,8 @@
 """The corpus operators against SQL, brute force, the libraries they must agree with, and awkward rows."""
 
+import glob
 import hashlib
+import os
 import random
 import re
 import time
@@ -393,6 +395,19 @@ def test_token_files_are_read_by_a_task_per_range(documents):
     assert bag(read) == bag(token_files.read_tokens(shards, folder))
 
 
+def test_token_files_are_all_that_is_written(documents, messy, nothing):
+    """A table of the shards would have the executors start a process for each of its folders and files."""
+    for frame in (documents, messy, nothing):
+        folder = scratch_path(documents.sparkSession, "tokens")
+        before = set(glob.glob(f"{os.path.dirname(folder)}/*"))
+        shards = token_files.write_tokens(frame, folder).orderBy("shard").collect()
+        assert set(glob.glob(f"{os.path.dirname(folder)}/*")) - before == ({folder} if shards else set())
+        kinds = Counter(name.split(".", 1)[1] for name in os.listdir(folder)) if shards else {}
+        assert kinds == ({k: len(shards) for k in ("bin", "len", "doc", "nul", "idx")} if shards else {})
+        assert [s.base for s in shards] == [sum(s.n_tokens for s in shards[:k]) for k in range(len(shards))]
+        assert sum(s.n_docs for s in shards) == frame.count()
+
+
 def test_token_runs_are_those_of_the_library():
     encoder = token_files.Encoder(token_files.default_path())
     random_ = random.Random(2)

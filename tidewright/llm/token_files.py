@@ -7,8 +7,10 @@ Format, one set of files per shard, in ascending order of the ids' documents:
   <shard>.doc  document ids, signed 64-bit;  <shard>.nul  one byte each, 1 where the id is null
 
 Documents are range-partitioned and sorted, and every task writes the shard of its partition while it encodes,
-so neither texts nor tokens pass through the driver. The first job returns one row per shard; a prefix sum over
-those gives each shard its base, and a second job writes the offsets. A file is written under a name of its own
+so neither texts nor tokens pass through the driver. The first job returns one row per shard to the driver; a prefix
+sum over those gives each shard its base, and a second job writes the offsets. These rows are in no table of the
+shared folder: a task that writes one has its executor start processes (chmod) for every folder and file, and each of
+them holds the memory of the executor a second time, for an instant, as far as a watcher can see. A file is written under a name of its own
 attempt and then renamed, so a task that runs again after a lost executor replaces it with the same content.
 
 Encoding calls the tokenizers library once for each distinct run of letters, marks or blanks that a worker
@@ -32,10 +34,9 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewright.llm.base import Memo, Scratch, as_bytes, scratch_path, slices
+from tidewright.llm.base import Memo, as_bytes, scratch_path, slices
 
 END = 0
 #: Bytes of distinct runs and their ids kept in a worker, twice at most.
@@ -179,10 +180,10 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
     # The hash orders equal ids; the scan position spreads rows that agree in both over several shards.
     rows = rows.withColumn("h", F.xxhash64("t")).withColumn("p", F.monotonically_increasing_id())
     rows = rows.repartitionByRange("i", "h", "p").sortWithinPartitions("i", "h", "p").select("i", "t")
-    shards = Scratch(spark, "shards").cut(rows.mapInArrow(encode, "shard long, n_docs long, n_tokens long, width long"))
-    # One row per shard, so a window over all of them is bounded by the number of tasks.
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    bases = shards.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
+    # One row per shard, so what the driver holds is bounded by the number of tasks.
+    shards = rows.mapInArrow(encode, "shard long, n_docs long, n_tokens long, width long").toArrow().sort_by("shard")
+    ends = np.cumsum(np.asarray(shards["n_tokens"], dtype=np.int64))
+    bases = spark.createDataFrame(shards.append_column("base", pa.array(ends - np.asarray(shards["n_tokens"], dtype=np.int64))))
 
     def offsets(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -199,8 +200,9 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
             yield batch
 
     # A task for each shard; merged by size, its one row would leave all of them to one task.
-    spread = bases.repartitionByRange(max(1, shards.count()), "shard")
-    return Scratch(spark, "shards").cut(spread.mapInArrow(offsets, bases.schema))
+    spread = bases.repartitionByRange(max(1, shards.num_rows), "shard")
+    spread.mapInArrow(offsets, bases.schema).count()
+    return bases
 
 
 def read_tokens(shards: DataFrame, folder: str, most: int = 4096, at_once: int = 1 << 16) -> DataFrame:
