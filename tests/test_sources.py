@@ -3,6 +3,7 @@ import json
 import os
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from tidewright.sources import (
     register_table,
     write_chunks,
 )
-from tidewright.sources.arrays import array_elements
+from tidewright.sources.arrays import _BRACE, _LINE_END, _runs, _short_pieces, array_elements
 from tidewright.sources.drift import differences, holds
 from tidewright.sources.readers import read_parquet, read_raw, rejected_documents
 from tidewright.sources.scratch import scratch_path, shared_folder
@@ -310,6 +311,45 @@ def test_a_cut_array_equals_the_read_of_one_task(spark, folder):
         array_elements(spark, f"{folder}/raw", "a}")
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_arrays_among_the_elements_are_left_out_at_the_ends_of_splits(spark, folder, lines):
+    items = [{"id": i, "t": ODD[i % len(ODD)]} if i % 3 else [{"id": -i, "t": "x" * 200}, [{"a": "}"}]] for i in range(200)]
+    with open(f"{folder}/a.json", "w") as file:
+        file.write('{"movie": [' + (",\n" if lines else ", ").join(map(json.dumps, items)) + "]}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        got = [json.loads(row["value"]) for row in array_elements(spark, f"{folder}/a.json", "movie").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got, key=lambda x: x["id"]) == [x for x in items if isinstance(x, dict)]
+
+
+def test_pieces_are_lines_where_no_line_is_long(spark, folder):
+    short, long = (f"{folder}/{name}" for name in ("short", "long"))
+    for path, text in ((short, "x"), (long, "x" * (1 << 21))):
+        os.makedirs(path)
+        for n, tail in enumerate(("", "\n", "},\n")):
+            with open(f"{path}/{n}.json", "w") as file:
+                file.write(",\n".join(json.dumps({"movie": {"Id": i, "é漢": text if i == 7 else ""}}) for i in range(20)) + tail)
+    write_text(f"{folder}/only/a.json", "x" * (1 << 21))
+    write_text(f"{folder}/only/empty.json", "")
+    assert _short_pieces(spark, short, _LINE_END)
+    assert not _short_pieces(spark, long, _LINE_END) and not _short_pieces(spark, f"{folder}/only", _LINE_END)
+    items = [{"Id": i, "t": "x" * (1 << 21) if i == 7 else "}"} for i in range(20)]
+    write_text(f"{folder}/one/a.json", ",\n".join(map(json.dumps, items)).join(["[", "]"]))
+    assert sorted((json.loads(r["value"]) for r in array_elements(spark, f"{folder}/one").collect()), key=lambda x: x["Id"]) == items
+
+
+def test_texts_of_a_split_are_bounded_and_lose_nothing():
+    pieces = [f'{{"a": "{"y" * 90000}{i}"' for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"file": [1] * 60 + [2] * 40, "start": [0] * 100, "value": pieces})
+    runs = [(file, start, [text.data.to_pybytes() for text in run]) for file, start, run in _runs(iter([batch]), _BRACE)]
+    assert [run[:2] for run in runs] == [(1, 0), (2, 0)]
+    assert b"".join(text for run in runs for text in run[2]).decode() == "".join(p + "}" for p in pieces)
+    assert max(len(text) for run in runs for text in run[2]) < 1.2 * (1 << 20)
+
+
 # --- drift ------------------------------------------------------------------------------------------------
 
 
@@ -354,3 +394,12 @@ def test_one_document_is_written_without_sorting(spark, folder):
     (file,) = Path(f"{folder}/one").glob("part-*")
     movies = json.loads(file.read_text())["movie"]
     assert sorted(m["Id"] for m in movies if m["Id"] is not None) == list(range(5000)) and len(movies) == 5001
+
+
+def test_the_writer_of_one_document_handles_few_large_rows(spark):
+    from tidewright.plans.job_queries import _one_document
+
+    lines = spark.range(0, 5000, 1, 6).selectExpr("to_json(struct(id as Id)) as line")
+    rows = [row["value"] for row in _one_document(lines).collect()]
+    assert len(rows) == 8 and [m["Id"] for m in json.loads("\n".join(rows))["movie"]][-1] is None
+    assert sorted(m["Id"] for m in json.loads("\n".join(rows))["movie"][:-1]) == list(range(5000))

@@ -106,16 +106,22 @@ def s01_multi_line_documents(spark, folder) -> DataFrame:
 
 def _one_document(lines: DataFrame) -> DataFrame:
     """The lines of one file that is a single document with an array of them, as its one writer lays them down: they stream
-    through its task in any order, and nothing is sorted or held."""
+    through its task in any order, many to a row, and nothing is sorted or held."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                ended = pc.binary_join_element_wise(batch.column(0), "", ",")
+                together = pa.ListArray.from_arrays(pa.array([0, len(ended)], pa.int32()), ended)
+                yield pa.RecordBatch.from_arrays([pc.binary_join(together, "\n")], ["value"])
 
     def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"value": ['{"count": {"of": [{}]},\n"movie": [']})
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(batch.column(0), "", ",")], ["value"])
+        yield from batches
         yield pa.RecordBatch.from_pydict({"value": ['{"Id": null}]}']})
 
-    # Shuffled, so that the rows are made by many tasks.
-    return lines.repartition(1).mapInArrow(document, "value string")
+    # Shuffled, so that the rows are made by many tasks; joined before, so that the writer handles few large ones.
+    return lines.mapInArrow(blocks, "value string").repartition(1).mapInArrow(document, "value string")
 
 
 def s04_one_large_array(spark, folder) -> DataFrame:
