@@ -325,6 +325,15 @@ def test_arrays_among_the_elements_are_left_out_at_the_ends_of_splits(spark, fol
     assert sorted(got, key=lambda x: x["id"]) == [x for x in items if isinstance(x, dict)]
 
 
+def test_a_filter_on_a_cut_array_parses_once(spark, folder):
+    write_text(f"{folder}/raw/a.json", '{"movie": [{"Id": 1, "Title": "a"},\n{"Id": "x"}, {"Id": null}, {}]}')
+    cut = read_raw(spark, f"{folder}/raw", cut=True)
+    assert sorted(str(r["value"]["Id"]) for r in cut.collect()) == ["1", "None", "None", "None"]
+    kept = cut.filter("value.Id IS NOT NULL").select("value.Id", "value.Title")
+    assert "isnotnull(from_json" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.collect() == [(1, "a")]
+
+
 def test_pieces_are_lines_where_no_line_is_long(spark, folder):
     short, long = (f"{folder}/{name}" for name in ("short", "long"))
     for path, text in ((short, "x"), (long, "x" * (1 << 21))):

@@ -261,4 +261,5 @@ def _batch(file: int, start: int, kind: int, texts: pa.Array) -> pa.RecordBatch:
 
 def read_array(spark: SparkSession, path: str, element: T.StructType, key: str | None = None) -> DataFrame:
     """The same elements as rows with one column `value` of the declared type; a faulty element has NULL fields."""
-    return array_elements(spark, path, key).select(F.from_json("value", element).alias("value"))
+    # Exploded, so that a filter on a field of the value does not parse the text on its own, beside the parse of the whole.
+    return array_elements(spark, path, key).select(F.explode(F.array(F.from_json("value", element))).alias("value"))
